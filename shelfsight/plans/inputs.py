@@ -29,6 +29,7 @@ _TRANSACTION_COLUMNS: dict[str, tuple[str, tuple[str, ...]]] = {
         "CASE WHEN l_linenumber = 7 THEN upper(p_name) ELSE p_name END",
         ("part",),
     ),
+    "brand": ("p_brand", ("part",)),
     # five spellings of one code, plus missing and junk codes
     "item_code": (
         f"CASE l_linenumber WHEN 1 THEN '0' || {_PART_12}"
@@ -73,11 +74,12 @@ _JOINS = {
     "part": "JOIN {part} ON p_partkey = l_partkey",
 }
 
+FACT_COLUMNS = tuple(c for c in _TRANSACTION_COLUMNS if c != "brand")
 SALES_COLUMNS = ("posting_date", "description", "quantity", "revenue", "amount")
 
 
 def transactions_sql(*columns: str) -> str:
-    columns = columns or tuple(_TRANSACTION_COLUMNS)
+    columns = columns or FACT_COLUMNS
     needed = {table for c in columns for table in _TRANSACTION_COLUMNS[c][1]}
     picked = ",\n  ".join(f"{_TRANSACTION_COLUMNS[c][0]} AS {c}" for c in columns)
     joins = "\n".join(text for table, text in _JOINS.items() if table in needed)

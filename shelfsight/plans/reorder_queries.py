@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfsight.functions import net_revenue, round_half_up
-from shelfsight.operators import reorder
+from shelfsight.operators import models, reorder
 from shelfsight.plans.forecast_queries import _round
 from shelfsight.plans.inputs import transactions, transactions_sql, with_tables
 from shelfsight.plans.registry import query
@@ -23,6 +23,7 @@ _NEEDED = (
 )
 _ASOFS = reorder.asof_dates("2000-01-01", "2001-10-31")
 _HORIZON = reorder.HORIZON_DAYS
+_TREES, _DEPTH = 20, 8
 _TX = dict(transactions=transactions_sql(*_NEEDED))
 
 _INV = """inv AS (
@@ -221,3 +222,58 @@ def churn_features(spark, sf):
 )
 def churn_dataset(spark, sf):
     return _comparable(reorder.churn_dataset(_invoices(spark, sf), _ASOFS, _HORIZON))
+
+
+# a score that ranks: recent orders against time since the last one, ties included
+_SCORED = f"""scored AS (
+  SELECT l.label, {_round("f.orders_90d / (1 + f.days_since_last)", 4)} AS score
+  FROM features f JOIN labelled l ON l.account_id = f.account_id AND l.asof_date = f.asof_date
+  WHERE l.label_complete)"""
+
+
+@query(
+    "rank_metrics",
+    with_tables(
+        f"""SELECT p AS positives, n AS negatives,
+          CASE WHEN p > 0 AND n > 0 THEN {_round("1 - area / (CAST(p AS DOUBLE) * n)", 6)} END AS auc,
+          CASE WHEN p > 0 AND n > 0 THEN {_round("ap / p", 6)} END AS pr_auc
+        FROM (SELECT CAST(sum(pos) AS BIGINT) AS p, CAST(sum(neg) AS BIGINT) AS n,
+            sum(pos * (fp - neg / 2.0e0)) AS area,
+            sum(pos * (CAST(tp AS DOUBLE) / (tp + fp))) AS ap
+          FROM (SELECT pos, neg, sum(pos) OVER (ORDER BY score DESC) AS tp,
+              sum(neg) OVER (ORDER BY score DESC) AS fp
+            FROM (SELECT score, sum(label) AS pos, sum(1 - label) AS neg
+              FROM scored GROUP BY score) t) c) s""",
+        *_ALL,
+        _LABELS,
+        _SCORED,
+        **_TX,
+    ),
+)
+def rank_metrics(spark, sf):
+    dataset = reorder.churn_dataset(_invoices(spark, sf), _ASOFS, _HORIZON).where("label_complete")
+    score = round_half_up(F.col("orders_90d") / (1 + F.col("days_since_last")), 4)
+    metrics = models.rank_metrics(dataset.select("label", score.alias("score")))
+    return metrics.withColumns(
+        {c: round_half_up(F.col(c), 6) for c in ("auc", "pr_auc")}
+    )
+
+
+@query("churn_predictions")
+def churn_predictions(spark, sf):
+    """Trained up to the validation period, scored at the last day of the data."""
+    invoices = models.materialise(_invoices(spark, sf))
+    days = reorder.split_calendar(invoices, "2000-01-01", day="invoice_date").first()
+
+    def dataset(lo, hi):
+        return reorder.churn_dataset(invoices, reorder.asof_dates(lo, hi), _HORIZON)
+
+    fitted = models.train_reorder_models(
+        dataset(days["train_start"], days["train_end"]),
+        dataset(days["valid_start"], days["valid_end"]),
+        reorder.FEATURES,
+        num_trees=_TREES,
+        max_depth=_DEPTH,
+    )
+    latest = reorder.churn_features(invoices, [days["test_end"]])
+    return models.churn_predictions(fitted, latest, _HORIZON)
