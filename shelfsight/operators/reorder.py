@@ -1,8 +1,8 @@
 """Paid invoices, and what was known about each account on given as-of dates.
 
-The as-of dates are a short list of dates, so an invoice finds the dates it matters to
-with an array filter on its own row. Nothing is joined on a date range, and no row is
-paired with a date it does not contribute to.
+The as-of dates are a short list, so an invoice finds the dates it matters to by a slice
+of that list on its own row. Nothing is joined on a date range, and no row is paired with
+a date it does not contribute to.
 """
 
 from __future__ import annotations
@@ -10,11 +10,12 @@ from __future__ import annotations
 import datetime as dt
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfsight.functions.dates import as_date
+from shelfsight.functions.dates import as_date, month_number
 
 WINDOWS = (30, 90, 180)
 GAP_WINDOWS = (90, 180)
@@ -131,17 +132,39 @@ def _usable(invoices: DataFrame) -> DataFrame:
     return invoices.where(F.col("account_id").isNotNull() & F.col("invoice_date").isNotNull())
 
 
-def _dates(asofs: AsOf) -> Column:
-    days = sorted({str(d) for d in asofs})
+def _sorted_dates(asofs: AsOf) -> list[dt.date]:
+    days = sorted({dt.date.fromisoformat(str(d)) for d in asofs})
     if not days:
         raise ValueError("no as-of dates given")
-    return F.array(*(as_date(d) for d in days))
+    return days
+
+
+def _count_before(days: list[dt.date], day: Column) -> Column:
+    """How many as-of dates lie before ``day``.
+
+    Arithmetic for an unbroken run of month starts, a sum of comparisons otherwise; both
+    compile to plain code, unlike a lambda over the list.
+    """
+    if days == asof_dates(days[0], days[-1]):
+        started = F.when(F.dayofmonth(day) > 1, 1).otherwise(0)
+        origin = 12 * days[0].year + days[0].month - 1
+        months = month_number(day) - origin + started
+        return F.greatest(F.lit(0), F.least(months, F.lit(len(days)))).cast("int")
+    return reduce(lambda a, b: a + b, [(as_date(d) < day).cast("int") for d in days])
+
+
+def _dates_from(days: list[dt.date], first: Column, end: Column) -> Column:
+    """The as-of dates in ``[first, end)``; an open end takes all later ones."""
+    before = _count_before(days, first)
+    until = F.coalesce(_count_before(days, end), F.lit(len(days)))
+    listed = F.array(*(as_date(d) for d in days))
+    return F.slice(listed, before + 1, F.greatest(until - before, F.lit(0)))
 
 
 def _covering(asofs: AsOf, days: int) -> Column:
     """The as-of dates whose window of ``days`` holds the row's invoice date."""
     day = F.col("invoice_date")
-    return F.filter(_dates(asofs), lambda a: (a >= day) & (F.date_sub(a, days) < day))
+    return _dates_from(_sorted_dates(asofs), day, F.date_add(day, days))
 
 
 def churn_window_features(invoices: DataFrame, asofs: AsOf) -> DataFrame:
@@ -228,21 +251,27 @@ def _account_days(invoices: DataFrame) -> DataFrame:
     )
 
 
-def _recent_median(last_days: Column) -> Column:
-    """Median gap between the last few invoices; 0 if there is only one."""
-    most = F.lit(RECENT_INVOICES)
-    repeated = F.flatten(
-        F.transform(
-            last_days,
-            lambda d: F.array_repeat(d["invoice_date"], F.least(d["n"], most).cast("int")),
-        )
-    )
-    days = F.slice(repeated, F.greatest(F.size(repeated) - RECENT_INVOICES + 1, F.lit(1)), most)
-    gaps = F.array_sort(
-        F.transform(
-            F.slice(days, F.lit(2), most), lambda day, i: F.datediff(day, F.get(days, i))
+def _recent_gaps(last_days: Column) -> Column:
+    """Sorted gaps between the last few invoices: walk back day by day, 0 within a day."""
+    none = F.array().cast("array<int>")
+    most = RECENT_INVOICES - 1
+
+    def back(k: int) -> Column:
+        return F.get(last_days, F.size(last_days) - 1 - k)
+
+    parts = []
+    for k in range(most):
+        day, before = back(k)["invoice_date"], back(k + 1)["invoice_date"]
+        repeats = F.least(F.coalesce(back(k)["n"], F.lit(1)) - 1, F.lit(most))
+        parts.append(F.array_repeat(F.lit(0), repeats.cast("int")))
+        parts.append(
+            F.when(before.isNotNull(), F.array(F.datediff(day, before))).otherwise(none)
         )
-    )
+    return F.sort_array(F.slice(F.concat(*parts), 1, most))
+
+
+def _middle(gaps: Column) -> Column:
+    """Median of a sorted array; 0 if it is empty."""
     n = F.size(gaps)
     low = F.get(gaps, F.floor((n - 1) / 2).cast("int"))
     high = F.get(gaps, F.floor(n / 2).cast("int"))
@@ -255,20 +284,19 @@ def _asof_state(invoices: DataFrame, asofs: AsOf) -> DataFrame:
     An invoice day stands for every as-of date up to the account's next invoice day, so
     the last and the following invoice need no search.
     """
-    day, following = F.col("invoice_date"), F.col("next")
-    valid = F.filter(
-        _dates(asofs), lambda a: (a >= day) & (following.isNull() | (a < following))
-    )
+    valid = _dates_from(_sorted_dates(asofs), F.col("invoice_date"), F.col("next"))
     return (
         _account_days(invoices)
-        .where(F.size(valid) > 0)
         .select(
             "account_id",
             F.explode(valid).alias("asof_date"),
-            day.alias("last_invoice"),
-            following.alias("next_invoice"),
-            _recent_median(F.col("last_days")).alias("recent_interval"),
+            F.col("invoice_date").alias("last_invoice"),
+            F.col("next").alias("next_invoice"),
+            "last_days",
         )
+        .withColumn("gaps", _recent_gaps(F.col("last_days")))
+        .withColumn("recent_interval", _middle(F.col("gaps")))
+        .drop("last_days", "gaps")
     )
 
 

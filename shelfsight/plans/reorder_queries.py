@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from shelfsight.functions import net_revenue, round_half_up
 from shelfsight.operators import models, reorder
 from shelfsight.plans.forecast_queries import _round
+from shelfsight.operators.ranking import materialise
 from shelfsight.plans.inputs import transactions, transactions_sql, with_tables
 from shelfsight.plans.registry import query
 
@@ -23,7 +24,7 @@ _NEEDED = (
 )
 _ASOFS = reorder.asof_dates("2000-01-01", "2001-10-31")
 _HORIZON = reorder.HORIZON_DAYS
-_TREES, _DEPTH = 20, 8
+_TREES, _DEPTH = 50, 10
 _TX = dict(transactions=transactions_sql(*_NEEDED))
 
 _INV = """inv AS (
@@ -137,6 +138,11 @@ def _invoices(spark, sf):
     return reorder.paid_invoices(lines)
 
 
+def _written_invoices(spark, sf):
+    """Invoices written out once, where several branches of a plan read them."""
+    return materialise(_invoices(spark, sf))
+
+
 def _comparable(features):
     return features.withColumns(
         {c: round_half_up(F.col(c), 6) for c in ("sin_month", "cos_month")}
@@ -194,7 +200,7 @@ def churn_window_features(spark, sf):
     "reorder_intervals", with_tables("SELECT * FROM intervals", _INV, _PAST, _INTERVALS, **_TX)
 )
 def reorder_intervals(spark, sf):
-    return reorder.reorder_intervals(_invoices(spark, sf), _ASOFS)
+    return reorder.reorder_intervals(_written_invoices(spark, sf), _ASOFS)
 
 
 @query("churn_labels", with_tables("SELECT * FROM labelled", _INV, _PAST, _LABELS, **_TX))
@@ -207,7 +213,7 @@ _ALL = (_INV, _PAST, _WINDOWED, _INTERVALS, _FEATURES)
 
 @query("churn_features", with_tables("SELECT * FROM features", *_ALL, **_TX))
 def churn_features(spark, sf):
-    return _comparable(reorder.churn_features(_invoices(spark, sf), _ASOFS))
+    return _comparable(reorder.churn_features(_written_invoices(spark, sf), _ASOFS))
 
 
 @query(
@@ -221,7 +227,7 @@ def churn_features(spark, sf):
     ),
 )
 def churn_dataset(spark, sf):
-    return _comparable(reorder.churn_dataset(_invoices(spark, sf), _ASOFS, _HORIZON))
+    return _comparable(reorder.churn_dataset(_written_invoices(spark, sf), _ASOFS, _HORIZON))
 
 
 # a score that ranks: recent orders against time since the last one, ties included
@@ -251,7 +257,7 @@ _SCORED = f"""scored AS (
     ),
 )
 def rank_metrics(spark, sf):
-    dataset = reorder.churn_dataset(_invoices(spark, sf), _ASOFS, _HORIZON).where("label_complete")
+    dataset = reorder.churn_dataset(_written_invoices(spark, sf), _ASOFS, _HORIZON).where("label_complete")
     score = round_half_up(F.col("orders_90d") / (1 + F.col("days_since_last")), 4)
     metrics = models.rank_metrics(dataset.select("label", score.alias("score")))
     return metrics.withColumns(
@@ -262,7 +268,7 @@ def rank_metrics(spark, sf):
 @query("churn_predictions")
 def churn_predictions(spark, sf):
     """Trained up to the validation period, scored at the last day of the data."""
-    invoices = models.materialise(_invoices(spark, sf))
+    invoices = _written_invoices(spark, sf)
     days = reorder.split_calendar(invoices, "2000-01-01", day="invoice_date").first()
 
     def dataset(lo, hi):
