@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfsight.operators.ranking import materialise, running_totals
+from shelfsight.sources.sinks import describe_columns
 
 DIAGNOSTICS = (
     "account_id",
@@ -33,6 +34,11 @@ DIAGNOSTICS = (
     "is_severely_overdue",
     "is_high_frequency",
 )
+# What a reader of the predictions needs to know about them.
+DESCRIPTIONS = {
+    "account_id": "Account the prediction is for",
+    "asof_date": "Day up to which data was used",
+}
 # Calibration groups margins on a grid: at most 2 * 40 * 10_000 + 1 points reach the driver.
 _MARGIN_LIMIT = 40.0
 _MARGIN_STEPS = 10_000
@@ -112,11 +118,13 @@ def train_reorder_models(
     features: Sequence[str],
     seed: int = 42,
     num_trees: int = 400,
-    max_depth: int = 30,
+    max_depth: int = 15,
 ) -> ReorderModels:
     """Fit both models on ``train``, calibrate and choose on ``valid`` (runs jobs).
 
-    The inputs are written out once, since every iteration reads them again.
+    The inputs are written out once, since every iteration reads them again. Trees need
+    a depth limit here: the level-wise training keeps statistics per open node, so its
+    cost grows with the number of nodes and not only with the rows.
     """
     columns = [*features, "label"]
     train = materialise(train.select(columns))
@@ -162,6 +170,7 @@ def train_reorder_models(
         numTrees=num_trees,
         maxDepth=max_depth,
         minInstancesPerNode=2,
+        maxMemoryInMB=1024,
         seed=seed,
     ).fit(weighted)
 
@@ -227,6 +236,7 @@ def churn_predictions(models: ReorderModels, latest: DataFrame, horizon: int = 6
     The name of the last column says risk, but it is the probability that the account
     does order again.
     """
-    return score(models, latest).select(
-        *DIAGNOSTICS, F.col("score").alias(f"risk_prob_reorder_{horizon}d")
-    )
+    probability = f"risk_prob_reorder_{horizon}d"
+    predictions = score(models, latest).select(*DIAGNOSTICS, F.col("score").alias(probability))
+    meaning = f"Probability of at least one paid invoice in the {horizon} days after that day"
+    return describe_columns(predictions, {**DESCRIPTIONS, probability: meaning})
