@@ -219,7 +219,7 @@ def fva_dashboard_month(
     pages = placed.groupBy("month", page.alias("page")).agg(
         F.sort_array(F.collect_list(product)).alias("products")
     )
-    return pages.join(fva_month_summary(fva), "month").withColumn(
+    return pages.join(fva_month_summary(placed), "month").withColumn(
         "month_name", F.date_format("month", "MMMM")
     )
 

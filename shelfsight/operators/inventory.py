@@ -166,11 +166,14 @@ def reorder_tracking(
 ) -> DataFrame:
     """Every snapshot row with the SKU's latest order; NULLs where there is none.
 
-    Of several lines on the latest day the one with most units counts.
+    Of several lines on the latest day the one with most units counts. The lines are
+    reduced to item and day with a plain maximum, which hashes, before the latest day is
+    picked and looked up.
     """
+    per_day = lines.groupBy("item_code", "doc_date").agg(F.max("quantity").alias("quantity"))
     latest = F.max(F.struct("doc_date", "quantity", "item_code"))
     last = (
-        _item_to_sku(lines.groupBy("item_code").agg(latest.alias("line")), mapping)
+        _item_to_sku(per_day.groupBy("item_code").agg(latest.alias("line")), mapping)
         .groupBy("sku")
         .agg(F.max("line").alias("line"))
         .select(

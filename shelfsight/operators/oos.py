@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfsight.functions import round_half_up
+from shelfsight.functions import clean_token, round_half_up
 from shelfsight.functions.dates import as_date, month_from_number, month_number
 
 WEEKS_PER_MONTH = "4.33"
@@ -47,6 +47,7 @@ def oos_from_sales(
 ) -> DataFrame:
     """Runs of months without sales, from rows ``(keys, month, qty)`` unique per month.
 
+    Rows without an item (the first key) are left out.
     Months that have no row count as zero, so nothing is filled in: only months with
     sales are kept, and a run is what lies between a positive month (with the negative
     months that directly follow it) and the next positive one. The volume is the mean of
@@ -59,7 +60,8 @@ def oos_from_sales(
     along = item.orderBy("i")
     sold = (
         sales.where(
-            (F.col("qty") != 0)
+            clean_token(keys[0]).isNotNull()
+            & (F.col("qty") != 0)
             & F.col("month").between(as_date(first_month), as_date(last_month))
         )
         .select(*keys, (month_number("month") - origin).alias("i"), "qty")
