@@ -194,12 +194,11 @@ def churn_window_features(invoices: DataFrame, asofs: AsOf) -> DataFrame:
     fine = rows.groupBy(*keys, *facets).agg(
         F.min(age).alias("age"), *(expr.alias(name) for name, expr in sums.items())
     )
-    # every row once per facet; the sums ride along with the first entry only
-    entries = [F.struct(F.lit("total").alias("facet"), F.lit(None).cast("string").alias("value"))]
-    entries += [
+    # every row once per facet; the sums ride along with the first one only
+    entries = [
         F.struct(F.lit(c).alias("facet"), F.col(c).cast("string").alias("value")) for c in facets
-    ]
-    carries = F.col("facet") == "total"
+    ] or [F.struct(F.lit("none").alias("facet"), F.lit(None).cast("string").alias("value"))]
+    carries = F.col("facet") == (facets[0] if facets else "none")
     coarse = (
         fine.select(*keys, "age", *sums, F.inline(F.array(*entries)))
         .groupBy(*keys, "facet", "value")

@@ -147,3 +147,10 @@ def test_breadth_skips_null_and_counts_each_once(spark):
 
 def test_feature_count():
     assert len(reorder.FEATURES) == len(set(reorder.FEATURES)) == 28
+
+
+def test_windows_without_product_and_distributor_count_orders(spark):
+    inv = invoices(spark, {"a": ago(5, 6, 100)}).drop("distributor", "product_name")
+    row = reorder.churn_window_features(inv, [ASOF]).first()
+    assert (row.orders_30d, row.product_breadth_30d, row.distributor_breadth_180d) == (2, 2, 3)
+    assert row.revenue_180d == 30.0
