@@ -184,8 +184,19 @@ def read(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(sql.replace("{q}", "`"), **used)
 
 
-def transactions(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return read(spark, sf_dir, transactions_sql(*columns))
+def transactions(
+    spark: SparkSession, sf_dir: str, *columns: str, lo: str | None = None, hi: str | None = None
+) -> DataFrame:
+    """The sales lines. ``lo`` and ``hi`` repeat the query's own date range on the stored
+    timestamp, where the Parquet scan can use it; a table with a DATE column needs no such
+    help."""
+    bounds = [
+        f"l_shipdate {sign} TIMESTAMP '{day} 00:00:00'"
+        for sign, day in ((">=", lo), ("<", hi))
+        if day is not None
+    ]
+    where = f"\nWHERE {' AND '.join(bounds)}" if bounds else ""
+    return read(spark, sf_dir, transactions_sql(*columns) + where)
 
 
 def duck(sql: str) -> str:

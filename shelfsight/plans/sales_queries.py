@@ -46,6 +46,10 @@ def _summary_sql(key: str, alias: str, *needs: str, revenue="revenue_ytd", units
     )
 
 
+def _lines(spark, sf, *columns):
+    return transactions(spark, sf, *columns, lo=CURRENT[0], hi=CURRENT[1])
+
+
 @query(
     "upc_normalise",
     with_tables(
@@ -93,7 +97,7 @@ _DETAIL = """SELECT posting_date, CAST(year(posting_date) AS INTEGER) AS "year",
 
 @query("transaction_detail", with_tables(_DETAIL, _UPC, transactions=transactions_sql()))
 def transaction_detail(spark, sf):
-    return sales.transaction_detail(transactions(spark, sf), *CURRENT)
+    return sales.transaction_detail(_lines(spark, sf), *CURRENT)
 
 
 @query(
@@ -108,7 +112,7 @@ def transaction_detail(spark, sf):
 )
 def launch_transactions(spark, sf):
     launches = read(spark, sf, LAUNCH_LIST_SQL)
-    return sales.launch_transactions(transactions(spark, sf), launches, *CURRENT)
+    return sales.launch_transactions(_lines(spark, sf), launches, *CURRENT)
 
 
 @query(
@@ -118,25 +122,25 @@ def launch_transactions(spark, sf):
     ),
 )
 def monthly_summary(spark, sf):
-    return sales.monthly_summary(transactions(spark, sf, *SALES_COLUMNS), *CURRENT)
+    return sales.monthly_summary(_lines(spark, sf, *SALES_COLUMNS), *CURRENT)
 
 
 @query("distributor_summary", _summary_sql("distributor", "distributor", "distributor"))
 def distributor_summary(spark, sf):
     return sales.distributor_summary(
-        transactions(spark, sf, *SALES_COLUMNS, "distributor"), *CURRENT
+        _lines(spark, sf, *SALES_COLUMNS, "distributor"), *CURRENT
     )
 
 
 @query("salesrep_summary", _summary_sql("sales_rep", "sales_rep", "sales_rep"))
 def salesrep_summary(spark, sf):
-    return sales.salesrep_summary(transactions(spark, sf, *SALES_COLUMNS, "sales_rep"), *CURRENT)
+    return sales.salesrep_summary(_lines(spark, sf, *SALES_COLUMNS, "sales_rep"), *CURRENT)
 
 
 @query("account_summary", _summary_sql("canonical_code", "canonical_code", "canonical_code"))
 def account_summary(spark, sf):
     return sales.account_summary(
-        transactions(spark, sf, *SALES_COLUMNS, "canonical_code"), *CURRENT
+        _lines(spark, sf, *SALES_COLUMNS, "canonical_code"), *CURRENT
     )
 
 
@@ -159,7 +163,7 @@ def account_summary(spark, sf):
 )
 def accounts_topn(spark, sf):
     return sales.accounts_topn(
-        transactions(spark, sf, *SALES_COLUMNS, "canonical_code"), *CURRENT, n=50
+        _lines(spark, sf, *SALES_COLUMNS, "canonical_code"), *CURRENT, n=50
     )
 
 
@@ -178,7 +182,7 @@ def accounts_topn(spark, sf):
 )
 def sku_names(spark, sf):
     return sales.sku_names(
-        transactions(spark, sf, "posting_date", "item_code", "description"), *CURRENT
+        _lines(spark, sf, "posting_date", "item_code", "description"), *CURRENT
     )
 
 
@@ -209,7 +213,7 @@ def _growth_sql(tail: str) -> str:
 
 @query("sku_growth", _growth_sql(""))
 def sku_growth(spark, sf):
-    tx = transactions(spark, sf, *SALES_COLUMNS, "item_code")
+    tx = transactions(spark, sf, *SALES_COLUMNS, "item_code", lo=PRIOR[0])
     return sales.sku_growth(tx, CURRENT[0], None, *PRIOR)
 
 
@@ -218,7 +222,7 @@ def sku_growth(spark, sf):
     _growth_sql("ORDER BY c.revenue DESC NULLS FIRST, c.upc_norm12 LIMIT 10"),
 )
 def top_skus_growth(spark, sf):
-    tx = transactions(spark, sf, *SALES_COLUMNS, "item_code")
+    tx = transactions(spark, sf, *SALES_COLUMNS, "item_code", lo=PRIOR[0])
     return sales.top_skus_growth(tx, CURRENT[0], None, *PRIOR, n=10)
 
 
@@ -244,7 +248,7 @@ def top_skus_growth(spark, sf):
     ),
 )
 def launch_performance(spark, sf):
-    tx = transactions(spark, sf, *SALES_COLUMNS, "item_code")
+    tx = transactions(spark, sf, *SALES_COLUMNS, "item_code", lo=PRIOR[0])
     return sales.launch_performance(
         tx, read(spark, sf, LAUNCH_LIST_SQL), CURRENT[0], None, *PRIOR
     )

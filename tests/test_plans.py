@@ -40,6 +40,11 @@ def test_summary_scans_only_its_columns(spark, sf_dir):
     assert "orders" not in text
 
 
+def test_registered_summary_prunes_by_date(spark, sf_dir):
+    text = plan(QUERIES["monthly_summary"](spark, sf_dir))
+    assert "GreaterThanOrEqual(l_shipdate" in text and "LessThan(l_shipdate" in text
+
+
 def test_growth_reads_the_lines_once(spark, sf_dir):
     assert plan(QUERIES["top_skus_growth"](spark, sf_dir)).count("lineitem.parquet") == 1
 
