@@ -21,6 +21,8 @@ WINDOWS = (30, 90, 180)
 GAP_WINDOWS = (90, 180)
 RECENT_INVOICES = 5
 HORIZON_DAYS = 60
+TEST_DAYS = 60
+VALIDATION_DAYS = 45
 HIGH_FREQUENCY_ORDERS = 8
 OVERDUE_CYCLES = 2.0
 NO_HISTORY = 999.0
@@ -78,12 +80,14 @@ def asof_calendar(tx: DataFrame, lo=None, hi=None, day: str = "posting_date") ->
 def split_calendar(tx: DataFrame, train_start: dt.date | str, day: str = "posting_date") -> DataFrame:
     """Train, validation and test dates counted back from the last day of the data."""
     latest = F.col("latest")
+    valid_end = TEST_DAYS + 1
+    valid_start = valid_end + VALIDATION_DAYS
     return tx.agg(F.max(day).alias("latest")).select(
         as_date(train_start).alias("train_start"),
-        F.date_sub(latest, 107).alias("train_end"),
-        F.date_sub(latest, 106).alias("valid_start"),
-        F.date_sub(latest, 61).alias("valid_end"),
-        F.date_sub(latest, 60).alias("test_start"),
+        F.date_sub(latest, valid_start + 1).alias("train_end"),
+        F.date_sub(latest, valid_start).alias("valid_start"),
+        F.date_sub(latest, valid_end).alias("valid_end"),
+        F.date_sub(latest, TEST_DAYS).alias("test_start"),
         latest.alias("test_end"),
     )
 
