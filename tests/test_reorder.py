@@ -154,3 +154,14 @@ def test_windows_without_product_and_distributor_count_orders(spark):
     row = reorder.churn_window_features(inv, [ASOF]).first()
     assert (row.orders_30d, row.product_breadth_30d, row.distributor_breadth_180d) == (2, 2, 3)
     assert row.revenue_180d == 30.0
+
+
+def test_account_with_most_of_the_invoices(spark):
+    busy = ago(1) * 3000 + ago(2) * 2000 + ago(40, 41, 43)
+    inv = invoices(spark, {"busy": busy, "calm": ago(3, 13)})
+    days = reorder._account_days(inv).where("account_id = 'busy'").count()
+    assert days == 5  # what a window over the account has to hold
+    rows = {r.account_id: r for r in reorder.churn_features(inv, [ASOF]).collect()}
+    assert rows["busy"].orders_30d == 5000 and rows["busy"].orders_90d == 5003
+    assert rows["busy"].median_interval_90d == 0.0 and rows["busy"].median_interval_recent5 == 0.0
+    assert rows["calm"].median_interval_180d == 10.0
