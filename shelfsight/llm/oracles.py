@@ -68,4 +68,63 @@ SELECT doc_id, {", ".join(f"coalesce(n_{n}, 0) AS n_{n}" for n in _KINDS)},
 FROM documents LEFT JOIN digests USING (doc_id)"""
 
 
-ORACLES = {"op7_mixing": _OP7, "op10_pii": _op10()}
+_OP1 = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+words AS (
+  SELECT doc_id, p, w[p] AS w3, w[p - 1] AS w2, w[p - 2] AS w1
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM texts)),
+counted AS (
+  SELECT doc_id, p,
+    count(*) OVER (PARTITION BY w3) - count(*) OVER (PARTITION BY doc_id, w3) AS c1,
+    CASE WHEN p > 1 THEN count(*) OVER (PARTITION BY p > 1, w2, w3)
+      - count(*) OVER (PARTITION BY doc_id, p > 1, w2, w3) ELSE 0 END AS c2,
+    CASE WHEN p > 2 THEN count(*) OVER (PARTITION BY p > 2, w1, w2, w3)
+      - count(*) OVER (PARTITION BY doc_id, p > 2, w1, w2, w3) ELSE 0 END AS c3,
+    greatest(count(*) OVER () - count(*) OVER (PARTITION BY doc_id), 1) AS rest
+  FROM words),
+chained AS (
+  SELECT *, lag(c1) OVER o AS context1, lag(c2) OVER o AS context2, least(p, 3) AS longest
+  FROM counted WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+scored AS (
+  SELECT doc_id, c1 > 0 AS known, CASE
+    WHEN c3 > 0 THEN ln(c3) - ln(context2)
+    WHEN c2 > 0 THEN ln(c2) - ln(context1) + (longest - 2) * ln(0.4::DOUBLE)
+    WHEN c1 > 0 THEN ln(c1) - ln(rest) + (longest - 1) * ln(0.4::DOUBLE)
+    ELSE -ln(rest) + longest * ln(0.4::DOUBLE) END AS score
+  FROM chained),
+sums AS (
+  SELECT doc_id, count(*) FILTER (known) AS n_known, sum(score) AS log_score FROM scored GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_known, 0) AS n_known,
+  round(coalesce(log_score, 0), 4) AS log_score,
+  round(CASE WHEN len(w) > 0 THEN log_score / len(w) END, 6) AS mean_log_score
+FROM texts LEFT JOIN sums USING (doc_id)
+"""
+
+#: The pairs meet on a shared shingle; the closure of the links is walked by SQL itself.
+_OP9 = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) < 2 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w)), lambda p: w[p] || ' ' || w[p + 1]) END) AS s
+    FROM texts WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+ends AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT reach.doc_id, ends.b FROM reach JOIN ends ON ends.a = reach.other),
+parts AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = doc_id AS kept
+FROM documents JOIN parts USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
+ORACLES = {"op1_lm_score": _OP1, "op9_minhash": _OP9, "op7_mixing": _OP7, "op10_pii": _op10()}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsight.llm import mixing, pii
+from shelfsight.llm import lm, minhash, mixing, pii, tiling
 from shelfsight.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -13,6 +13,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm.score_texts(_table(spark, sf_dir, "documents"))
+    return scored.select(
+        "doc_id",
+        "n_words",
+        "n_known",
+        F.round("log_score", 4).alias("log_score"),
+        F.round("mean_log_score", 6).alias("mean_log_score"),
+    )
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix_documents(docs).select(
@@ -24,6 +35,14 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), k=2)
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     base = [i for i, k in enumerate(pii.KINDS) if k.base]
@@ -40,4 +59,6 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op7_mixing, op10_pii)}
+QUERIES = {
+    f.__name__: f for f in (op1_lm_score, op7_mixing, op8_tiling, op9_minhash, op10_pii)
+}

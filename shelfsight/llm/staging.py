@@ -20,17 +20,25 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back (runs a job).
 
-    The lineage ends there. The files go with ``discard`` or, at the latest, when the
-    driver's file system closes.
+    The lineage ends there, so the job's shuffle files are removed with it. The files
+    written go with ``discard`` or, at the latest, when the driver's file system closes.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
     hadoop_path, fs = _file_system(spark, path)
     fs.deleteOnExit(hadoop_path)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN_UP)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
     staged = spark.read.schema(df.schema).parquet(path)
     staged._staged_path = path
     return staged

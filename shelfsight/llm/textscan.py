@@ -94,6 +94,19 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
         begin = end
 
 
+_NO_ID = np.iinfo(np.int64).min
+
+
+def ids(column: pa.Array) -> np.ndarray:
+    """Ids as numbers; the smallest long stands for null."""
+    return pc.fill_null(column.cast(pa.int64()), int(_NO_ID)).to_numpy(zero_copy_only=False)
+
+
+def id_array(values: np.ndarray) -> pa.Array:
+    """The opposite of ``ids``."""
+    return pa.array(values, pa.int64(), mask=values == _NO_ID)
+
+
 @dataclass
 class Words:
     """Word i of a chunk is data[start[i]:end[i]]; text d has the words [of[d], of[d + 1])."""
