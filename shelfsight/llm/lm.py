@@ -68,9 +68,7 @@ def _ask(
         block = WordBlock(texts)
         if len(block.hash) == 0:
             continue
-        keys, counts = np.unique(
-            np.concatenate([k for k, _ in _keys(block, order)]), return_counts=True
-        )
+        keys, counts = textscan.counted(np.concatenate([k for k, _ in _keys(block, order)]))
         at = int(np.searchsorted(keys, _ALL))
         keys, counts = np.insert(keys, at, _ALL), np.insert(counts, at, len(block.hash))
         edges = bucket_edges(keys, buckets)
@@ -127,20 +125,30 @@ def _score_block(block: WordBlock, counts: np.ndarray | None, order: int, alpha:
     score, known = np.zeros(n), np.zeros(n, bool)
     if n:
         keys = _keys(block, order)
-        table = np.unique(np.concatenate([k for k, _ in keys] + [np.array([_ALL], _U)]))
+        # where each n-gram, one order after the other, stands in the sorted keys
+        table, place_of = np.unique(
+            np.concatenate([k for k, _ in keys] + [np.array([_ALL], _U)]), return_inverse=True
+        )
         if counts is None or len(counts) != len(table):
             raise RuntimeError("the texts were read in other blocks than before; stage them first")
-        total = int(counts[np.searchsorted(table, _ALL)])
+        total = int(counts[place_of[-1]])
         doc = np.repeat(np.arange(n_docs), words)
         place = np.arange(n) - block.of[doc]
         longest = np.minimum(place + 1, order)
         others = []  # for each order, how often other texts hold the n-gram that ends here
-        for k, (key, has) in enumerate(keys, 1):
-            at = np.searchsorted(table, key)
-            pair = doc[has].astype(np.int64) * len(table) + at
-            _, inverse, own = np.unique(pair, return_inverse=True, return_counts=True)
+        begin = 0
+        for key, has in keys:
+            at = place_of[begin : begin + len(key)]
+            begin += len(key)
+            # an n-gram that occurs once is in this text only
+            several = counts[at] > 1
+            words_at = np.flatnonzero(has)[several]
+            at = at[several]
+            _, inverse, own = np.unique(
+                doc[words_at] * len(table) + at, return_inverse=True, return_counts=True
+            )
             elsewhere = np.zeros(n, np.int64)
-            elsewhere[has] = counts[at] - own[inverse]
+            elsewhere[words_at] = counts[at] - own[inverse]
             others.append(elsewhere)
         left = np.maximum(total - words, 1)[doc].astype(float)
         open_ = np.ones(n, bool)

@@ -18,30 +18,43 @@ def bucket_count(spark: SparkSession) -> int:
     return 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_ZSTD = pa.Codec("zstd", compression_level=3)
+
+
 def squeeze(raw: bytes) -> bytes:
-    return pa.compress(raw, codec="zstd", asbytes=True) if raw else b""
+    return _ZSTD.compress(raw, asbytes=True) if raw else b""
 
 
 def expand(packed: bytes, size: int) -> bytes:
-    return pa.decompress(packed, size, codec="zstd", asbytes=True) if size else b""
+    return _ZSTD.decompress(packed, size, asbytes=True) if size else b""
 
 
-def pack_keys(keys: np.ndarray) -> bytes:
-    """Sorted keys byte by byte: the high bytes repeat and all but vanish."""
-    return squeeze(np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8).T).tobytes())
+def _planes(values: np.ndarray) -> bytes:
+    return squeeze(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes())
 
 
-def unpack_keys(packed: bytes, n: int) -> np.ndarray:
+def _from_planes(packed: bytes, n: int) -> np.ndarray:
     planes = np.frombuffer(expand(packed, 8 * n), np.uint8).reshape(8, n)
     return np.ascontiguousarray(planes.T).view(_U).ravel()
 
 
+def pack_keys(keys: np.ndarray) -> bytes:
+    """The steps between sorted keys byte by byte, so that the high bytes all but vanish."""
+    steps = keys.copy()
+    steps[1:] -= keys[:-1]
+    return _planes(steps)
+
+
+def unpack_keys(packed: bytes, n: int) -> np.ndarray:
+    return np.cumsum(_from_planes(packed, n), dtype=_U)
+
+
 def pack_counts(counts: np.ndarray) -> bytes:
-    return squeeze(np.ascontiguousarray(counts.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes())
+    return _planes(counts.astype("<u8"))
 
 
 def unpack_counts(packed: bytes, n: int) -> np.ndarray:
-    return unpack_keys(packed, n).astype(np.int64)
+    return _from_planes(packed, n).astype(np.int64)
 
 
 def bucket_edges(keys: np.ndarray, buckets: int) -> np.ndarray:

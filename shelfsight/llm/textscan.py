@@ -35,6 +35,21 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted without repeats; a plain sort is much the fastest way for numbers."""
+    values = np.sort(values)
+    keep = np.ones(len(values), bool)
+    keep[1:] = values[1:] != values[:-1]
+    return values[keep]
+
+
+def counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted without repeats, and how often each occurred."""
+    values = np.sort(values)
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(values), 1), bool), values[1:] != values[:-1])))
+    return values[first], np.diff(np.append(first, len(values)))
+
+
 #: One random value for each byte, so that regular texts meet no regular hashes.
 _BYTE = mix(np.arange(1, 257, dtype=_U) * _U(0xD1342543DE82EF95))
 
