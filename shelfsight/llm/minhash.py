@@ -17,9 +17,11 @@ from shelfsight.llm.staging import discard, stage
 BANDS, ROWS = 32, 4
 #: Pairs whose signatures agree on fewer of the 128 minima are not confirmed on their sets:
 #: at 80 % the agreement is 102 on average with a deviation of 4.5.
-LEAST_AGREEMENT = 72
+LEAST_AGREEMENT = 80
 #: Members of a bucket that are compared at once.
 BLOCK = 512
+#: Bits of the sketch of the doc_ids whose texts are needed again: 8 MB at most, at any size.
+SKETCH_BITS = 26
 
 _U = np.uint64
 _A = textscan.mix(np.arange(1, BANDS * ROWS + 1, dtype=_U)) | _U(1)
@@ -44,7 +46,7 @@ def shingle_sets(column: pa.Array, k: int) -> Iterator[list[np.ndarray]]:
                 for h in short:
                     total = textscan.mix(np.array([total ^ h], _U))[0]
                 own = np.array([total], _U)
-            sets.append(np.unique(own))
+            sets.append(textscan.distinct(own))
         yield sets
 
 
@@ -150,19 +152,59 @@ def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
         keep = np.zeros(len(batch), bool)
         for i, (x, y) in enumerate(zip(batch.column("set_a"), batch.column("set_b"), strict=True)):
             one, two = (np.frombuffer(v.as_buffer(), _U) for v in (x, y))
-            common = len(one) + len(two) - len(np.union1d(one, two))
+            common = len(one) + len(two) - len(textscan.distinct(np.concatenate((one, two))))
             keep[i] = 100 * common >= percent * (len(one) + len(two) - common)
         yield _pairs_batch(a[keep], b[keep])
 
 
+def _slots(ids: np.ndarray) -> np.ndarray:
+    return (textscan.mix(ids.view(_U)) >> _U(64 - SKETCH_BITS)).astype(np.int64)
+
+
+def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        slots = _slots(np.concatenate([batch.column(c).to_numpy() for c in "ab"]))
+        words, place = np.unique(slots >> 6, return_inverse=True)
+        bits = np.zeros(len(words), np.int64)
+        np.bitwise_or.at(bits, place, np.int64(1) << (slots & 63))
+        yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(bits)], ["word", "bits"])
+
+
+def _sketch(pairs: DataFrame) -> np.ndarray:
+    """A bit for every doc_id in some pairs, some of them shared: 2**SKETCH_BITS in all."""
+    rows = pairs.mapInArrow(_sketch_rows, "word long, bits long")
+    table = rows.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    sketch = np.zeros(1 << (SKETCH_BITS - 6), np.int64)
+    sketch[table.column("word").to_numpy()] = table.column("bits").to_numpy()
+    return sketch
+
+
+def _maybe_wanted(
+    batches: Iterator[pa.RecordBatch], sketch: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        slots = _slots(textscan.ids(batch.column("doc_id")))
+        yield batch.filter(pa.array((sketch[slots >> 6] >> (slots & 63)) & 1 == 1))
+
+
 def _confirmed(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs a, b whose full shingle sets reach the similarity."""
+    """The pairs a, b whose full shingle sets reach the similarity.
+
+    Pairs and sets both grow with the input, so they are merged at every size. A bounded
+    sketch of the doc_ids keeps most other texts out of the shuffle, the join the rest.
+    """
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+    sketch = docs.sparkSession.sparkContext.broadcast(_sketch(pairs))
+
+    def maybe(batches):
+        return _maybe_wanted(batches, sketch.value)
+
+    texts = docs.select("doc_id", "text").mapInArrow(maybe, docs.select("doc_id", "text").schema)
+    texts = texts.join(wanted.hint("merge"), "doc_id", "left_semi")
     sets = stage(texts.mapInArrow(partial(_sets, k=k), "doc_id long, shingles binary"))
     both = pairs.join(
-        sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a"
-    ).join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
+        sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")).hint("merge"), "a"
+    ).join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")).hint("merge"), "b")
     links = stage(both.mapInArrow(partial(_confirm, percent=percent), "a long, b long").distinct())
     discard(sets)
     return links
@@ -220,9 +262,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     not read.
 
     Equal sets meet by fingerprint and only their smallest doc_id goes on. Texts that share
-    a band are compared with the smallest of that bucket; only buckets that are then still
-    of several components are compared within, across components, block by block. So groups
-    of copies cost a link each, and no link between different components is lost.
+    a band are compared with the smallest of that bucket. In buckets that are then still of
+    several components, block by block, first the likeliest pair of every two components is
+    tried, and at last all pairs across components. So groups of copies cost a link each,
+    and no link between different components is lost.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stage(docs.mapInArrow(partial(_sign, k=k), _SIGNATURES))
@@ -246,18 +289,27 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     stars = members.where("doc_id > leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
     near = stage(
         stars.distinct()
-        .join(signs.select(F.col("doc_id").alias("b"), F.col("signature").alias("sign_b")), "b")
-        .join(signs.select(F.col("doc_id").alias("a"), F.col("signature").alias("sign_a")), "a")
+        .join(signs.select(F.col("doc_id").alias("b"), F.col("signature").alias("sign_b")).hint("merge"), "b")
+        .join(signs.select(F.col("doc_id").alias("a"), F.col("signature").alias("sign_a")).hint("merge"), "a")
         .mapInArrow(_agreeing, "a long, b long")
         .distinct()
     )
     links = _confirmed(docs, near, k, percent)
     parts = stage(components(links))
-
-    rest = stage(_across(members, parts, signs).join(near, ["a", "b"], "left_anti"))
-    more = _confirmed(docs, rest, k, percent)
-    parts = stage(components(parts.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b")).union(more)))
-    discard(near, rest, members, links, more)
+    asked = [near]
+    # first the likeliest bridge between any two components of a bucket, then all pairs
+    for bridges in (True, False):
+        rest = _across(members, parts, signs, bridges)
+        for before in asked:
+            rest = rest.join(before, ["a", "b"], "left_anti")
+        rest = stage(rest)
+        more = _confirmed(docs, rest, k, percent)
+        known = parts.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
+        joined = stage(components(known.union(more)))
+        discard(parts, more)
+        parts = joined
+        asked.append(rest)
+    discard(members, links, *asked)
 
     joined = classes.join(parts.withColumnRenamed("doc_id", "head"), "head", "left").select(
         "n_shingles", "set_a", "set_b", F.coalesce("component_id", "head").alias("component_id")
@@ -278,10 +330,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     )
 
 
-def _across(members: DataFrame, parts: DataFrame, signs: DataFrame) -> DataFrame:
+def _across(
+    members: DataFrame, parts: DataFrame, signs: DataFrame, bridges: bool
+) -> DataFrame:
     """Pairs of a bucket in different components whose signatures agree, still unconfirmed.
 
     Members of a bucket are dealt to blocks by doc_id; each pair of blocks is one group.
+    ``bridges``: of every two components of a group only the pair that agrees most.
     """
     placed = members.select("bucket", "doc_id").join(parts, "doc_id", "left").select(
         "bucket", "doc_id", F.coalesce("component_id", "doc_id").alias("part")
@@ -312,12 +367,14 @@ def _across(members: DataFrame, parts: DataFrame, signs: DataFrame) -> DataFrame
     return (
         dealt.repartition(*keys)
         .sortWithinPartitions(*keys)
-        .mapInArrow(_compare_groups, "a long, b long")
+        .mapInArrow(partial(_compare_groups, bridges=bridges), "a long, b long")
         .distinct()
     )
 
 
-def _compare_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare_groups(
+    batches: Iterator[pa.RecordBatch], bridges: bool
+) -> Iterator[pa.RecordBatch]:
     """All agreeing pairs of two blocks, or within one, that are in different components.
 
     Groups come one after the other; the last one of a batch may go on in the next.
@@ -331,13 +388,13 @@ def _compare_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
         last = int(cuts[-1]) if len(cuts) else 0
         if last:
-            yield _compare(table.slice(0, last), [0, *cuts[:-1], last])
+            yield _compare(table.slice(0, last), [0, *cuts[:-1], last], bridges)
         rest = table.slice(last)
     if rest is not None and len(rest):
-        yield _compare(rest, [0, len(rest)])
+        yield _compare(rest, [0, len(rest)], bridges)
 
 
-def _compare(table: pa.Table, cuts: list[int]) -> pa.RecordBatch:
+def _compare(table: pa.Table, cuts: list[int], bridges: bool) -> pa.RecordBatch:
     ids, part, own, one, two = (
         table.column(c).to_numpy() for c in ("doc_id", "part", "own", "one", "two")
     )
@@ -345,15 +402,26 @@ def _compare(table: pa.Table, cuts: list[int]) -> pa.RecordBatch:
     signs = signs.reshape(len(ids), BANDS * ROWS)
     a, b = [], []
     for low, high in zip(cuts[:-1], cuts[1:], strict=True):
-        same = one[low] == two[low]
+        same, best = one[low] == two[low], {}
         right = np.flatnonzero(own[low:high] == two[low]) + low
         for i in np.flatnonzero(own[low:high] == one[low]) + low:
             others = right[right > i] if same else right
             others = others[part[others] != part[i]]
             if len(others):
-                hit = ids[others[(signs[others] == signs[i]).sum(1) >= LEAST_AGREEMENT]]
-                a.append(np.minimum(ids[i], hit))
-                b.append(np.maximum(ids[i], hit))
+                agree = (signs[others] == signs[i]).sum(1)
+                others, agree = others[agree >= LEAST_AGREEMENT], agree[agree >= LEAST_AGREEMENT]
+                if bridges:
+                    for j, n in zip(others.tolist(), agree.tolist(), strict=True):
+                        ends = (min(part[i], part[j]), max(part[i], part[j]))
+                        if n > best.get(ends, (0,))[0]:
+                            best[ends] = (n, ids[i], ids[j])
+                else:
+                    a.append(np.minimum(ids[i], ids[others]))
+                    b.append(np.maximum(ids[i], ids[others]))
+        if best:
+            pairs = np.array([v[1:] for v in best.values()])
+            a.append(pairs.min(1))
+            b.append(pairs.max(1))
     none = [np.zeros(0, np.int64)]
     return _pairs_batch(np.concatenate(a or none), np.concatenate(b or none))
 
