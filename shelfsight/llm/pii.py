@@ -169,19 +169,19 @@ def _spans(number: int, kind: Kind, text: Column) -> Column:
     return F.when(possible, found).otherwise(F.array()).cast(_SPANS)
 
 
-def find_personal_data(docs: DataFrame) -> DataFrame:
-    """Adds ``pii``: every span (start, kind, end, score), by start, then kind as in KINDS.
+def find_personal_data(docs: DataFrame, into: str = "pii") -> DataFrame:
+    """Adds the column ``into``: every span (start, kind, end, score), by start, then kind as in KINDS.
 
     Starts count code points from 0, ends are exclusive, spans of different kinds may
     overlap. Base kinds are exactly their confirmed matches: a match that fails its check is
     dropped and nothing else is tried there. The other kinds need a score of LEAST_SCORE,
     which nearby words can lift them to. Null and empty texts have no spans; rows, doubled
-    ones too, and further columns stay as they are; a column named pii is replaced.
+    ones too, and further columns stay as they are; a column named ``into`` is replaced.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     each = docs.withColumns({f"__{k.name}": _spans(i, k, text) for i, k in enumerate(KINDS)})
-    kept = [c for c in docs.columns if c != "pii"]
-    return each.select(*kept, F.array_sort(F.concat(*(f"__{n}" for n in NAMES))).alias("pii"))
+    kept = [c for c in docs.columns if c != into]
+    return each.select(*kept, F.array_sort(F.concat(*(f"__{n}" for n in NAMES))).alias(into))
 
 
 def listed(spans: Column) -> Column:
@@ -198,15 +198,15 @@ def listed(spans: Column) -> Column:
     )
 
 
-def redact(found: DataFrame) -> DataFrame:
-    """Replace what the spans in ``pii`` cover by the kind in brackets; drops ``pii``.
+def redact(found: DataFrame, spans: str = "pii") -> DataFrame:
+    """Replace what the spans in a column cover by the kind in brackets; drops the column.
 
     Spans that overlap become one, named after the first. A null text stays null.
     """
     names = F.array(*(F.lit(f"[{n.upper()}]") for n in NAMES))
     text = F.col("text")
     walked = F.aggregate(
-        F.col("pii"),
+        F.col(spans),
         F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
         lambda acc, s: F.struct(
             F.greatest(acc["at"], s["end"]).alias("at"),
@@ -227,7 +227,7 @@ def redact(found: DataFrame) -> DataFrame:
             F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))
         ),
     )
-    redacted = F.when(F.size("pii") > 0, walked).otherwise(text)
+    redacted = F.when(F.size(spans) > 0, walked).otherwise(text)
     return found.select(
-        *(redacted.alias("text") if c == "text" else F.col(c) for c in found.columns if c != "pii")
+        *(redacted.alias("text") if c == "text" else F.col(c) for c in found.columns if c != spans)
     )

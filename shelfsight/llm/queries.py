@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsight.llm import lm, minhash, mixing, pii, tiling
+from shelfsight.llm import (
+    hosts, lm, minhash, mixing, multi_index, page_text, pii, suffix, tiling, toxicity,
+)
 from shelfsight.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -24,6 +26,35 @@ def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract_text(_table(spark, sf_dir, "pages"))
+
+
+def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hosts.judge(_table(spark, sf_dir, "pages"))
+
+
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return multi_index.nearest(vectors, vectors.where("vec_id % 20 = 0").select("vec_id"), 20)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    score = F.col("toxicity")
+    return toxicity.score_texts(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        score.alias("score"),
+        F.when(score >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix_documents(docs).select(
@@ -60,5 +91,9 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (op1_lm_score, op7_mixing, op8_tiling, op9_minhash, op10_pii)
+    f.__name__: f
+    for f in (
+        op1_lm_score, op2_html, op3_suffix, op4_urls, op5_ann,
+        op6_toxicity, op7_mixing, op8_tiling, op9_minhash, op10_pii,
+    )
 }
