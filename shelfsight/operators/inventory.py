@@ -47,41 +47,59 @@ def orders_by_sku(lines: DataFrame, mapping: DataFrame) -> DataFrame:
     )
 
 
-def previous_month(snapshot: DataFrame) -> DataFrame:
-    """The snapshot moved one month on, to be matched with the month that follows it."""
-    return snapshot.withColumn("month", F.add_months("month", 1))
-
-
-def inventory_transitions(
-    previous: DataFrame, current: DataFrame, orders: DataFrame, on: Sequence[str] = ("sku",)
-) -> DataFrame:
-    """One row per SKU and category it falls into; the categories overlap.
-
-    With ``on=("sku",)`` pass two single months. To compare every month with the one
-    before in one go, pass ``previous_month(snapshot)`` and ``on=("month", "sku")``.
-    SKUs missing on either side are left out.
-    """
-    on = list(on)
-    before = previous.select(
-        *on,
+def _before(*keys: str) -> list[Column | str]:
+    return [
+        *keys,
         F.coalesce("at_risk", F.lit(False)).alias("prev_at_risk"),
         F.coalesce("qty_available", F.lit(0)).alias("prev_qty"),
         F.col("weeks_of_supply").alias("prev_weeks_supply"),
-    )
-    after = current.select(
-        *on,
+    ]
+
+
+def _after(*keys: str) -> list[Column | str]:
+    return [
+        *keys,
         "product_name",
         F.coalesce("at_risk", F.lit(False)).alias("still_at_risk"),
         F.coalesce("qty_available", F.lit(0)).alias("curr_qty"),
         F.col("weeks_of_supply").alias("curr_weeks_supply"),
         "velocity_monthly",
         F.coalesce("risk_label", F.lit("Unknown")).alias("risk_label"),
-    )
-    ordered = orders.select(*on, "order_qty", "order_date", F.lit(True).alias("was_ordered"))
+    ]
+
+
+def inventory_transitions(
+    previous: DataFrame, current: DataFrame, orders: DataFrame
+) -> DataFrame:
+    """Two single months: one row per SKU and category it falls into; the categories overlap.
+
+    SKUs missing on either side are left out.
+    """
+    both = current.select(*_after("sku")).join(previous.select(*_before("sku")), "sku")
+    return _categorised(both, orders, ["sku"])
+
+
+def monthly_transitions(snapshot: DataFrame, orders: DataFrame) -> DataFrame:
+    """The same for every month against the one before, from one pass over the snapshot.
+
+    A SKU has one row per month. Its previous row counts if it is exactly one month back;
+    the window holds the months of one SKU.
+    """
+    by_month = Window.partitionBy("sku").orderBy("month")
+    earlier = F.lag(F.struct("month", *_before())).over(by_month)
     both = (
-        after.join(before, on)
-        .join(ordered, on, "left")
-        .withColumn("was_ordered", F.coalesce("was_ordered", F.lit(False)))
+        snapshot.withColumn("__earlier", earlier)
+        .where(F.col("__earlier.month") == F.add_months("month", -1))
+        .select(*_after("month", "sku"), "__earlier.prev_at_risk", "__earlier.prev_qty",
+                "__earlier.prev_weeks_supply")
+    )
+    return _categorised(both, orders, ["month", "sku"])
+
+
+def _categorised(both: DataFrame, orders: DataFrame, on: list[str]) -> DataFrame:
+    ordered = orders.select(*on, "order_qty", "order_date", F.lit(True).alias("was_ordered"))
+    both = both.join(ordered, on, "left").withColumn(
+        "was_ordered", F.coalesce("was_ordered", F.lit(False))
     )
     was, still, bought = F.col("prev_at_risk"), F.col("still_at_risk"), F.col("was_ordered")
     had, has = F.col("prev_qty"), F.col("curr_qty")
@@ -128,49 +146,43 @@ def transition_topn(
 ) -> DataFrame:
     """The most pressing rows of each category: lowest cover first, reordered ones by risk.
 
-    ``limits`` gives the number of rows per category, None for all of them. Limited
-    categories are ranked, with the limit pushed below the shuffle; unlimited ones are
-    never sorted and get no rank.
+    ``limits`` gives the number of rows per category, None for all of them. All categories
+    are ranked in one pass, with the limit pushed below the shuffle. In an unlimited one
+    every SKU is a group of its own, so its rows are neither gathered nor ranked.
     """
     limits = dict(CATEGORIES if limits is None else limits)
-    longest = max((n for n in limits.values() if n is not None), default=0)
-    ranked_names = [name for name, n in limits.items() if n is not None]
-    rest_names = [name for name, n in limits.items() if n is None]
+    longest = max((n for n in limits.values() if n is not None), default=1)
+    endless = [name for name, n in limits.items() if n is None]
     reordered = F.col("category") == "at_risk_reordered"
-    order = Window.partitionBy(*by, "category").orderBy(
+    alone = F.when(F.col("category").isin(endless), F.col("sku"))
+    order = Window.partitionBy(*by, "category", alone).orderBy(
         F.when(reordered & ~F.col("still_at_risk"), 1).otherwise(0),
         F.coalesce("curr_weeks_supply", F.lit(0.0)),
         "sku",
     )
     cap = F.coalesce(
-        *(
-            F.when(F.col("category") == name, F.lit(n))
-            for name, n in limits.items()
-            if n is not None
-        ),
+        *(F.when(F.col("category") == name, F.lit(n or longest)) for name, n in limits.items()),
         F.lit(0),
     )
-    ranked = (
-        transitions.where(F.col("category").isin(ranked_names))
+    return (
+        transitions.where(F.col("category").isin(list(limits)))
         .withColumn("rank", F.row_number().over(order))
         .where((F.col("rank") <= longest) & (F.col("rank") <= cap))
+        .withColumn("rank", F.when(~F.col("category").isin(endless), F.col("rank")))
     )
-    rest = transitions.where(F.col("category").isin(rest_names)).withColumn(
-        "rank", F.lit(None).cast("int")
-    )
-    return ranked.unionByName(rest)
 
 
 def reorder_tracking(
     snapshot: DataFrame, lines: DataFrame, mapping: DataFrame, as_of: dt.date | str
 ) -> DataFrame:
-    """Every snapshot row with the SKU's latest order; NULLs where there is none.
+    """Every snapshot row with the SKU's latest order up to ``as_of``; NULLs without one.
 
     Of several lines on the latest day the one with most units counts. The lines are
     reduced to item and day with a plain maximum, which hashes, before the latest day is
     picked and looked up.
     """
-    per_day = lines.groupBy("item_code", "doc_date").agg(F.max("quantity").alias("quantity"))
+    known = lines.where(F.col("doc_date") <= as_date(as_of))
+    per_day = known.groupBy("item_code", "doc_date").agg(F.max("quantity").alias("quantity"))
     latest = F.max(F.struct("doc_date", "quantity", "item_code"))
     last = (
         _item_to_sku(per_day.groupBy("item_code").agg(latest.alias("line")), mapping)
@@ -207,3 +219,14 @@ def reorder_attention(tracked: DataFrame, days: int = 60, n: int = 5) -> DataFra
         .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= n)
     )
+
+
+def reorder_recent_top(tracked: DataFrame, days: int = 60, n: int = 10) -> DataFrame:
+    """Per month the ``n`` at-risk SKUs whose recent order is the latest."""
+    order = Window.partitionBy("month").orderBy("days_since_order", "sku")
+    return (
+        reorder_recent(tracked, days)
+        .where("has_recent_order")
+        .withColumn("rank", F.row_number().over(order))
+        .where(F.col("rank") <= n)
+    )

@@ -41,8 +41,8 @@ def _impact(keys: Sequence[str], start: Column, back: Column, length: Column, vo
 
 def oos_from_sales(
     sales: DataFrame,
-    first_month: dt.date | str,
-    last_month: dt.date | str,
+    first_month: dt.date | str | None,
+    last_month: dt.date | str | None,
     keys: Sequence[str] = ("item",),
 ) -> DataFrame:
     """Runs of months without sales, from rows ``(keys, month, qty)`` unique per month.
@@ -52,8 +52,13 @@ def oos_from_sales(
     sales are kept, and a run is what lies between a positive month (with the negative
     months that directly follow it) and the next positive one. The volume is the mean of
     the up to three months before the run, and a run without any is dropped.
+
+    ``first_month`` and ``last_month`` bound the history; None, for a table without sales,
+    gives no run.
     """
     keys = list(keys)
+    if first_month is None or last_month is None:
+        first_month = last_month = "1970-01-01"
     origin = month_number(as_date(first_month))
     months = month_number(as_date(last_month)) - origin + 1
     item = Window.partitionBy(*keys)
@@ -103,8 +108,7 @@ def oos_from_sales(
 def month_positions(snapshot: DataFrame) -> DataFrame:
     """Place of each month among the months that occur, and how many there are.
 
-    At most twelve rows per calendar year, which is why the unpartitioned window and the
-    broadcast of the result are safe.
+    At most twelve rows per calendar year, which is why the unpartitioned window is safe.
     """
     return (
         snapshot.select("month")
@@ -118,9 +122,12 @@ def month_positions(snapshot: DataFrame) -> DataFrame:
     )
 
 
-def oos_from_snapshots(snapshot: DataFrame) -> DataFrame:
+def oos_from_snapshots(snapshot: DataFrame, months: DataFrame | None = None) -> DataFrame:
     """Runs of months with zero stock, from snapshot rows unique per SKU and month.
 
+    ``months`` is the result of ``month_positions`` if the caller can list the months from
+    something cheaper than the snapshot, which else is read twice.
+
     Zero opens a run, positive stock closes it, negative stock changes nothing. A month
     the SKU has no row for is skipped but counts in the length. The volume is the mean of
     the positive velocities of the up to three month positions before the run.
@@ -128,7 +135,7 @@ def oos_from_snapshots(snapshot: DataFrame) -> DataFrame:
     item = Window.partitionBy("sku").orderBy("i")
     placed = snapshot.select(
         "sku", "product_name", "month", "qty_available", "velocity_monthly"
-    ).join(F.broadcast(month_positions(snapshot)), "month")
+    ).join(month_positions(snapshot) if months is None else months, "month")
     stock = F.col("qty_available")
     moving = F.when(F.col("velocity_monthly") > 0, F.col("velocity_monthly"))
     known = F.when(stock == 0, 1).when(stock > 0, 0)

@@ -20,7 +20,6 @@ from shelfsight.plans.inputs import (
 from shelfsight.plans.registry import query
 from shelfsight.sources.readers import inventory_explode
 
-_FIRST, _LAST = "1995-01-01", "2001-12-01"  # month columns of the sales history
 _AS_OF = "2001-10-01"
 
 _MAP = f"map AS ({_mapping_sql('item_code', 'part_number')})"
@@ -91,9 +90,7 @@ _CHAIN = (_MAP, _ORDERS, _BOTH, _TRANSITIONS)
 def _transitions(spark, sf):
     snapshot = read(spark, sf, SNAPSHOT_SQL)
     orders = inv.orders_by_sku(read(spark, sf, INVOICE_LINES_SQL), _mapping(spark, sf))
-    return inv.inventory_transitions(
-        inv.previous_month(snapshot), snapshot, orders, on=("month", "sku")
-    )
+    return inv.monthly_transitions(snapshot, orders)
 
 
 @query("inventory_transitions", with_tables("SELECT * FROM tr", *_CHAIN, **_INPUTS))
@@ -140,7 +137,8 @@ _TRACKED = f"""tracked AS (
       item_code AS last_order_item
     FROM (SELECT m.part_number AS sku, l.*, row_number() OVER (PARTITION BY m.part_number
             ORDER BY doc_date DESC, quantity DESC, l.item_code DESC) AS rn
-          FROM lines l JOIN map m ON m.item_code = l.item_code) r
+          FROM lines l JOIN map m ON m.item_code = l.item_code
+          WHERE doc_date <= DATE '{_AS_OF}') r
     WHERE rn = 1) o ON o.sku = s.sku)"""
 
 
@@ -185,6 +183,22 @@ def reorder_attention(spark, sf):
     return inv.reorder_attention(_tracked(spark, sf), 60, 5)
 
 
+@query(
+    "reorder_recent_top",
+    with_tables(
+        """SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY month
+            ORDER BY days_since_order, sku) AS INTEGER) AS rank
+          FROM recent WHERE has_recent_order) r WHERE rank <= 10""",
+        _MAP,
+        _TRACKED,
+        _RECENT,
+        **_INPUTS,
+    ),
+)
+def reorder_recent_top(spark, sf):
+    return inv.reorder_recent_top(_tracked(spark, sf), 60, 10)
+
+
 def _impact(keys: str, start: str, back: str, length: str, volume: str) -> str:
     return f"""{keys}, {start} AS oos_start_month, {back} AS back_in_stock_month,
       CAST({length} AS INTEGER) AS months_oos,
@@ -197,7 +211,8 @@ def _impact(keys: str, start: str, back: str, length: str, volume: str) -> str:
 # the dense way: every item times every month, then gaps and islands over a carried state
 _SALES_RUNS = f"""months AS (
   SELECT CAST(m AS DATE) AS month, CAST(row_number() OVER (ORDER BY m) - 1 AS INTEGER) AS i
-  FROM range(DATE '{_FIRST}', DATE '{_LAST}' + INTERVAL 1 DAY, INTERVAL 1 MONTH) t(m)),
+  FROM (SELECT unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS m
+    FROM msales) t),
 dense AS (
   SELECT k.item, m.month, m.i, coalesce(s.qty, 0) AS qty
   FROM (SELECT DISTINCT item FROM msales) k CROSS JOIN months m
@@ -226,7 +241,13 @@ runs AS (
 
 
 def _sales_runs(spark, sf):
-    return oos.oos_from_sales(read(spark, sf, MONTHLY_SALES_SQL), _FIRST, _LAST)
+    # the history runs from the first to the last month with lines
+    first, last = (
+        spark.read.parquet(f"{sf}/lineitem.parquet")
+        .agg(*(F.trunc(f("l_shipdate"), "month") for f in (F.min, F.max)))
+        .first()
+    )
+    return oos.oos_from_sales(read(spark, sf, MONTHLY_SALES_SQL), first, last)
 
 
 @query("oos_from_sales", with_tables("SELECT * FROM runs", _SALES_RUNS, msales=MONTHLY_SALES_SQL))

@@ -50,9 +50,7 @@ def test_all_months_at_once_equal_single_pairs(spark):
     b = snapshot(spark, JUNE, [("s", 5, 9.0, False)])
     none = orders(spark, [])
     monthly = none.selectExpr("*", "DATE '2025-06-01' AS month")
-    both = inv.inventory_transitions(
-        inv.previous_month(a.union(b)), a.union(b), monthly, on=("month", "sku")
-    )
+    both = inv.monthly_transitions(a.union(b), monthly)
     single = inv.inventory_transitions(a, b, none)
     assert {(r.month, r.sku, r.category) for r in both.collect()} == {
         (JUNE, r.sku, r.category) for r in single.collect()
@@ -78,7 +76,8 @@ def test_reorder_recency(spark):
     ])
     lines = spark.createDataFrame(
         [("i1", D(2025, 8, 1), 5.0), ("i2", D(2025, 6, 2), 5.0), ("i3", D(2025, 6, 1), 5.0),
-         ("i3", D(2025, 5, 1), 50.0), ("i9", D(2025, 8, 1), 5.0)],
+         ("i3", D(2025, 5, 1), 50.0), ("i9", D(2025, 8, 1), 5.0),
+         ("i3", D(2025, 8, 2), 70.0)],  # placed after the as-of day
         "item_code string, doc_date date, quantity double",
     )
     mapping = spark.createDataFrame(
@@ -91,6 +90,8 @@ def test_reorder_recency(spark):
     assert recent == {"today": True, "d60": True, "d61": False, "never": False}
     urgent = inv.reorder_attention(tracked, n=1).collect()
     assert [r.sku for r in urgent] == ["d61"]  # unknown cover sorts last
+    latest = inv.reorder_recent_top(tracked, n=1).collect()
+    assert [(r.sku, r.rank) for r in latest] == [("today", 1)]
 
 
 def test_orders_fall_into_their_month_and_sku(spark):
@@ -103,3 +104,11 @@ def test_orders_fall_into_their_month_and_sku(spark):
     got = {(r.sku, r.month): (r.order_qty, r.order_date)
            for r in inv.orders_by_sku(lines, mapping).collect()}
     assert got == {("s", JUNE): (6, D(2025, 6, 9)), ("s", D(2025, 7, 1)): (2, D(2025, 7, 1))}
+
+
+def test_months_that_do_not_follow_each_other_are_no_transition(spark):
+    rows = snapshot(spark, MAY, [("s", 0, 1.0, True)]).union(
+        snapshot(spark, D(2025, 7, 1), [("s", 5, 9.0, False)])
+    )
+    monthly = orders(spark, []).selectExpr("*", "DATE '2025-06-01' AS month")
+    assert inv.monthly_transitions(rows, monthly).count() == 0
