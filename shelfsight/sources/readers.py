@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,10 @@ MONTH_NAMES = (
 )
 
 
+_SPLIT = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
+ISO_DATE = "yyyy-MM-dd"
+
+
 def load_transactions(
     spark: SparkSession,
     path: str | None = None,
@@ -26,44 +31,66 @@ def load_transactions(
 ) -> DataFrame:
     """The sales fact table, from Parquet or over JDBC.
 
-    For JDBC give at least ``url`` and ``dbtable``, and ``partitionColumn`` with
-    ``lowerBound``, ``upperBound`` and ``numPartitions`` so that the read is split.
+    For JDBC give ``url`` and ``dbtable`` (or ``query``), and ``partitionColumn`` with
+    ``lowerBound``, ``upperBound`` and ``numPartitions``, since an unsplit read runs in one
+    task.
     """
     if (path is None) == (jdbc is None):
         raise ValueError("give either a path or JDBC options")
     if path is not None:
         return spark.read.schema(schemas.TRANSACTIONS).parquet(path)
+    missing = [o for o in _SPLIT if o not in jdbc]
+    if missing:
+        raise ValueError(f"a JDBC read is split; give {', '.join(missing)}")
     return spark.read.format("jdbc").options(**jdbc).load()
 
 
-def _strict_date(text: Column) -> Column:
-    """A date in ISO form; any other text is NULL rather than an error."""
-    return F.when(
-        F.trim(text).rlike(r"^\d{4}-\d{2}-\d{2}([ T].*)?$"), F.trim(text).try_cast("date")
-    )
+def _date(text: Column, formats: Sequence[str]) -> Column:
+    """A date in the first of some forms that fits; any other text is NULL.
+
+    The ISO form may be followed by a time.
+    """
+    trimmed = F.trim(text)
+    tried = []
+    for form in formats:
+        if form == ISO_DATE:
+            iso = trimmed.rlike(r"^\d{4}-\d{2}-\d{2}([ T].*)?$")
+            tried.append(F.when(iso, trimmed.try_cast("date")))
+        else:
+            tried.append(F.try_to_date(trimmed, form))
+    return F.coalesce(*tried)
+
+
+def _coerced(
+    df: DataFrame, field: T.StructField, formats: Sequence[str]
+) -> Column:
+    if field.name not in df.columns:
+        return F.lit(None).cast(field.dataType)
+    if isinstance(field.dataType, T.DateType):
+        return _date(F.col(field.name), formats)
+    if isinstance(field.dataType, T.DecimalType):
+        text = F.col(field.name)
+        return F.when(to_number(text).isNotNull(), F.trim(text).try_cast(field.dataType))
+    if isinstance(field.dataType, T.NumericType):
+        return to_number(field.name).try_cast(field.dataType)
+    return F.col(field.name).try_cast(field.dataType)
 
 
 def coerce_strings(
-    df: DataFrame, schema: T.StructType, fill: Mapping[str, object] | None = None
+    df: DataFrame,
+    schema: T.StructType,
+    fill: Mapping[str, object] | None = None,
+    date_formats: Sequence[str] = (ISO_DATE,),
 ) -> DataFrame:
     """Cast all-text columns to ``schema``: bad values become NULL, then ``fill``.
 
-    Columns that are missing from ``df`` become NULL (or ``fill``) as well.
+    Columns that are missing from ``df`` become NULL (or ``fill``) as well. Dates are read
+    in the first of ``date_formats`` that fits.
     """
     fill = fill or {}
 
     def one(field: T.StructField) -> Column:
-        if field.name not in df.columns:
-            value = F.lit(None).cast(field.dataType)
-        elif isinstance(field.dataType, T.DateType):
-            value = _strict_date(F.col(field.name))
-        elif isinstance(field.dataType, T.DecimalType):
-            text = F.col(field.name)
-            value = F.when(to_number(text).isNotNull(), F.trim(text).try_cast(field.dataType))
-        elif isinstance(field.dataType, T.NumericType):
-            value = to_number(field.name).try_cast(field.dataType)
-        else:
-            value = F.col(field.name).try_cast(field.dataType)
+        value = _coerced(df, field, date_formats)
         if field.name in fill:
             value = F.coalesce(value, F.lit(fill[field.name]).cast(field.dataType))
         return value.alias(field.name)
@@ -71,29 +98,66 @@ def coerce_strings(
     return df.select(*(one(field) for field in schema))
 
 
+def rejected_cells(
+    df: DataFrame, schema: T.StructType, date_formats: Sequence[str] = (ISO_DATE,)
+) -> DataFrame:
+    """One row: per column of ``schema`` how many texts that are not blank were not read."""
+    return df.agg(
+        *(
+            F.count_if(
+                (F.trim(F.col(f.name).cast("string")) != "") & _coerced(df, f, date_formats).isNull()
+            ).alias(f.name)
+            for f in schema
+            if f.name in df.columns
+        )
+    )
+
+
+def _by_header(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files of a path, grouped by their header; reads one line of each."""
+    files = spark.read.format("binaryFile").load(path).select("path")
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in files.orderBy("path").collect():
+        header = spark.read.csv(row.path, header=True, inferSchema=False).columns
+        groups.setdefault(tuple(header), []).append(row.path)
+    return groups
+
+
+def _read_csv_by_name(
+    spark: SparkSession, path: str | list[str], types: Mapping[str, T.DataType], *more: Column
+) -> DataFrame:
+    """CSV files with headers as one table by column name, whatever each file's order.
+
+    Columns are text unless ``types`` has theirs; a column that a file lacks is NULL there.
+    """
+    parts = []
+    for header, files in _by_header(spark, path).items():
+        schema = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in header])
+        parts.append(spark.read.schema(schema).csv(files, header=True).select("*", *more))
+    if not parts:
+        raise FileNotFoundError(f"no CSV file at {path}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def csv_coerced_scan(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType,
     fill: Mapping[str, object] | None = None,
+    date_formats: Sequence[str] = (ISO_DATE,),
 ) -> DataFrame:
-    """CSV with a header, read as text and coerced, so that bad cells never fail the read."""
-    header = _header(spark, path)
-    text = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    return coerce_strings(spark.read.schema(text).csv(path, header=True), schema, fill)
-
-
-def _header(spark: SparkSession, path: str | list[str]) -> list[str]:
-    """Column names of the files; reads one line only."""
-    return spark.read.csv(path, header=True, inferSchema=False).columns
+    """CSV with headers, read as text by column name and coerced, so bad cells never fail it."""
+    return coerce_strings(_read_csv_by_name(spark, path, {}), schema, fill, date_formats)
 
 
 def scan_month_files(
     spark: SparkSession, pattern: str, schema: T.StructType, name_pattern: str
 ) -> DataFrame:
-    """One file per month in one read; ``month`` comes from the file name.
+    """One file per month in one table; ``month`` comes from the file name.
 
-    ``name_pattern`` is a regular expression with two groups, month name and year.
+    Files are matched by column name: their orders may differ, further columns are left
+    out, and one that a file lacks is NULL. ``name_pattern`` is a regular expression with
+    two groups, month name and year.
     """
     name = F.col("_metadata.file_name")
     text = F.concat_ws(
@@ -102,10 +166,14 @@ def scan_month_files(
         F.initcap(F.regexp_extract(name, name_pattern, 1)),
         F.lit("1"),
     )
-    return (
-        spark.read.schema(schema)
-        .csv(pattern, header=True)
-        .select(F.to_date(text, "yyyy MMMM d").alias("month"), *schema.fieldNames())
+    month = F.to_date(text, "yyyy MMMM d").alias("__month")
+    table = _read_csv_by_name(spark, pattern, {f.name: f.dataType for f in schema}, month)
+    return table.select(
+        F.col("__month").alias("month"),
+        *(
+            F.col(f.name) if f.name in table.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in schema
+        ),
     )
 
 
@@ -153,8 +221,11 @@ def inventory_explode(
 
 
 def read_inventory_documents(
-    spark: SparkSession, path: str, year: int | None = None, multi_line: bool = True
+    spark: SparkSession, path: str, year: int | None = None, multi_line: bool = False
 ) -> DataFrame:
-    """Snapshot rows of inventory document files."""
+    """Snapshot rows of inventory document files, one document per line.
+
+    ``multi_line`` reads a whole file as one document, which is one task and one row.
+    """
     documents = spark.read.schema(schemas.INVENTORY_DOCUMENT).json(path, multiLine=multi_line)
     return inventory_explode(documents, year=year)

@@ -35,12 +35,43 @@ def test_month_files_in_one_read(spark, tmp_path):
     ]
 
 
+def test_month_files_are_matched_by_name(spark, tmp_path):
+    (tmp_path / "fva_may_2025.csv").write_text("item,description,qty\nx,long,1\n")
+    (tmp_path / "fva_june_2025.csv").write_text("description,more,item,qty\nB,z,y,2\n")
+    (tmp_path / "fva_july_2025.csv").write_text("qty,item\n3,w\n")
+    schema = T.StructType.fromDDL("item string, description string, qty double")
+    df = readers.scan_month_files(spark, f"{tmp_path}/fva_*_2025.csv", schema, r"fva_([a-z]+)_(\d{4})")
+    assert sorted(tuple(r) for r in df.collect()) == [
+        (D(2025, 5, 1), "x", "long", 1.0), (D(2025, 6, 1), "y", "B", 2.0), (D(2025, 7, 1), "w", None, 3.0)
+    ]
+
+
+def test_coerced_files_are_matched_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("day,n\n2025-01-02,1\n")
+    (tmp_path / "b.csv").write_text("n,day\n2,03/02/2025\nx,soon\n")
+    schema = T.StructType.fromDDL("day date, n long")
+    forms = ("yyyy-MM-dd", "dd/MM/yyyy")
+    df = readers.csv_coerced_scan(spark, str(tmp_path), schema, date_formats=forms)
+    assert sorted(map(str, (tuple(r) for r in df.collect()))) == sorted(
+        map(str, [(D(2025, 1, 2), 1), (D(2025, 2, 3), 2), (None, None)])
+    )
+    text = spark.createDataFrame([("soon", "1"), (" ", "x"), (None, None)], "day string, n string")
+    assert readers.rejected_cells(text, schema, forms).first().asDict() == {"day": 1, "n": 1}
+
+
+def test_unsplit_jdbc_reads_are_refused(spark):
+    with pytest.raises(ValueError, match="numPartitions"):
+        readers.load_transactions(spark, jdbc={"url": "jdbc:x", "dbtable": "t"})
+
+
 def test_inventory_document_with_month_names(spark, tmp_path):
     product = {"sku": "s", "productName": "n", "qtyAvailable": 3, "atRisk": True}
     document = {"months": {"October": {"products": [product, {"sku": "t", "productName": "m"}]},
                            "2024-02": {"products": [product]}, "Later": {"products": [product]}}}
     (tmp_path / "inv.json").write_text(json.dumps(document, indent=1))
-    rows = readers.read_inventory_documents(spark, str(tmp_path / "inv.json"), year=2025).collect()
+    rows = readers.read_inventory_documents(
+        spark, str(tmp_path / "inv.json"), year=2025, multi_line=True
+    ).collect()
     got = {(r.month, r.sku): (r.qty_available, r.at_risk, r.weeks_of_supply) for r in rows}
     assert got == {
         (D(2025, 10, 1), "s"): (3, True, None), (D(2025, 10, 1), "t"): (0, False, None),
