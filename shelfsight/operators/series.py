@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfsight.functions import month_start
-from shelfsight.functions.dates import as_date
+from shelfsight.functions.dates import as_date, month_from_number, month_number
 
 # Ways to cut revenue into series.
 GROUPS: dict[str, tuple[str, ...]] = {
@@ -92,7 +92,19 @@ def forecast_series_routing(monthly: DataFrame, min_months: int = MIN_MONTHS) ->
         .when(F.col("product_positive_months") >= min_months, F.lit("rollup"))
         .otherwise(F.lit("skip"))
     )
-    return pairs.join(products, "product_name", "left").withColumn("route", route)
+    # pairs without a product match nothing; they spread by distributor
+    known = F.col("product_name").isNotNull()
+    keyed = pairs.withColumns(
+        {"__key": F.coalesce("product_name", "distributor"), "__known": known}
+    )
+    by_key = products.select(
+        F.col("product_name").alias("__key"), F.lit(True).alias("__known"), "product_positive_months"
+    )
+    return (
+        keyed.join(by_key, ["__key", "__known"], "left")
+        .drop("__key", "__known")
+        .withColumn("route", route)
+    )
 
 
 def routed_series(monthly: DataFrame, min_months: int = MIN_MONTHS) -> DataFrame:
@@ -125,67 +137,83 @@ def key_label(group: str) -> Column:
     return F.concat(first, F.lit(joint), second[0])
 
 
-def _project(series: DataFrame, keys: Sequence[str], steps: int) -> DataFrame:
-    """Trend plus month-of-year effect per key, from gap-filled rows.
+def _project(monthly: DataFrame, keys: Sequence[str], steps: int) -> DataFrame:
+    """Trend plus month-of-year effect per key; months without sales between count as 0.
 
-    All sums are exact, so the fit does not depend on the order rows arrive in. A key
-    has one row per month, which bounds both windows.
+    One aggregate per key holds its sums and its points, at most one per month; the months
+    without sales only enter closed forms and the array of residuals, so no rows are filled
+    in and nothing is put in order.
     """
-    key = Window.partitionBy(*keys)
-    season = Window.partitionBy(*keys, "month_no")
-    y, t = F.col("revenue"), F.col("t")
-    numbered = series.withColumns(
-        {
-            "t": F.row_number().over(key.orderBy("month")).cast("bigint") - 1,
-            "month_no": F.month("month"),
-        }
-    )
-    sums = numbered.withColumns(
-        {
-            "n": F.count(F.lit(1)).over(key),
-            "st": F.sum(t).over(key),
-            "stt": F.sum(t * t).over(key),
-            "sy": F.sum(y).over(key).cast("double"),
-            "sty": F.sum(t * y).over(key).cast("double"),
-            "last_month": F.max("month").over(key),
-            "n_m": F.count(F.lit(1)).over(season),
-            "st_m": F.sum(t).over(season),
-            "sy_m": F.sum(y).over(season).cast("double"),
-        }
-    ).where(F.col("n") > 1)
-    n, st = F.col("n"), F.col("st")
-    slope = (n * F.col("sty") - st * F.col("sy")) / (n * F.col("stt") - st * st)
-    fitted = sums.withColumn("slope", slope).withColumn(
-        "intercept", (F.col("sy") - F.col("slope") * st) / n
-    )
-    of_month = F.col("intercept") * F.col("n_m") + F.col("slope") * F.col("st_m")
-    effect = F.when(n >= 2 * SEASON, (F.col("sy_m") - of_month) / F.col("n_m")).otherwise(
-        F.lit(0.0)
-    )
-    residual = (
-        y.cast("double") - (F.col("intercept") + F.col("slope") * t) - F.col("effect")
-    )
+    number, y = month_number("month"), F.col("revenue")
+    point = F.struct(number.alias("i"), y.cast("double").alias("y"))
     per_key = (
-        fitted.withColumn("effect", effect)
-        .groupBy(*keys)
+        monthly.groupBy(*keys)
         .agg(
-            F.max("n").alias("n"),
-            F.max("slope").alias("slope"),
-            F.max("intercept").alias("intercept"),
-            F.max("last_month").alias("last_month"),
-            F.coalesce(F.stddev_samp(residual), F.lit(0.0)).alias("sigma"),
-            # at most twelve entries
-            F.map_from_entries(F.collect_set(F.struct("month_no", "effect"))).alias("effects"),
+            F.min(number).alias("lo"),
+            F.max(number).alias("hi"),
+            F.sum(y).cast("double").alias("sy"),
+            F.sum(number * y).alias("siy"),
+            F.sum(y).alias("total"),
+            F.collect_list(point).alias("points"),
+        )
+        .where(F.col("hi") > F.col("lo"))
+    )
+    n = (F.col("hi") - F.col("lo") + 1).cast("double")
+    st, stt = n * (n - 1) / 2, n * (n - 1) * (2 * n - 1) / 6
+    sty = (F.col("siy") - F.col("lo") * F.col("total")).cast("double")
+    slope = (n * sty - st * F.col("sy")) / (n * stt - st * st)
+    fitted = (
+        per_key.withColumn("n", n)
+        .withColumn("slope", slope)
+        .withColumn("intercept", (F.col("sy") - F.col("slope") * st) / n)
+    )
+
+    def effect(m: Column) -> Column:
+        # steps t0, t0 + 12, ... of the series fall into month-of-year m (0 to 11)
+        t0 = F.pmod(m - F.col("lo"), F.lit(SEASON))
+        count = F.floor((F.col("n") - 1 - t0) / SEASON) + 1
+        steps_sum = count * t0 + SEASON * count * (count - 1) / 2
+        own = F.filter("points", lambda p: F.pmod(p["i"], F.lit(SEASON)) == m)
+        total = F.aggregate(own, F.lit(0.0), lambda acc, p: acc + p["y"])
+        line = F.col("intercept") * count + F.col("slope") * steps_sum
+        return F.when(F.col("n") >= 2 * SEASON, (total - line) / count).otherwise(F.lit(0.0))
+
+    def residual(i: Column) -> Column:
+        line = F.col("intercept") + F.col("slope") * (i - F.col("lo"))
+        seasonal = F.get("effects", F.pmod(i, F.lit(SEASON)))
+        return F.coalesce(F.try_element_at("by_month", i), F.lit(0.0)) - line - seasonal
+
+    spread = (
+        fitted.withColumns(
+            {
+                "effects": F.transform(F.sequence(F.lit(0), F.lit(SEASON - 1)), effect),
+                "by_month": F.map_from_entries("points"),
+            }
         )
+        .withColumn("residuals", F.transform(F.sequence("lo", "hi"), residual))
+        .withColumn(
+            "mean", F.aggregate("residuals", F.lit(0.0), lambda acc, r: acc + r) / F.col("n")
+        )
+    )
+    squares = F.aggregate(
+        "residuals",
+        F.lit(0.0),
+        lambda acc, r: acc + (r - F.col("mean")) * (r - F.col("mean")),
+    )
+    ahead = (
+        spread.withColumn("sigma", F.sqrt(squares / (F.col("n") - 1)))
+        .select(*keys, "hi", "n", "slope", "intercept", "sigma", "effects",
+                F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("h"))
+    )
+    coming = F.col("hi") + F.col("h")
+    yhat = (
+        F.col("intercept")
+        + F.col("slope") * (F.col("n") - 1 + F.col("h"))
+        + F.get("effects", F.pmod(coming, F.lit(SEASON)))
     )
-    ahead = per_key.select(
-        "*", F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("h")
-    ).withColumn("date", F.add_months("last_month", F.col("h")))
-    seasonal = F.coalesce(F.try_element_at("effects", F.month("date")), F.lit(0.0))
-    yhat = F.col("intercept") + F.col("slope") * (F.col("n") - 1 + F.col("h")) + seasonal
     return ahead.withColumn("yhat", yhat).select(
         *keys,
-        "date",
+        month_from_number(coming).alias("date"),
         "yhat",
         (F.col("yhat") - F.lit(BAND) * F.col("sigma")).alias("yhat_lower"),
         (F.col("yhat") + F.lit(BAND) * F.col("sigma")).alias("yhat_upper"),
@@ -206,7 +234,7 @@ def sales_forecast(
     """
     keys = GROUPS[group]
     series = routed_series(monthly, min_months) if group == "product_distributor" else monthly
-    forecast = _project(monthly_gapfill(series, keys), keys, steps)
+    forecast = _project(series, keys, steps)
     if cutoff is not None:
         forecast = forecast.where(F.col("date") <= as_date(cutoff))
     return forecast.select(

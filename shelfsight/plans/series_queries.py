@@ -56,11 +56,21 @@ def _label_sql(group: str) -> str:
 )
 def monthly_by_key(spark, sf):
     """All five cuts, each from the same finest sums so that the lines are read once."""
-    fine = (
-        _lines(spark, sf)
+    return _cuts(_finest(spark, sf))
+
+
+def _finest(spark, sf, paid_only=False):
+    lines = _lines(spark, sf)
+    if paid_only:
+        lines = lines.where(F.col("revenue") > 0)
+    return (
+        lines
         .groupBy("product_name", "distributor", "sales_rep", F.trunc("posting_date", "MM").alias("posting_date"))
         .agg(F.sum("revenue").alias("revenue"))
     )
+
+
+def _cuts(fine):
     cuts = [
         series.monthly_by_key(fine, g).select(
             F.lit(g).alias("key_type"),
@@ -73,6 +83,23 @@ def monthly_by_key(spark, sf):
     return reduce(lambda a, b: a.unionByName(b), cuts)
 
 
+@query(
+    "monthly_by_key_paid",
+    with_tables(
+        " UNION ALL ".join(
+            f"""SELECT '{g}' AS key_type, {_label_sql(g)} AS key_id, month,
+              CAST(revenue AS DOUBLE) AS revenue FROM ({_monthly_sql(g)}) m_{g}"""
+            for g in series.GROUPS
+        ),
+        _LINES + ", all_sold AS (SELECT * FROM sold WHERE revenue > 0)",
+        **_TX,
+    ).replace("FROM sold GROUP", "FROM all_sold GROUP"),
+)
+def monthly_by_key_paid(spark, sf):
+    """The same over lines with positive revenue only."""
+    return _cuts(_finest(spark, sf, paid_only=True))
+
+
 def _fill_sql(source: str, keys: str) -> str:
     on = " AND ".join(f"s.{k} IS NOT DISTINCT FROM k.{k}" for k in keys.split(", "))
     picked = ", ".join(f"k.{k}" for k in keys.split(", "))
@@ -166,17 +193,23 @@ def _forecast_sql(source: str, keys: str, group: str) -> str:
 _CUT = "2002-06-01"  # forecasts after this month are dropped
 
 
+_OTHERS = tuple(g for g in series.GROUPS if g != "product_distributor")
+
+
 @query(
     "sales_forecast",
     with_tables(
         f"""SELECT * FROM ({_forecast_sql('chosen', 'product_name, distributor', 'product_distributor')})
-          WHERE date <= DATE '{_CUT}'
-        UNION ALL SELECT * FROM ({_forecast_sql('by_rep', 'sales_rep', 'rep')})
-          WHERE date <= DATE '{_CUT}'""",
+          WHERE date <= DATE '{_CUT}'"""
+        + "".join(
+            f""" UNION ALL SELECT * FROM ({_forecast_sql(f'by_{g}', ', '.join(series.GROUPS[g]), g)})
+          WHERE date <= DATE '{_CUT}'"""
+            for g in _OTHERS
+        ),
         _LINES,
         _PAIRS,
         _ROUTES,
-        f"by_rep AS ({_monthly_sql('rep')})",
+        *(f"by_{g} AS ({_monthly_sql(g)})" for g in _OTHERS),
         """chosen AS (
           SELECT p.product_name, p.distributor, p.month, p.revenue FROM pairs p
           JOIN routes r ON r.product_name = p.product_name AND r.distributor = p.distributor
@@ -188,17 +221,16 @@ _CUT = "2002-06-01"  # forecasts after this month are dropped
     ),
 )
 def sales_forecast(spark, sf):
-    parts = []
-    for group in ("product_distributor", "rep"):
-        monthly = series.monthly_by_key(_lines(spark, sf), group)
-        forecast = series.sales_forecast(monthly, group, cutoff=_CUT)
-        parts.append(
-            forecast.select(
-                "key_type",
-                "key_id",
-                "date",
-                *(round_half_up(F.col(c), 2).alias(c) for c in ("yhat", "yhat_lower", "yhat_upper")),
-                "model",
-            )
+    """All five modes, each from the same finest monthly sums."""
+    fine = _finest(spark, sf)
+    parts = [
+        series.sales_forecast(series.monthly_by_key(fine, group), group, cutoff=_CUT).select(
+            "key_type",
+            "key_id",
+            "date",
+            *(round_half_up(F.col(c), 2).alias(c) for c in ("yhat", "yhat_lower", "yhat_upper")),
+            "model",
         )
-    return parts[0].unionByName(parts[1])
+        for group in series.GROUPS
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)
