@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 from shelfsight.functions import clean_token, month_start, round_half_up, variance_metrics
 from shelfsight.operators.ranking import running_totals
 
-# Months listed one by one in a filter; with more of them the upsert joins instead.
-MAX_LISTED_MONTHS = 2_000
-
 
 def sku_mapping(catalog: DataFrame, key: str, value: str, line_no: str = "line_no") -> DataFrame:
     """Lookup ``key -> value`` of a catalog; the last listed line of a key wins."""
@@ -71,14 +68,25 @@ def forecast_unpivot(
 def forecast_item_resolve(
     forecast: DataFrame, mapping: DataFrame, part: str = "part_number", item: str = "item"
 ) -> DataFrame:
-    """Item of each forecast line: its own, else the catalog's. Unresolved lines stay, flagged."""
+    """Item of each forecast line: its own, else the catalog's. Unresolved lines stay, flagged.
+
+    Lines without a part number cannot match; they spread by their other columns.
+    """
     found = mapping.select(
-        F.col(part).alias("__part"), F.col(mapping.columns[-1]).alias("__item")
+        F.col(part).alias("__part"),
+        F.lit(0).cast("bigint").alias("__spread"),
+        F.col(mapping.columns[-1]).alias("__item"),
     )
     own = clean_token(item) if item in forecast.columns else F.lit(None).cast("string")
     resolved = F.coalesce(own, F.col("__item"))
     rest = [c for c in forecast.columns if c not in (item, part)]
-    return forecast.join(found, clean_token(part) == F.col("__part"), "left").select(
+    cleaned = clean_token(part)
+    spread = F.when(cleaned.isNotNull(), F.lit(0)).otherwise(F.xxhash64(*rest))
+    keyed = forecast.withColumns(
+        {"__key": F.coalesce(cleaned, F.lit("")), "__other": spread.cast("bigint")}
+    )
+    match = (F.col("__key") == F.col("__part")) & (F.col("__other") == F.col("__spread"))
+    return keyed.join(found, match, "left").select(
         clean_token(part).alias(part),
         resolved.alias(item),
         resolved.isNotNull().alias("item_resolved"),
@@ -219,31 +227,31 @@ def fva_dashboard_month(
     pages = placed.groupBy("month", page.alias("page")).agg(
         F.sort_array(F.collect_list(product)).alias("products")
     )
-    return pages.join(fva_month_summary(placed), "month").withColumn(
-        "month_name", F.date_format("month", "MMMM")
+    totals = fva_month_summary(fva).withColumnRenamed("month", "__month")
+    return (
+        pages.join(totals, F.col("month").eqNullSafe(F.col("__month")))
+        .drop("__month")
+        .withColumn("month_name", month_name("month"))
     )
 
 
-def dashboard_products(documents: DataFrame) -> DataFrame:
-    """The products of month documents as rows again."""
-    return documents.select("month", "page", F.inline("products"))
+def month_name(month: Column | str, with_year: bool = False) -> Column:
+    """``October`` or, with the year, ``October 2025``."""
+    return F.date_format(month, "MMMM yyyy" if with_year else "MMMM")
+
+
+def dashboard_products(documents: DataFrame, *totals: str) -> DataFrame:
+    """The products of month documents as rows again, with some of the document's totals."""
+    return documents.select("month", "page", *totals, F.inline("products"))
 
 
 def month_upsert(old: DataFrame, new: DataFrame, key: str = "month") -> DataFrame:
     """Rows of ``new`` plus the rows of ``old`` for months that ``new`` lacks.
 
-    Runs one small job for the distinct months of ``new``. As a literal filter on
-    ``old`` they prune partitions and need no shuffle; past ``MAX_LISTED_MONTHS`` an
-    anti join does the same.
+    Rows of ``old`` without a month stay.
     """
     months = new.select(key).where(F.col(key).isNotNull()).distinct()
-    listed = months.limit(MAX_LISTED_MONTHS + 1).collect()
-    if len(listed) > MAX_LISTED_MONTHS:
-        kept = old.join(months, key, "left_anti")
-    else:
-        replaced = F.col(key).isin([row[0] for row in listed]) if listed else F.lit(False)
-        kept = old.where(~F.coalesce(replaced, F.lit(False)))
-    return kept.unionByName(new, allowMissingColumns=True)
+    return old.join(months, key, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
 def fva_top_matched(fva: DataFrame, month: dt.date | str | None = None, n: int = 10) -> DataFrame:

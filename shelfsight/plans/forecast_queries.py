@@ -17,7 +17,8 @@ from shelfsight.plans.inputs import (
     with_tables,
 )
 from shelfsight.plans.registry import query
-from shelfsight.sources.readers import coerce_strings
+from shelfsight.operators.staging import new_path
+from shelfsight.sources.readers import csv_coerced_scan as csv_scan
 
 _INPUTS = dict(catalog=CATALOG_SQL, wide=FORECAST_WIDE_SQL, lines=INVOICE_LINES_SQL)
 
@@ -207,7 +208,9 @@ _PAGE = 250
 @query(
     "fva_dashboard_month",
     with_tables(
-        f"""SELECT month, CAST((position - 1) // {_PAGE} + 1 AS INTEGER) AS page, position,
+        f"""SELECT p.month, CAST((position - 1) // {_PAGE} + 1 AS INTEGER) AS page, position,
+          monthname(p.month) AS month_name, strftime(p.month, '%B %Y') AS month_title,
+          s.total_units_planned, s.month_total_actual, s.month_accuracy, s.total_revenue, s.qty_products,
           coalesce(description, 'Unknown') AS product_name, coalesce(item, '') AS item,
           coalesce(upc, '') AS upc, 'online' AS distributor, forecast_qty AS units_planned,
           actual_qty AS units_actual, actual_revenue, variance, variance_pct, accuracy
@@ -217,9 +220,11 @@ _PAGE = 250
           FROM fva f LEFT JOIN (SELECT item_code,
               CASE WHEN length(n) < 12 THEN lpad(n, 12, '0') ELSE n END AS upc
             FROM (SELECT item_code, CAST(CAST(TRY_CAST(upc_code AS DOUBLE) AS BIGINT) AS VARCHAR) AS n
-              FROM upcs) x) u ON u.item_code = f.item) p""",
+              FROM upcs) x) u ON u.item_code = f.item) p
+        JOIN totals s ON s.month IS NOT DISTINCT FROM p.month""",
         *_BASE,
         _FVA_ANY,
+        f"totals AS ({_month_sql('fva')})",
         f"upcs AS ({_mapping_sql('item_code', 'upc_code')})",
         **_INPUTS,
     ),
@@ -229,7 +234,16 @@ def fva_dashboard_month(spark, sf):
         "upc_code", upc_from_number("upc_code")
     )
     documents = fa.fva_dashboard_month(_fva_df(spark, sf, "any"), upcs, "online", _PAGE)
-    return fa.dashboard_products(documents)
+    return fa.dashboard_products(
+        documents.withColumn("month_title", fa.month_name("month", with_year=True)),
+        "month_name",
+        "month_title",
+        "total_units_planned",
+        "month_total_actual",
+        "month_accuracy",
+        "total_revenue",
+        "qty_products",
+    )
 
 
 @query(
@@ -307,20 +321,10 @@ FROM {lineitem}
     ),
 )
 def csv_coerced_scan(spark, sf):
-    names = ["order_no", "line_no", "part_no", "supplier_no", "posting_date", "revenue"]
-    raw = read(spark, sf, _RAW_SQL)
-    # the rows as CSV text and back: the parser the file reader uses, without a file
-    text = raw.select(F.to_csv(F.struct(*names)).alias("line"))
-    strings = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    parsed = text.select(F.from_csv("line", strings.simpleString()[7:-1].replace(":", " ")).alias("r"))
-    target = T.StructType(
-        [
-            T.StructField("order_no", T.LongType()),
-            T.StructField("line_no", T.IntegerType()),
-            T.StructField("part_no", T.LongType()),
-            T.StructField("supplier_no", T.LongType()),
-            T.StructField("posting_date", T.DateType()),
-            T.StructField("revenue", T.DoubleType()),
-        ]
+    """The rows written as CSV text, then read by the file reader."""
+    path = new_path(spark)
+    read(spark, sf, _RAW_SQL).write.csv(path, header=True)
+    target = T.StructType.fromDDL(
+        "order_no long, line_no int, part_no long, supplier_no long, posting_date date, revenue double"
     )
-    return coerce_strings(parsed.select("r.*"), target, fill={"revenue": 0.0})
+    return csv_scan(spark, path, target, fill={"revenue": 0.0})

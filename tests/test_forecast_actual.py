@@ -85,13 +85,6 @@ def test_upsert_replaces_and_is_idempotent(spark):
     assert sorted(map(str, twice.collect())) == sorted(map(str, once.collect()))
 
 
-def test_upsert_past_the_list_limit(spark, monkeypatch):
-    monkeypatch.setattr(fa, "MAX_LISTED_MONTHS", 1)
-    old = spark.createDataFrame([(JAN, 1), (FEB, 2)], "month date, v int")
-    new = spark.createDataFrame([(FEB, 20), (D(2025, 3, 1), 30)], "month date, v int")
-    assert {r.v for r in fa.month_upsert(old, new).collect()} == {1, 20, 30}
-
-
 def test_dashboard_pages_hold_everything_in_order(spark):
     rng = random.Random(3)
     rows = [(f"p{i:03d}", f"i{i:03d}", True, "x", m, float(rng.randint(1, 9)))
