@@ -17,7 +17,8 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfsight.operators.ranking import materialise, running_totals
+from shelfsight.operators.ranking import running_totals
+from shelfsight.operators.staging import stage
 from shelfsight.sources.sinks import describe_columns
 
 DIAGNOSTICS = (
@@ -39,9 +40,6 @@ DESCRIPTIONS = {
     "account_id": "Account the prediction is for",
     "asof_date": "Day up to which data was used",
 }
-# Calibration groups margins on a grid: at most 2 * 40 * 10_000 + 1 points reach the driver.
-_MARGIN_LIMIT = 40.0
-_MARGIN_STEPS = 10_000
 
 
 def rank_metrics(
@@ -86,18 +84,18 @@ class ReorderModels:
     best: str
 
 
-def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
+def assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """The features as one vector, ``raw``."""
     return VectorAssembler(inputCols=list(features), outputCol="raw").transform(df)
 
 
 def _with_margin(df: DataFrame, scaler, logistic) -> DataFrame:
-    """The logistic model's log odds, rounded to the calibration grid."""
-    odds = vector_to_array(F.col("rawPrediction"))[1]
-    bounded = F.least(F.greatest(odds, F.lit(-_MARGIN_LIMIT)), F.lit(_MARGIN_LIMIT))
+    """The logistic model's log odds."""
     scored = logistic.transform(scaler.transform(df))
-    return scored.withColumn(
-        "margin", F.round(bounded * _MARGIN_STEPS, 0) / _MARGIN_STEPS
-    ).drop("rawPrediction", "probability", "prediction", "scaled")
+    odds = vector_to_array(F.col("rawPrediction"))[1]
+    return scored.withColumn("margin", odds).drop(
+        "rawPrediction", "probability", "prediction", "scaled"
+    )
 
 
 def _logistic_scores(df: DataFrame, scaler, logistic, calibration) -> DataFrame:
@@ -112,6 +110,31 @@ def _forest_scores(df: DataFrame, forest) -> DataFrame:
     )
 
 
+def class_weights(train: DataFrame) -> dict[int, float]:
+    """Weights that give both labels half of the total, from one aggregate."""
+    positives, total = train.agg(F.count_if(F.col("label") == 1), F.count(F.lit(1))).first()
+    if not 0 < positives < total:
+        raise ValueError(f"training needs both labels, found {positives} of {total} rows with 1")
+    return {0: total / (2.0 * (total - positives)), 1: total / (2.0 * positives)}
+
+
+def fit_scaler(rows: DataFrame) -> StandardScalerModel:
+    """Standard deviations of the features in ``raw``; means are left as they are."""
+    scaler = StandardScaler(inputCol="raw", outputCol="scaled", withMean=False, withStd=True)
+    return scaler.fit(rows)
+
+
+def fit_calibration(scored: DataFrame, score: str = "margin") -> IsotonicRegressionModel:
+    """Isotonic fit of label on a score, equal scores taken together first.
+
+    Spark pools neighbours inside range partitions before the rest meets in the driver.
+    """
+    points = scored.groupBy(score).agg(
+        F.avg("label").alias("target"), F.count(F.lit(1)).cast("double").alias("weight")
+    )
+    return IsotonicRegression(featuresCol=score, labelCol="target", weightCol="weight").fit(points)
+
+
 def train_reorder_models(
     train: DataFrame,
     valid: DataFrame,
@@ -124,26 +147,26 @@ def train_reorder_models(
 
     The inputs are written out once, since every iteration reads them again. Trees need
     a depth limit here: the level-wise training keeps statistics per open node, so its
-    cost grows with the number of nodes and not only with the rows.
+    cost grows with the number of nodes and not only with the rows. Published settings
+    that this forest does not have are a least number of rows to split a node, and class
+    weights drawn anew for each tree.
+
+    The choice by average precision reads the same rows that calibrated the logistic model,
+    so it flatters that model a little, as the published choice does.
     """
     columns = [*features, "label"]
-    train = materialise(train.select(columns))
-    valid = materialise(valid.select(columns))
-
-    counts = {row["label"]: row["count"] for row in train.groupBy("label").count().collect()}
-    if set(counts) != {0, 1}:
-        raise ValueError(f"training needs both labels, found {sorted(counts)}")
-    total = sum(counts.values())
-    balance = F.when(F.col("label") == 1, total / (2.0 * counts[1])).otherwise(
-        total / (2.0 * counts[0])
-    )
-    weighted = _assembled(train, features).withColumns(
-        {"weight": balance, "target": F.col("label").cast("double")}
-    )
+    train = stage(train.select(columns))
+    valid = stage(valid.select(columns))
 
-    scaler = StandardScaler(
-        inputCol="raw", outputCol="scaled", withMean=False, withStd=True
-    ).fit(weighted)
+    weights = class_weights(train)
+    weighted = assembled(train, features).withColumns(
+        {
+            "weight": F.when(F.col("label") == 1, weights[1]).otherwise(weights[0]),
+            "target": F.col("label").cast("double"),
+        }
+    )
+    total = train.count()
+    scaler = fit_scaler(weighted)
     logistic = LogisticRegression(
         featuresCol="scaled",
         labelCol="target",
@@ -153,15 +176,8 @@ def train_reorder_models(
         standardization=False,
     ).fit(scaler.transform(weighted))
 
-    checked = _assembled(valid, features)
-    points = (
-        _with_margin(checked, scaler, logistic)
-        .groupBy("margin")
-        .agg(F.avg("label").alias("target"), F.count(F.lit(1)).cast("double").alias("weight"))
-    )
-    calibration = IsotonicRegression(
-        featuresCol="margin", labelCol="target", weightCol="weight"
-    ).fit(points)
+    checked = assembled(valid, features)
+    calibration = fit_calibration(_with_margin(checked, scaler, logistic))
 
     forest = RandomForestClassifier(
         featuresCol="raw",
@@ -203,7 +219,7 @@ def _precision(scored: dict[str, DataFrame]) -> dict[str, float | None]:
 
 def score(models: ReorderModels, df: DataFrame, model: str | None = None) -> DataFrame:
     """``df`` with ``score``, the probability of a reorder, by the best or a named model."""
-    ready = _assembled(df, models.features)
+    ready = assembled(df, models.features)
     name = model or models.best
     if name == "logreg":
         scored = _logistic_scores(ready, models.scaler, models.logistic, models.calibration)

@@ -7,31 +7,15 @@ slice, and shifted by the totals of the slices before it.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_SLICE = "__slice"
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and cut its lineage (runs a job).
+from shelfsight.operators.staging import stage
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a local session without
-    one gets a temporary folder; a cluster must name a shared one.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="shelfsight-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+_SLICE = "__slice"
 
 
 def running_totals(
@@ -43,13 +27,13 @@ def running_totals(
     """Add running sums over ``order_by`` (restarting per ``by``), each row included.
 
     ``order_by`` together with ``by`` must identify a row, or ties get an arbitrary but
-    fixed order. The sliced rows are checkpointed, because the range bounds come from a
+    fixed order. The sliced rows are staged, because the range bounds come from a
     sample and both uses of the slices must see the same ones.
     """
     inputs = {name: f"__in_{name}" for name in totals}
     prepared = df.select("*", *(expr.alias(inputs[name]) for name, expr in totals.items()))
     order = list(order_by)
-    sliced = materialise(
+    sliced = stage(
         prepared.repartitionByRange(*(F.col(c) for c in by), *order).withColumn(
             _SLICE, F.spark_partition_id()
         )

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfsight.functions.dates import as_date, month_number
+from shelfsight.operators.staging import stage
 
 WINDOWS = (30, 90, 180)
 GAP_WINDOWS = (90, 180)
@@ -122,7 +123,10 @@ def paid_invoices(
 
     passed = {product: "product_name", sales_rep: "sales_rep"}
     return (
-        lines.groupBy(*keys, F.col(day).alias("invoice_date"))
+        # texts make this a sort aggregate: dealt out first, the lines are sorted once, not
+        # before and after the shuffle; invoices are nearly as many as lines
+        lines.repartition(*(F.col(c) for c in names if c in lines.columns), F.col(day))
+        .groupBy(*keys, F.col(day).alias("invoice_date"))
         .agg(
             total(revenue).alias("revenue"),
             total(quantity).alias("units"),
@@ -281,78 +285,93 @@ def _middle(gaps: Column) -> Column:
     return F.when(n > 0, (low + high) / F.lit(2.0)).otherwise(F.lit(0.0))
 
 
-def _asof_state(invoices: DataFrame, asofs: AsOf) -> DataFrame:
-    """One row per account and as-of date from its first invoice on.
+def account_history(invoices: DataFrame) -> DataFrame:
+    """Account days with the median gap of the last few invoices, written out (runs a job).
 
-    An invoice day stands for every as-of date up to the account's next invoice day, so
-    the last and the following invoice need no search.
+    Everything below but the window features comes from this narrow table, so accounts are
+    put in order once.
     """
-    valid = _dates_from(_sorted_dates(asofs), F.col("invoice_date"), F.col("next"))
-    return (
-        _account_days(invoices)
-        .select(
-            "account_id",
-            F.explode(valid).alias("asof_date"),
-            F.col("invoice_date").alias("last_invoice"),
-            F.col("next").alias("next_invoice"),
-            "last_days",
-        )
-        .withColumn("gaps", _recent_gaps(F.col("last_days")))
-        .withColumn("recent_interval", _middle(F.col("gaps")))
-        .drop("last_days", "gaps")
-    )
+    days = _account_days(invoices)
+    recent = _middle(_recent_gaps(F.col("last_days")))
+    return stage(days.withColumn("recent_interval", recent).drop("last_days"))
+
 
+def _valid_dates(asofs: AsOf) -> Column:
+    """An invoice day stands for every as-of date up to the account's next invoice day."""
+    return _dates_from(_sorted_dates(asofs), F.col("invoice_date"), F.col("next"))
 
-def _window_gaps(invoices: DataFrame, asofs: AsOf) -> DataFrame:
-    """Median gap between invoices inside each window, and how many gaps there are.
 
-    Only gaps with both ends inside the window count. Further invoices on a day are gaps
-    of 0, given to the median as a frequency.
+def _asof_state(history: DataFrame, asofs: AsOf) -> DataFrame:
+    """One row per account and as-of date from its first invoice on, with its gaps.
+
+    A day serves the dates it is the last invoice day of and those whose window it is in.
+    Both begin with the day, so it is exploded once, up to the later end. Gaps count in a
+    window if both ends are inside; further invoices on a day are gaps of 0, given to the
+    median as a frequency.
     """
-    rows = _account_days(invoices).select(
-        "account_id",
-        "invoice_date",
-        "previous",
-        "n",
-        F.explode(_covering(asofs, max(GAP_WINDOWS))).alias("asof_date"),
-    )
-    same_day = F.struct(F.lit(0).alias("gap"), (F.col("n") - 1).alias("times"), F.col("invoice_date").alias("since"))
+    longest = max(GAP_WINDOWS)
+    day, following = F.col("invoice_date"), F.col("next")
+    end = F.when(following.isNotNull(), F.greatest(following, F.date_add(day, longest)))
+    is_last = following.isNull() | (F.col("asof_date") < following)
+    near = F.datediff("asof_date", day) < longest
+    same_day = F.struct(F.lit(0).alias("gap"), (F.col("n") - 1).alias("times"), day.alias("since"))
     across = F.struct(
-        F.datediff("invoice_date", "previous").alias("gap"),
+        F.datediff(day, "previous").alias("gap"),
         F.lit(1).cast("bigint").alias("times"),
         F.col("previous").alias("since"),
     )
-    gaps = rows.select("account_id", "asof_date", F.inline(F.array(same_day, across))).where(
-        F.col("since").isNotNull()
+    gaps = F.array_compact(
+        F.array(
+            F.when(near & (F.col("n") > 1), same_day),
+            F.when(near & F.col("previous").isNotNull(), across),
+        )
     )
-    columns = []
+    rows = (
+        history.withColumn("asof_date", F.explode(_dates_from(_sorted_dates(asofs), day, end)))
+        .withColumns(
+            {
+                "last_invoice": F.when(is_last, day),
+                "next_invoice": F.when(is_last, following),
+                "recent_interval": F.when(is_last, F.col("recent_interval")),
+                "gaps": gaps,
+            }
+        )
+        .select("account_id", "asof_date", "last_invoice", "next_invoice", "recent_interval",
+                F.inline_outer("gaps"))
+    )
+    columns = [F.max(c).alias(c) for c in ("last_invoice", "next_invoice", "recent_interval")]
     for days in GAP_WINDOWS:
-        times = F.when(
-            F.datediff("asof_date", "since") < days, F.col("times")
-        ).otherwise(F.lit(0).cast("bigint"))
+        inside = F.datediff("asof_date", "since") < days
+        times = F.when(inside, F.col("times")).otherwise(F.lit(0).cast("bigint"))
         columns += [
             F.percentile("gap", 0.5, times).alias(f"gap_{days}d"),
             F.sum(times).alias(f"gaps_{days}d"),
         ]
-    return gaps.groupBy("account_id", "asof_date").agg(*columns)
+    return rows.groupBy("account_id", "asof_date").agg(*columns)
 
 
-def _with_intervals(
-    state: DataFrame, invoices: DataFrame, asofs: AsOf, strict_index: bool
-) -> DataFrame:
-    gaps = _window_gaps(invoices, asofs)
-    joined = state.join(gaps, ["account_id", "asof_date"], "left")
+def _dates_with_gaps(history: DataFrame, asofs: AsOf) -> DataFrame:
+    """The as-of dates at which any account has a gap; at most as many rows as dates."""
+    days, longest = _sorted_dates(asofs), max(GAP_WINDOWS)
+    day = F.col("invoice_date")
+    since = F.when(F.col("n") > 1, day).otherwise(F.col("previous"))
+    dates = _dates_from(days, day, F.date_add(since, longest))
+    return history.where(since.isNotNull()).select(F.explode(dates).alias("asof_date")).distinct()
+
+
+def _with_intervals(history: DataFrame, asofs: AsOf, strict_index: bool) -> DataFrame:
+    state = _asof_state(history, asofs)
     recent = F.col("recent_interval")
     if strict_index:
-        # one row per as-of date at most, hence the broadcast
-        dated = gaps.where(F.col("gaps_180d") > 0).select("asof_date").distinct()
-        joined = joined.join(
-            F.broadcast(dated.withColumn("any_gap", F.lit(True))), "asof_date", "left"
-        )
+        dated = _dates_with_gaps(history, asofs).withColumn("any_gap", F.lit(True))
+        state = state.join(dated, "asof_date", "left")
         lost = F.coalesce("any_gap", F.lit(False)) & (F.coalesce("gaps_180d", F.lit(0)) == 0)
         recent = F.when(lost, F.lit(0.0)).otherwise(recent)
-    return joined.select(
-        *state.columns,
+    return state.select(
+        "account_id",
+        "asof_date",
+        "last_invoice",
+        "next_invoice",
         F.coalesce("gap_180d", F.lit(0.0)).alias("median_interval_180d"),
         recent.alias("median_interval_recent5"),
         F.coalesce("gap_90d", F.lit(0.0)).alias("median_interval_90d"),
@@ -367,13 +386,8 @@ def reorder_intervals(
     ``strict_index`` keeps a property of the published features: once any account has a
     gap within 180 days of a date, the five-invoice median of accounts without one is 0.
     """
-    state = _asof_state(invoices, asofs)
-    return _with_intervals(state, invoices, asofs, strict_index).select(
-        "account_id",
-        "asof_date",
-        "median_interval_180d",
-        "median_interval_recent5",
-        "median_interval_90d",
+    return _with_intervals(account_history(invoices), asofs, strict_index).drop(
+        "last_invoice", "next_invoice"
     )
 
 
@@ -382,24 +396,31 @@ def _label(horizon: int) -> Column:
     return F.coalesce(within, F.lit(False)).cast("int")
 
 
-def _label_complete(invoices: DataFrame, horizon: int) -> Column:
+def _label_complete(history: DataFrame, horizon: int) -> Column:
     """Whether the data reaches to the end of the horizon."""
-    latest = invoices.agg(F.max("invoice_date")).scalar()
+    latest = history.agg(F.max("invoice_date")).scalar()
     return F.date_add("asof_date", horizon) <= latest
 
 
 def churn_labels(invoices: DataFrame, asofs: AsOf, horizon: int = HORIZON_DAYS) -> DataFrame:
     """Whether each account buys again within ``horizon`` days after the date."""
-    return _asof_state(invoices, asofs).select(
-        "account_id",
-        "asof_date",
-        _label(horizon).alias("label"),
-        _label_complete(invoices, horizon).alias("label_complete"),
+    history = account_history(invoices)
+    return (
+        history.select(
+            "account_id",
+            F.explode(_valid_dates(asofs)).alias("asof_date"),
+            F.col("next").alias("next_invoice"),
+        )
+        .withColumn("label", _label(horizon))
+        .withColumn("label_complete", _label_complete(history, horizon))
+        .drop("next_invoice")
     )
 
 
-def _all_features(invoices: DataFrame, asofs: AsOf, strict_index: bool) -> DataFrame:
-    state = _with_intervals(_asof_state(invoices, asofs), invoices, asofs, strict_index)
+def _all_features(
+    invoices: DataFrame, history: DataFrame, asofs: AsOf, strict_index: bool
+) -> DataFrame:
+    state = _with_intervals(history, asofs, strict_index)
     joined = state.join(
         churn_window_features(invoices, asofs), ["account_id", "asof_date"], "left"
     )
@@ -445,7 +466,7 @@ def _all_features(invoices: DataFrame, asofs: AsOf, strict_index: bool) -> DataF
 
 def churn_features(invoices: DataFrame, asofs: AsOf, strict_index: bool = True) -> DataFrame:
     """All features per account and as-of date, each a DOUBLE without NULLs."""
-    return _all_features(invoices, asofs, strict_index).select(
+    return _all_features(invoices, account_history(invoices), asofs, strict_index).select(
         "account_id", "asof_date", *FEATURES
     )
 
@@ -457,10 +478,11 @@ def churn_dataset(
     strict_index: bool = True,
 ) -> DataFrame:
     """Features and labels from one pass over the account days."""
-    return _all_features(invoices, asofs, strict_index).select(
+    history = account_history(invoices)
+    return _all_features(invoices, history, asofs, strict_index).select(
         "account_id",
         "asof_date",
         *FEATURES,
         _label(horizon).alias("label"),
-        _label_complete(invoices, horizon).alias("label_complete"),
+        _label_complete(history, horizon).alias("label_complete"),
     )

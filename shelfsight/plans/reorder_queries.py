@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfsight.functions import net_revenue, round_half_up
 from shelfsight.operators import models, reorder
 from shelfsight.plans.forecast_queries import _round
-from shelfsight.operators.ranking import materialise
+from shelfsight.operators.staging import stage
 from shelfsight.plans.inputs import transactions, transactions_sql, with_tables
 from shelfsight.plans.registry import query
 
@@ -22,9 +22,8 @@ _NEEDED = (
     "revenue",
     "amount",
 )
-_ASOFS = reorder.asof_dates("2000-01-01", "2001-10-31")
 _HORIZON = reorder.HORIZON_DAYS
-_TREES, _DEPTH = 50, 10
+_TRAIN_START = "2000-01-01"  # training uses as-of dates from here on
 _TX = dict(transactions=transactions_sql(*_NEEDED))
 
 _INV = """inv AS (
@@ -32,8 +31,10 @@ _INV = """inv AS (
     sum(coalesce(revenue, amount, 0)) AS revenue, sum(coalesce(quantity, 0)) AS units,
     min(description) AS product_name, min(sales_rep) AS sales_rep
   FROM transactions GROUP BY 1, 2, 3, 4 HAVING sum(coalesce(revenue, amount, 0)) > 0)"""
-_PAST = f"""asofs AS (SELECT CAST(a AS DATE) AS asof_date FROM
-  range(DATE '{_ASOFS[0]}', DATE '{_ASOFS[-1]}' + INTERVAL 1 DAY, INTERVAL 1 MONTH) t(a)),
+_PAST = """asofs AS (SELECT CAST(a AS DATE) AS asof_date FROM (
+    SELECT unnest(generate_series(date_trunc('month', min(invoice_date)),
+      CAST(max(invoice_date) AS TIMESTAMP), INTERVAL 1 MONTH)) AS a, min(invoice_date) AS lo
+    FROM inv) t WHERE a >= lo),
 past AS (
   SELECT i.*, asof_date, CAST(date_diff('day', invoice_date, asof_date) AS INTEGER) AS age
   FROM inv i JOIN asofs ON invoice_date <= asof_date WHERE account_id IS NOT NULL)"""
@@ -139,8 +140,14 @@ def _invoices(spark, sf):
 
 
 def _written_invoices(spark, sf):
-    """Invoices written out once, where several branches of a plan read them."""
-    return materialise(_invoices(spark, sf))
+    """Invoices written out once, since several branches of a plan read them."""
+    return stage(_invoices(spark, sf))
+
+
+def _calendar(invoices):
+    """The month starts that the invoices cover; one row per month reaches the driver."""
+    days = reorder.asof_calendar(invoices, day="invoice_date").collect()
+    return [row.asof_date for row in days]
 
 
 def _comparable(features):
@@ -193,19 +200,22 @@ def split_calendar(spark, sf):
     "churn_window_features", with_tables("SELECT * FROM windowed", _INV, _PAST, _WINDOWED, **_TX)
 )
 def churn_window_features(spark, sf):
-    return reorder.churn_window_features(_invoices(spark, sf), _ASOFS)
+    invoices = _written_invoices(spark, sf)
+    return reorder.churn_window_features(invoices, _calendar(invoices))
 
 
 @query(
     "reorder_intervals", with_tables("SELECT * FROM intervals", _INV, _PAST, _INTERVALS, **_TX)
 )
 def reorder_intervals(spark, sf):
-    return reorder.reorder_intervals(_written_invoices(spark, sf), _ASOFS)
+    invoices = _written_invoices(spark, sf)
+    return reorder.reorder_intervals(invoices, _calendar(invoices))
 
 
 @query("churn_labels", with_tables("SELECT * FROM labelled", _INV, _PAST, _LABELS, **_TX))
 def churn_labels(spark, sf):
-    return reorder.churn_labels(_invoices(spark, sf), _ASOFS, _HORIZON)
+    invoices = _written_invoices(spark, sf)
+    return reorder.churn_labels(invoices, _calendar(invoices), _HORIZON)
 
 
 _ALL = (_INV, _PAST, _WINDOWED, _INTERVALS, _FEATURES)
@@ -213,7 +223,8 @@ _ALL = (_INV, _PAST, _WINDOWED, _INTERVALS, _FEATURES)
 
 @query("churn_features", with_tables("SELECT * FROM features", *_ALL, **_TX))
 def churn_features(spark, sf):
-    return _comparable(reorder.churn_features(_written_invoices(spark, sf), _ASOFS))
+    invoices = _written_invoices(spark, sf)
+    return _comparable(reorder.churn_features(invoices, _calendar(invoices)))
 
 
 @query(
@@ -227,7 +238,12 @@ def churn_features(spark, sf):
     ),
 )
 def churn_dataset(spark, sf):
-    return _comparable(reorder.churn_dataset(_written_invoices(spark, sf), _ASOFS, _HORIZON))
+    return _comparable(_dataset(spark, sf))
+
+
+def _dataset(spark, sf):
+    invoices = _written_invoices(spark, sf)
+    return reorder.churn_dataset(invoices, _calendar(invoices), _HORIZON)
 
 
 # a score that ranks: recent orders against time since the last one, ties included
@@ -257,7 +273,7 @@ _SCORED = f"""scored AS (
     ),
 )
 def rank_metrics(spark, sf):
-    dataset = reorder.churn_dataset(_written_invoices(spark, sf), _ASOFS, _HORIZON).where("label_complete")
+    dataset = _dataset(spark, sf).where("label_complete")
     score = round_half_up(F.col("orders_90d") / (1 + F.col("days_since_last")), 4)
     metrics = models.rank_metrics(dataset.select("label", score.alias("score")))
     return metrics.withColumns(
@@ -265,11 +281,92 @@ def rank_metrics(spark, sf):
     )
 
 
-@query("churn_predictions")
+@query(
+    "calibration_fit",
+    with_tables(
+        f"""SELECT x AS score, weight, {_round("max(least_above)", 6)} AS calibrated FROM (
+          SELECT i.x, i.weight, j.n AS low, min((k.sy - j.sy + j.y) / (k.sw - j.sw + j.weight)) AS least_above
+          FROM pooled i JOIN pooled j ON j.n <= i.n JOIN pooled k ON k.n >= i.n
+          GROUP BY i.x, i.weight, j.n) m
+        GROUP BY x, weight""",
+        *_ALL,
+        _LABELS,
+        _SCORED,
+        """pooled AS (SELECT x, weight, y, n, sum(y) OVER (ORDER BY n) AS sy,
+            sum(weight) OVER (ORDER BY n) AS sw
+          FROM (SELECT round(score, 1) AS x, CAST(count(*) AS DOUBLE) AS weight,
+              CAST(sum(label) AS DOUBLE) AS y, row_number() OVER (ORDER BY round(score, 1)) AS n
+            FROM scored GROUP BY round(score, 1)) g)""",
+        **_TX,
+    ),
+)
+def calibration_fit(spark, sf):
+    """Isotonic fit of the label on a fixed score, checked by the max-min formula."""
+    dataset = _dataset(spark, sf).where("label_complete")
+    score = round_half_up(F.col("orders_90d") / (1 + F.col("days_since_last")), 4)
+    scored = stage(dataset.select("label", F.round(score, 1).alias("score")))
+    fitted = models.fit_calibration(scored, "score")
+    points = scored.groupBy("score").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    return fitted.transform(points).select(
+        "score", "weight", round_half_up(F.col("prediction"), 6).alias("calibrated")
+    )
+
+
+_STATS = ", ".join(f"stddev_samp({f}) AS {f}" for f in reorder.FEATURES)
+
+
+@query(
+    "feature_scaling",
+    with_tables(
+        f"""SELECT feature, {_round("deviation", 6)} AS deviation,
+          n / (2.0e0 * (n - positives)) AS weight_0, n / (2.0e0 * positives) AS weight_1
+        FROM (UNPIVOT (SELECT {_STATS} FROM features) ON COLUMNS(*) INTO NAME feature VALUE deviation) u,
+          (SELECT count(*) AS n, count(*) FILTER (WHERE label = 1) AS positives FROM labelled) c""",
+        *_ALL,
+        _LABELS,
+        **_TX,
+    ),
+)
+def feature_scaling(spark, sf):
+    """What the scaler and the class weights learn, one row per feature."""
+    dataset = stage(_comparable(_dataset(spark, sf)))
+    weights = models.class_weights(dataset)
+    scaler = models.fit_scaler(models.assembled(dataset, reorder.FEATURES))
+    rows = list(zip(reorder.FEATURES, (float(v) for v in scaler.std), strict=True))
+    return spark.createDataFrame(rows, "feature string, deviation double").select(
+        "feature",
+        round_half_up(F.col("deviation"), 6).alias("deviation"),
+        F.lit(weights[0]).alias("weight_0"),
+        F.lit(weights[1]).alias("weight_1"),
+    )
+
+
+_DIAGNOSED = ", ".join(models.DIAGNOSTICS)
+
+
+@query(
+    "churn_predictions",
+    with_tables(
+        f"SELECT {_DIAGNOSED}, true AS has_probability FROM features",
+        _INV,
+        """past AS (
+          SELECT i.*, asof_date, CAST(date_diff('day', invoice_date, asof_date) AS INTEGER) AS age
+          FROM inv i JOIN (SELECT max(invoice_date) AS asof_date FROM inv) d
+            ON invoice_date <= asof_date WHERE account_id IS NOT NULL)""",
+        _WINDOWED,
+        _INTERVALS,
+        _FEATURES,
+        **_TX,
+    ),
+)
 def churn_predictions(spark, sf):
-    """Trained up to the validation period, scored at the last day of the data."""
+    """Trained up to the validation period, scored at the last day of the data.
+
+    The probability itself depends on the forest's random draws, so the query says of each
+    account that it has one between 0 and 1.
+    """
     invoices = _written_invoices(spark, sf)
-    days = reorder.split_calendar(invoices, "2000-01-01", day="invoice_date").first()
+    days = reorder.split_calendar(invoices, _TRAIN_START, day="invoice_date").first()
 
     def dataset(lo, hi):
         return reorder.churn_dataset(invoices, reorder.asof_dates(lo, hi), _HORIZON)
@@ -278,8 +375,11 @@ def churn_predictions(spark, sf):
         dataset(days["train_start"], days["train_end"]),
         dataset(days["valid_start"], days["valid_end"]),
         reorder.FEATURES,
-        num_trees=_TREES,
-        max_depth=_DEPTH,
     )
     latest = reorder.churn_features(invoices, [days["test_end"]])
-    return models.churn_predictions(fitted, latest, _HORIZON)
+    predicted = models.churn_predictions(fitted, latest, _HORIZON)
+    probability = F.col(f"risk_prob_reorder_{_HORIZON}d")
+    return predicted.select(
+        *models.DIAGNOSTICS,
+        F.coalesce(probability.between(0, 1), F.lit(False)).alias("has_probability"),
+    )

@@ -4,13 +4,12 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
 from shelfsight.operators import oos, reorder, sales
 from shelfsight.plans.inputs import CURRENT, SALES_COLUMNS, read, transactions, SNAPSHOT_SQL
+from shelfsight.plans import QUERIES
 from shelfsight.plans.reorder_queries import _invoices
 
-QUERIES = queries()
-TRAINED = {"churn_predictions"}
+TRAINED = {"churn_predictions", "feature_scaling", "calibration_fit"}
 
 
 def plan(df):
@@ -62,11 +61,34 @@ def test_sales_runs_need_one_shuffle_after_the_monthly_sums(spark):
     assert text.count("Exchange hashpartitioning") == 1
 
 
-def test_labels_need_no_join(spark, sf_dir):
-    text = plan(reorder.churn_labels(_invoices(spark, sf_dir), ["2000-07-01"]).drop("label_complete"))
-    assert text.count("Window ") >= 1 and text.count("Exchange hashpartitioning(account_id") == 2
+def test_accounts_are_ordered_once(spark, sf_dir):
+    text = plan(reorder._account_days(_invoices(spark, sf_dir)))
+    assert len(re.findall(r"\bWindow \[", text)) == 1
+    assert text.count("lineitem.parquet") == 1
+    # what follows reads the written days
+    for name in ("churn_labels", "churn_features"):
+        text = plan(QUERIES[name](spark, sf_dir))
+        assert not re.search(r"\bWindow \[", text) and "lineitem" not in text
 
 
-def test_month_positions_are_the_only_hinted_broadcast(spark, sf_dir):
-    text = plan(oos.oos_from_snapshots(read(spark, sf_dir, SNAPSHOT_SQL)))
-    assert "BroadcastHashJoin [month" in text
+def test_invoices_are_sorted_once(spark, sf_dir):
+    text = plan(_invoices(spark, sf_dir))
+    assert len(re.findall(r"\bSort \[", text)) - text.count("SortMergeJoin") * 2 <= 1
+    assert text.count("lineitem.parquet") == 1
+
+
+def test_transitions_read_the_lines_twice(spark, sf_dir):
+    for name in ("inventory_transitions", "transition_topn"):
+        assert plan(QUERIES[name](spark, sf_dir)).count("lineitem.parquet") == 2
+
+
+def test_forecast_fills_no_rows(spark, sf_dir):
+    text = plan(QUERIES["sales_forecast"](spark, sf_dir))
+    assert "posexplode" not in text
+
+
+def test_months_may_be_given(spark, sf_dir):
+    snapshot = read(spark, sf_dir, SNAPSHOT_SQL)
+    months = spark.createDataFrame([], "month date, i int, n_months int")
+    assert plan(oos.oos_from_snapshots(snapshot)).count("lineitem.parquet") == 2
+    assert plan(oos.oos_from_snapshots(snapshot, months)).count("lineitem.parquet") == 1
