@@ -1,7 +1,6 @@
-"""Both out-of-stock forms against a month-by-month walk over random histories."""
+"""Both out-of-stock forms on histories whose runs were worked out by hand."""
 
 import datetime as dt
-import random
 
 from shelfsight.operators import oos
 from shelfsight.schemas import INVENTORY_SNAPSHOT
@@ -11,63 +10,63 @@ def month(i):
     return dt.date(2024 + i // 12, i % 12 + 1, 1)
 
 
-def walk(values, volume_before, n):
-    """Runs (start, back or None, volume) from the values present, a dict by position."""
-    runs, start, volume = [], None, None
-    for i in range(n):
-        if i not in values:
-            continue
-        if values[i] == 0 and start is None:
-            start, volume = i, volume_before(i)
-        elif values[i] > 0 and start is not None:
-            runs.append((start, i, volume))
-            start = None
-    if start is not None:
-        runs.append((start, None, volume))
-    return {(month(s), b and month(b), (n if b is None else b) - s, round(v, 2))
-            for s, b, v in runs if v}
+# item: quantities from month 0 on (None: no row), and its runs as start, back, months, volume
+SALES = {
+    "begins without": ([0, 4, 0, 0, 6], [(2, 4, 2, 2.0), (5, None, 3, 2.0)]),
+    "still out": ([6, 6, 6, 0], [(3, None, 5, 6.0)]),
+    "returns before": ([5, -2, 0, 3, 1, 1, 1, 1], [(2, 3, 1, 1.5)]),
+    "returns inside": ([5, 0, -2, 0, 4, 1, 1, 1], [(1, 4, 3, 5.0)]),
+    "only returns before": ([-3, 0, 4, 1, 1, 1, 1, 1], []),
+    "three months back": ([9, 2, 3, 4, None, 0, 7, 7], [(4, 6, 2, 3.0)]),
+    "twice": ([8, None, 2, None, 4, 4, 4, 4], [(1, 2, 1, 8.0), (3, 4, 1, 3.33)]),
+    "never out": ([1] * 8, []),
+}
 
 
 def test_sales_form(spark):
-    rng = random.Random(11)
-    n = 18
-    histories = {
-        f"i{k:03d}": [rng.choice([0, 0, 0, 4, 7, -2]) for _ in range(n)] for k in range(300)
-    }
-    rows = [(item, month(i), float(v)) for item, values in histories.items()
-            for i, v in enumerate(values) if v != 0 or rng.random() < 0.5]
+    rows = [(item, month(i), float(v)) for item, (values, _) in SALES.items()
+            for i, v in enumerate(values) if v is not None]
     sales = spark.createDataFrame(rows, "item string, month date, qty double").selectExpr(
         "item", "month", "CAST(qty AS DECIMAL(18,2)) AS qty"
     )
     got = {}
-    for r in oos.oos_from_sales(sales, month(0), month(n - 1)).collect():
+    for r in oos.oos_from_sales(sales, month(0), month(7)).collect():
         got.setdefault(r["item"], set()).add(
             (r.oos_start_month, r.back_in_stock_month, r.months_oos, r.avg_monthly_volume))
         assert r.status == ("Still OOS" if r.back_in_stock_month is None else "Restocked")
-    for item, values in histories.items():
-        def before(i):
-            past = values[max(0, i - 3):i]
-            return sum(past) / len(past) if past and sum(past) > 0 else None
-        assert got.get(item, set()) == walk(dict(enumerate(values)), before, n), item
+    for item, (_, runs) in SALES.items():
+        want = {(month(s), b and month(b), n, v) for s, b, n, v in runs}
+        assert got.get(item, set()) == want, item
+
+
+def test_no_sales_no_runs(spark):
+    empty = spark.createDataFrame([], "item string, month date, qty decimal(18,2)")
+    assert oos.oos_from_sales(empty, None, None).count() == 0
+
+
+# sku: (stock, velocity) from month 0 on (None: no row), and its runs as above
+STOCK = {
+    "plain": ([(5, 4.0), (0, 0.0), (0, None), (3, 1.0)], [(1, 3, 2, 4.0)]),
+    "begins without": ([(0, 4.0), (5, 4.0), (5, 4.0)], []),
+    "gap inside": ([(5, 2.0), (0, 1.0), None, (0, 1.0), (4, 1.0)], [(1, 4, 3, 2.0)]),
+    "negative inside": ([(5, 2.0), (0, 1.0), (-3, 1.0), (1, 1.0)], [(1, 3, 2, 2.0)]),
+    "negative is not out": ([(5, 2.0), (-3, 1.0), (5, 1.0)], []),
+    "mean of the moving": ([(1, 9.0), (1, 2.0), (1, 0.0), (1, 6.0), (0, 0.0)], [(4, None, 2, 4.0)]),
+    "gap before": ([(1, 9.0), None, None, None, (0, 3.0)], []),
+    "never out": ([(1, 1.0)] * 6, []),  # so that all six months occur
+}
 
 
 def test_snapshot_form(spark):
-    rng = random.Random(12)
-    n = 14
-    stock = {f"s{k:03d}": {i: (rng.choice([0, 0, 5, 9, -3]), rng.choice([None, 0.0, 2.0, 6.0]))
-                           for i in range(n) if rng.random() < 0.85} for k in range(300)}
-    stock["all"] = {i: (1, 1.0) for i in range(n)}  # every month occurs
-    rows = [(month(i), sku, "n", q, v, None, False, "Low")
-            for sku, cells in stock.items() for i, (q, v) in cells.items()]
+    rows = [(month(i), sku, "n", cell[0], cell[1], None, False, "Low")
+            for sku, (cells, _) in STOCK.items() for i, cell in enumerate(cells) if cell]
     got = {}
     for r in oos.oos_from_snapshots(spark.createDataFrame(rows, INVENTORY_SNAPSHOT)).collect():
         got.setdefault(r.sku, set()).add(
             (r.oos_start_month, r.back_in_stock_month, r.months_oos, r.avg_monthly_volume))
-    for sku, cells in stock.items():
-        def before(i):
-            past = [cells[j][1] for j in range(max(0, i - 3), i) if j in cells and cells[j][1]]
-            return sum(past) / len(past) if past else None
-        assert got.get(sku, set()) == walk({i: q for i, (q, _) in cells.items()}, before, n), sku
+    for sku, (_, runs) in STOCK.items():
+        want = {(month(s), b and month(b), n, v) for s, b, n, v in runs}
+        assert got.get(sku, set()) == want, sku
 
 
 def test_months_that_no_snapshot_has_do_not_count(spark):
