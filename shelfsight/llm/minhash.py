@@ -18,8 +18,8 @@ BANDS, ROWS = 32, 4
 #: Pairs whose signatures agree on fewer of the 128 minima are not confirmed on their sets:
 #: at 80 % the agreement is 102 on average with a deviation of 4.5.
 LEAST_AGREEMENT = 80
-#: Members of a bucket that are compared at once.
-BLOCK = 512
+#: Members of a bucket that are compared at once, and bytes of their sets, about.
+BLOCK, BLOCK_BYTES = 512, 8 << 20
 #: Bits of the sketch of the doc_ids whose texts are needed again: 8 MB at most, at any size.
 SKETCH_BITS = 26
 
@@ -145,15 +145,19 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    """Whether 100 * intersection >= percent * union, for sets without repeats."""
+    union = len(textscan.distinct(np.concatenate((one, two))))
+    return 100 * (len(one) + len(two) - union) >= percent * union
+
+
 def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Keep the pairs whose full sets are similar enough."""
     for batch in batches:
         a, b = (batch.column(c).to_numpy(zero_copy_only=False) for c in "ab")
         keep = np.zeros(len(batch), bool)
         for i, (x, y) in enumerate(zip(batch.column("set_a"), batch.column("set_b"), strict=True)):
-            one, two = (np.frombuffer(v.as_buffer(), _U) for v in (x, y))
-            common = len(one) + len(two) - len(textscan.distinct(np.concatenate((one, two))))
-            keep[i] = 100 * common >= percent * (len(one) + len(two) - common)
+            keep[i] = similar(*(np.frombuffer(v.as_buffer(), _U) for v in (x, y)), percent)
         yield _pairs_batch(a[keep], b[keep])
 
 
@@ -163,16 +167,16 @@ def _slots(ids: np.ndarray) -> np.ndarray:
 
 def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        slots = _slots(np.concatenate([batch.column(c).to_numpy() for c in "ab"]))
+        slots = _slots(batch.column("doc_id").to_numpy())
         words, place = np.unique(slots >> 6, return_inverse=True)
         bits = np.zeros(len(words), np.int64)
         np.bitwise_or.at(bits, place, np.int64(1) << (slots & 63))
         yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(bits)], ["word", "bits"])
 
 
-def _sketch(pairs: DataFrame) -> np.ndarray:
-    """A bit for every doc_id in some pairs, some of them shared: 2**SKETCH_BITS in all."""
-    rows = pairs.mapInArrow(_sketch_rows, "word long, bits long")
+def _sketch(ids: DataFrame) -> np.ndarray:
+    """A bit for every doc_id, some of them shared: 2**SKETCH_BITS in all."""
+    rows = ids.mapInArrow(_sketch_rows, "word long, bits long")
     table = rows.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     sketch = np.zeros(1 << (SKETCH_BITS - 6), np.int64)
     sketch[table.column("word").to_numpy()] = table.column("bits").to_numpy()
@@ -187,21 +191,27 @@ def _maybe_wanted(
         yield batch.filter(pa.array((sketch[slots >> 6] >> (slots & 63)) & 1 == 1))
 
 
-def _confirmed(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs a, b whose full shingle sets reach the similarity.
+def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """Staged (doc_id, shingles) of the wanted doc_ids.
 
-    Pairs and sets both grow with the input, so they are merged at every size. A bounded
-    sketch of the doc_ids keeps most other texts out of the shuffle, the join the rest.
+    A bounded sketch of them keeps most other texts out of the shuffle, the join the rest.
     """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sketch = docs.sparkSession.sparkContext.broadcast(_sketch(pairs))
+    sketch = docs.sparkSession.sparkContext.broadcast(_sketch(wanted))
 
     def maybe(batches):
         return _maybe_wanted(batches, sketch.value)
 
-    texts = docs.select("doc_id", "text").mapInArrow(maybe, docs.select("doc_id", "text").schema)
+    texts = docs.mapInArrow(maybe, docs.schema)
     texts = texts.join(wanted.hint("merge"), "doc_id", "left_semi")
-    sets = stage(texts.mapInArrow(partial(_sets, k=k), "doc_id long, shingles binary"))
+    return stage(texts.mapInArrow(partial(_sets, k=k), "doc_id long, shingles binary"))
+
+
+def _confirmed(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs a, b whose full shingle sets reach the similarity.
+
+    Pairs and sets both grow with the input, so they are merged at every size.
+    """
+    sets = _sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), k)
     both = pairs.join(
         sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")).hint("merge"), "a"
     ).join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")).hint("merge"), "b")
@@ -263,9 +273,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     Equal sets meet by fingerprint and only their smallest doc_id goes on. Texts that share
     a band are compared with the smallest of that bucket. In buckets that are then still of
-    several components, block by block, first the likeliest pair of every two components is
-    tried, and at last all pairs across components. So groups of copies cost a link each,
-    and no link between different components is lost.
+    several components all pairs across components are compared, block by block, until
+    they are one; only the links found come out. So groups of copies cost a link each, and
+    no link between different components is lost.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stage(docs.mapInArrow(partial(_sign, k=k), _SIGNATURES))
@@ -276,7 +286,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     )
     heads = classes.select(F.col("head").alias("doc_id")).distinct()
     shown = signed.join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    banded = shown.select("doc_id", F.explode("bands").alias("bucket"))
+    banded = shown.select("doc_id", "n_shingles", F.explode("bands").alias("bucket"))
     leaders = (
         banded.groupBy("bucket")
         .agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last"))
@@ -296,20 +306,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     )
     links = _confirmed(docs, near, k, percent)
     parts = stage(components(links))
-    asked = [near]
-    # first the likeliest bridge between any two components of a bucket, then all pairs
-    for bridges in (True, False):
-        rest = _across(members, parts, signs, bridges)
-        for before in asked:
-            rest = rest.join(before, ["a", "b"], "left_anti")
-        rest = stage(rest)
-        more = _confirmed(docs, rest, k, percent)
-        known = parts.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
-        joined = stage(components(known.union(more)))
-        discard(parts, more)
-        parts = joined
-        asked.append(rest)
-    discard(members, links, *asked)
+    more = stage(_across(docs, members, parts, signs, k, percent))
+    known = parts.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
+    whole = stage(components(known.union(more)))
+    discard(near, members, links, parts, more)
+    parts = whole
 
     joined = classes.join(parts.withColumnRenamed("doc_id", "head"), "head", "left").select(
         "n_shingles", "set_a", "set_b", F.coalesce("component_id", "head").alias("component_id")
@@ -331,27 +332,30 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
 
 def _across(
-    members: DataFrame, parts: DataFrame, signs: DataFrame, bridges: bool
+    docs: DataFrame, members: DataFrame, parts: DataFrame, signs: DataFrame, k: int, percent: int
 ) -> DataFrame:
-    """Pairs of a bucket in different components whose signatures agree, still unconfirmed.
+    """Links between members of a bucket that are in different components.
 
     Members of a bucket are dealt to blocks by doc_id; each pair of blocks is one group.
-    ``bridges``: of every two components of a group only the pair that agrees most.
     """
-    placed = members.select("bucket", "doc_id").join(parts, "doc_id", "left").select(
-        "bucket", "doc_id", F.coalesce("component_id", "doc_id").alias("part")
+    placed = members.select("bucket", "doc_id", "n_shingles").join(parts, "doc_id", "left").select(
+        "bucket", "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("part")
     )
+    blocks = F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") * 8 / BLOCK_BYTES)
     mixed = (
         placed.groupBy("bucket")
-        .agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n"))
+        .agg(
+            F.min("part").alias("low"), F.max("part").alias("high"),
+            F.ceil(blocks).cast("int").alias("blocks"),
+        )
         .where("low < high")
-        .select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    )
-    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+        .select("bucket", "blocks")
+    )
+    placed = stage(placed.join(mixed, "bucket"))
+    sets = _sets_of(docs, placed.select("doc_id").distinct(), k)
     # block i meets every j: in the group (i, j) with the smaller first
     dealt = (
-        placed.join(mixed, "bucket")
-        .withColumn("own", block)
+        placed.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             "bucket",
@@ -361,21 +365,23 @@ def _across(
             F.least("own", "other").alias("one"),
             F.greatest("own", "other").alias("two"),
         )
-        .join(signs, "doc_id")
+        .join(signs.hint("merge"), "doc_id")
+        .join(sets.hint("merge"), "doc_id")
     )
     keys = ("bucket", "one", "two")
-    return (
+    links = (
         dealt.repartition(*keys)
         .sortWithinPartitions(*keys)
-        .mapInArrow(partial(_compare_groups, bridges=bridges), "a long, b long")
+        .mapInArrow(partial(_compare_groups, percent=percent), "a long, b long")
         .distinct()
     )
+    return links
 
 
 def _compare_groups(
-    batches: Iterator[pa.RecordBatch], bridges: bool
+    batches: Iterator[pa.RecordBatch], percent: int
 ) -> Iterator[pa.RecordBatch]:
-    """All agreeing pairs of two blocks, or within one, that are in different components.
+    """The links that join the components of each group, two blocks or one.
 
     Groups come one after the other; the last one of a batch may go on in the next.
     """
@@ -388,42 +394,41 @@ def _compare_groups(
         cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
         last = int(cuts[-1]) if len(cuts) else 0
         if last:
-            yield _compare(table.slice(0, last), [0, *cuts[:-1], last], bridges)
+            yield _compare(table.slice(0, last), [0, *cuts[:-1], last], percent)
         rest = table.slice(last)
     if rest is not None and len(rest):
-        yield _compare(rest, [0, len(rest)], bridges)
+        yield _compare(rest, [0, len(rest)], percent)
 
 
-def _compare(table: pa.Table, cuts: list[int], bridges: bool) -> pa.RecordBatch:
+def _compare(table: pa.Table, cuts: list[int], percent: int) -> pa.RecordBatch:
     ids, part, own, one, two = (
         table.column(c).to_numpy() for c in ("doc_id", "part", "own", "one", "two")
     )
     signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32)
     signs = signs.reshape(len(ids), BANDS * ROWS)
-    a, b = [], []
+    sets = [np.frombuffer(v.as_buffer(), _U) for c in table.column("shingles").chunks for v in c]
+    sizes = np.array([len(s) for s in sets], np.int64)
+    part, a, b = part.copy(), [], []
     for low, high in zip(cuts[:-1], cuts[1:], strict=True):
-        same, best = one[low] == two[low], {}
+        here = part[low:high]
+        same = one[low] == two[low]
         right = np.flatnonzero(own[low:high] == two[low]) + low
         for i in np.flatnonzero(own[low:high] == one[low]) + low:
             others = right[right > i] if same else right
             others = others[part[others] != part[i]]
-            if len(others):
-                agree = (signs[others] == signs[i]).sum(1)
-                others, agree = others[agree >= LEAST_AGREEMENT], agree[agree >= LEAST_AGREEMENT]
-                if bridges:
-                    for j, n in zip(others.tolist(), agree.tolist(), strict=True):
-                        ends = (min(part[i], part[j]), max(part[i], part[j]))
-                        if n > best.get(ends, (0,))[0]:
-                            best[ends] = (n, ids[i], ids[j])
-                else:
-                    a.append(np.minimum(ids[i], ids[others]))
-                    b.append(np.maximum(ids[i], ids[others]))
-        if best:
-            pairs = np.array([v[1:] for v in best.values()])
-            a.append(pairs.min(1))
-            b.append(pairs.max(1))
-    none = [np.zeros(0, np.int64)]
-    return _pairs_batch(np.concatenate(a or none), np.concatenate(b or none))
+            if len(others) == 0:
+                continue
+            short, long = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
+            others = others[100 * short >= percent * long]
+            agree = (signs[others] == signs[i]).sum(1)
+            likely = np.argsort(-agree, kind="stable")
+            for j in others[likely[agree[likely] >= LEAST_AGREEMENT]]:
+                # a link found before may have joined the two
+                if part[i] != part[j] and similar(sets[i], sets[j], percent):
+                    a.append(min(ids[i], ids[j]))
+                    b.append(max(ids[i], ids[j]))
+                    here[here == part[j]] = part[i]
+    return _pairs_batch(np.array(a, np.int64), np.array(b, np.int64))
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
