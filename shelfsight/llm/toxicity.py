@@ -9,6 +9,7 @@ by a noisy-or of word beginnings learnt from labelled texts.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -28,7 +29,9 @@ TOXIC_SAMPLE, CLEAN_SAMPLE = 6_000, 18_000
 #: Word beginnings that are considered at most, by number of toxic texts that hold them.
 CANDIDATES = 20_000
 #: Toxic texts that a beginning must explain beyond those chosen before it.
-LEAST_GAIN = 2
+LEAST_GAIN = 3
+#: Unlike toxic texts that must hold a beginning that is chosen for itself.
+LEAST_UNLIKE = 6
 PREFIXES = (3, 4, 5, 6, 7)
 
 #: Letters that a sign may stand for (fixed values).
@@ -41,7 +44,7 @@ SEPARATORS = ".-*_ \t\n,/~·"
 SWAP, DROP_REPEATED, DROP_SEPARATOR = 1.5, 1.0, 0.7
 
 _SYMBOLS = 64
-_SPACED = re.compile(r"(?<!\S)(?:\w[ .\-*_/~·]){2,}\w(?!\S)")
+_SPACED = re.compile(r"(?<!\w)(?:\w[ .\-*_/~·]){2,}\w(?!\w)")
 _ODD = re.compile(r"[^\W\d_][0-9@$!|+€£]+[^\W\d_]|[0-9@$!|+€£][^\W\d_]{2,}|[^\W\d_]{2,}[0-9@$!|+€£]+$|([^\W\d_])\1\1|^\w(?:[.\-*_/~·]\w){2,}$|[^\W\d_][*_\-.]+[^\W\d_]")
 _EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
@@ -244,48 +247,79 @@ def _count_features(batches: Iterator[pa.RecordBatch], only_toxic: bool) -> Iter
 
 def _held_features(batches: Iterator[pa.RecordBatch], known: set[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [sorted(_features_of(w) & known) for w in batch.column("words").to_pylist()]
+        words = batch.column("words").to_pylist()
+        found = [sorted(_features_of(w) & known) for w in words]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("toxic"), pa.array(found, pa.list_(pa.string()))], ["toxic", "found"]
+            [
+                batch.column("toxic"),
+                pa.array(found, pa.list_(pa.string())),
+                pa.array([likeness(w) for w in words], pa.list_(pa.int64())),
+            ],
+            ["toxic", "found", "likeness"],
         )
 
 
-def choose(rows: list[tuple[int, list[str]]], clean_weight: float) -> tuple[dict[str, float], float]:
-    """Beginnings that explain the toxic texts, greedily, with P(toxic) of each; and the rest's.
+_HELD = "toxic int, found array<string>, likeness array<long>"
+_MULTIPLIERS = textscan.mix(np.arange(1, 9, dtype=np.uint64)) | np.uint64(1)
+
+
+def likeness(words: Iterable[str]) -> list[int]:
+    """Eight minima of hashed words; copies of a text, near ones too, share most of them."""
+    hashed = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words] or [0], np.uint64)
+    return [int((hashed * m >> np.uint64(32)).min()) for m in _MULTIPLIERS]
+
+
+def choose(
+    rows: list[tuple[int, list[str], list[int]]], clean_weight: float
+) -> tuple[dict[str, float], float]:
+    """Beginnings that tell toxic texts, with P(toxic) of each, and P(toxic) of the rest.
 
-    Each round takes the beginning with the most toxic texts that none explains yet, less
-    the clean texts that hold it; of equally good ones the shorter, then the first by
-    alphabet. What merely stands beside a toxic word, as in copies of one text, is explained
-    by it and gains nothing.
+    ``rows`` are label, beginnings and likeness of texts. First greedily those that explain
+    the toxic texts: each round takes the one with the most toxic texts that none explains
+    yet, less the clean texts that hold it; of equally good ones the longest, since fewer
+    other words begin with it, then the first by alphabet. What merely stands beside a toxic
+    word, as in copies of one text, is explained by it and gains nothing. Then those that
+    many unlike toxic texts and next to no clean ones hold, though others explain them;
+    neither beginnings nor extensions of what is chosen.
     """
     holders: dict[str, list[int]] = {}
     clean: Counter = Counter()
-    for i, (label, found) in enumerate(rows):
+    for i, (label, found, _) in enumerate(rows):
         for feature in found:
             if label:
                 holders.setdefault(feature, []).append(i)
             else:
                 clean[feature] += 1
-    open_ = {i for i, (label, _) in enumerate(rows) if label}
+    open_ = {i for i, row in enumerate(rows) if row[0]}
     gain = {f: len(h) - 2 * clean_weight * clean[f] for f, h in holders.items()}
+    order = {f: (f.endswith("$"), -len(f), f) for f in holders}
     weights: dict[str, float] = {}
-    explained: set[int] = set()
     while gain:
-        feature = min(gain, key=lambda f: (-gain[f], len(f), f))
+        feature = min(gain, key=lambda f: (-gain[f], order[f]))
         if gain[feature] < LEAST_GAIN:
             break
         own = [i for i in holders[feature] if i in open_]
-        n_clean = clean_weight * clean[feature]
-        weights[feature] = len(own) / (len(own) + n_clean + 1.0)
-        explained.update(own)
+        weights[feature] = len(own) / (len(own) + clean_weight * clean[feature] + 1.0)
         for i in own:
             open_.discard(i)
             for other in rows[i][1]:
                 if other in gain:
                     gain[other] -= 1
         del gain[feature]
-    plain = clean_weight * sum(not label and not set(found) & weights.keys() for label, found in rows)
-    return weights, (len(open_) + 0.5) / (len(open_) + plain + 1.0)
+    telling = {f: len(holders[f]) - 20 * clean_weight * clean[f] for f in gain}
+    for feature in sorted(gain, key=lambda f: (-telling[f], order[f])):
+        own, word = holders[feature], feature.rstrip("$")
+        if any(w.startswith(word) or word.startswith(w) for w in (c.rstrip("$") for c in weights)):
+            continue
+        unlike = max(len({rows[i][2][k] for i in own}) for k in range(len(_MULTIPLIERS)))
+        weight = unlike / (unlike + clean_weight * clean[feature] + 1.0)
+        enough = unlike >= max(LEAST_UNLIKE, min(0.5 * len(own), 8 * LEAST_UNLIKE))
+        if enough and clean_weight * clean[feature] < 0.02 * unlike:
+            weights[feature] = weight
+    told = [bool(set(found) & weights.keys()) for _, found, _ in rows]
+    missed = sum(label and not t for (label, _, _), t in zip(rows, told, strict=True))
+    plain = clean_weight * sum(not label and not t for (label, _, _), t in zip(rows, told, strict=True))
+    return weights, (missed + 0.5) / (missed + plain + 1.0)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -329,7 +363,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         .limit(CANDIDATES)
     )
     known = {r.feature for r in frequent.select("feature").collect()}
-    held = train.mapInArrow(partial(_held_features, known=known), "toxic int, found array<string>")
+    held = train.mapInArrow(partial(_held_features, known=known), _HELD)
     # of frequent beginnings only those that toxic texts hold clearly more often
     counts = {
         r.feature: (r.toxic, r.clean)
@@ -340,8 +374,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     }
     telling = {f for f, (t, c) in counts.items() if t > 2 * clean_weight * c}
     rows = [
-        (r.toxic, r.found)
-        for r in train.mapInArrow(partial(_held_features, known=telling), "toxic int, found array<string>").collect()
+        (r.toxic, r.found, r.likeness)
+        for r in train.mapInArrow(partial(_held_features, known=telling), _HELD).collect()
     ]
     discard(train)
     weights, base = choose(rows, clean_weight)

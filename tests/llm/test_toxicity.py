@@ -26,16 +26,23 @@ def test_disguises_are_read(corpus):
 
 def test_counts_are_of_all_texts(documents):
     model = character_model(documents(["abab", None, "", "abac"]))
-    assert np.exp(model[1, 2, 1]) == pytest.approx(1, abs=0.35)
+    assert model[1, 2].argmax() == 1 and model[2, 1, 2] < model[2, 1, 3] + 1
+    assert model[2, 1, 3] > model[2, 1, 4] + 1
     assert np.exp(model).sum(2) == pytest.approx(1, abs=1e-3)
 
 
 def test_words_beside_a_toxic_one_are_not_learnt():
-    copies = [(1, ["bad", "by"])] * 30 + [(1, ["bad", f"o{i}"]) for i in range(30)]
-    weights, base = choose(copies + [(0, ["fine"])] * 300, 1.0)
+    copies = [(1, ["bad", "by"], [1] * 8)] * 30 + [(1, ["bad", f"o{i}"], [i] * 8) for i in range(30)]
+    weights, base = choose(copies + [(0, ["fine"], [0] * 8)] * 300, 1.0)
     assert set(weights) == {"bad"} and weights["bad"] > 0.9 and base < 0.01
 
 
+def test_toxic_words_that_others_explain_are_learnt():
+    rows = [(1, ["bad", "worse"], [i] * 8) for i in range(20)] + [(1, ["bad"], [99] * 8)]
+    weights, _ = choose(rows + [(0, [], [0] * 8)] * 300, 1.0)
+    assert set(weights) == {"bad", "worse"}
+
+
 def labelled(documents, spark):
     rng = random.Random(5)
     rows, labels = [], []
