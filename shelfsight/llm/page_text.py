@@ -103,6 +103,8 @@ def leaf_blocks(page: str) -> list[Block]:
                 parts.append(" ")
             continue
         if tag in RAW or (_HIDDEN.search(attributes) and tag not in VOID):
+            if tag in BLOCKS:
+                close()
             if not attributes.endswith("/"):
                 at = _after(page, at, tag)
             continue
