@@ -19,6 +19,7 @@ from shelfsight.llm import textscan
 from shelfsight.llm.packing import (
     bucket_count, bucket_edges, pack_counts, pack_keys, unpack_counts, unpack_keys,
 )
+from shelfsight.llm.staging import small_batches
 from shelfsight.llm.textblocks import (
     BLOCK_BYTES, TEXTS, TextBlock, blocks, pack_texts, unpack_texts,
 )
@@ -204,6 +205,7 @@ def score_texts(
     same order both times, as from stored files; else the run fails and says so.
     """
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
+    small_batches(docs.sparkSession)
     buckets = bucket_count(docs.sparkSession)
     asked = docs.mapInArrow(
         partial(_ask, order=order, buckets=buckets, limit=block_bytes), _REQUEST

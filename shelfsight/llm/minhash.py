@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfsight.llm import textscan
-from shelfsight.llm.staging import discard, stage
+from shelfsight.llm.staging import discard, small_batches, stage
 
 #: A pair at 80 % shares no band of the 32 with probability (1 - 0.8**4)**32, 5e-8.
 BANDS, ROWS = 32, 4
@@ -278,6 +278,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     no link between different components is lost.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    small_batches(docs.sparkSession)
     signed = stage(docs.mapInArrow(partial(_sign, k=k), _SIGNATURES))
     classes = (
         signed.where("n_shingles > 0 and doc_id is not null")

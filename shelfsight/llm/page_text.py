@@ -20,6 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from shelfsight.llm.staging import small_batches
+
 #: Pages and rounds of training, and units of either direction.
 LAYOUTS, ROUNDS, UNITS = 700, 14, 16
 
@@ -440,6 +442,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
     text, give an empty text. Ids and urls, null or not, are passed on; repeated rows come
     out as often; an empty table gives an empty table; further columns are not read.
     """
+    small_batches(pages.sparkSession)
     pages = pages.select("page_id", "url", "html")
     id_type = pages.schema["page_id"].dataType.simpleString()
     return pages.mapInArrow(

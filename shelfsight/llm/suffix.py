@@ -30,7 +30,7 @@ from shelfsight.llm import textscan
 from shelfsight.llm.packing import (
     bucket_count, bucket_edges, expand, pack_keys, squeeze, unpack_keys,
 )
-from shelfsight.llm.staging import discard, stage
+from shelfsight.llm.staging import discard, small_batches, stage
 from shelfsight.llm.textblocks import TEXTS, TextBlock, blocks, pack_texts, unpack_texts
 
 WINDOW = 200
@@ -307,6 +307,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLO
     from stored files; else the run fails and says so.
     """
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
+    small_batches(docs.sparkSession)
     buckets = bucket_count(docs.sparkSession)
     texts = docs.mapInArrow(partial(pack_texts, limit=block_bytes), TEXTS)
 

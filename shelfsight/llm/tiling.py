@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfsight.llm import textscan
+from shelfsight.llm.staging import small_batches
 
 MIN_TILE = 5
 #: Documents that only share common phrases with an item stay well below.
@@ -234,6 +235,7 @@ def find_leaks(
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(
         "text is not null"
     )
+    small_batches(docs.sparkSession)
     size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     if size <= broadcast_bytes:
         rows = items.collect()

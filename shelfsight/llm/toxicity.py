@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfsight.llm import textscan
-from shelfsight.llm.staging import discard, stage
+from shelfsight.llm.staging import discard, small_batches, stage
 
 THRESHOLD = 0.7
 #: Labelled texts that the model is fitted on at most, toxic and clean; the first by hash of doc_id.
@@ -146,7 +146,7 @@ class Restorer:
     """Restores words, remembering those seen; the memory is emptied when it is full."""
 
     model: np.ndarray
-    limit: int = 200_000
+    limit: int = 50_000
     _seen: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
     def __getstate__(self):
@@ -328,6 +328,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     Rows without doc_id or toxic are left out; of several labels of one doc_id the larger
     counts. Without labels the model has no words and scores everything alike.
     """
+    small_batches(docs.sparkSession)
     characters = character_model(docs)
     usable = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
@@ -411,6 +412,7 @@ def score_texts(docs: DataFrame, model: Model, into: str = "toxicity") -> DataFr
     Null and empty texts have no words and get the score of texts without any toxic one.
     Rows, repeated ones too, and further columns stay; a column named ``into`` is replaced.
     """
+    small_batches(docs.sparkSession)
     docs = docs.drop(into)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(partial(_score, model=model, into=into), f"{schema}, `{into}` double")
