@@ -19,7 +19,7 @@ BANDS, ROWS = 32, 4
 #: at 80 % the agreement is 102 on average with a deviation of 4.5.
 LEAST_AGREEMENT = 80
 #: Members of a bucket that are compared at once, and bytes of their sets, about.
-BLOCK, BLOCK_BYTES = 512, 8 << 20
+BLOCK, BLOCK_BYTES = 1024, 8 << 20
 #: Bits of the sketch of the doc_ids whose texts are needed again: 8 MB at most, at any size.
 SKETCH_BITS = 26
 
