@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfsight.llm import minhash, mixing, pii, tiling
 from shelfsight.llm import toxicity as toxic
-from shelfsight.llm.staging import stage
+from shelfsight.llm.staging import importable, stage
 
 #: A learnt model, so SQL cannot say which rows stay.
 ORACLE_SQL = None
@@ -58,6 +58,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written as Parquet and read again by the next."""
+    importable(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, apply in STAGES[:-1]:
         docs = stage(apply(spark, docs, sf_dir))

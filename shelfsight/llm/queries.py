@@ -9,9 +9,11 @@ from shelfsight.llm import (
     hosts, lm, minhash, mixing, multi_index, page_text, pii, suffix, tiling, toxicity,
 )
 from shelfsight.llm.oracles import ORACLES  # noqa: F401
+from shelfsight.llm.staging import importable
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
