@@ -44,7 +44,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights: one row per repetition of a document."""
-    return mixing.emit_mix(mixing.mix_documents(docs))
+    return mixing.emit_mix(mixing.draw_documents(docs))
 
 
 STAGES = [

@@ -1,4 +1,8 @@
-"""Mixing sources to target weights: capped water-filling and seeded fractional repetition."""
+"""Mixing sources to target weights: capped water-filling, then seeded repetition.
+
+``mix_documents`` says how many words of each document the weights stand for;
+``draw_documents`` draws whole documents that add up to the same targets.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +13,7 @@ from shelfsight.llm.staging import stage
 from shelfsight.operators.ranking import running_totals
 
 WORD = r"[^\x20\x09-\x0D]+"
+GAP = r"[\x20\x09-\x0D]"
 WEIGHTS = (5, 2, 1)
 
 
@@ -111,6 +116,76 @@ def mix_documents(
     )
 
 
+def draw_documents(
+    docs: DataFrame,
+    seed: int = 7,
+    weights: tuple[int, ...] = WEIGHTS,
+    budget: float = 1.5,
+    max_epochs: int = 2,
+) -> DataFrame:
+    """Every row of ``docs`` with how often the mix repeats it, in whole documents.
+
+    Adds the columns of ``mix_documents``. Every document of a source is repeated
+    mix_target div mix_source_size times. The words that are left are filled with one more
+    repetition of whole documents, in an order drawn by seed, doc_id and text, until the
+    next one does not fit; of that one only the words that are left are taken. So a source
+    gives exactly its target, rounded down, and cuts one document at most.
+
+    Null texts and texts without words take nothing. A null source is a source. Rows that
+    are equal in doc_id and text share what falls to them evenly. Further columns stay;
+    columns named mix_* are replaced.
+    """
+    kept = [c for c in docs.columns if c not in _ADDED]
+    # rows equal in doc_id and text draw alike
+    named = F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"), F.xxhash64("text"))
+    sized = docs.withColumns({"mix_size": word_count(F.col("text")), "__draw": F.md5(named.cast("binary"))})
+    narrow = stage(
+        sized.where(F.col("mix_size") > 0)
+        .groupBy("source", "__draw", "mix_size")
+        .agg(F.count(F.lit(1)).alias("__copies"))
+        .withColumn("__words", F.col("mix_size") * F.col("__copies"))
+    )
+    empty = docs.groupBy("source").agg(F.lit(0).cast("long").alias("source_size"))
+    sizes = (
+        narrow.groupBy("source").agg(F.sum("__words").alias("source_size"))
+        .unionByName(empty).groupBy("source").agg(F.sum("source_size").alias("source_size"))
+    )
+    target = F.floor("target").cast("long")
+    targets = source_targets(sizes, weights, budget, max_epochs).select(
+        F.col("source").alias("__source"),
+        F.col("source_size").alias("__size"),
+        F.col("target").alias("__target"),
+        F.when(F.col("source_size") > 0, F.expr("cast(floor(target) as bigint) div source_size"))
+        .otherwise(F.lit(0)).cast("long").alias("__every"),
+        F.when(F.col("source_size") > 0, target % F.col("source_size")).otherwise(F.lit(0)).alias("__rest"),
+    )
+    targets = stage(targets)
+    own = F.col("source").eqNullSafe(F.col("__source"))
+    last = (
+        running_totals(narrow, [F.col("__draw"), F.col("mix_size")], {"__through": F.col("__words")}, ["source"])
+        .join(targets, own)
+        .where((F.col("__through") > F.col("__rest")) & (F.col("__through") - F.col("__words") <= F.col("__rest")))
+        .select(
+            F.col("source").alias("__of"),
+            F.col("__draw").alias("__last"),
+            F.expr("(__rest - __through + __words) div __copies").alias("__cut"),
+        )
+    )
+    bounds = targets.join(last, F.col("__source").eqNullSafe(F.col("__of")), "left")
+    has_words = F.col("mix_size") > 0
+    once_more = F.when(F.col("__draw") < F.col("__last"), 1).otherwise(0)
+    whole = F.when(has_words, F.col("__every") + once_more).otherwise(F.lit(0)).cast("long")
+    part = F.when(has_words & (F.col("__draw") == F.col("__last")), F.col("__cut")).otherwise(F.lit(0)).cast("long")
+    return (
+        sized.join(bounds, own, "left")
+        .withColumns(
+            {"mix_source_size": F.col("__size"), "mix_target": F.col("__target"), "mix_whole": whole, "mix_part": part}
+        )
+        .withColumn("mix_taken", F.col("mix_whole") * F.col("mix_size") + F.col("mix_part"))
+        .select(*kept, *_ADDED)
+    )
+
+
 _ADDED = (
     "mix_size", "mix_source_size", "mix_target", "mix_taken", "mix_whole", "mix_part",
 )
@@ -119,18 +194,16 @@ _ADDED = (
 def emit_mix(mixed: DataFrame, seed: int = 7) -> DataFrame:
     """The mix itself: one row per repetition, ``repetition`` counted from 1.
 
-    A partial repetition is a run of ``mix_part`` whole words that begins at a seeded word
-    and goes on from the first word at the end; its words are joined by one space.
+    A partial repetition is a run of ``mix_part`` words, begun at a seeded word from which
+    so many follow, with the white space between them as in the text.
     """
     kept = [c for c in mixed.columns if c not in (*_ADDED, "text", "repetition")]
     last = F.col("mix_whole") + F.when(F.col("mix_part") > 0, 1).otherwise(0)
     rows = mixed.where(last > 0).withColumn("repetition", F.explode(F.sequence(F.lit(1), last.cast("int"))))
-    begin = F.floor(uniform(seed + 1, F.col("doc_id")) * F.col("mix_size")).cast("int")
-    listed = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
-    ahead = F.least(F.col("mix_part"), F.col("mix_size") - begin).cast("int")
-    run = F.concat(
-        F.slice(listed, begin + 1, ahead),
-        F.slice(listed, F.lit(1), (F.col("mix_part") - ahead).cast("int")),
-    )
-    text = F.when(F.col("repetition") > F.col("mix_whole"), F.array_join(run, " ")).otherwise(F.col("text"))
+    first = uniform(seed + 1, F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    begin = F.floor(first * (F.col("mix_size") - F.col("mix_part") + 1)).cast("int")
+    listed = F.regexp_extract_all("text", F.lit(f"({GAP}*{WORD})"), F.lit(1))
+    run = F.array_join(F.slice(listed, begin + 1, F.col("mix_part").cast("int")), "")
+    cut = F.regexp_replace(run, f"^{GAP}+", "")
+    text = F.when(F.col("repetition") > F.col("mix_whole"), cut).otherwise(F.col("text"))
     return rows.select(*kept, text.alias("text"), "repetition")

@@ -1,6 +1,7 @@
+import corpus_pipeline
 from pyspark.sql import functions as F
 
-from shelfsight.llm.mixing import emit_mix, mix_documents, source_targets
+from shelfsight.llm.mixing import draw_documents, emit_mix, mix_documents, source_targets
 
 
 def targets(spark, sizes, **kw):
@@ -52,3 +53,37 @@ def test_the_mix_holds_what_was_taken(documents, made):
     words = out.groupBy("doc_id").agg(F.sum(F.size(F.split("text", " "))).alias("n"))
     want = {r.doc_id: r.mix_taken for r in mixed.collect() if r.mix_taken}
     assert {r.doc_id: r.n for r in words.collect()} == want
+
+
+def test_whole_documents_are_drawn_and_one_is_cut(documents, made):
+    docs = documents([(i, made(10 + i % 9, i).replace(" ", "\n", 1), "a" if i < 30 else "bcde"[i % 4]) for i in range(90)])
+    drawn = draw_documents(docs, weights=(1, 9, 9, 9, 1)).cache()
+    rows = drawn.collect()
+    assert sorted(rows) == sorted(draw_documents(docs, weights=(1, 9, 9, 9, 1)).collect())
+    own = [r for r in rows if r.source == "a"]
+    assert own[0].mix_target < own[0].mix_source_size  # less than once: some whole, some not at all
+    assert sum(r.mix_whole == 1 for r in own) > 1 and sum(r.mix_taken == 0 for r in own) > 1
+    for source in "abcde":
+        own = [r for r in rows if r.source == source]
+        assert sum(r.mix_taken for r in own) == int(own[0].mix_target)
+        assert sum(r.mix_part > 0 for r in own) <= 1 and all(r.mix_part < r.mix_size for r in own)
+    texts = {r.doc_id: r.text for r in rows}
+    out = emit_mix(drawn).collect()
+    assert all(r.text in texts[r.doc_id] for r in out)  # cut ones are runs of the text, line ends kept
+    assert sum(r.text != texts[r.doc_id] for r in out) <= 5
+    assert sum(len(r.text.split()) for r in out) == sum(r.mix_taken for r in rows)
+
+
+def test_drawing_nulls_copies_and_nothing(documents):
+    docs = documents([(1, None, None), (2, "", "a"), (None, "x y", "a"), (None, "x y", "a"), (3, "x y z", None), (4, " ", "b")])
+    rows = draw_documents(docs).collect()
+    assert len(rows) == 6 and {r.mix_taken for r in rows if r.mix_size == 0} == {0}
+    assert sum(r.mix_taken for r in rows if r.source is None) == int(next(r for r in rows if r.source is None).mix_target)
+    assert draw_documents(docs.limit(0)).count() == 0
+
+
+def test_the_pipeline_emits_whole_documents(spark, documents, made):
+    docs = documents([(i, made(40, i), "a" if i < 30 else "b") for i in range(40)])
+    texts = {r.text for r in docs.collect()}
+    out = [r.text for r in corpus_pipeline.mix(spark, docs, "").collect()]
+    assert sum(t not in texts for t in out) <= 2
