@@ -44,8 +44,16 @@ SEPARATORS = ".-*_ \t\n,/~·"
 SWAP, DROP_REPEATED, DROP_SEPARATOR = 1.5, 1.0, 0.7
 
 _SYMBOLS = 64
-_SPACED = re.compile(r"(?<!\w)(?:\w[ .\-*_/~·]){2,}\w(?!\w)")
-_ODD = re.compile(r"[^\W\d_][0-9@$!|+€£]+[^\W\d_]|[0-9@$!|+€£][^\W\d_]{2,}|[^\W\d_]{2,}[0-9@$!|+€£]+$|([^\W\d_])\1\1|^\w(?:[.\-*_/~·]\w){2,}$|[^\W\d_][*_\-.]+[^\W\d_]")
+_PAIRS = _SYMBOLS**2
+_LETTER = r"[^\W_]|[" + re.escape("".join(c for c in LEET if not c.isalnum())) + "]"
+#: Single letters, or signs for them, with any separators between.
+_SPACED = re.compile(
+    rf"(?<![^\W_])(?:(?:{_LETTER})[{re.escape(SEPARATORS)}]+){{2,}}(?:{_LETTER})(?![^\W_])"
+)
+#: Finds every string in which _readings offers a choice.
+_SEVERAL = re.compile(
+    rf"[{re.escape(''.join(LEET))}]|(?<=.)[{re.escape(SEPARATORS)}](?=.)|([^\W\d_])\1", re.DOTALL
+)
 _EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 
@@ -62,10 +70,11 @@ def _symbol_table() -> np.ndarray:
 
 
 _TABLE = _symbol_table()
+_LISTED = _TABLE.tolist()
 
 
 def symbol(char: str) -> int:
-    return int(_TABLE[min(ord(char), 0x250)])
+    return _LISTED[min(ord(char), 0x250)]
 
 
 def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,26 +121,40 @@ def _readings(chars: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def decode(chars: str, model: np.ndarray) -> str:
+def _trimmed(token: str) -> str:
+    """A token without the signs at its edges that stand for no letter."""
+    begin, end = 0, len(token)
+    while begin < end and not (token[begin].isalnum() or token[begin] in LEET):
+        begin += 1
+    while begin < end and not (token[end - 1].isalnum() or token[end - 1] in LEET):
+        end -= 1
+    return token[begin:end]
+
+
+def decode(chars: str, model: list[float]) -> str:
     """The likeliest reading of a lower-case string; ties go to the one with fewer changes.
 
-    States are the last two symbols. A sign that is kept breaks the word as a space does.
+    ``model`` is the character model row by row. States are the last two symbols. A sign
+    that is kept breaks the word as a space does.
     """
-    states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
+    # a state is a * _SYMBOLS + b
+    states: dict[int, tuple[float, tuple]] = {0: (0.0, ())}
     for options in _readings(chars):
-        after: dict[tuple[int, int], tuple[float, tuple]] = {}
-        for (a, b), (score, path) in states.items():
-            for reading, cost in options:
+        known = [(r, symbol(r) if r else -1, cost) for r, cost in options]
+        after: dict[int, tuple[float, tuple]] = {}
+        for state, (score, path) in states.items():
+            for reading, c, cost in known:
                 if reading:
-                    c = symbol(reading)
-                    key, value = (b, c), score - cost + float(model[a, b, c])
+                    at = state * _SYMBOLS + c
+                    key, value = at % _PAIRS, score - cost + model[at]
                 else:
-                    key, value = (a, b), score - cost
-                if key not in after or value > after[key][0]:
+                    key, value = state, score - cost
+                held = after.get(key)
+                if held is None or value > held[0]:
                     after[key] = (value, (path, reading))
         states = after
     best = max(
-        ((score + float(model[a, b, 0]), path) for (a, b), (score, path) in states.items()),
+        ((score + model[state * _SYMBOLS], path) for state, (score, path) in states.items()),
         key=lambda x: x[0],
     )[1]
     letters = []
@@ -148,16 +171,20 @@ class Restorer:
     model: np.ndarray
     limit: int = 50_000
     _seen: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    _flat: list[float] = field(default_factory=list)
+
+    def __post_init__(self):
+        self._flat = self.model.ravel().tolist()
 
     def __getstate__(self):
-        return {"model": self.model, "limit": self.limit, "_seen": {}}
+        return {"model": self.model, "limit": self.limit, "_seen": {}, "_flat": self._flat}
 
     def token(self, token: str) -> tuple[str, ...]:
         """The words, lower case and without signs at their edges, that a token is restored to."""
         words = self._seen.get(token)
         if words is None:
-            low = token.lower()
-            read = decode(low, self.model) if _ODD.search(low) else low
+            low = _trimmed(token.lower())
+            read = decode(low, self._flat) if _SEVERAL.search(low) else low
             found = (_EDGES.sub("", w) for w in re.split(r"[^\w'-]+", read))
             words = tuple(w for w in found if len(w) >= PREFIXES[0])
             if len(self._seen) >= self.limit:
@@ -172,7 +199,7 @@ class Restorer:
             out.update(self.token(token))
         for spelled in _SPACED.findall(text):
             # word by word as the decoder closes them
-            read = decode(spelled.lower(), self.model)
+            read = decode(spelled.lower(), self._flat)
             out.update(w for w in re.findall(r"[^\W\d_]+", read) if len(w) >= PREFIXES[0])
         return out
 

@@ -84,3 +84,10 @@ def test_query_on_the_table(spark, sf_dir):
     clean = [p for p, t in out if not t]
     assert len(clean) > 10 and sum(clean) / len(clean) < 0.1
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) for i, r in rows.items())
+
+
+def test_every_lattice_with_several_readings_is_read(corpus):
+    restorer = Restorer(character_model(corpus))
+    for text in ("(1d10t),", "an 1d1ot.", "iddiot", "5tup1d)", "i  d  i  o  t", "i\td\ti\to\tt", "i\nd\ni\no\nt", "i, d, i, o, t", "1 d ! 0 t"):
+        assert "idiot" in restorer.words(text) or "stupid" in restorer.words(text), text
+    assert "stupid" in restorer.words("'stuppid',")
