@@ -127,4 +127,73 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = doc_id
 FROM documents JOIN parts USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
-ORACLES = {"op1_lm_score": _OP1, "op9_minhash": _OP9, "op7_mixing": _OP7, "op10_pii": _op10()}
+
+#: CRC-32 of a text, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+  list_transform(range(1, 2 * octet_length(encode({text})), 2),
+    lambda i: CAST('0x' || substr(hex(encode({text})), i, 2) AS BIGINT))),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+    lambda a, i: xor(a >> 1, 3988292384 * (a & 1)))))"""
+
+
+def _op12() -> str:
+    def field(column):
+        return (
+            f"coalesce(CAST(octet_length(encode(CAST({column} AS VARCHAR))) AS VARCHAR)"
+            f" || ':' || CAST({column} AS VARCHAR), '-')"
+        )
+
+    head = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    crc = _CRC32.format(text="CAST(doc_id AS VARCHAR)")
+
+    def climb(name, first):
+        return f"""{name} AS (
+  {first}
+  UNION ALL
+  SELECT tree, level + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (total + 2) // 3
+  FROM {name} WHERE total > 1 GROUP BY tree, level, pos // 3, total)"""
+
+    def others(nodes):
+        return f"""SELECT n.tree, n.level, n.pos,
+    string_agg(o.digest, '' ORDER BY o.pos) FILTER (WHERE o.pos < n.pos) AS l,
+    string_agg(o.digest, '' ORDER BY o.pos) FILTER (WHERE o.pos > n.pos) AS r
+  FROM {nodes} n JOIN {nodes} o
+    ON o.tree = n.tree AND o.level = n.level AND o.pos // 3 = n.pos // 3
+  WHERE n.total > 1 GROUP BY n.tree, n.level, n.pos"""
+
+    return f"""WITH RECURSIVE hashed AS (
+  SELECT doc_id, source, sha256({head} || {field("text")}) AS leaf,
+    CASE WHEN {crc} % 2 = 0 THEN sha256({head} || {field("replace(text, chr(10), '')")}) END AS claim
+  FROM documents),
+places AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY source) AS total FROM hashed),
+{climb("nodes", "SELECT tree, 0 AS level, pos, leaf AS digest, total FROM places")},
+{climb("tops", """SELECT 0 AS tree, 1000 AS level, tree AS pos, digest,
+    count(*) OVER () AS total FROM nodes WHERE total = 1""")},
+sides AS ({others("nodes")} UNION ALL {others("tops")}),
+ways AS (
+  SELECT tree AS t, pos AS p, 0 AS level, tree, pos, coalesce(claim, leaf) AS digest, '' AS proof FROM places
+  UNION ALL
+  SELECT t, p, CASE WHEN s.level IS NULL THEN 1000 ELSE w.level + 1 END,
+    CASE WHEN s.level IS NULL THEN 0 ELSE w.tree END,
+    CASE WHEN s.level IS NULL THEN w.t ELSE w.pos // 3 END,
+    CASE WHEN s.level IS NULL THEN digest
+      ELSE sha256(coalesce(s.l, '') || digest || coalesce(s.r, '')) END,
+    proof || coalesce(s.l, '') || coalesce(s.r, '')
+  FROM ways w LEFT JOIN sides s ON s.tree = w.tree AND s.level = w.level AND s.pos = w.pos
+  WHERE s.level IS NOT NULL OR w.level < 1000),
+ends AS (SELECT t, p, digest, proof FROM ways
+  QUALIFY row_number() OVER (PARTITION BY t, p ORDER BY level DESC) = 1)
+SELECT doc_id, leaf, n.digest AS subroot, r.digest AS root, sha256(e.proof) AS proof_sha256,
+  e.digest AS folded_root, e.digest = r.digest AS verified
+FROM places a JOIN ends e ON e.t = a.tree AND e.p = a.pos
+JOIN nodes n ON n.tree = a.tree AND n.total = 1
+CROSS JOIN (SELECT digest FROM tops WHERE total = 1) r"""
+
+
+ORACLES = {
+    "op1_lm_score": _OP1, "op9_minhash": _OP9, "op7_mixing": _OP7, "op10_pii": _op10(),
+    "op12_manifest": _op12(),
+}

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfsight.llm import (
-    hosts, lm, minhash, mixing, multi_index, page_text, pii, suffix, tiling, toxicity,
+    hosts, lm, manifest, minhash, mixing, multi_index, page_text, pii, suffix, tiling, toxicity,
 )
 from shelfsight.llm.oracles import ORACLES  # noqa: F401
 from shelfsight.llm.staging import importable
@@ -92,10 +92,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tampered_text() -> Column:
+    """The text of every second document without its line ends, by the checksum of its id."""
+    changes = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    return F.when(changes, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(_table(spark, sf_dir, "documents"), claims={"text": tampered_text()})
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_lm_score, op2_html, op3_suffix, op4_urls, op5_ann,
         op6_toxicity, op7_mixing, op8_tiling, op9_minhash, op10_pii,
+        op12_manifest,
     )
 }

@@ -20,4 +20,4 @@ def test_matches_duckdb(spark, con, sf_dir, name):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
