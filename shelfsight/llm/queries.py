@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfsight.llm import (
-    hosts, lm, manifest, minhash, mixing, multi_index, page_text, pii, suffix, tiling, toxicity,
+    hosts, lm, manifest, minhash, mixing, multi_index, page_text, pii, suffix, tiling, token_fst,
+    toxicity,
 )
 from shelfsight.llm.oracles import ORACLES  # noqa: F401
 from shelfsight.llm.staging import importable
@@ -102,11 +103,18 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(_table(spark, sf_dir, "documents"), claims={"text": tampered_text()})
 
 
+def op13_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_fst.count_tokens(_table(spark, sf_dir, "documents"), path)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_lm_score, op2_html, op3_suffix, op4_urls, op5_ann,
         op6_toxicity, op7_mixing, op8_tiling, op9_minhash, op10_pii,
-        op12_manifest,
+        op12_manifest, op13_tokens,
     )
 }
