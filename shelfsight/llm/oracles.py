@@ -193,7 +193,42 @@ JOIN nodes n ON n.tree = a.tree AND n.total = 1
 CROSS JOIN (SELECT digest FROM tops WHERE total = 1) r"""
 
 
+_OP11 = r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents)
+  GROUP BY ALL),
+hashed AS (SELECT run, times, doc_id || ':' || run AS t FROM runs),
+checked AS (SELECT run, times, {crc} AS h FROM hashed),
+spelt AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+    ELSE run END AS word, times FROM checked),
+words AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM spelt WHERE length(word) >= 5
+  GROUP BY word HAVING sum(times) >= 3),
+cuts AS (
+  SELECT word, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS p FROM words)),
+near AS (
+  SELECT a.word AS a, b.word AS b FROM cuts a JOIN cuts b ON a.p = b.p AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT c.word, w.word FROM cuts c JOIN words w ON w.word = c.rest
+  UNION SELECT w.word, c.word FROM cuts c JOIN words w ON w.word = c.rest),
+best AS (
+  SELECT a, count(*) OVER (PARTITION BY a) AS n_near, b, n AS b_n,
+    row_number() OVER (PARTITION BY a ORDER BY n DESC, b) AS place
+  FROM near JOIN words ON word = b),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN b_n >= 2 * n THEN b END AS form,
+    CASE WHEN b_n >= 2 * n THEN b_n END AS form_n
+  FROM words LEFT JOIN best ON a = word AND place = 1),
+ways AS (
+  SELECT word, word AS here, 0 AS step FROM formed
+  UNION ALL SELECT w.word, f.form, step + 1 FROM ways w JOIN formed f ON f.word = w.here WHERE f.form IS NOT NULL)
+SELECT f.word, form, w.last AS root, n, n_near, form_n
+FROM formed f JOIN (SELECT word, arg_max(here, step) AS last FROM ways GROUP BY word) w ON w.word = f.word
+""".replace("{crc}", _CRC32.format(text="t"))
+
 ORACLES = {
     "op1_lm_score": _OP1, "op9_minhash": _OP9, "op7_mixing": _OP7, "op10_pii": _op10(),
-    "op12_manifest": _op12(),
+    "op11_variants": _OP11, "op12_manifest": _op12(),
 }

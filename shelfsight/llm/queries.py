@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfsight.llm import (
     hosts, lm, manifest, minhash, mixing, multi_index, page_text, pii, suffix, tiling, token_fst,
-    toxicity,
+    toxicity, variants,
 )
 from shelfsight.llm.oracles import ORACLES  # noqa: F401
 from shelfsight.llm.staging import importable
@@ -93,6 +93,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 def tampered_text() -> Column:
     """The text of every second document without its line ends, by the checksum of its id."""
     changes = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
@@ -115,6 +119,6 @@ QUERIES = {
     for f in (
         op1_lm_score, op2_html, op3_suffix, op4_urls, op5_ann,
         op6_toxicity, op7_mixing, op8_tiling, op9_minhash, op10_pii,
-        op12_manifest, op13_tokens,
+        op11_variants, op12_manifest, op13_tokens,
     )
 }
