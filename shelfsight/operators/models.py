@@ -1,4 +1,4 @@
-"""Reorder probability with MLlib: two models, calibration, choice by average precision."""
+"""Reorder probability: two models, calibration, choice by average precision."""
 
 from __future__ import annotations
 
@@ -8,15 +8,14 @@ from dataclasses import dataclass
 from pyspark.ml.classification import (
     LogisticRegression,
     LogisticRegressionModel,
-    RandomForestClassificationModel,
-    RandomForestClassifier,
 )
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfsight.operators import forest as forests
 from shelfsight.operators.ranking import running_totals
 from shelfsight.operators.staging import stage
 from shelfsight.sources.sinks import describe_columns
@@ -79,7 +78,7 @@ class ReorderModels:
     scaler: StandardScalerModel
     logistic: LogisticRegressionModel
     calibration: IsotonicRegressionModel
-    forest: RandomForestClassificationModel
+    forest: forests.Forest
     validation: dict[str, float | None]  # average precision per model
     best: str
 
@@ -103,13 +102,6 @@ def _logistic_scores(df: DataFrame, scaler, logistic, calibration) -> DataFrame:
     return scored.withColumnRenamed("prediction", "score").drop("margin")
 
 
-def _forest_scores(df: DataFrame, forest) -> DataFrame:
-    scored = forest.transform(df)
-    return scored.withColumn("score", vector_to_array(F.col("probability"))[1]).drop(
-        "rawPrediction", "probability", "prediction"
-    )
-
-
 def class_weights(train: DataFrame) -> dict[int, float]:
     """Weights that give both labels half of the total, from one aggregate."""
     positives, total = train.agg(F.count_if(F.col("label") == 1), F.count(F.lit(1))).first()
@@ -135,6 +127,13 @@ def fit_calibration(scored: DataFrame, score: str = "margin") -> IsotonicRegress
     return IsotonicRegression(featuresCol=score, labelCol="target", weightCol="weight").fit(points)
 
 
+def row_key(rows: DataFrame) -> Column:
+    """What tells training rows apart: account and as-of date, or their place if they have none."""
+    if {"account_id", "asof_date"} <= set(rows.columns):
+        return F.concat_ws("|", "account_id", "asof_date")
+    return F.monotonically_increasing_id().cast("string")
+
+
 def train_reorder_models(
     train: DataFrame,
     valid: DataFrame,
@@ -145,17 +144,16 @@ def train_reorder_models(
 ) -> ReorderModels:
     """Fit both models on ``train``, calibrate and choose on ``valid`` (runs jobs).
 
-    The inputs are written out once, since every iteration reads them again. Trees need
-    a depth limit here: the level-wise training keeps statistics per open node, so its
-    cost grows with the number of nodes and not only with the rows. Published settings
-    that this forest does not have are a least number of rows to split a node, and class
-    weights drawn anew for each tree.
+    The inputs are written out once, since every iteration reads them again. The forest has
+    the published settings: class weights of each tree's own sample, no split below five rows,
+    two rows on each side at least. Only its depth is limited, because a forest without a limit
+    grows with the rows.
 
     The choice by average precision reads the same rows that calibrated the logistic model,
     so it flatters that model a little, as the published choice does.
     """
     columns = [*features, "label"]
-    train = stage(train.select(columns))
+    train = stage(train.select(*columns, row_key(train).alias("row_key")))
     valid = stage(valid.select(columns))
 
     weights = class_weights(train)
@@ -179,21 +177,14 @@ def train_reorder_models(
     checked = assembled(valid, features)
     calibration = fit_calibration(_with_margin(checked, scaler, logistic))
 
-    forest = RandomForestClassifier(
-        featuresCol="raw",
-        labelCol="target",
-        weightCol="weight",
-        numTrees=num_trees,
-        maxDepth=max_depth,
-        minInstancesPerNode=2,
-        maxMemoryInMB=1024,
-        seed=seed,
-    ).fit(weighted)
+    forest = forests.fit_forest(
+        train, features, F.col("row_key"), num_trees=num_trees, max_depth=max_depth, seed=seed
+    )
 
     validation = _precision(
         {
             "logreg": _logistic_scores(checked, scaler, logistic, calibration),
-            "rf": _forest_scores(checked, forest),
+            "rf": forests.score(forest, checked),
         }
     )
     best = max(validation, key=lambda name: -1.0 if validation[name] is None else validation[name])
@@ -224,7 +215,7 @@ def score(models: ReorderModels, df: DataFrame, model: str | None = None) -> Dat
     if name == "logreg":
         scored = _logistic_scores(ready, models.scaler, models.logistic, models.calibration)
     elif name == "rf":
-        scored = _forest_scores(ready, models.forest)
+        scored = forests.score(models.forest, ready)
     else:
         raise ValueError(f"unknown model {name!r}")
     return scored.drop("raw")
