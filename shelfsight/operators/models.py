@@ -5,17 +5,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import (
     LogisticRegression,
     LogisticRegressionModel,
 )
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfsight.operators import forest as forests
+from shelfsight.operators.isotonic import isotonic_fit, pools
 from shelfsight.operators.ranking import running_totals
 from shelfsight.operators.staging import stage
 from shelfsight.sources.sinks import describe_columns
@@ -72,12 +74,29 @@ def rank_metrics(
     )
 
 
+@dataclass(frozen=True)
+class Calibration:
+    """A non-decreasing step fit: straight between its pools, level beyond them."""
+
+    scores: np.ndarray
+    values: np.ndarray
+
+    def apply(self, score: Column) -> Column:
+        scores, values = self.scores, self.values
+
+        @F.pandas_udf("double")
+        def calibrated(column: pd.Series) -> pd.Series:
+            return pd.Series(np.interp(column.to_numpy(float), scores, values))
+
+        return calibrated(score)
+
+
 @dataclass(frozen=True)
 class ReorderModels:
     features: tuple[str, ...]
     scaler: StandardScalerModel
     logistic: LogisticRegressionModel
-    calibration: IsotonicRegressionModel
+    calibration: Calibration
     forest: forests.Forest
     validation: dict[str, float | None]  # average precision per model
     best: str
@@ -98,8 +117,8 @@ def _with_margin(df: DataFrame, scaler, logistic) -> DataFrame:
 
 
 def _logistic_scores(df: DataFrame, scaler, logistic, calibration) -> DataFrame:
-    scored = calibration.transform(_with_margin(df, scaler, logistic))
-    return scored.withColumnRenamed("prediction", "score").drop("margin")
+    scored = _with_margin(df, scaler, logistic)
+    return scored.withColumn("score", calibration.apply(F.col("margin"))).drop("margin")
 
 
 def class_weights(train: DataFrame) -> dict[int, float]:
@@ -116,15 +135,17 @@ def fit_scaler(rows: DataFrame) -> StandardScalerModel:
     return scaler.fit(rows)
 
 
-def fit_calibration(scored: DataFrame, score: str = "margin") -> IsotonicRegressionModel:
-    """Isotonic fit of label on a score, equal scores taken together first.
+def fit_calibration(scored: DataFrame, score: str = "margin") -> Calibration:
+    """Isotonic fit of label on a score (runs jobs).
 
-    Spark pools neighbours inside range partitions before the rest meets in the driver.
+    Only the pools of the finished fit reach the driver. Their means are rising fractions whose
+    denominators add up to the number of rows, so n rows have some n ** (2 / 3) pools at most.
     """
-    points = scored.groupBy(score).agg(
-        F.avg("label").alias("target"), F.count(F.lit(1)).cast("double").alias("weight")
-    )
-    return IsotonicRegression(featuresCol=score, labelCol="target", weightCol="weight").fit(points)
+    rows = pools(isotonic_fit(scored, score)).orderBy("low").collect()
+    ends = [(at, row.calibrated) for row in rows for at in sorted({row.low, row.high})]
+    if not ends:
+        raise ValueError("calibration needs scored rows with labels")
+    return Calibration(*np.array(ends).T)
 
 
 def row_key(rows: DataFrame) -> Column:

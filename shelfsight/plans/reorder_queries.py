@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfsight.functions import net_revenue, round_half_up
 from shelfsight.operators import models, reorder
+from shelfsight.operators.isotonic import isotonic_fit
 from shelfsight.plans.forecast_queries import _round
 from shelfsight.operators.staging import stage
 from shelfsight.plans.inputs import transactions, transactions_sql, with_tables
@@ -294,9 +295,9 @@ def rank_metrics(spark, sf):
         _SCORED,
         """pooled AS (SELECT x, weight, y, n, sum(y) OVER (ORDER BY n) AS sy,
             sum(weight) OVER (ORDER BY n) AS sw
-          FROM (SELECT round(score, 1) AS x, CAST(count(*) AS DOUBLE) AS weight,
-              CAST(sum(label) AS DOUBLE) AS y, row_number() OVER (ORDER BY round(score, 1)) AS n
-            FROM scored GROUP BY round(score, 1)) g)""",
+          FROM (SELECT score AS x, CAST(count(*) AS DOUBLE) AS weight,
+              CAST(sum(label) AS DOUBLE) AS y, row_number() OVER (ORDER BY score) AS n
+            FROM scored GROUP BY score) g)""",
         **_TX,
     ),
 )
@@ -304,12 +305,8 @@ def calibration_fit(spark, sf):
     """Isotonic fit of the label on a fixed score, checked by the max-min formula."""
     dataset = _dataset(spark, sf).where("label_complete")
     score = round_half_up(F.col("orders_90d") / (1 + F.col("days_since_last")), 4)
-    scored = stage(dataset.select("label", F.round(score, 1).alias("score")))
-    fitted = models.fit_calibration(scored, "score")
-    points = scored.groupBy("score").agg(F.count(F.lit(1)).cast("double").alias("weight"))
-    return fitted.transform(points).select(
-        "score", "weight", round_half_up(F.col("prediction"), 6).alias("calibrated")
-    )
+    fitted = isotonic_fit(dataset.select("label", score.alias("score")))
+    return fitted.withColumn("calibrated", round_half_up(F.col("calibrated"), 6))
 
 
 _STATS = ", ".join(f"stddev_samp({f}) AS {f}" for f in reorder.FEATURES)
