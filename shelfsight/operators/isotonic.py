@@ -59,7 +59,7 @@ def _corners(diagram: DataFrame) -> DataFrame:
         )
         staged.append(lowest)
         split = stretches.join(lowest, _STRETCH, "left")
-        settled.append(stage(split.where("cut_w IS NULL").select(*_STRETCH)))
+        settled.append(split.where("cut_w IS NULL").select(*_STRETCH))
         if lowest.isEmpty():
             break
         halves = [("low_w", "low_y", "cut_w", "cut_y"), ("cut_w", "cut_y", "high_w", "high_y")]
@@ -77,7 +77,7 @@ def _corners(diagram: DataFrame) -> DataFrame:
     for part in settled[1:]:
         out = out.unionByName(part)
     out = stage(out)
-    discard(*staged, *settled)
+    discard(*staged)
     return out
 
 

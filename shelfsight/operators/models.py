@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -13,7 +14,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfsight.operators import forest as forests
@@ -36,6 +37,8 @@ DIAGNOSTICS = (
     "is_severely_overdue",
     "is_high_frequency",
 )
+#: The split whose average precision chooses the model.
+CHOOSING = "valid"
 # What a reader of the predictions needs to know about them.
 DESCRIPTIONS = {
     "account_id": "Account the prediction is for",
@@ -148,6 +151,72 @@ def fit_calibration(scored: DataFrame, score: str = "margin") -> Calibration:
     return Calibration(*np.array(ends).T)
 
 
+def fit_logistic(
+    train: DataFrame, features: Sequence[str]
+) -> tuple[StandardScalerModel, LogisticRegressionModel]:
+    """Logistic regression with balanced labels and a penalty of half the squared coefficients.
+
+    The penalty weighs as much as one row, so its share falls with the number of rows.
+    """
+    weights = class_weights(train)
+    weighted = assembled(train, features).withColumns(
+        {"weight": _weight(weights), "target": F.col("label").cast("double")}
+    )
+    scaler = fit_scaler(weighted)
+    logistic = LogisticRegression(
+        featuresCol="scaled",
+        labelCol="target",
+        weightCol="weight",
+        maxIter=1000,
+        tol=1e-10,
+        regParam=1.0 / train.count(),
+        standardization=False,
+    ).fit(scaler.transform(weighted))
+    return scaler, logistic
+
+
+def _weight(weights: dict[int, float]) -> Column:
+    return F.when(F.col("label") == 1, weights[1]).otherwise(weights[0])
+
+
+def logistic_optimality(
+    train: DataFrame,
+    features: Sequence[str],
+    scaler: StandardScalerModel,
+    logistic: LogisticRegressionModel,
+) -> DataFrame:
+    """``term, coefficient, observed, gradient``: how far the fit is from the best one.
+
+    The loss is convex, so the fit is the best exactly if its gradient is 0 in every term:
+    the weighted mean of (probability - label) times the scaled feature, plus the penalty's
+    part. ``observed`` is the weighted mean of label times scaled feature, which does not
+    depend on the fit. One aggregate over the rows, from the features themselves.
+    """
+    weight = _weight(class_weights(train))
+    penalty = logistic.getRegParam()
+    spread = [float(v) for v in scaler.std]
+    factors = [float(v) for v in logistic.coefficients]
+    terms = [
+        ("(intercept)", float(logistic.intercept), F.lit(1.0), 0.0),
+        *((f, c, F.col(f) / s if s > 0 else F.lit(0.0), penalty * c)
+          for f, c, s in zip(features, factors, spread, strict=True)),
+    ]
+    margin = sum((F.lit(c) * x for _, c, x, _ in terms[1:]), F.lit(terms[0][1]))
+    rows = train.select(
+        weight.alias("w"), F.col("label").cast("double").alias("y"),
+        (1 / (1 + F.exp(-margin))).alias("p"), *(x.alias(f"x{i}") for i, (_, _, x, _) in enumerate(terms)),
+    )
+    total = F.sum("w")
+    sums = rows.agg(
+        *(F.struct(
+            F.lit(name).alias("term"), F.lit(c).alias("coefficient"),
+            (F.sum(F.col("w") * F.col("y") * F.col(f"x{i}")) / total).alias("observed"),
+            (F.sum(F.col("w") * (F.col("p") - F.col("y")) * F.col(f"x{i}")) / total + own).alias("gradient"),
+        ).alias(f"t{i}") for i, (name, c, _, own) in enumerate(terms))
+    )
+    return sums.select(F.inline(F.array(*(F.col(f"t{i}") for i in range(len(terms))))))
+
+
 def row_key(rows: DataFrame) -> Column:
     """What tells training rows apart: account and as-of date, or their place if they have none."""
     if {"account_id", "asof_date"} <= set(rows.columns):
@@ -177,24 +246,7 @@ def train_reorder_models(
     train = stage(train.select(*columns, row_key(train).alias("row_key")))
     valid = stage(valid.select(columns))
 
-    weights = class_weights(train)
-    weighted = assembled(train, features).withColumns(
-        {
-            "weight": F.when(F.col("label") == 1, weights[1]).otherwise(weights[0]),
-            "target": F.col("label").cast("double"),
-        }
-    )
-    total = train.count()
-    scaler = fit_scaler(weighted)
-    logistic = LogisticRegression(
-        featuresCol="scaled",
-        labelCol="target",
-        weightCol="weight",
-        maxIter=1000,
-        regParam=1.0 / total,
-        standardization=False,
-    ).fit(scaler.transform(weighted))
-
+    scaler, logistic = fit_logistic(train, features)
     checked = assembled(valid, features)
     calibration = fit_calibration(_with_margin(checked, scaler, logistic))
 
@@ -202,31 +254,37 @@ def train_reorder_models(
         train, features, F.col("row_key"), num_trees=num_trees, max_depth=max_depth, seed=seed
     )
 
-    validation = _precision(
+    evaluation = evaluate_scores(
         {
-            "logreg": _logistic_scores(checked, scaler, logistic, calibration),
-            "rf": forests.score(forest, checked),
+            ("logreg", CHOOSING): _logistic_scores(checked, scaler, logistic, calibration),
+            ("rf", CHOOSING): forests.score(forest, checked),
         }
-    )
-    best = max(validation, key=lambda name: -1.0 if validation[name] is None else validation[name])
+    ).collect()
+    validation = {row.model: row.pr_auc for row in evaluation}
+    best = next(row.model for row in evaluation if row.chosen)
     return ReorderModels(
         tuple(features), scaler, logistic, calibration, forest, validation, best
     )
 
 
-def _stacked(scored: dict[str, DataFrame]) -> DataFrame:
+def evaluate_scores(scored: dict[tuple[str, str], DataFrame]) -> DataFrame:
+    """``model, split, positives, negatives, auc, pr_auc, chosen`` of scored and labelled rows.
+
+    Keys are (model, split). All parts are ranked together, by model and split. Chosen is the
+    model with the best average precision on the split CHOOSING: one that has none comes last,
+    and of equal ones the first by name. A part without rows has no line.
+    """
     parts = [
-        df.select(F.lit(name).alias("model"), "label", "score") for name, df in scored.items()
+        df.select(F.lit(model).alias("model"), F.lit(split).alias("split"), "label", "score")
+        for (model, split), df in scored.items()
     ]
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part)
-    return stacked
-
-
-def _precision(scored: dict[str, DataFrame]) -> dict[str, float | None]:
-    rows = rank_metrics(_stacked(scored), by=["model"]).collect()
-    return {row["model"]: row["pr_auc"] for row in rows}
+    metrics = rank_metrics(reduce(DataFrame.unionByName, parts), by=["model", "split"])
+    order = F.struct((-F.coalesce("pr_auc", F.lit(-1.0))).alias("o"), F.col("model").alias("m"))
+    best = F.min(F.when(F.col("split") == CHOOSING, order)).over(Window.partitionBy(F.lit(0)))
+    return metrics.select(
+        "model", "split", "positives", "negatives", "auc", "pr_auc",
+        F.coalesce(F.col("model") == best["m"], F.lit(False)).alias("chosen"),
+    )
 
 
 def score(models: ReorderModels, df: DataFrame, model: str | None = None) -> DataFrame:
@@ -243,23 +301,19 @@ def score(models: ReorderModels, df: DataFrame, model: str | None = None) -> Dat
 
 
 def evaluate_models(models: ReorderModels, splits: dict[str, DataFrame]) -> DataFrame:
-    """AUC and average precision per model and split."""
-    parts = {
-        f"{name}|{split}": score(models, df, name)
-        for split, df in splits.items()
-        for name in ("logreg", "rf")
-    }
-    metrics = rank_metrics(_stacked(parts), by=["model"])
-    return metrics.select(
-        F.split_part("model", F.lit("|"), F.lit(1)).alias("model"),
-        F.split_part("model", F.lit("|"), F.lit(2)).alias("split"),
-        "auc",
-        "pr_auc",
+    """AUC and average precision of both models per split, see ``evaluate_scores``."""
+    return evaluate_scores(
+        {(name, split): score(models, df, name) for split, df in splits.items() for name in ("logreg", "rf")}
     )
 
 
+def risk_order(horizon: int = 60) -> list[Column]:
+    """The order of the risk list: falling probability, then account."""
+    return [F.col(f"risk_prob_reorder_{horizon}d").desc_nulls_last(), F.col("account_id").asc_nulls_first()]
+
+
 def churn_predictions(models: ReorderModels, latest: DataFrame, horizon: int = 60) -> DataFrame:
-    """Diagnostics and reorder probability per account. Sort at the sink.
+    """Diagnostics and reorder probability per account. Sort at the sink, by ``risk_order``.
 
     The name of the last column says risk, but it is the probability that the account
     does order again.

@@ -122,15 +122,20 @@ def paid_invoices(
         return F.sum(F.coalesce(column, F.lit(0)))
 
     passed = {product: "product_name", sales_rep: "sales_rep"}
+    texts = [F.col(c).alias(name) for c, name in passed.items() if c in lines.columns]
+    # first by the texts as well: sums over plain keys are hash aggregates that combine before
+    # the shuffle, so an invoice of very many lines moves as few rows; the texts' minima, which
+    # need sorting, then see one row per text
+    by_text = lines.groupBy(*keys, F.col(day).alias("invoice_date"), *texts).agg(
+        total(revenue).alias("revenue"), total(quantity).alias("units")
+    )
+    names_kept = [c for c in by_text.columns if c not in (*passed.values(), "revenue", "units")]
     return (
-        # texts make this a sort aggregate: dealt out first, the lines are sorted once, not
-        # before and after the shuffle; invoices are nearly as many as lines
-        lines.repartition(*(F.col(c) for c in names if c in lines.columns), F.col(day))
-        .groupBy(*keys, F.col(day).alias("invoice_date"))
+        by_text.groupBy(*names_kept)
         .agg(
-            total(revenue).alias("revenue"),
-            total(quantity).alias("units"),
-            *(F.min(c).alias(name) for c, name in passed.items() if c in lines.columns),
+            F.sum("revenue").alias("revenue"),
+            F.sum("units").alias("units"),
+            *(F.min(name).alias(name) for c, name in passed.items() if c in lines.columns),
         )
         .where(F.col("revenue") > 0)
     )

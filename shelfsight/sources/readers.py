@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,30 +112,64 @@ def rejected_cells(
     )
 
 
-def _by_header(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
-    """The files of a path, grouped by their header; reads one line of each."""
-    files = spark.read.format("binaryFile").load(path).select("path")
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for row in files.orderBy("path").collect():
-        header = spark.read.csv(row.path, header=True, inferSchema=False).columns
-        groups.setdefault(tuple(header), []).append(row.path)
-    return groups
+_FIELD = r'("(?:[^"]|"")*"|[^,]*)(?:,|$)'
+
+
+def csv_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``file, header``: the column names of each CSV file, found in one distributed read.
+
+    Rows of a file's first block are numbered by the task that reads them; the first of them
+    is found by an aggregate per file, of which little moves.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+        "value",
+    )
+    first = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "row").alias("line"))
+    line = F.regexp_replace("line", "^\\ufeff", "")
+    # a pattern that may end in nothing also matches after the last field
+    fields = F.regexp_extract_all(line, F.lit(_FIELD), F.lit(1))
+    count = F.size(fields) - F.when(F.endswith(line, F.lit(",")), 0).otherwise(1)
+    whole = F.transform(
+        F.slice(fields, F.lit(1), F.greatest(count, F.lit(1))),
+        lambda f: F.when(
+            f.startswith('"'), F.replace(F.substr(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))
+        ).otherwise(f),
+    )
+    return first.select("file", whole.alias("header"))
 
 
 def _read_csv_by_name(
-    spark: SparkSession, path: str | list[str], types: Mapping[str, T.DataType], *more: Column
+    spark: SparkSession, path: str | list[str], names: Sequence[str], *more: Column
 ) -> DataFrame:
-    """CSV files with headers as one table by column name, whatever each file's order.
+    """CSV files with headers as one table of text by column name, whatever each file's order.
 
-    Columns are text unless ``types`` has theirs; a column that a file lacks is NULL there.
+    One job finds how wide the widest header is; after it the files are read once more, by
+    position, and every row looks its columns up in its own file's header. A column that a
+    file lacks is NULL there. A file without a header line has no rows.
     """
-    parts = []
-    for header, files in _by_header(spark, path).items():
-        schema = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in header])
-        parts.append(spark.read.schema(schema).csv(files, header=True).select("*", *more))
-    if not parts:
-        raise FileNotFoundError(f"no CSV file at {path}")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    headers = csv_headers(spark, path)
+    widest = headers.agg(F.max(F.size("header"))).first()[0]
+    if widest is None:
+        raise FileNotFoundError(f"no CSV file with a header at {path}")
+    positions = [f"_c{i}" for i in range(widest)]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in positions])
+    rows = spark.read.schema(schema).csv(path, header=True).select(
+        F.array(*positions).alias("__cells"), F.col("_metadata.file_path").alias("__file"), *more
+    )
+    places = headers.select(
+        F.col("file").alias("__of"),
+        *(F.nullif(F.array_position("header", F.lit(name)), F.lit(0)).cast("int").alias(f"__at_{i}")
+          for i, name in enumerate(names)),
+    )
+    found = rows.join(places, F.col("__file") == F.col("__of"))
+    kept = [c for c in rows.columns if c not in ("__cells", "__file")]
+    return found.select(
+        *(F.try_element_at("__cells", F.col(f"__at_{i}")).alias(name) for i, name in enumerate(names)),
+        *kept,
+    )
 
 
 def csv_coerced_scan(
@@ -147,7 +180,8 @@ def csv_coerced_scan(
     date_formats: Sequence[str] = (ISO_DATE,),
 ) -> DataFrame:
     """CSV with headers, read as text by column name and coerced, so bad cells never fail it."""
-    return coerce_strings(_read_csv_by_name(spark, path, {}), schema, fill, date_formats)
+    texts = _read_csv_by_name(spark, path, schema.fieldNames())
+    return coerce_strings(texts, schema, fill, date_formats)
 
 
 def scan_month_files(
@@ -167,13 +201,9 @@ def scan_month_files(
         F.lit("1"),
     )
     month = F.to_date(text, "yyyy MMMM d").alias("__month")
-    table = _read_csv_by_name(spark, pattern, {f.name: f.dataType for f in schema}, month)
+    table = _read_csv_by_name(spark, pattern, schema.fieldNames(), month)
     return table.select(
-        F.col("__month").alias("month"),
-        *(
-            F.col(f.name) if f.name in table.columns else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in schema
-        ),
+        F.col("__month").alias("month"), *(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema)
     )
 
 
@@ -208,6 +238,11 @@ def inventory_explode(
         .select(_document_month(F.col("__key"), year).alias("month"), "__month.products")
         .select("month", F.inline("products"))
     )
+    return _snapshot_rows(products)
+
+
+def _snapshot_rows(products: DataFrame) -> DataFrame:
+    """Products under the names of the snapshot table, with the defaults of the format."""
     return products.select(
         "month",
         "sku",
@@ -220,12 +255,79 @@ def inventory_explode(
     )
 
 
+# Parts of a document's text, in order of trial. A flat object holds no other one.
+_STRING = r'"(?:[^"\\\\]++|\\\\.)*+"'.replace("\\\\", "\\")
+_FLAT = r"\{(?:[^\"{}]++|" + _STRING + r")*+\}"
+_TOKEN = f"(?s){_STRING}\\s*+:\\s*+(?:{_FLAT}|\\{{)?|{_STRING}|{_FLAT}"
+_OPENS = f"(?s)^({_STRING})\\s*+:\\s*+\\{{$"
+
+
+def _object_start(spark: SparkSession, path: str) -> str | None:
+    """The text with which the first product begins, up to and with its first quotation mark.
+
+    It ends in an opening brace, white space and a quotation mark, which no place inside a
+    string of the document can hold together with the name that follows.
+    """
+    pieces = [row.value for row in spark.read.text(path, lineSep='"').limit(64).collect()]
+    for between, name in zip(pieces[::2], pieces[1::2], strict=False):
+        if "[" in between and "{" in between.rpartition("[")[2]:
+            return between[between.rindex("{") :] + f'"{name}"'
+    return None
+
+
+def _split_document(spark: SparkSession, path: str, year: int | None) -> DataFrame:
+    """Snapshot rows of one file that holds one document, read by many tasks.
+
+    The file is cut at the beginnings of products. Every record is taken apart into keys that
+    open an object and into objects; the month is the last key that opened one, carried over
+    from block to block by one row per block.
+    """
+    start = _object_start(spark, path)
+    if start is None:
+        reader, text = spark.read.option("wholetext", True), F.col("value")
+    else:  # only what stands before the first product does not go on with a colon
+        reader = spark.read.option("lineSep", start)
+        text = F.when(F.col("value").rlike(r"^\s*:"), F.concat(F.lit(start), "value")).otherwise(F.col("value"))
+    records = reader.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+        text.alias("text"),
+    )
+    tokens = records.select(
+        "file", "block", "row", F.posexplode(F.regexp_extract_all("text", F.lit(_TOKEN), F.lit(0))).alias("at", "token")
+    )
+    opens = F.regexp_extract("token", _OPENS, 1)
+    marked = tokens.select(
+        "file", "block", "row", "at",
+        F.when(opens != "", F.from_json(F.concat(F.lit("["), opens, F.lit("]")), "array<string>")[0]).alias("key"),
+        F.when(F.col("token").startswith("{"), F.from_json("token", schemas.INVENTORY_PRODUCT)).alias("product"),
+    )
+    last = marked.groupBy("file", "block").agg(F.max_by("key", F.when(F.col("key").isNotNull(), F.struct("row", "at"))).alias("last"))
+    before = last.select(
+        F.col("file").alias("f"), F.col("block").alias("b"),
+        F.last("last", ignorenulls=True).over(
+            Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+        ).alias("earlier"),
+    )
+    inside = Window.partitionBy("file", "block").orderBy("row", "at").rowsBetween(Window.unboundedPreceding, 0)
+    carried = marked.withColumn("own", F.last("key", ignorenulls=True).over(inside)).join(
+        before, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b"))
+    )
+    month = _document_month(F.coalesce("own", "earlier"), year)
+    return _snapshot_rows(carried.where("product IS NOT NULL").select(month.alias("month"), "product.*"))
+
+
 def read_inventory_documents(
     spark: SparkSession, path: str, year: int | None = None, multi_line: bool = False
 ) -> DataFrame:
     """Snapshot rows of inventory document files, one document per line.
 
-    ``multi_line`` reads a whole file as one document, which is one task and one row.
+    With ``multi_line`` each file is one document, however it is laid out, and is read in
+    blocks by many tasks. Products must then be flat objects that begin with the same field,
+    written the same way throughout, as one program writes them.
     """
-    documents = spark.read.schema(schemas.INVENTORY_DOCUMENT).json(path, multiLine=multi_line)
+    if multi_line:
+        return _split_document(spark, path, year)
+    documents = spark.read.schema(schemas.INVENTORY_DOCUMENT).json(path)
     return inventory_explode(documents, year=year)
