@@ -3,6 +3,8 @@
 from shelfsight.plans import (  # noqa: F401  (importing registers the queries)
     forecast_queries,
     inventory_queries,
+    io_queries,
+    model_queries,
     reorder_queries,
     sales_queries,
     series_queries,

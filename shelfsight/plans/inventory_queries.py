@@ -312,4 +312,8 @@ runs AS (
     "oos_from_snapshots", with_tables("SELECT * FROM runs", _SNAP_RUNS, snap=SNAPSHOT_SQL)
 )
 def oos_from_snapshots(spark, sf):
-    return oos.oos_from_snapshots(read(spark, sf, SNAPSHOT_SQL))
+    # a snapshot has the months of the lines, whose dates are one narrow column
+    months = spark.read.parquet(f"{sf}/lineitem.parquet").select(
+        F.trunc("l_shipdate", "month").cast("date").alias("month")
+    )
+    return oos.oos_from_snapshots(read(spark, sf, SNAPSHOT_SQL), oos.month_positions(months))

@@ -59,20 +59,17 @@ def monthly_by_key(spark, sf):
     return _cuts(_finest(spark, sf))
 
 
-def _finest(spark, sf, paid_only=False):
-    lines = _lines(spark, sf)
-    if paid_only:
-        lines = lines.where(F.col("revenue") > 0)
+def _finest(spark, sf):
     return (
-        lines
+        _lines(spark, sf)
         .groupBy("product_name", "distributor", "sales_rep", F.trunc("posting_date", "MM").alias("posting_date"))
         .agg(F.sum("revenue").alias("revenue"))
     )
 
 
-def _cuts(fine):
+def _cuts(lines, paid_only=False):
     cuts = [
-        series.monthly_by_key(fine, g).select(
+        series.monthly_by_key(lines, g, paid_only=paid_only).select(
             F.lit(g).alias("key_type"),
             series.key_label(g).alias("key_id"),
             "month",
@@ -97,7 +94,7 @@ def _cuts(fine):
 )
 def monthly_by_key_paid(spark, sf):
     """The same over lines with positive revenue only."""
-    return _cuts(_finest(spark, sf, paid_only=True))
+    return _cuts(_lines(spark, sf), paid_only=True)
 
 
 def _fill_sql(source: str, keys: str) -> str:

@@ -185,15 +185,15 @@ def csv_coerced_scan(
 
 
 def scan_month_files(
-    spark: SparkSession, pattern: str, schema: T.StructType, name_pattern: str
+    spark: SparkSession, pattern: str, schema: T.StructType, name_pattern: str, by_path: bool = False
 ) -> DataFrame:
     """One file per month in one table; ``month`` comes from the file name.
 
     Files are matched by column name: their orders may differ, further columns are left
     out, and one that a file lacks is NULL. ``name_pattern`` is a regular expression with
-    two groups, month name and year.
+    two groups, month name and year; ``by_path`` looks for it in the whole path.
     """
-    name = F.col("_metadata.file_name")
+    name = F.col("_metadata.file_path" if by_path else "_metadata.file_name")
     text = F.concat_ws(
         " ",
         F.regexp_extract(name, name_pattern, 2),
