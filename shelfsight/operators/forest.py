@@ -296,26 +296,25 @@ def tree_weights(rows: DataFrame, trees: int, label: str, key: Column) -> DataFr
 
     A label that a sample lacks has no weight.
     """
-    importable(rows.sparkSession)
     a, b = draw_numbers(key)
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((3, trees), np.int64)
-        for batch in batches:
-            y, a, b = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            for tree in range(trees):
-                drawn = _drawn(a, b, tree)
-                sums[:, tree] += (drawn > 0).sum(), drawn[y == 0].sum(), drawn[y == 1].sum()
-        names = ["tree", "rows", "zeros", "ones"]
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(trees, dtype=np.int32)), *map(pa.array, sums)], names)
-
-    picked = rows.select(F.col(label).cast("int").alias("y"), a.alias("a"), b.alias("b"))
-    parts = picked.mapInArrow(counted, "tree int, rows long, zeros long, ones long")
-    sums = parts.groupBy("tree").agg(*(F.sum(c).alias(c) for c in ("rows", "zeros", "ones")))
-    drawn = F.col("zeros") + F.col("ones")
+    drawn = (F.col("a") * (F.col("tree") + 1) + F.col("b")) % PRIME
+    times = sum(((F.col("drawn") >= bound).cast("long") for bound in POISSON), F.lit(0).cast("long"))
+    sums = (
+        rows.select(F.col(label).cast("int").alias("y"), a.alias("a"), b.alias("b"))
+        .withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        .select("tree", "y", drawn.alias("drawn"))
+        .select("tree", "y", times.alias("k"))
+        .groupBy("tree")
+        .agg(
+            F.count_if(F.col("k") > 0).alias("rows"),
+            F.sum(F.when(F.col("y") == 0, F.col("k")).otherwise(0)).alias("zeros"),
+            F.sum(F.when(F.col("y") == 1, F.col("k")).otherwise(0)).alias("ones"),
+        )
+    )
+    total = F.col("zeros") + F.col("ones")
     return sums.select(
         "tree", "rows", "zeros", "ones",
-        *(F.when(F.col(c) > 0, drawn / (2 * F.col(c))).otherwise(0.0).alias(f"weight_{i}")
+        *(F.when(F.col(c) > 0, total / (2 * F.col(c))).otherwise(0.0).alias(f"weight_{i}")
           for i, c in enumerate(("zeros", "ones"))),
     )
 

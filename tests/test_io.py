@@ -123,3 +123,88 @@ def test_dictionary_lists_described_columns(spark):
     assert [tuple(r) for r in sinks.output_dictionary(df).collect()] == [("b", "second")]
     with pytest.raises(ValueError):
         sinks.describe_columns(df, {"missing": "x"})
+
+
+def one_document(months):
+    return {"made": "x [{ y", "months": {
+        key: {"products": [{"sku": f"{key}-{i}", "productName": f'n{i} {{"sku": }} "[{{', "qtyAvailable": i,
+                            "atRisk": i % 2 == 0, "velocityMonthly": None} for i in range(n)]}
+        for key, n in months.items()}}
+
+
+@pytest.mark.parametrize("layout", [{}, {"indent": 2}, {"separators": (",", ":")}])
+def test_one_document_is_read_by_many_tasks(spark, tmp_path, layout):
+    months = {f"2024-{m:02d}": 40 * (m % 4) for m in range(2, 13)} | {"Later": 3}
+    document = one_document(months)
+    path = tmp_path / "all.json"
+    path.write_text(json.dumps(document, **layout))
+    whole = readers.inventory_explode(
+        spark.createDataFrame([(json.dumps(document),)], "text string"), text="text"
+    )
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "4000b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        read = readers.read_inventory_documents(spark, str(path), multi_line=True)
+        records = spark.read.text(str(path), lineSep=readers._object_start(spark, str(path)))
+        assert records.rdd.getNumPartitions() > 4
+        got = sorted(map(str, read.collect()))
+    finally:
+        spark.conf.set(size, before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == sorted(map(str, whole.collect())) and len(got) == sum(months.values())
+
+
+def test_documents_without_products(spark, tmp_path):
+    for name, document in (("a", {"months": {}}), ("b", {"months": {"May": {"products": []}}})):
+        (tmp_path / f"{name}.json").write_text(json.dumps(document))
+    assert readers.read_inventory_documents(spark, str(tmp_path), 2025, multi_line=True).collect() == []
+
+
+def test_headers_of_many_files_cost_the_jobs_of_few(spark, tmp_path):
+    def jobs(n):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        for i in range(n):
+            (folder / f"f{i}.csv").write_text("a,b\n1,2\n" if i % 2 else 'b,"a ""q"", x",a\n2,9,1\n')
+        group = f"headers-{n}"
+        spark.sparkContext.setJobGroup(group, group)
+        df = readers._read_csv_by_name(spark, str(folder), ["a", "b"])
+        seen = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert {tuple(r) for r in df.collect()} == {("1", "2")} and df.count() == n
+        return seen
+
+    # one query with two shuffles, each of which adaptive execution starts as a job
+    assert jobs(50) == jobs(3) <= 3
+
+
+def test_headers_with_quotes_gaps_and_empty_names(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('"a ""b"", c",,plain,\n1,2,3,4\n')
+    (tmp_path / "y.csv").write_text("﻿plain\n7\n")
+    (tmp_path / "empty.csv").write_text("")
+    rows = readers.csv_headers(spark, str(tmp_path)).collect()
+    assert {r.file.rsplit("/")[-1]: r.header for r in rows} == {
+        "x.csv": ['a "b", c', "", "plain", ""], "y.csv": ["plain"]
+    }
+    df = readers._read_csv_by_name(spark, str(tmp_path), ["plain", 'a "b", c', "none"])
+    assert sorted(map(str, map(tuple, df.collect()))) == ["('3', '1', None)", "('7', None, None)"]
+
+
+def test_positions_follow_the_part_files(spark, tmp_path):
+    from shelfsight.sources.ordered import read_csv_in_order
+
+    path = str(tmp_path / "sorted")
+    values = spark.range(2000).select((F.col("id") * 7919 % 2003).alias("v")).repartition(6)
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        sinks.write_csv(values, path, [F.col("v").desc()])
+    finally:
+        spark.conf.unset(coalesce)
+    assert len(list((tmp_path / "sorted").glob("*.csv"))) > 1
+    schema = T.StructType.fromDDL("v long")
+    back = read_csv_in_order(spark, path, schema).orderBy("position").collect()
+    assert [r.position for r in back] == list(range(1, 2001))
+    assert [r.v for r in back] == sorted((r.v for r in back), reverse=True)

@@ -71,3 +71,40 @@ def test_one_class_cannot_be_trained(spark):
     df = dataset(spark, 20, 1).withColumn("label", F.lit(1))
     with pytest.raises(ValueError):
         models.train_reorder_models(df, df, FEATURES, num_trees=2, max_depth=2)
+
+
+def test_the_certificate_tells_the_best_fit_from_others(spark):
+    train = dataset(spark, 400, 5)
+    scaler, logistic = models.fit_logistic(train, FEATURES)
+    terms = models.logistic_optimality(train, FEATURES, scaler, logistic).collect()
+    assert len(terms) == len(FEATURES) + 1
+    assert max(abs(t.gradient) for t in terms) < 1e-5
+    few = logistic.copy({logistic.regParam: 10.0})
+    assert max(abs(t.gradient) for t in models.logistic_optimality(train, FEATURES, scaler, few).collect()) > 1e-2
+
+
+def test_evaluation_chooses_by_the_chosen_split(spark):
+    def part(rows):
+        return spark.createDataFrame(rows, "label int, score double")
+
+    good, bad = part([(1, 0.9), (0, 0.1)]), part([(1, 0.1), (0, 0.9)])
+    one_class, empty = part([(1, 0.4)]), part([])
+
+    def chosen(scored):
+        return {(r.model, r.split): r.chosen for r in models.evaluate_scores(scored).collect()}
+
+    assert chosen({("a", "valid"): bad, ("b", "valid"): good, ("a", "test"): good}) == {
+        ("a", "valid"): False, ("b", "valid"): True, ("a", "test"): False
+    }
+    assert chosen({("b", "valid"): good, ("a", "valid"): good})["a", "valid"]
+    assert chosen({("a", "valid"): one_class, ("b", "valid"): bad}) == {
+        ("a", "valid"): False, ("b", "valid"): True
+    }
+    assert chosen({("a", "valid"): empty, ("b", "valid"): one_class}) == {("b", "valid"): True}
+    assert chosen({("a", "test"): good}) == {("a", "test"): False}
+
+
+def test_risk_order_puts_high_probabilities_first(spark):
+    rows = [("b", 0.5), ("a", 0.5), ("c", 0.9), ("d", None)]
+    df = spark.createDataFrame(rows, "account_id string, risk_prob_reorder_60d double")
+    assert [r.account_id for r in df.orderBy(*models.risk_order()).collect()] == ["c", "a", "b", "d"]

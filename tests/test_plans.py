@@ -92,3 +92,11 @@ def test_months_may_be_given(spark, sf_dir):
     months = spark.createDataFrame([], "month date, i int, n_months int")
     assert plan(oos.oos_from_snapshots(snapshot)).count("lineitem.parquet") == 2
     assert plan(oos.oos_from_snapshots(snapshot, months)).count("lineitem.parquet") == 1
+
+
+def test_paid_invoices_combine_before_the_shuffle(spark, sf_dir):
+    text = plan(_invoices(spark, sf_dir))
+    below = text[text.rindex("Exchange hashpartitioning") :]
+    lowest = [line for line in text.splitlines() if "Exchange" in line and "posting_date" in line][-1]
+    under = text.splitlines()[text.splitlines().index(lowest) + 1]
+    assert "HashAggregate" in under and "partial_sum" in under, below
