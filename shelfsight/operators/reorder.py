@@ -125,13 +125,14 @@ def paid_invoices(
     texts = [F.col(c).alias(name) for c, name in passed.items() if c in lines.columns]
     # first by the texts as well: sums over plain keys are hash aggregates that combine before
     # the shuffle, so an invoice of very many lines moves as few rows; the texts' minima, which
-    # need sorting, then see one row per text
+    # need sorting, then see one row per text and, dealt out first, are sorted once
     by_text = lines.groupBy(*keys, F.col(day).alias("invoice_date"), *texts).agg(
         total(revenue).alias("revenue"), total(quantity).alias("units")
     )
     names_kept = [c for c in by_text.columns if c not in (*passed.values(), "revenue", "units")]
     return (
-        by_text.groupBy(*names_kept)
+        by_text.repartition(*names_kept)
+        .groupBy(*names_kept)
         .agg(
             F.sum("revenue").alias("revenue"),
             F.sum("units").alias("units"),
