@@ -54,6 +54,9 @@ _SPACED = re.compile(
 _SEVERAL = re.compile(
     rf"[{re.escape(''.join(LEET))}]|(?<=.)[{re.escape(SEPARATORS)}](?=.)|([^\W\d_])\1", re.DOTALL
 )
+_DOUBLED = re.compile(r"([^\W\d_])\1")
+#: Signs at a word's edges that are no letter and stand for none.
+_PLAIN_EDGES = ".,;:?\"'()[]{}-_*~/"
 _EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 
@@ -164,9 +167,32 @@ def decode(chars: str, model: list[float]) -> str:
     return "".join(reversed(letters))
 
 
+def _single_or_double(word: str, at: int, model: list[float]) -> str:
+    """``decode`` of letters whose only choice is to drop the one at ``at``, which repeats."""
+    symbols = [_LISTED[min(ord(c), 0x250)] for c in word]
+    state, score = 0, 0.0
+    for c in symbols[:at]:
+        step = state * _SYMBOLS + c
+        score += model[step]
+        state = step % _PAIRS
+    kept, kept_score = state, score
+    for c in symbols[at:]:
+        step = kept * _SYMBOLS + c
+        kept_score += model[step]
+        kept = step % _PAIRS
+    score -= DROP_REPEATED
+    for c in symbols[at + 1 :]:
+        step = state * _SYMBOLS + c
+        score += model[step]
+        state = step % _PAIRS
+    keeps = kept_score + model[kept * _SYMBOLS] >= score + model[state * _SYMBOLS]
+    return word if keeps else word[:at] + word[at + 1 :]
+
+
 @dataclass
 class Restorer:
-    """Restores words, remembering those seen; the memory is emptied when it is full."""
+    """Restores words. Letters without a choice are read as they stand; the readings of other
+    tokens are remembered, and the oldest half of them is forgotten when there are too many."""
 
     model: np.ndarray
     limit: int = 50_000
@@ -179,23 +205,37 @@ class Restorer:
     def __getstate__(self):
         return {"model": self.model, "limit": self.limit, "_seen": {}, "_flat": self._flat}
 
+    def _decoded(self, low: str) -> tuple[str, ...]:
+        low = _trimmed(low)
+        read = decode(low, self._flat) if _SEVERAL.search(low) else low
+        found = (_EDGES.sub("", w) for w in re.split(r"[^\w'-]+", read))
+        return tuple(w for w in found if len(w) >= PREFIXES[0])
+
     def token(self, token: str) -> tuple[str, ...]:
         """The words, lower case and without signs at their edges, that a token is restored to."""
-        words = self._seen.get(token)
+        low = token.lower()
+        core = low.strip(_PLAIN_EDGES)
+        if core.isalpha():
+            doubled = _DOUBLED.search(core)
+            if doubled is None:
+                return (core,) if len(core) >= PREFIXES[0] else ()
+        words = self._seen.get(low)
         if words is None:
-            low = _trimmed(token.lower())
-            read = decode(low, self._flat) if _SEVERAL.search(low) else low
-            found = (_EDGES.sub("", w) for w in re.split(r"[^\w'-]+", read))
-            words = tuple(w for w in found if len(w) >= PREFIXES[0])
+            if core.isalpha() and not _DOUBLED.search(core, doubled.start() + 1):
+                read = _single_or_double(core, doubled.start() + 1, self._flat)
+                words = (read,) if len(read) >= PREFIXES[0] else ()
+            else:
+                words = self._decoded(low)
             if len(self._seen) >= self.limit:
-                self._seen.clear()
-            self._seen[token] = words
+                for old in list(self._seen)[: self.limit // 2]:
+                    del self._seen[old]
+            self._seen[low] = words
         return words
 
     def words(self, text: str) -> set[str]:
         """The distinct restored words of a text."""
         out: set[str] = set()
-        for token in set(text.split()):
+        for token in set(text.lower().split()):
             out.update(self.token(token))
         for spelled in _SPACED.findall(text):
             # word by word as the decoder closes them

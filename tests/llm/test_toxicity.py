@@ -91,3 +91,56 @@ def test_every_lattice_with_several_readings_is_read(corpus):
     for text in ("(1d10t),", "an 1d1ot.", "iddiot", "5tup1d)", "i  d  i  o  t", "i\td\ti\to\tt", "i\nd\ni\no\nt", "i, d, i, o, t", "1 d ! 0 t"):
         assert "idiot" in restorer.words(text) or "stupid" in restorer.words(text), text
     assert "stupid" in restorer.words("'stuppid',")
+
+
+def every_reading(chars, model):
+    """The best score over all ways through a lattice, and the texts that have it."""
+    from itertools import product
+
+    from shelfsight.llm import toxicity as tox
+
+    best, texts = -np.inf, set()
+    for way in product(*tox._readings(chars)):
+        score, a, b = 0.0, 0, 0
+        for reading, cost in way:
+            score -= cost
+            if reading:
+                c = tox.symbol(reading)
+                score += model[a, b, c]
+                a, b = b, c
+        score += model[a, b, 0]
+        text = "".join(r for r, _ in way)
+        if score > best + 1e-9:
+            best, texts = score, {text}
+        elif abs(score - best) <= 1e-9:
+            texts.add(text)
+    return texts
+
+
+def test_the_decoder_finds_the_best_of_all_readings(corpus):
+    from shelfsight.llm.toxicity import decode
+
+    model = character_model(corpus).astype(float)
+    rng = random.Random(9)
+    for _ in range(150):
+        chars = "".join(rng.choice("idto1103.-aam$!") for _ in range(rng.randint(1, 7)))
+        assert decode(chars, model.ravel().tolist()) in every_reading(chars, model), chars
+
+
+def test_plain_and_doubled_letters_read_as_if_decoded(corpus):
+    restorer = Restorer(character_model(corpus))
+    rng = random.Random(10)
+    words = [*WORDS, "iddiot", "stuppid", "Straße", "éé", "naïve", "ΟΔΟΣ", "don't", "x²", "a·b", "12", ""]
+    for _ in range(3000):
+        word = rng.choice(words)
+        if word and rng.random() < 0.5:
+            at = rng.randrange(len(word))
+            word = word[:at] + word[at] * rng.randint(1, 3) + word[at:]
+        token = rng.choice(["", "(", "!", "\"", "-"]) + rng.choice([word, word.upper()]) + rng.choice(["", ",", "!", "…", ").", "'"])
+        assert restorer.token(token) == restorer._decoded(token.lower()), token
+
+
+def test_memory_forgets_the_oldest(corpus):
+    small, large = (Restorer(character_model(corpus), limit=n) for n in (4, 50_000))
+    text = " ".join(f"{w}{w[-1]}{i}d10t" for i, w in enumerate(WORDS))
+    assert small.words(text) == large.words(text) and len(small._seen) <= 4
