@@ -123,6 +123,15 @@ def _confirmed(kind: Kind, match: Column) -> Column:
     return F.lit(True)
 
 
+def _possible(kind: Kind, text: Column) -> Column:
+    """What every match of the kind's pattern implies, and cheaper to look for."""
+    signs = {"email": "@", "phone": "+", "local_phone": "0"}
+    if kind.name in signs:
+        return text.contains(signs[kind.name])
+    parts = {"ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "iban": "[A-Z]{2}[0-9]{2}"}
+    return text.rlike(parts[kind.name])
+
+
 def _spans(number: int, kind: Kind, text: Column) -> Column:
     """All confirmed spans of one kind, in order of their start."""
     pattern = F.lit(kind.pattern)
@@ -165,7 +174,7 @@ def _spans(number: int, kind: Kind, text: Column) -> Column:
     if not kind.base:
         found = F.filter(found, lambda s: s["score"] >= LEAST_SCORE)
     # texts that cannot hold a match are not split
-    possible = text.contains("@") if kind.name == "email" else text.rlike("[0-9]{2}|[0-9][\\x20-][0-9]|\\.[0-9]")
+    possible = _possible(kind, text)
     return F.when(possible, found).otherwise(F.array()).cast(_SPANS)
 
 

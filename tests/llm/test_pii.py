@@ -21,6 +21,11 @@ def spans(documents, *texts):
         ("pay 4111 1111-1111 1112.", ""),
         ("call +49 (30) 1234567", "phone:5:21"),
         ("+12", ""),
+        ("+4(9)3(0)1(2)3(4)5", "phone:0:18"),
+        ("+1 (2)  3  (4)  5  (6)  7 (8) (9)", "phone:0:32"),
+        ("tel +4--9--3--0--1--2--3--4--5", "phone:4:30"),
+        ("1.2.3.4", "ip:0:7"),
+        ("4 1 1 1-1 1 1 1 1 1 1 1 1 1 1 1", "card:0:31"),
         ("IBAN DE89370400440532013000 ok", "iban:5:27"),
         ("IBAN DE89370400440532013001 ok", ""),
         ("tel 030 1234567", "local_phone:4:15"),
