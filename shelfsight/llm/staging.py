@@ -1,11 +1,8 @@
 """Intermediate tables in the shared folder, see ``shelfsight.operators.staging``, and batch sizes."""
 
-import os
-from pathlib import Path
-
 from pyspark.sql import SparkSession
 
-from shelfsight.operators.staging import discard, shared_folder, stage
+from shelfsight.operators.staging import discard, importable, shared_folder, stage
 
 __all__ = ["discard", "importable", "shared_folder", "small_batches", "stage"]
 
@@ -19,15 +16,3 @@ def small_batches(spark: SparkSession) -> None:
     now = spark.conf.get(_LIMIT).lower().removesuffix("b")
     if not now.lstrip("-").isdigit() or not 0 < int(now) <= BATCH_BYTES:
         spark.conf.set(_LIMIT, str(BATCH_BYTES))
-
-
-def importable(spark: SparkSession) -> None:
-    """Let Python workers find this package where the driver did, from whatever folder it runs.
-
-    On a cluster without a shared code folder, install the package or give it to ``--py-files``.
-    """
-    root = str(Path(__file__).resolve().parents[2])
-    environment = spark.sparkContext.environment
-    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
