@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,6 @@ from pyspark.sql import functions as F
 from shelfsight.llm.staging import discard, stage
 
 DAMPING = 0.85
-ROUNDS = 30
 #: The rounds end when all ranks together change by less than this share of the seeds.
 SETTLED = 1e-6
 #: A host is blocked if its distrust is above this many times its trust, and above the floor.
@@ -101,13 +101,14 @@ def host_links(pages: DataFrame) -> DataFrame:
 
 
 def standing(
-    seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS
+    seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int | None = None
 ) -> DataFrame:
     """(host, trust, distrust) of every host that a seed reaches.
 
     ``seeds`` has host, allowed and blocked (pages). A round gives a host 1 - damping of its
-    own seed and damping of what its neighbours pass on in equal shares. The ranks of a
-    round go to the shared folder.
+    own seed and damping of what its neighbours pass on in equal shares. Rounds go on until
+    the ranks settle, which damping below 1 sees to however far a host is from a seed; a
+    caller may ask for fewer. The ranks of a round go to the shared folder.
     """
     forward = links.select(F.lit("trust").alias("kind"), F.col("source").alias("a"), F.col("target").alias("b"))
     backward = links.select(F.lit("distrust").alias("kind"), F.col("target").alias("a"), F.col("source").alias("b"))
@@ -126,7 +127,7 @@ def standing(
     sown = stage(sown)
     total = sown.agg(F.sum("seed")).first()[0] or 0.0
     ranks = stage(sown.select("kind", "host", (F.col("seed") * (1 - damping)).alias("rank")))
-    for _ in range(rounds):
+    for _ in count() if rounds is None else range(rounds):
         passed = (
             arrows.join(ranks.withColumnRenamed("host", "a"), ["kind", "a"])
             .groupBy("kind", F.col("b").alias("host"))

@@ -77,3 +77,11 @@ def test_no_python_in_the_plan(spark, sf_dir):
     df = judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "CartesianProduct"))
+
+
+def test_a_seed_reaches_the_end_of_a_long_chain(spark):
+    hosts = [f"h{i}" for i in range(36)]
+    links = spark.createDataFrame(list(zip(hosts, hosts[1:], strict=False)), "source string, target string")
+    seeds = spark.createDataFrame([("h0", 4, 0)], "host string, allowed long, blocked long")
+    trust = {r.host: r.trust for r in standing(seeds, links).collect()}
+    assert trust == pytest.approx({h: 4 * 0.15 * 0.85**i for i, h in enumerate(hosts)})
