@@ -1,7 +1,7 @@
 """Mixing sources to target weights: capped water-filling, then seeded repetition.
 
-``mix_documents`` says how many words of each document the weights stand for;
-``draw_documents`` draws whole documents that add up to the same targets.
+``draw_documents`` draws whole documents that add up to the targets; ``mix_documents`` takes
+the same share of every document instead.
 """
 
 from __future__ import annotations
@@ -74,6 +74,34 @@ def uniform(seed: int, key: Column) -> Column:
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
+#: Keys that the rows of one source are dealt over where they meet the source's targets.
+SALTS = 32
+_ADDED = (
+    "mix_size", "mix_source_size", "mix_target", "mix_taken", "mix_whole", "mix_part",
+)
+
+
+def _own_names(docs: DataFrame) -> str:
+    """A beginning of names for working columns that no column of ``docs`` has."""
+    prefix = "__mix"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    return prefix
+
+
+def _meet(rows: DataFrame, table: DataFrame, key: str, prefix: str) -> DataFrame:
+    """``rows`` with the row of ``table`` whose ``key`` is their source, null with null.
+
+    A source may hold most of the rows, so it is dealt over SALTS keys, and its one row of
+    ``table`` goes to each of them.
+    """
+    salt, of = f"{prefix}_salt", f"{prefix}_of_salt"
+    dealt = rows.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    same = F.col("source").eqNullSafe(F.col(key)) & (F.col(salt) == F.col(of))
+    return dealt.join(table.withColumn(of, every), same, "left").drop(salt, of)
+
+
 def mix_documents(
     docs: DataFrame,
     seed: int = 7,
@@ -81,7 +109,7 @@ def mix_documents(
     budget: float = 1.5,
     max_epochs: int = 2,
 ) -> DataFrame:
-    """Every row of ``docs`` with how often the mix repeats it.
+    """Every row of ``docs`` with how often the mix repeats it, all documents at one rate.
 
     Adds mix_size (words), mix_source_size, mix_target (of its source), mix_taken (words
     taken, repeats counted), mix_whole (whole repetitions) and mix_part (words of one more,
@@ -93,23 +121,19 @@ def mix_documents(
     source. Rows with equal doc_id draw alike. An empty table gives an empty table.
     Further columns stay; columns named mix_* are replaced.
     """
+    own = _own_names(docs)
+    source, size, target = (f"{own}_{n}" for n in ("source", "size", "target"))
     sized = docs.withColumn("mix_size", word_count(F.col("text")))
     sizes = sized.groupBy("source").agg(F.sum("mix_size").alias("source_size"))
-    targets = source_targets(sizes, weights, budget, max_epochs).select(
-        F.col("source").alias("__source"),
-        F.col("source_size").alias("__size"),
-        F.col("target").alias("__target"),
-    )
+    targets = source_targets(sizes, weights, budget, max_epochs).toDF(source, size, target)
     kept = [c for c in docs.columns if c not in _ADDED]
-    rate = F.when(F.col("__size") > 0, F.col("__target") / F.col("__size")).otherwise(0.0)
+    rate = F.when(F.col(size) > 0, F.col(target) / F.col(size)).otherwise(0.0)
     taken = F.floor(rate * F.col("mix_size") + uniform(seed, F.col("doc_id"))).cast("long")
     taken = F.least(taken, F.col("mix_size") * max_epochs)
     whole = F.when(F.col("mix_size") > 0, F.expr("mix_taken div mix_size")).otherwise(F.lit(0)).cast("long")
     return (
-        sized.join(targets, F.col("source").eqNullSafe(F.col("__source")), "left")
-        .withColumns(
-            {"mix_source_size": F.col("__size"), "mix_target": F.col("__target"), "mix_taken": taken}
-        )
+        _meet(sized, targets, source, own)
+        .withColumns({"mix_source_size": F.col(size), "mix_target": F.col(target), "mix_taken": taken})
         .withColumn("mix_whole", whole)
         .withColumn("mix_part", F.col("mix_taken") - F.col("mix_whole") * F.col("mix_size"))
         .select(*kept, *_ADDED)
@@ -127,70 +151,73 @@ def draw_documents(
 
     Adds the columns of ``mix_documents``. Every document of a source is repeated
     mix_target div mix_source_size times. The words that are left are filled with one more
-    repetition of whole documents, in an order drawn by seed, doc_id and text, until the
-    next one does not fit; of that one only the words that are left are taken. So a source
-    gives exactly its target, rounded down, and cuts one document at most.
+    repetition of whole documents, in the order of md5 over seed, doc_id and md5 of the text,
+    until the next one does not fit; of that one only the words that are left are taken. So a
+    source gives exactly its target, rounded down, and cuts one document at most.
 
     Null texts and texts without words take nothing. A null source is a source. Rows that
-    are equal in doc_id and text share what falls to them evenly. Further columns stay;
-    columns named mix_* are replaced.
+    are equal in doc_id and text share what falls to them evenly. An empty table gives an
+    empty table. Further columns stay; columns named mix_* are replaced.
     """
     kept = [c for c in docs.columns if c not in _ADDED]
+    own = _own_names(docs)
+    source, size, target, draw, copies, words, through, every, rest, of, last, cut = (
+        f"{own}_{n}"
+        for n in "source size target draw copies words through every rest of last cut".split()
+    )
     # rows equal in doc_id and text draw alike
-    named = F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"), F.xxhash64("text"))
-    sized = docs.withColumns({"mix_size": word_count(F.col("text")), "__draw": F.md5(named.cast("binary"))})
+    named = F.concat_ws(
+        ":", F.lit(str(seed)), F.col("doc_id").cast("string"), F.md5(F.col("text").cast("binary"))
+    )
+    sized = docs.withColumns({"mix_size": word_count(F.col("text")), draw: F.md5(named.cast("binary"))})
     narrow = stage(
         sized.where(F.col("mix_size") > 0)
-        .groupBy("source", "__draw", "mix_size")
-        .agg(F.count(F.lit(1)).alias("__copies"))
-        .withColumn("__words", F.col("mix_size") * F.col("__copies"))
+        .groupBy("source", draw, "mix_size")
+        .agg(F.count(F.lit(1)).alias(copies))
+        .withColumn(words, F.col("mix_size") * F.col(copies))
     )
     empty = docs.groupBy("source").agg(F.lit(0).cast("long").alias("source_size"))
     sizes = (
-        narrow.groupBy("source").agg(F.sum("__words").alias("source_size"))
+        narrow.groupBy("source").agg(F.sum(words).alias("source_size"))
         .unionByName(empty).groupBy("source").agg(F.sum("source_size").alias("source_size"))
+    )
+    goal = F.floor(F.col(target)).cast("long")
+    has_size = F.col(size) > 0
+    targets = source_targets(sizes, weights, budget, max_epochs).toDF(source, size, target)
+    targets = stage(
+        targets.withColumns(
+            {
+                every: F.when(has_size, ((goal - goal % F.col(size)) / F.col(size)).cast("long")).otherwise(F.lit(0)),
+                rest: F.when(has_size, goal % F.col(size)).otherwise(F.lit(0)),
+            }
+        )
     )
-    target = F.floor("target").cast("long")
-    targets = source_targets(sizes, weights, budget, max_epochs).select(
-        F.col("source").alias("__source"),
-        F.col("source_size").alias("__size"),
-        F.col("target").alias("__target"),
-        F.when(F.col("source_size") > 0, F.expr("cast(floor(target) as bigint) div source_size"))
-        .otherwise(F.lit(0)).cast("long").alias("__every"),
-        F.when(F.col("source_size") > 0, target % F.col("source_size")).otherwise(F.lit(0)).alias("__rest"),
-    )
-    targets = stage(targets)
-    own = F.col("source").eqNullSafe(F.col("__source"))
-    last = (
-        running_totals(narrow, [F.col("__draw"), F.col("mix_size")], {"__through": F.col("__words")}, ["source"])
-        .join(targets, own)
-        .where((F.col("__through") > F.col("__rest")) & (F.col("__through") - F.col("__words") <= F.col("__rest")))
+    run = running_totals(narrow, [F.col(draw), F.col("mix_size")], {through: F.col(words)}, ["source"])
+    before = F.col(through) - F.col(words)
+    last_drawn = (
+        _meet(run, targets, source, own)
+        .where((F.col(through) > F.col(rest)) & (before <= F.col(rest)))
         .select(
-            F.col("source").alias("__of"),
-            F.col("__draw").alias("__last"),
-            F.expr("(__rest - __through + __words) div __copies").alias("__cut"),
+            F.col("source").alias(of),
+            F.col(draw).alias(last),
+            F.floor((F.col(rest) - before) / F.col(copies)).cast("long").alias(cut),
         )
     )
-    bounds = targets.join(last, F.col("__source").eqNullSafe(F.col("__of")), "left")
+    bounds = targets.join(last_drawn, F.col(source).eqNullSafe(F.col(of)), "left")
     has_words = F.col("mix_size") > 0
-    once_more = F.when(F.col("__draw") < F.col("__last"), 1).otherwise(0)
-    whole = F.when(has_words, F.col("__every") + once_more).otherwise(F.lit(0)).cast("long")
-    part = F.when(has_words & (F.col("__draw") == F.col("__last")), F.col("__cut")).otherwise(F.lit(0)).cast("long")
+    once_more = F.when(F.col(draw) < F.col(last), 1).otherwise(0)
+    whole = F.when(has_words, F.col(every) + once_more).otherwise(F.lit(0)).cast("long")
+    part = F.when(has_words & (F.col(draw) == F.col(last)), F.col(cut)).otherwise(F.lit(0)).cast("long")
     return (
-        sized.join(bounds, own, "left")
+        _meet(sized, bounds, source, own)
         .withColumns(
-            {"mix_source_size": F.col("__size"), "mix_target": F.col("__target"), "mix_whole": whole, "mix_part": part}
+            {"mix_source_size": F.col(size), "mix_target": F.col(target), "mix_whole": whole, "mix_part": part}
         )
         .withColumn("mix_taken", F.col("mix_whole") * F.col("mix_size") + F.col("mix_part"))
         .select(*kept, *_ADDED)
     )
 
 
-_ADDED = (
-    "mix_size", "mix_source_size", "mix_target", "mix_taken", "mix_whole", "mix_part",
-)
-
-
 def emit_mix(mixed: DataFrame, seed: int = 7) -> DataFrame:
     """The mix itself: one row per repetition, ``repetition`` counted from 1.
 

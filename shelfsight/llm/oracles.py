@@ -4,7 +4,7 @@ from __future__ import annotations
 
 _OP7 = r"""
 WITH sized AS (
-  SELECT doc_id, source,
+  SELECT doc_id, source, text,
     CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
   FROM documents),
 sources AS (
@@ -19,13 +19,24 @@ levels AS (  -- capping the sources up to each ratio; too few or too many give a
   WINDOW upto AS (ORDER BY cap / s.w RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
   UNION ALL SELECT words / w FROM total),
 targets AS (
-  SELECT source, source_size, least(cap, w * (SELECT max(level) FROM levels)) AS target FROM sources)
-SELECT doc_id, size, source_size, target,
-  least(2 * size, CAST(floor(
-    CASE WHEN source_size > 0 THEN target / CAST(source_size AS DOUBLE) ELSE 0 END * size
-    + CAST(CAST('0x' || substr(md5('7:' || doc_id), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0::DOUBLE
-  ) AS BIGINT)) AS taken
-FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
+  SELECT source, source_size, least(cap, w * (SELECT max(level) FROM levels)) AS target FROM sources),
+drawn AS (
+  SELECT doc_id, size, sized.source, source_size, target,
+    md5(concat_ws(':', '7', CAST(doc_id AS VARCHAR), md5(text))) AS draw,
+    CASE WHEN source_size > 0 THEN CAST(floor(target) AS BIGINT) // source_size ELSE 0 END AS every,
+    CASE WHEN source_size > 0 THEN CAST(floor(target) AS BIGINT) % source_size ELSE 0 END AS rest
+  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source),
+placed AS (  -- words of the source up to the document's draw, and before it
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY draw), 0) AS through,
+    sum(size) OVER (PARTITION BY source, draw) AS words,
+    count(*) OVER (PARTITION BY source, draw) AS copies
+  FROM drawn)
+SELECT doc_id, size, source_size, target, CAST(
+  CASE WHEN size = 0 THEN 0
+    WHEN through <= rest THEN size * (every + 1)
+    WHEN through - words <= rest THEN size * every + (rest - through + words) // copies
+    ELSE size * every END AS BIGINT) AS taken
+FROM placed
 """
 
 _KINDS = {

@@ -60,7 +60,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.mix_documents(docs).select(
+    return mixing.draw_documents(docs).select(
         "doc_id",
         F.col("mix_size").alias("size"),
         F.col("mix_source_size").alias("source_size"),

@@ -87,3 +87,21 @@ def test_the_pipeline_emits_whole_documents(spark, documents, made):
     texts = {r.text for r in docs.collect()}
     out = [r.text for r in corpus_pipeline.mix(spark, docs, "").collect()]
     assert sum(t not in texts for t in out) <= 2
+
+
+def test_working_names_do_not_clash(documents, made):
+    extra = ["1 as __mix_size", "2 as __source", "3 as mix_part", "4 as __mix__salt"]
+    rows = [(i, made(5 + i, i), "ab"[i % 2]) for i in range(12)]
+    for mix in (draw_documents, mix_documents):
+        plain = sorted((r.doc_id, r.mix_taken) for r in mix(documents(rows)).collect())
+        named = mix(documents(rows, extra)).collect()
+        assert sorted((r.doc_id, r.mix_taken) for r in named) == plain
+        assert {(r["__mix_size"], r["__source"], r["__mix__salt"]) for r in named} == {(1, 2, 4)}
+
+
+def test_a_very_long_text_is_drawn_or_cut_once(documents, made):
+    docs = documents([(1, made(60_000, 1), "a"), (2, made(70, 2), "a"), (3, made(50_000, 3), "b")])
+    rows = draw_documents(docs).collect()
+    for source in "ab":
+        own = [r for r in rows if r.source == source]
+        assert sum(r.mix_taken for r in own) == int(own[0].mix_target)
