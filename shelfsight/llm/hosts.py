@@ -20,7 +20,8 @@ from shelfsight.llm.staging import discard, stage
 DAMPING = 0.85
 #: The rounds end when all ranks together change by less than this share of the seeds.
 SETTLED = 1e-6
-#: A host is blocked if its distrust is above this many times its trust, and above the floor.
+#: A host is blocked if its share of all distrust is above this many times its share of all
+#: trust, and above this part of the mean share of the hosts that distrust reaches.
 RATIO = 1.0
 FLOOR = 1e-3
 
@@ -105,7 +106,7 @@ def standing(
 ) -> DataFrame:
     """(host, trust, distrust) of every host that a seed reaches.
 
-    ``seeds`` has host, allowed and blocked (pages). A round gives a host 1 - damping of its
+    ``seeds`` has host, allowed and blocked (pages, or shares of them). A round gives a host 1 - damping of its
     own seed and damping of what its neighbours pass on in equal shares. Rounds go on until
     the ranks settle, which damping below 1 sees to however far a host is from a seed; a
     caller may ask for fewer. The ranks of a round go to the shared folder.
@@ -160,9 +161,11 @@ def standing(
 def judge(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, trust and distrust of its host.
 
-    The verdict is that of the longest fitting rule. Without one a page is blocked if its
-    host's distrust is above RATIO times its trust and above FLOOR, else allowed; so hosts
-    that no seed reaches, and pages without a host, are allowed. Null urls and urls without
+    The allowed pages share a trust of 1, the blocked ones a distrust of 1, so that neither
+    outweighs the other by its number. The verdict is that of the longest fitting rule.
+    Without one a page is blocked if its host's distrust is above RATIO times its trust and
+    above FLOOR times the mean of hosts with distrust, else allowed; so hosts that no seed
+    reaches, and pages without a host, are allowed. Null urls and urls without
     :// have an empty host and path. Null html has no links; repeated rows count as pages
     each and come out as often. An empty table gives an empty table; further columns are not
     read.
@@ -178,15 +181,25 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
             F.count_if(F.col("__rule.verdict") == "block").alias("blocked"),
         )
     )
-    ranks = standing(seeds, host_links(pages.select("url", "html")))
+    seeds = stage(seeds)
+    allowed, blocked = seeds.agg(F.sum("allowed"), F.sum("blocked")).first()
+    shares = seeds.select(
+        "host",
+        (F.col("allowed") / F.lit(float(allowed or 1))).alias("allowed"),
+        (F.col("blocked") / F.lit(float(blocked or 1))).alias("blocked"),
+    )
+    ranks = standing(shares, host_links(pages.select("url", "html")))
+    reached, whole = ranks.where("distrust > 0").agg(F.count("*"), F.sum("distrust")).first()
+    floor = FLOOR * (whole or 0.0) / max(reached, 1)
+    discard(seeds)
     trust, distrust = (F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust"))
-    method = F.when((distrust > trust * RATIO) & (distrust > FLOOR), "block").otherwise("allow")
+    method = F.when((distrust > trust * RATIO) & (distrust > floor), "block").otherwise("allow")
     return ruled.join(ranks, "host", "left").select(
         "page_id",
         "host",
         "path",
         F.col("__rule.rule").alias("rule"),
         F.coalesce("__rule.verdict", method).alias("verdict"),
-        F.round(trust, 6).alias("trust"),
-        F.round(distrust, 6).alias("distrust"),
+        F.round(trust, 12).alias("trust"),
+        F.round(distrust, 12).alias("distrust"),
     )

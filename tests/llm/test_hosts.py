@@ -85,3 +85,55 @@ def test_a_seed_reaches_the_end_of_a_long_chain(spark):
     seeds = spark.createDataFrame([("h0", 4, 0)], "host string, allowed long, blocked long")
     trust = {r.host: r.trust for r in standing(seeds, links).collect()}
     assert trust == pytest.approx({h: 4 * 0.15 * 0.85**i for i, h in enumerate(hosts)})
+
+
+def test_many_blocked_pages_do_not_outweigh_a_few_allowed_ones(spark):
+    rules = [Rule("good.net/", "allow"), Rule("bad.net/", "block"), Rule("worse.net/", "block")]
+    rows = [("good.net", ["friend.net"]), ("friend.net", ["bad.net"]), ("shady.net", ["worse.net"]), ("bad.net", [])]
+    table = pages(spark, rows + [("worse.net", [])] * 2000)
+    got = {r.host: r.verdict for r in judge(table, rules).collect()}
+    assert got["friend.net"] == "allow" and got["shady.net"] == "block"
+
+
+def test_distrust_runs_up_a_chain_of_sixty_hosts(spark):
+    rules = [Rule("h60.net/", "block"), Rule("good.org/", "allow")]
+    chain = [(f"h{i}.net", [f"h{i + 1}.net"] if i < 60 else []) for i in range(61)]
+    rows = judge(pages(spark, [*chain, ("good.org", [])]), rules).collect()
+    distrust = {r.host: r.distrust for r in rows}
+    want = {f"h{i}.net": 0.15 * 0.85 ** (60 - i) for i in range(61)}
+    assert {h: distrust[h] for h in want} == pytest.approx(want, abs=1e-9)
+
+
+def brute_verdict(host, path, rules, trust, distrust):
+    fit = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    if fit:
+        return max(fit, key=lambda r: len(r.text)).verdict
+    reached = [d for d in distrust.values() if d > 0]
+    floor = 1e-3 * sum(reached) / max(len(reached), 1)
+    return "block" if distrust.get(host, 0) > max(trust.get(host, 0), floor) else "allow"
+
+
+def test_verdicts_are_those_of_ranks_worked_out_by_hand(spark):
+    import random
+
+    rng = random.Random(3)
+    names = [f"{chr(97 + i)}.net" for i in range(14)]
+    rules = [Rule("a.net/", "allow"), Rule("b.net/", "block"), Rule("net/x/y", "block"), Rule("c.net/x", "allow")]
+    rows = [(i, f"http://{h}{rng.choice(['/x', '/x/y/1', '/'])}?q", "".join(f'<a href="//{b}/">' for b in rng.sample(names, 2)))
+            for i, h in enumerate(names * 3)]
+    links = {(h, b) for _, u, html in rows for h in [u[7:].split("/")[0]] for b in names if f"//{b}/" in html and b != h}
+    def rule(u):
+        host, _, path = u[7:].split("?")[0].partition("/")
+        return host, "/" + path, [r for r in rules if (host == r.host or host.endswith("." + r.host)) and ("/" + path).startswith(r.path)]
+    ranks = []
+    for verdict, arrows in (("allow", links), ("block", {(b, a) for a, b in links})):
+        hits = [h for h, _, fit in (rule(u) for _, u, _ in rows) if fit and max(fit, key=lambda r: len(r.text)).verdict == verdict]
+        seed = {h: hits.count(h) / len(hits) for h in names}
+        rank = dict.fromkeys(names, 0.0)
+        for _ in range(300):
+            rank = {h: (1 - DAMPING) * seed[h] + DAMPING * sum(rank[a] / sum(x == a for x, _ in arrows) for a, b in arrows if b == h)
+                    for h in names}
+        ranks.append(rank)
+    table = spark.createDataFrame(rows, SCHEMA)
+    for r in judge(table, rules).collect():
+        assert r.verdict == brute_verdict(r.host, r.path, rules, *ranks)
