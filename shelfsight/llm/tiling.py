@@ -14,11 +14,11 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfsight.llm import textscan
-from shelfsight.llm.staging import small_batches
+from shelfsight.llm.staging import small_batches, stage
 
 MIN_TILE = 5
 #: Documents that only share common phrases with an item stay well below.
@@ -28,6 +28,9 @@ BROADCAST_BYTES = 16 << 20
 
 _U = np.uint64
 RESULT = "doc_id long, item_id long, item_words long, n_tiles long, covered_words long, longest_tile long, coverage double"
+SEEDS = "key string, k int, seed long, times long, n_words long"
+#: Keys that the documents of one item are dealt over where they meet its text.
+SALTS = 16
 _MASK = (1 << 20) - 1
 
 
@@ -176,27 +179,30 @@ def _scan(
 def _seed_rows(
     batches: Iterator[pa.RecordBatch], lengths: tuple[int, ...], own_only: bool
 ) -> Iterator[pa.RecordBatch]:
-    """One row per text and distinct seed of each of some lengths.
+    """One row per text and distinct seed of each of some lengths, with the times it occurs.
 
     ``own_only``: of these only the last one, or all words of a text that has no more.
     """
     for batch in batches:
-        ids = batch.column("id").to_pylist()
+        keys = batch.column("key")
         for chunk in textscan.chunks(batch.column("text")):
             found = textscan.words(chunk, lower=True)
             for k in lengths:
                 hashes, of = textscan.grams(found, k)
                 for d in range(len(chunk)):
-                    n = found.of[d + 1] - found.of[d]
-                    own = np.unique(hashes[of[d] : of[d + 1]])
+                    n = int(found.of[d + 1] - found.of[d])
+                    own, times = textscan.counted(hashes[of[d] : of[d + 1]])
                     if len(own) and not (own_only and k != min(n, lengths[-1])):
+                        key = keys[chunk.first + d].as_py()
                         yield pa.RecordBatch.from_arrays(
                             [
-                                pa.array([ids[chunk.first + d]] * len(own), pa.int64()),
+                                pa.array([key] * len(own), pa.string()),
                                 pa.array(np.full(len(own), k, np.int32)),
                                 pa.array(own.view(np.int64)),
+                                pa.array(np.asarray(times, np.int64)),
+                                pa.array(np.full(len(own), n, np.int64)),
                             ],
-                            ["id", "k", "seed"],
+                            [c.split()[0] for c in SEEDS.split(", ")],
                         )
 
 
@@ -229,7 +235,7 @@ def find_leaks(
 
     A benchmark of at most ``broadcast_bytes`` (measured first) is shipped to the tasks that
     scan the documents, so nothing is shuffled. A larger one is joined by seed hash, which
-    gives the same rows.
+    gives the same rows: see ``_joined``.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(
@@ -245,28 +251,63 @@ def find_leaks(
             return docs.sparkSession.createDataFrame([], RESULT)
         return docs.mapInArrow(partial(_scan, index=index, threshold=threshold), RESULT)
 
-    schema = "id long, k int, seed long"
-    every = partial(_seed_rows, lengths=tuple(range(1, min_tile + 1)), own_only=True)
-    of_items = items.withColumnRenamed("item_id", "id").mapInArrow(every, schema)
-    lengths = tuple(sorted(r.k for r in of_items.select("k").distinct().collect()))
-    of_docs = docs.withColumnRenamed("doc_id", "id").mapInArrow(
-        partial(_seed_rows, lengths=lengths, own_only=False), schema
-    )
-    of_items = of_items.withColumnRenamed("id", "item_id")
-    pairs = (
-        of_docs.withColumnRenamed("id", "doc_id")
-        .join(of_items, ["k", "seed"])
-        .select("doc_id", "item_id")
-        .distinct()
-    )
+    keyed = docs.withColumn("key", _content("doc_id"))
+    kept = items.withColumnRenamed("text", "item_text").withColumn("item_key", _content("item_id", "item_text"))
+    pairs = _joined(keyed, kept, min_tile, threshold)
+    salted = kept.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     both = (
-        pairs.join(docs, "doc_id")
-        .join(items.withColumnRenamed("text", "item_text"), "item_id")
+        pairs.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
+        .join(keyed, "key")
+        .join(salted, ["item_key", "salt"])
         .select("doc_id", "text", "item_id", "item_text")
     )
     return both.mapInArrow(partial(_tile_rows, min_tile=min_tile, threshold=threshold), RESULT)
 
 
+def _content(id_name: str, text: str = "text") -> Column:
+    """A key that rows share if they are equal in id and text, null or not."""
+    parts = (F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in (id_name, text))
+    return F.md5(F.concat_ws(":", *parts).cast("binary"))
+
+
+def _joined(docs: DataFrame, items: DataFrame, min_tile: int, threshold: float) -> DataFrame:
+    """(key, item_key) of every document and item whose tiles may cover enough of the item.
+
+    A tile covers at most the words of the seeds in it, so a document that covers enough
+    shares at least ``threshold * n_words / k`` of the item's seed positions. Leaving out
+    fewer positions than that, it still shares one of the others: an item only asks by its
+    rarest seeds among all documents, and a phrase that a third of both sides share is left
+    out unless the item has little else.
+    """
+    every = partial(_seed_rows, lengths=tuple(range(1, min_tile + 1)), own_only=True)
+    of_items = stage(
+        items.select(F.col("item_key").alias("key"), F.col("item_text").alias("text"))
+        .distinct()
+        .mapInArrow(every, SEEDS)
+    )
+    lengths = tuple(sorted(r.k for r in of_items.select("k").distinct().collect()))
+    found = (
+        docs.select("key", "text")
+        .mapInArrow(partial(_seed_rows, lengths=lengths, own_only=False), SEEDS)
+        .select("key", "k", "seed")
+        .join(of_items.select("k", "seed").distinct(), ["k", "seed"], "left_semi")
+    )
+    found = stage(found)
+    common = found.groupBy("k", "seed").agg(F.count(F.lit(1)).alias("common"))
+    own = Window.partitionBy("key")
+    rarest = own.orderBy("common", "seed").rowsBetween(Window.unboundedPreceding, -1)
+    positions, before = F.sum("times").over(own), F.coalesce(F.sum("times").over(rarest), F.lit(0))
+    shared = F.greatest(F.ceil(F.col("n_words") * threshold / F.col("k") - 1e-9), F.lit(1))
+    asking = (
+        of_items.join(common, ["k", "seed"], "left")
+        .withColumn("common", F.coalesce("common", F.lit(0)))
+        .withColumns({"positions": positions, "before": before})
+        .where(F.col("before") <= F.col("positions") - shared)
+        .select("k", "seed", F.col("key").alias("item_key"))
+    )
+    return found.join(asking, ["k", "seed"]).select("key", "item_key").distinct()
+
+
 def remove_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that cover no benchmark item; rows without doc_id stay."""
     leaking = find_leaks(docs, benchmark).select("doc_id").distinct()

@@ -66,3 +66,26 @@ def test_nulls_empty_tables_and_long_texts(spark, documents, made):
     assert find_leaks(docs.limit(0), items).count() == 0
     assert find_leaks(docs, items.limit(0)).count() == 0
     assert find_leaks(docs, items.limit(0)).columns == [c.split()[0] for c in RESULT.split(", ")]
+
+
+def test_both_paths_agree_on_odd_tables(spark, documents, made):
+    phrase = "as we all know very well"
+    texts = [None, "", (None, ITEM), (None, ITEM), (3, ITEM + " " + phrase), (3, ITEM), (3, made(9, 1)), (4, phrase)]
+    texts += [(10 + i, f"{phrase} {made(20, i)} {ITEM.upper() if i % 2 else ''}") for i in range(8)]
+    items = [(1, ITEM), (1, ITEM), (None, ITEM), (2, phrase + " " + made(20, 50)), (None, None), (5, ""), (6, made(3, 1)),
+             (7, "x y x y x y x y x y z"), (8, phrase)]
+    texts += [(30, "x y x y x y x y q"), (31, made(60_000, 9) + " " + ITEM)]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    rows = [sorted(map(str, find_leaks(documents(texts), table, broadcast_bytes=b).collect())) for b in (1 << 20, 0)]
+    assert rows[0] == rows[1] and len(rows[0]) > 20
+
+
+def test_joined_path_finds_what_any_threshold_asks(spark, documents):
+    import random
+
+    rng = random.Random(8)
+    items = [(i, " ".join(rng.choice("abcd") for _ in range(rng.randrange(1, 30)))) for i in range(12)]
+    texts = [" ".join(rng.choice("abcd") for _ in range(80)) for _ in range(8)]
+    for threshold in (0.05, 0.5, 1.0):
+        one = leaks(spark, documents, texts, items, threshold=threshold)
+        assert one == leaks(spark, documents, texts, items, threshold=threshold, broadcast_bytes=0)
