@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -13,19 +14,40 @@ from pyspark.sql import functions as F
 from shelfsight.llm import textscan
 from shelfsight.llm.staging import discard, small_batches, stage
 
-#: A pair at 80 % shares no band of the 32 with probability (1 - 0.8**4)**32, 5e-8.
-BANDS, ROWS = 32, 4
-#: Pairs whose signatures agree on fewer of the 128 minima are not confirmed on their sets:
-#: at 80 % the agreement is 102 on average with a deviation of 4.5.
-LEAST_AGREEMENT = 80
+HASHES = 128
+#: A pair at the threshold shares no band with at most this probability.
+MISSED = 1e-7
+#: Pairs whose signatures agree less than at the threshold by more deviations than these are
+#: not confirmed on their sets.
+DEVIATIONS = 5
 #: Members of a bucket that are compared at once, and bytes of their sets, about.
 BLOCK, BLOCK_BYTES = 1024, 8 << 20
 #: Bits of the sketch of the doc_ids whose texts are needed again: 8 MB at most, at any size.
 SKETCH_BITS = 26
 
 _U = np.uint64
-_A = textscan.mix(np.arange(1, BANDS * ROWS + 1, dtype=_U)) | _U(1)
-_B = textscan.mix(np.arange(1001, BANDS * ROWS + 1001, dtype=_U))
+_A = textscan.mix(np.arange(1, HASHES + 1, dtype=_U)) | _U(1)
+_B = textscan.mix(np.arange(1001, HASHES + 1001, dtype=_U))
+
+
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and minima in each: as many minima as ``MISSED`` allows, one at least.
+
+    At 80 % these are 32 bands of 4, which a pair misses with probability 5e-8.
+    """
+    share = min(max(percent, 0), 100) / 100
+    rows = next((r for r in range(8, 1, -1) if (1 - share**r) ** (HASHES // r) <= MISSED), 1)
+    return HASHES // rows, rows
+
+
+def least_agreement(percent: int) -> int:
+    """Minima on which a pair at the threshold agrees but for a chance of ``DEVIATIONS``.
+
+    At 80 % they are 80 of 128: 102 on average with a deviation of 4.5.
+    """
+    share = min(max(percent, 0), 100) / 100
+    mean = HASHES * share
+    return max(math.ceil(mean - DEVIATIONS * math.sqrt(mean * (1 - share))), 0)
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[list[np.ndarray]]:
@@ -74,24 +96,26 @@ def minima(sets: list[np.ndarray]) -> np.ndarray:
 _SIGNATURES = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, signature binary"
 
 
-def _sign(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    band_seeds = textscan.mix(np.arange(1, BANDS + 1, dtype=_U))
+def _sign(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
+    n_bands, n_rows = banding(percent)
+    band_seeds = textscan.mix(np.arange(1, n_bands + 1, dtype=_U))
     for batch in batches:
         ids, at = batch.column("doc_id"), 0
         for sets in shingle_sets(batch.column("text"), k):
             sizes = np.array([len(s) for s in sets], np.int64)
             full = sizes > 0
             set_a, set_b = np.zeros(len(sets), _U), np.zeros(len(sets), _U)
-            signs = np.zeros((len(sets), BANDS * ROWS), np.uint32)
-            bands = np.zeros((len(sets), BANDS), _U)
+            signs = np.zeros((len(sets), HASHES), np.uint32)
+            bands = np.zeros((len(sets), n_bands), _U)
             if full.any():
                 some = [s for s in sets if len(s)]
                 signs[full] = minima(some)
                 set_a[full] = [np.add.reduce(s) for s in some]
                 set_b[full] = [np.add.reduce(textscan.mix(s ^ _U(0x5851F42D4C957F2D))) for s in some]
                 total = np.broadcast_to(band_seeds, bands.shape).copy()
-                for r in range(ROWS):
-                    total = textscan.mix(total ^ signs[:, r::ROWS].astype(_U))
+                for r in range(n_rows):
+                    own = signs[:, r : n_bands * n_rows : n_rows]
+                    total = textscan.mix(total ^ own.astype(_U))
                 bands = total
             yield pa.RecordBatch.from_arrays(
                 [
@@ -100,7 +124,7 @@ def _sign(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
                     pa.array(set_a.view(np.int64)),
                     pa.array(set_b.view(np.int64)),
                     pa.ListArray.from_arrays(
-                        np.arange(len(sets) + 1, dtype=np.int32) * BANDS, bands.view(np.int64).ravel()
+                        np.arange(len(sets) + 1, dtype=np.int32) * n_bands, bands.view(np.int64).ravel()
                     ),
                     pa.array([s.tobytes() for s in signs], pa.binary()),
                 ],
@@ -129,16 +153,16 @@ def _pairs_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _agreeing(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     """Keep the pairs whose signatures agree often enough."""
     for batch in batches:
         for low in range(0, len(batch), 4096):
             part = batch.slice(low, 4096)
             one, two = (
-                np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint32).reshape(-1, BANDS * ROWS)
+                np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint32).reshape(-1, HASHES)
                 for c in ("sign_a", "sign_b")
             )
-            keep = (one == two).sum(1) >= LEAST_AGREEMENT
+            keep = (one == two).sum(1) >= least
             yield _pairs_batch(
                 part.column("a").to_numpy(zero_copy_only=False)[keep],
                 part.column("b").to_numpy(zero_copy_only=False)[keep],
@@ -279,7 +303,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     small_batches(docs.sparkSession)
-    signed = stage(docs.mapInArrow(partial(_sign, k=k), _SIGNATURES))
+    signed = stage(docs.mapInArrow(partial(_sign, k=k, percent=percent), _SIGNATURES))
     classes = (
         signed.where("n_shingles > 0 and doc_id is not null")
         .groupBy("n_shingles", "set_a", "set_b")
@@ -302,7 +326,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         stars.distinct()
         .join(signs.select(F.col("doc_id").alias("b"), F.col("signature").alias("sign_b")).hint("merge"), "b")
         .join(signs.select(F.col("doc_id").alias("a"), F.col("signature").alias("sign_a")).hint("merge"), "a")
-        .mapInArrow(_agreeing, "a long, b long")
+        .mapInArrow(partial(_agreeing, least=least_agreement(percent)), "a long, b long")
         .distinct()
     )
     links = _confirmed(docs, near, k, percent)
@@ -406,7 +430,7 @@ def _compare(table: pa.Table, cuts: list[int], percent: int) -> pa.RecordBatch:
         table.column(c).to_numpy() for c in ("doc_id", "part", "own", "one", "two")
     )
     signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32)
-    signs = signs.reshape(len(ids), BANDS * ROWS)
+    signs, least = signs.reshape(len(ids), HASHES), least_agreement(percent)
     sets = [np.frombuffer(v.as_buffer(), _U) for c in table.column("shingles").chunks for v in c]
     sizes = np.array([len(s) for s in sets], np.int64)
     part, a, b = part.copy(), [], []
@@ -423,7 +447,7 @@ def _compare(table: pa.Table, cuts: list[int], percent: int) -> pa.RecordBatch:
             others = others[100 * short >= percent * long]
             agree = (signs[others] == signs[i]).sum(1)
             likely = np.argsort(-agree, kind="stable")
-            for j in others[likely[agree[likely] >= LEAST_AGREEMENT]]:
+            for j in others[likely[agree[likely] >= least]]:
                 # a link found before may have joined the two
                 if part[i] != part[j] and similar(sets[i], sets[j], percent):
                     a.append(min(ids[i], ids[j]))

@@ -1,7 +1,7 @@
 import random
 import re
 
-from shelfsight.llm.minhash import components, keep_one, near_duplicates
+from shelfsight.llm.minhash import banding, components, keep_one, least_agreement, near_duplicates
 
 
 def brute(rows, k, percent):
@@ -68,3 +68,27 @@ def test_components_of_a_long_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(100)] + [(1000, 1000 + i) for i in range(1, 300)]
     got = {tuple(r) for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {(i, 0) for i in range(1, 101)} | {(1000 + i, 1000) for i in range(1, 300)}
+
+
+def test_bands_and_agreement_follow_the_threshold():
+    assert banding(80) == (32, 4) and least_agreement(80) == 80
+    for percent in range(20, 101, 5):
+        bands, rows = banding(percent)
+        assert bands * rows <= 128 and (1 - (percent / 100) ** rows) ** bands <= 1e-7
+    assert banding(0) == (128, 1) and least_agreement(0) == 0 and least_agreement(100) == 128
+
+
+def test_other_thresholds_lose_no_link(documents):
+    rng = random.Random(4)
+    rows = []
+    for s in range(8):
+        base = [f"w{s}_{i}" for i in range(120)]
+        for _ in range(8):
+            # two copies that keep some 60 to 90 % of the words share 35 to 85 % of the pairs
+            copy = list(base)
+            for _ in range(rng.randrange(2, 26)):
+                copy[rng.randrange(120)] = f"n{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(copy)))
+    for percent in (40, 60, 90):
+        got = {tuple(r) for r in near_duplicates(documents(rows), 2, percent).collect()}
+        assert got == brute(rows, 2, percent)
