@@ -20,6 +20,8 @@ MISSED = 1e-7
 #: Pairs whose signatures agree less than at the threshold by more deviations than these are
 #: not confirmed on their sets.
 DEVIATIONS = 5
+#: Keys that the rows of one leader or one fingerprint are dealt over where they are joined.
+SALTS = 64
 #: Members of a bucket that are compared at once, and bytes of their sets, about.
 BLOCK, BLOCK_BYTES = 1024, 8 << 20
 #: Bits of the sketch of the doc_ids whose texts are needed again: 8 MB at most, at any size.
@@ -230,15 +232,29 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return stage(texts.mapInArrow(partial(_sets, k=k), "doc_id long, shingles binary"))
 
 
+def _join_dealt(rows: DataFrame, other: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """``rows`` with the row of ``other`` that has their keys, if any, which no row need lack.
+
+    A key's rows are dealt by ``by``. ``other`` goes to those parts alone that have rows, so
+    no task gets more than a part, and ``other`` is repeated ``SALTS`` times at most.
+    """
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
+    parts = rows.select(*keys, "salt").distinct().join(other.hint("merge"), keys)
+    return rows.join(parts.hint("merge"), [*keys, "salt"], "left").drop("salt")
+
+
 def _confirmed(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs a, b whose full shingle sets reach the similarity.
 
-    Pairs and sets both grow with the input, so they are merged at every size.
+    Pairs and sets both grow with the input, so they are merged at every size. ``a`` may be
+    the leader of many: its set comes last, once for each part of its pairs.
     """
     sets = _sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), k)
-    both = pairs.join(
-        sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")).hint("merge"), "a"
-    ).join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")).hint("merge"), "b")
+    of_a, of_b = (
+        sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"set_{c}")) for c in "ab"
+    )
+    both = _join_dealt(pairs.join(of_b.hint("merge"), "b"), of_a, ["a"], "b")
+    both = both.select("a", "b", "set_a", "set_b")
     links = stage(both.mapInArrow(partial(_confirm, percent=percent), "a long, b long").distinct())
     discard(sets)
     return links
@@ -322,10 +338,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     signs = signed.select("doc_id", "signature")
 
     stars = members.where("doc_id > leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
+    sign_a, sign_b = (
+        signs.select(F.col("doc_id").alias(c), F.col("signature").alias(f"sign_{c}")) for c in "ab"
+    )
     near = stage(
-        stars.distinct()
-        .join(signs.select(F.col("doc_id").alias("b"), F.col("signature").alias("sign_b")).hint("merge"), "b")
-        .join(signs.select(F.col("doc_id").alias("a"), F.col("signature").alias("sign_a")).hint("merge"), "a")
+        _join_dealt(stars.distinct().join(sign_b.hint("merge"), "b"), sign_a, ["a"], "b")
         .mapInArrow(partial(_agreeing, least=least_agreement(percent)), "a long, b long")
         .distinct()
     )
@@ -340,9 +357,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     joined = classes.join(parts.withColumnRenamed("doc_id", "head"), "head", "left").select(
         "n_shingles", "set_a", "set_b", F.coalesce("component_id", "head").alias("component_id")
     )
+    fingerprint = ["n_shingles", "set_a", "set_b"]
     return (
-        signed.select("doc_id", "n_shingles", "set_a", "set_b")
-        .join(joined, ["n_shingles", "set_a", "set_b"], "left")
+        _join_dealt(signed.select("doc_id", *fingerprint), joined, fingerprint, "doc_id")
         .select(
             "doc_id",
             "n_shingles",
