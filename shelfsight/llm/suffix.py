@@ -1,73 +1,57 @@
 """Exact removal of repeated byte strings by blockwise suffix sorting with a difference cover.
 
-Only the first ``WINDOW`` bytes of a suffix matter here, so suffixes need not be put in text
-order: equal ones must meet. That is done in two rounds, one bucket of suffixes at a time:
-
-1. Cover sample. Positions whose remainder by the cover's modulus is in a difference cover
-   are ranked by their next bytes (as many as still lie in any window that reaches them).
-   For two equal windows at any two positions some offset below the modulus brings both to
-   sample positions, so a window can only occur twice if it holds a sample of a rank that
-   occurs twice.
-2. Suffixes. The remaining candidates are sorted by the hash of their whole window, and those
-   that are alone in their class go.
-
-A block sends each key once per bucket, so a passage in a third of all texts weighs no more
-than any other. Keys are 64-bit hashes of the bytes.
+Only the first ``WINDOW`` bytes of a suffix matter here. Texts are worked on in blocks:
+
+1. Cover sample, a filter. Positions whose remainder by the cover's modulus is in a
+   difference cover ask, by a 64-bit hash of their next bytes, whether these occur twice. For
+   two equal windows at any two positions some offset below the modulus brings both to sample
+   positions, so a window without a repeated sample is alone.
+2. Suffix buckets. The windows that are left go to the bucket of the least hash of their
+   32-byte strings, so that equal windows meet and neighbours mostly go together: a stretch
+   of neighbours is sent as one run of bytes, once per block. Each bucket puts its distinct
+   runs one behind the other and sorts their suffixes by bytes (``suffix_sort``): first by a
+   short prefix, then, where that ties, by ranks of a cover sample that are worked out
+   beforehand. Neighbours in that order are compared byte by byte, so that hashes decide only
+   where windows meet, never whether they are equal.
+
+The number of buckets follows the bytes, so a bucket's memory does not grow with the input.
 """
 
 from __future__ import annotations
 
 import hashlib
-import itertools
 from collections.abc import Iterator
-from functools import cache, partial
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from shelfsight.llm import textscan
 from shelfsight.llm.packing import (
     bucket_count, bucket_edges, expand, pack_keys, squeeze, unpack_keys,
 )
 from shelfsight.llm.staging import discard, small_batches, stage
-from shelfsight.llm.textblocks import TEXTS, TextBlock, blocks, pack_texts, unpack_texts
+from shelfsight.llm.suffix_sort import difference_cover, repeated
+from shelfsight.llm.textblocks import TEXTS, TextBlock, pack_texts, unpack_texts
 
 WINDOW = 200
 BLOCK_BYTES = 4 << 20
+#: Bytes that a bucket is asked about, about, and bytes of the strings whose hashes pick it.
+BUCKET_BYTES = 4 << 20
+PICK_BYTES = 32
 
 _U = np.uint64
 _ASK = "bucket int, block long, n int, keys binary, twice binary"
 _ANSWER = "block long, bucket int, n int, twice binary"
-_PIECES = "block long, size long, places binary, texts binary"
+_PACKED = TEXTS + ", packed long"
+_RUNS = "bucket int, block long, n int, lengths binary, twice binary, texts binary"
+_PIECES = "block long, size long, places binary, texts binary, bytes long"
 _RANGES = "block long, size long, ranges binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-@cache
-def difference_cover(window: int) -> tuple[int, tuple[int, ...]]:
-    """Modulus v and cover D: any two numbers can be moved by the same k < v into D.
-
-    D is where a linear recurrence of order three over the integers modulo a prime q is 0;
-    for a primitive one that is a perfect difference set of q + 1 numbers modulo
-    q**2 + q + 1. The modulus is the largest that leaves a sample a quarter of the window.
-    """
-    if window < 5:
-        return 1, (0,)
-    for q in (13, 11, 7, 5, 3, 2):
-        v = q * q + q + 1
-        if v - 1 > 0.75 * window:
-            continue
-        for a, b, c in itertools.product(range(q), range(q), range(1, q)):
-            s = [0, 0, 1]
-            while len(s) < v:
-                s.append((a * s[-1] + b * s[-2] + c * s[-3]) % q)
-            cover = tuple(n for n in range(v) if s[n] == 0)
-            if len(cover) == q + 1 and len({(i - j) % v for i in cover for j in cover}) == v:
-                return v, cover
-    return 1, (0,)
-
-
 def _layout(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For every byte of some texts: its place in its text, and the bytes left from it on."""
     sizes = np.diff(offsets)
@@ -90,16 +74,6 @@ def _samples(block: TextBlock, window: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(positions), np.concatenate(hashes)
 
 
-def _windows(block: TextBlock, window: int) -> np.ndarray:
-    """The hashes of all whole windows of each text, in order."""
-    hashes = [np.zeros(0, _U)]
-    for chunk in block.chunks():
-        _, left = _layout(chunk.offsets)
-        at = np.flatnonzero(left >= window)
-        hashes.append(textscan.window(textscan.prefix_hashes(chunk.data), at, at + window))
-    return np.concatenate(hashes)
-
-
 def _requests(name: int, hashes: np.ndarray, buckets: int) -> pa.RecordBatch:
     keys, counts = textscan.counted(hashes)
     edges = bucket_edges(keys, buckets)
@@ -121,13 +95,19 @@ def _bits(packed: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(expand(packed, (n + 7) // 8), np.uint8), count=n).astype(bool)
 
 
+def _pack(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    for batch in pack_texts(batches, limit):
+        yield batch.append_column("packed", pa.array([batch.nbytes], pa.int64()))
+
+
 def _ask_samples(
-    batches: Iterator[pa.RecordBatch], window: int, buckets: int, limit: int
+    batches: Iterator[pa.RecordBatch], window: int, buckets: int
 ) -> Iterator[pa.RecordBatch]:
-    for block in blocks(batches, limit):
-        _, hashes = _samples(block, window)
-        if len(hashes):
-            yield _requests(block.name(), hashes, buckets)
+    for batch in batches:
+        for row in range(len(batch)):
+            _, hashes = _samples(unpack_texts(batch, row), window)
+            if len(hashes):
+                yield _requests(batch.column("block")[row].as_py(), hashes, buckets)
 
 
 def _answer(asked: pa.Table) -> pa.Table:
@@ -149,9 +129,8 @@ def _answer(asked: pa.Table) -> pa.Table:
     )
 
 
-def _answered(answers: pa.Table, turn: int, same: int, hashes: np.ndarray) -> np.ndarray:
-    """For each hash of a block whether it occurs twice in all texts."""
-    keys = textscan.distinct(hashes)
+def _told(answers: pa.Table, turn: int, same: int) -> np.ndarray:
+    """What the buckets, in order, told the block ``turn`` of the ``same`` equal ones of its name."""
     flags = [
         _bits(t, n)
         for t, n in zip(
@@ -160,10 +139,12 @@ def _answered(answers: pa.Table, turn: int, same: int, hashes: np.ndarray) -> np
             strict=True,
         )
     ]
-    flags = np.concatenate(flags) if flags else np.zeros(0, bool)
-    if len(flags) != len(keys):
-        raise RuntimeError("the texts were read in other blocks than before; stage them first")
-    return flags[np.searchsorted(keys, hashes)]
+    return np.concatenate(flags) if flags else np.zeros(0, bool)
+
+
+def _answered(answers: pa.Table, turn: int, same: int, hashes: np.ndarray) -> np.ndarray:
+    """For each hash of a block whether it occurs twice in all texts."""
+    return _told(answers, turn, same)[np.searchsorted(textscan.distinct(hashes), hashes)]
 
 
 def _runs(marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -201,11 +182,12 @@ def _candidates(texts: pa.Table, answers: pa.Table, window: int) -> pa.Table:
                 len(begin),
                 squeeze(places.tobytes()),
                 squeeze(pieces.tobytes()),
+                len(pieces),
             )
         )
     names = [c.split()[0] for c in _PIECES.split(", ")]
-    types = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-    columns = list(zip(*out, strict=True)) if out else [[]] * 4
+    types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64()]
+    columns = list(zip(*out, strict=True)) if out else [[]] * 5
     return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
 
@@ -229,21 +211,117 @@ def _pieces(table: pa.Table | pa.RecordBatch, row: int) -> tuple[np.ndarray, Tex
     return places, TextBlock(np.arange(n), offsets, data)
 
 
-def _ask_windows(
-    batches: Iterator[pa.RecordBatch], window: int, buckets: int
-) -> Iterator[pa.RecordBatch]:
+def _stretches(block: TextBlock, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of neighbouring windows with the same least hash: first window, how many, the hash."""
+    pick = max(1, min(PICK_BYTES, window // 4))
+    out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, _U))]
+    for chunk in block.chunks():
+        _, left = _layout(chunk.offsets)
+        at = np.flatnonzero(left >= window)
+        if len(at) == 0:
+            continue
+        start = np.arange(len(chunk.data) - pick + 1)
+        least = textscan.window(textscan.prefix_hashes(chunk.data), start, start + pick)
+        span, strings = 1, window - pick + 1
+        while 2 * span <= strings:
+            least = np.minimum(least[:-span], least[span:])
+            span *= 2
+        rest = strings - span
+        least = np.minimum(least[: len(least) - rest], least[rest:])[at]
+        first = np.ones(len(at), bool)
+        first[1:] = (at[1:] != at[:-1] + 1) | (least[1:] != least[:-1])
+        begin = np.flatnonzero(first)
+        counts = np.diff(np.append(begin, len(at)))
+        out.append((at[begin] + block.offsets[chunk.first], counts, least[begin]))
+    return tuple(np.concatenate(part) for part in zip(*out, strict=True))
+
+
+class _Runs:
+    """The distinct runs of a block in the order of their buckets, and where its windows are in them."""
+
+    def __init__(self, block: TextBlock, window: int, buckets: int):
+        begin, counts, least = _stretches(block, window)
+        raw, seen = block.data.tobytes(), {}
+        which = np.array(
+            [
+                seen.setdefault(raw[b : b + c + window - 1], len(seen))
+                for b, c in zip(begin.tolist(), counts.tolist(), strict=True)
+            ],
+            np.int64,
+        )
+        _, first, times = np.unique(which, return_index=True, return_counts=True)
+        spread = textscan.mix(least[first]) >> _U(32)
+        bucket = ((spread * _U(buckets)) >> _U(32)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        texts = list(seen)
+        self.texts = [texts[i] for i in order]
+        self.times, self.bucket = times[order], bucket[order]
+        size = counts[first]
+        place = np.zeros(len(order), np.int64)
+        place[order] = np.cumsum(size[order]) - size[order]
+        self.windows = _inside(place[which], counts)
+
+
+def _inside(begin: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... for each of ``counts``, one behind the other."""
+    return np.repeat(begin - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+
+
+def _ask_runs(batches: Iterator[pa.RecordBatch], window: int, buckets: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(len(batch)):
-            _, block = _pieces(batch, row)
-            yield _requests(batch.column("block")[row].as_py(), _windows(block, window), buckets)
+            runs = _Runs(_pieces(batch, row)[1], window, buckets)
+            used, low = np.unique(runs.bucket, return_index=True)
+            cut = list(zip(low, np.append(low[1:], len(runs.bucket)), strict=True))
+            lengths = np.array([len(t) for t in runs.texts], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(used, pa.int32()),
+                    pa.array(np.full(len(used), batch.column("block")[row].as_py()), pa.int64()),
+                    pa.array([h - l for l, h in cut], pa.int32()),
+                    pa.array([squeeze(lengths[l:h].tobytes()) for l, h in cut], pa.binary()),
+                    pa.array([squeeze(np.packbits(runs.times[l:h] > 1).tobytes()) for l, h in cut], pa.binary()),
+                    pa.array([squeeze(b"".join(runs.texts[l:h])) for l, h in cut], pa.binary()),
+                ],
+                [c.split()[0] for c in _RUNS.split(", ")],
+            )
+
+
+def _sorted_bucket(asked: pa.Table, window: int) -> pa.Table:
+    """Which windows of a bucket's runs begin twice, for each block in the order it asked."""
+    seen, which, many = {}, [], []
+    for row in range(len(asked)):
+        n, lengths, twice, texts = (asked.column(c)[row].as_py() for c in ("n", "lengths", "twice", "texts"))
+        ends = np.cumsum(np.frombuffer(expand(lengths, 8 * n), np.int64)).tolist()
+        raw, low, own = expand(texts, ends[-1]), 0, []
+        for high in ends:
+            own.append(seen.setdefault(raw[low:high], len(seen)))
+            low = high
+        which.append(np.array(own, np.int64))
+        many.append(1 + _bits(twice, n))
+    times = np.bincount(np.concatenate(which), np.concatenate(many))
+    offsets = np.concatenate(([0], np.cumsum([len(t) for t in seen]))).astype(np.int64)
+    data = np.frombuffer(b"".join(seen), np.uint8)
+    counts = np.diff(offsets) - window + 1
+    place = np.cumsum(counts) - counts
+    found = repeated(data, offsets, window) | np.repeat(times > 1, counts)
+    flags = [found[_inside(place[own], counts[own])] for own in which]
+    return pa.table(
+        {
+            "block": asked.column("block"),
+            "bucket": asked.column("bucket"),
+            "n": pa.array([len(f) for f in flags], pa.int32()),
+            "twice": pa.array([squeeze(np.packbits(f).tobytes()) for f in flags], pa.binary()),
+        }
+    )
 
 
-def _removed(pieces: pa.Table, answers: pa.Table, window: int) -> pa.Table:
+def _removed(pieces: pa.Table, answers: pa.Table, window: int, buckets: int) -> pa.Table:
     """The byte ranges to remove, as text number, begin and end in the text."""
     answers, same, out = answers.sort_by("bucket"), len(pieces), []
     for turn in range(same):
         places, block = _pieces(pieces, turn)
-        twice = _answered(answers, turn, same, _windows(block, window))
+        twice = _told(answers, turn, same)[_Runs(block, window, buckets).windows]
         # windows back to their positions: each piece has length - window + 1 of them
         counts = np.diff(block.offsets) - window + 1
         first = np.cumsum(counts) - counts
@@ -303,38 +381,50 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLO
     occurrences count and all are judged on the input. Matches never cross texts. Texts are
     taken as UTF-8; null and shorter texts lose nothing. Null ids stay null; a row that is
     repeated is a copy like any other. An empty table gives an empty table; further columns
-    are not read. ``docs`` is read three times and must come in the same order each time, as
-    from stored files; else the run fails and says so.
+    are not read. ``docs`` is read once, in any order; its packed texts are staged.
     """
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
-    small_batches(docs.sparkSession)
-    buckets = bucket_count(docs.sparkSession)
-    texts = docs.mapInArrow(partial(pack_texts, limit=block_bytes), TEXTS)
+    spark = docs.sparkSession
+    small_batches(spark)
+    least = bucket_count(spark)
+
+    def buckets_for(table: DataFrame, size: str, share: float) -> int:
+        total = table.agg(F.sum(size)).first()[0] or 0
+        return max(least, int(total * share) // BUCKET_BYTES)
+
+    def by_bucket(asked: DataFrame, buckets: int):
+        return asked.repartition(buckets // 2, "bucket").groupBy("bucket")
+
+    packed = stage(docs.mapInArrow(partial(_pack, limit=block_bytes), _PACKED))
+    texts = packed.drop("packed")
+    # a sample's key is 8 bytes; packed texts are some 0.4 of their size
+    v, cover = difference_cover(window)
+    buckets = buckets_for(packed, "packed", 8 * len(cover) / v / 0.4)
 
     def candidates(one: pa.Table, two: pa.Table) -> pa.Table:
         return _candidates(one, two, window)
 
+    ranks = by_bucket(
+        texts.mapInArrow(partial(_ask_samples, window=window, buckets=buckets), _ASK), buckets
+    ).applyInArrow(_answer, _ANSWER)
+    pieces = stage(
+        texts.groupBy("block").cogroup(ranks.groupBy("block")).applyInArrow(candidates, _PIECES)
+    )
+    # a run has some 85 windows, and so some 285 bytes
+    buckets = buckets_for(pieces, "bytes", 3.3)
+
+    def sort_bucket(asked: pa.Table) -> pa.Table:
+        return _sorted_bucket(asked, window)
+
     def removed(one: pa.Table, two: pa.Table) -> pa.Table:
-        return _removed(one, two, window)
+        return _removed(one, two, window, buckets)
 
     def cut(one: pa.Table, two: pa.Table) -> pa.Table:
         return pa.Table.from_batches(list(_cut(one, two)))
 
-    ranks = (
-        docs.mapInArrow(
-            partial(_ask_samples, window=window, buckets=buckets, limit=block_bytes), _ASK
-        )
-        .groupBy("bucket")
-        .applyInArrow(_answer, _ANSWER)
-    )
-    pieces = stage(
-        texts.groupBy("block").cogroup(ranks.groupBy("block")).applyInArrow(candidates, _PIECES)
-    )
-    classes = (
-        pieces.mapInArrow(partial(_ask_windows, window=window, buckets=buckets), _ASK)
-        .groupBy("bucket")
-        .applyInArrow(_answer, _ANSWER)
-    )
+    classes = by_bucket(
+        pieces.mapInArrow(partial(_ask_runs, window=window, buckets=buckets), _RUNS), buckets
+    ).applyInArrow(sort_bucket, _ANSWER)
     ranges = stage(
         pieces.groupBy("block").cogroup(classes.groupBy("block")).applyInArrow(removed, _RANGES)
     )

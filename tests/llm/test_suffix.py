@@ -2,9 +2,14 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from shelfsight.llm.suffix import difference_cover, remove_repeats
+from shelfsight.llm import suffix, textscan
+from shelfsight.llm.suffix import remove_repeats
+from shelfsight.llm.suffix_sort import difference_cover, repeated
+from shelfsight.llm.textblocks import TextBlock
 
 
 def brute(rows, window):
@@ -63,3 +68,57 @@ def test_long_text(documents, made):
     text = made(60_000, 1)
     rows = [(1, text), (2, made(300, 2) + text[1000:2000])]
     assert result(remove_repeats(documents(rows))) == brute(rows, 200)
+
+
+def cut_copies(seed, alphabet, count=14):
+    rng = random.Random(seed)
+    pool = [bytes(rng.choice(alphabet) for _ in range(rng.randrange(1, 600))) for _ in range(4)]
+    texts = []
+    for _ in range(count):
+        p = rng.choice(pool)
+        low = rng.randrange(len(p))
+        tail = bytes(rng.choice(alphabet) for _ in range(rng.randrange(5)))
+        texts.append(p[low : low + rng.randrange(1, 500)] + tail)
+    return texts
+
+
+@pytest.mark.parametrize("window", [1, 2, 8, 9, 17, 31, 64, 200])
+@pytest.mark.parametrize("alphabet", [b"a", b"a\0", b"ab", b"abcdefgh"])
+def test_sorted_suffixes_tell_repeats(window, alphabet):
+    for seed in range(4):
+        texts = cut_copies(seed, alphabet)
+        seen = Counter(t[i : i + window] for t in texts for i in range(len(t) - window + 1))
+        expected = [seen[t[i : i + window]] > 1 for t in texts for i in range(len(t) - window + 1)]
+        offsets = np.cumsum([0, *map(len, texts)])
+        assert repeated(np.frombuffer(b"".join(texts), np.uint8), offsets, window).tolist() == expected
+
+
+def test_long_ties_of_many_suffixes(made):
+    shared = made(900, 3).encode()
+    texts = [shared[i % 300 : i % 300 + 400] + made(60, 10 + i).encode() for i in range(300)]
+    seen = Counter(t[i : i + 200] for t in texts for i in range(len(t) - 199))
+    offsets = np.cumsum([0, *map(len, texts)])
+    found = repeated(np.frombuffer(b"".join(texts), np.uint8), offsets, 200)
+    assert found.tolist() == [seen[t[i : i + 200]] > 1 for t in texts for i in range(len(t) - 199)]
+
+
+def test_hashes_that_collide_remove_nothing(monkeypatch):
+    """With one hash for all strings every window is a candidate of one bucket; bytes decide."""
+    monkeypatch.setattr(textscan, "window", lambda sums, start, end: np.zeros(len(start), np.uint64))
+    texts = cut_copies(5, b"abcdefgh", 30)
+    block = TextBlock(np.arange(len(texts)), np.cumsum([0, *map(len, texts)]), np.frombuffer(b"".join(texts), np.uint8))
+    runs = suffix._Runs(block, 60, 8)
+    lengths = np.array([len(t) for t in runs.texts], np.int64)
+    asked = pa.table(
+        {
+            "bucket": [0],
+            "block": [1],
+            "n": [len(runs.texts)],
+            "lengths": [suffix.squeeze(lengths.tobytes())],
+            "twice": [suffix.squeeze(np.packbits(runs.times > 1).tobytes())],
+            "texts": [suffix.squeeze(b"".join(runs.texts))],
+        }
+    )
+    found = suffix._told(suffix._sorted_bucket(asked, 60), 0, 1)[runs.windows]
+    seen = Counter(t[i : i + 60] for t in texts for i in range(len(t) - 59))
+    assert found.tolist() == [seen[t[i : i + 60]] > 1 for t in texts for i in range(len(t) - 59)]
