@@ -30,15 +30,15 @@ _TOKEN = re.compile(
     r"""|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""",
     re.S,
 )
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=>]|$)|display\s*:\s*none""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
 #: Elements that begin and end a block, that hold no text to read, and that have no end tag.
 BLOCKS = frozenset(
     "address article aside blockquote body button center dd details dialog dir div dl dt fieldset"
     " figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html label legend li main menu"
     " nav ol option p pre section select summary table tbody td textarea tfoot th thead title tr ul".split()
 )
-RAW = frozenset("script style noscript template iframe svg math object".split())
+RAW = frozenset("script style noscript template iframe svg".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
            "th": {"td", "th"}, "option": {"option"}}
@@ -56,9 +56,13 @@ class Block:
 
 
 def leaf_blocks(page: str) -> list[Block]:
-    """The texts between block elements in page order, white space folded, references decoded."""
+    """The texts between block elements in page order, white space folded, references decoded.
+
+    Text of hidden elements (by their own ``hidden`` or ``display: none``) is left out up to
+    where they end, be it by the end tag of an element around them.
+    """
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, tuple[str, ...], bool]] = []
     parts: list[str] = []
     linked, at = 0, 0
 
@@ -66,8 +70,8 @@ def leaf_blocks(page: str) -> list[Block]:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            names = tuple(n for _, own in stack for n in own)
-            out.append(Block(text, tuple(t for t, _ in stack), names, linked))
+            names = tuple(n for _, own, _ in stack for n in own)
+            out.append(Block(text, tuple(t for t, _, _ in stack), names, linked))
         parts.clear()
         linked = 0
 
@@ -82,10 +86,10 @@ def leaf_blocks(page: str) -> list[Block]:
     while True:
         found = _TOKEN.search(page, at)
         raw = page[at : found.start() if found else len(page)]
-        if raw:
+        if raw and not any(hidden for _, _, hidden in stack):
             text = html.unescape(raw)
             parts.append(text)
-            if any(t == "a" for t, _ in stack):
+            if any(t == "a" for t, _, _ in stack):
                 linked += len(text)
         if not found:
             break
@@ -104,7 +108,7 @@ def leaf_blocks(page: str) -> list[Block]:
             if tag in ("br", "p"):
                 parts.append(" ")
             continue
-        if tag in RAW or (_HIDDEN.search(attributes) and tag not in VOID):
+        if tag in RAW:
             if tag in BLOCKS:
                 close()
             if not attributes.endswith("/"):
@@ -112,19 +116,29 @@ def leaf_blocks(page: str) -> list[Block]:
             continue
         if tag in BLOCKS:
             close()
-            if any(t == "p" for t, _ in stack):
+            if any(t == "p" for t, _, _ in stack):
                 pop_to({"p"}, BLOCKS - {"p"})
             if tag in _CLOSES:
                 pop_to(_CLOSES[tag], {"ul", "ol", "dl", "table", "select", "tbody", "thead"} - {tag})
         if tag == "br":
             parts.append(" ")
         if tag not in VOID and not attributes.endswith("/"):
-            names = " ".join(a or b or c for a, b, c in _NAMES.findall(attributes))
-            stack.append((tag, tuple(re.findall(r"[a-z]+", _camel(names))[:12])))
+            own = _attributes(attributes)
+            names = " ".join(own.get(name, "") for name in own if name in ("class", "id", "role"))
+            hidden = "hidden" in own or bool(_NOT_SHOWN.search(own.get("style", "")))
+            stack.append((tag, tuple(re.findall(r"[a-z]+", _camel(names))[:12]), hidden))
     close()
     return out
 
 
+def _attributes(tag: str) -> dict[str, str]:
+    """By name in lower case; the first of a name counts."""
+    out: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(tag):
+        out.setdefault(name.lower(), "".join(values))
+    return out
+
+
 def _camel(names: str) -> str:
     return re.sub(r"([a-z])([A-Z])", r"\1 \2", names).lower()
 

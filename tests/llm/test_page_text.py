@@ -15,6 +15,11 @@ SCHEMA = "page_id long, url string, html string"
         ('<script>var t="</p><p>x";</script><!-- <p>n --> <style>p{}</style>t', ["t"]),
         ("<ul><li>a<li>b</ul><table><tr><td>c<td>d</table>", ["a", "b", "c", "d"]),
         ("x <a title='a>b'>y</a> 1 < 2 <p hidden>no</p> z", ["x y 1 < 2", "z"]),
+        ('<article title="The hidden valley"><p>a</article>', ["a"]),
+        ('<div class="md:flex hidden lg:block" data-style="display:none">a</div>', ["a"]),
+        ("<ul><li hidden>no<li>a</ul><p>b", ["a", "b"]),
+        ("<div><p HIDDEN>no<b>no</div>a <i style='color:red; display: none'>no</i>b", ["a b"]),
+        ("<p>It follows that <math><mi>E</mi>=<mi>m</mi></math>. Energy <object>holds</object>.", ["It follows that E=m. Energy holds."]),
         ("<!-- open", []),
         ("", []),
     ],
