@@ -92,11 +92,3 @@ def test_other_thresholds_lose_no_link(documents):
     for percent in (40, 60, 90):
         got = {tuple(r) for r in near_duplicates(documents(rows), 2, percent).collect()}
         assert got == brute(rows, 2, percent)
-
-
-def test_many_copies_of_one_text_and_many_texts_of_one_leader(documents):
-    rows = [(i, "the same old text again and again") for i in range(300)]
-    rows += [(1000 + i, None if i % 2 else " ") for i in range(300)]
-    rows += [(2000 + i, t) for i, t in enumerate(near_copies(9, 120, words=90))]
-    got = {tuple(r) for r in near_duplicates(documents(rows), 2).collect()}
-    assert got == brute(rows, 2, 80)
