@@ -57,6 +57,11 @@ FEATURES = (
 
 AsOf = Sequence[dt.date | str]
 
+MEASURES = ("revenue", "units")
+_FACETS = {"distributor": "distributor", "product_name": "product"}
+#: As-of dates that share a number of one bit each; fewer than 63, so that none is its sign.
+_STRETCH = 60
+
 
 def asof_dates(lo: dt.date | str, hi: dt.date | str) -> list[dt.date]:
     """Month starts in ``[lo, hi]``."""
@@ -181,77 +186,144 @@ def _covering(asofs: AsOf, days: int) -> Column:
     return _dates_from(_sorted_dates(asofs), day, F.date_add(day, days))
 
 
+def _window_sums(asof: Column, days: Column, kinds: dict) -> dict[str, Column]:
+    """Orders, revenue and units per window, from the days of ``recent_days`` inside it."""
+    sums = {}
+    for width in WINDOWS:
+        inside = _inside(asof, days, width)
+        sums[f"orders_{width}d"] = _total(inside["n"], "bigint")
+        for measure in kinds.keys() & set(MEASURES):
+            sums[f"{measure}_{width}d"] = _total(inside[measure], kinds[measure])
+    return sums
+
+
+def _inside(asof: Column, days: Column, width: int) -> Column:
+    return F.filter(days, lambda d: F.datediff(asof, d["day"]) < width)
+
+
+def _total(values: Column, kind) -> Column:
+    zero = F.lit(0).cast(kind)
+    return F.aggregate(values, zero, lambda a, v: (a + F.coalesce(v, zero)).cast(kind))
+
+
+def _breadths(invoices: DataFrame, asofs: AsOf, facets: Sequence[str]) -> DataFrame:
+    """Distinct values of each facet per account, date and window.
+
+    A row per account, value and stretch of ``_STRETCH`` dates says by one bit per date whether
+    the value occurs in the window, so it does not matter how many invoices it has or how many
+    dates they count for. Bits are only counted where an account's rows meet.
+    """
+    listed = _sorted_dates(asofs)
+    day = F.col("invoice_date")
+    entries = [F.struct(F.lit(i).alias("facet"), F.col(c).cast("string").alias("value")) for i, c in enumerate(facets)]
+    ends = {f"end_{w}": _count_before(listed, F.date_add(day, w)) for w in WINDOWS}
+    longest = F.col(f"end_{max(WINDOWS)}")
+    stretches = F.sequence(
+        F.floor(F.col("first") / _STRETCH).cast("int"), F.floor((longest - 1) / _STRETCH).cast("int")
+    )
+    spans = (
+        _usable(invoices)
+        .select("account_id", *facets, _count_before(listed, day).alias("first"),
+                *(end.alias(name) for name, end in ends.items()))
+        .where(F.col("first") < longest)
+        .select("account_id", "first", *ends, F.inline(F.array(*entries)))
+        .where("value IS NOT NULL")
+        .select("*", F.explode(stretches).alias("stretch"))
+    )
+
+    def place(date: Column) -> Column:
+        return F.least(F.greatest(date - F.col("stretch") * _STRETCH, F.lit(0)), F.lit(_STRETCH))
+
+    def upto(date: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), place(date)) - 1
+
+    bits = spans.groupBy("account_id", "facet", "value", "stretch").agg(
+        F.min(place(F.col("first"))).alias("lo"),
+        F.max(place(longest)).alias("hi"),
+        *(F.bit_or(upto(F.col(f"end_{w}")).bitwiseXOR(upto(F.least("first", f"end_{w}")))).alias(f"in_{w}")
+          for w in WINDOWS),
+    )
+    # all of an account at once: the dates are listed and counted without moving again
+    dated = bits.drop("value").repartition("account_id").select(
+        "account_id", "facet", (F.col("stretch") * _STRETCH).alias("begin"), *(f"in_{w}" for w in WINDOWS),
+        F.explode(F.sequence(F.col("lo"), F.col("hi") - 1)).alias("at"),
+    )
+    counts = []
+    for w in WINDOWS:
+        bit = F.call_function("shiftright", F.col(f"in_{w}"), F.col("at")).bitwiseAND(F.lit(1).cast("bigint"))
+        counts += [
+            F.sum(F.when(F.col("facet") == i, bit).otherwise(0)).alias(f"{_FACETS[c]}_breadth_{w}d")
+            for i, c in enumerate(facets)
+        ]
+    number = (F.col("begin") + F.col("at")).alias("number")
+    counted = dated.groupBy("account_id", number).agg(*counts)
+    date = F.get(F.array(*(as_date(d) for d in listed)), F.col("number"))
+    return counted.select("account_id", date.alias("asof_date"), *counted.columns[2:])
+
+
+def _with_breadths(rows: DataFrame, invoices: DataFrame, asofs: AsOf) -> DataFrame:
+    """``rows``, which hold the orders, with the breadths; without its column one counts orders."""
+    facets = [c for c in _FACETS if c in invoices.columns]
+    names = {c: [f"{_FACETS[c]}_breadth_{w}d" for w in WINDOWS] for c in _FACETS}
+    if facets:
+        rows = rows.join(_breadths(invoices, asofs, facets), ["account_id", "asof_date"], "left")
+    none = F.lit(0).cast("bigint")
+    return rows.withColumns(
+        {
+            name: F.coalesce(name, none) if c in facets else F.col(f"orders_{w}d")
+            for c in _FACETS
+            for name, w in zip(names[c], WINDOWS, strict=True)
+        }
+    )
+
+
 def churn_window_features(invoices: DataFrame, asofs: AsOf) -> DataFrame:
     """Orders, revenue, units, products and distributors per account, date and window.
 
-    Distinct counts come from the age of the newest invoice per product and per
-    distributor, which serves all windows at once; each level is combined before its
-    shuffle, so an account with very many invoices costs no more than its distinct keys.
+    Sums are taken from the days that ``_account_days`` lists, so an invoice is not repeated
+    for the dates it counts for.
     """
-    facets = [c for c in ("distributor", "product_name") if c in invoices.columns]
-    rows = _usable(invoices).select(
+    days = _account_days(invoices)
+    day, longest = F.col("invoice_date"), max(WINDOWS)
+    end = F.least("next", F.date_add(day, longest))
+    sums = _window_sums(F.col("asof_date"), F.col("recent_days"), _kinds(days))
+    rows = days.select(
         "account_id",
-        *facets,
-        "revenue",
-        "units",
-        "invoice_date",
-        F.explode(_covering(asofs, max(WINDOWS))).alias("asof_date"),
-    )
-    age = F.datediff("asof_date", "invoice_date")
-    keys = ["account_id", "asof_date"]
-    sums: dict[str, Column] = {}
-    for days in WINDOWS:
-        inside = age < days
-        sums[f"orders_{days}d"] = F.count_if(inside)
-        sums[f"revenue_{days}d"] = F.sum(F.when(inside, F.col("revenue")))
-        sums[f"units_{days}d"] = F.sum(F.when(inside, F.col("units")))
-    fine = rows.groupBy(*keys, *facets).agg(
-        F.min(age).alias("age"), *(expr.alias(name) for name, expr in sums.items())
-    )
-    # every row once per facet; the sums ride along with the first one only
-    entries = [
-        F.struct(F.lit(c).alias("facet"), F.col(c).cast("string").alias("value")) for c in facets
-    ] or [F.struct(F.lit("none").alias("facet"), F.lit(None).cast("string").alias("value"))]
-    carries = F.col("facet") == (facets[0] if facets else "none")
-    coarse = (
-        fine.select(*keys, "age", *sums, F.inline(F.array(*entries)))
-        .groupBy(*keys, "facet", "value")
-        .agg(
-            F.min("age").alias("age"),
-            *(F.sum(F.when(carries, F.col(name))).alias(name) for name in sums),
-        )
+        F.explode(_dates_from(_sorted_dates(asofs), day, end)).alias("asof_date"),
+        "recent_days",
+    ).select("account_id", "asof_date", *(total.alias(name) for name, total in sums.items()))
+    return _with_breadths(rows, invoices, asofs).select(
+        "account_id", "asof_date", *(f for f in FEATURES if f.endswith("0d") and "median" not in f)
     )
 
-    def breadth(facet: str, days: int) -> Column:
-        if facet not in facets:
-            return F.sum(f"orders_{days}d")
-        return F.count_if(
-            (F.col("facet") == facet) & F.col("value").isNotNull() & (F.col("age") < days)
-        )
 
-    columns: list[Column] = []
-    for days in WINDOWS:
-        columns += [
-            F.sum(f"orders_{days}d").alias(f"orders_{days}d"),
-            F.coalesce(F.sum(f"revenue_{days}d"), F.lit(0)).alias(f"revenue_{days}d"),
-            F.coalesce(F.sum(f"units_{days}d"), F.lit(0)).alias(f"units_{days}d"),
-            breadth("product_name", days).alias(f"product_breadth_{days}d"),
-            breadth("distributor", days).alias(f"distributor_breadth_{days}d"),
-        ]
-    return coarse.groupBy(*keys).agg(*columns)
+def _kinds(days: DataFrame) -> dict:
+    element = days.schema["recent_days"].dataType.elementType
+    return {f.name: f.dataType for f in element}
 
 
-def _account_days(invoices: DataFrame) -> DataFrame:
-    """Invoices per account and day, with the neighbouring days.
+def _account_days(invoices: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame:
+    """Invoices per account and day, with the neighbouring days and those of the longest window.
 
     Counting per day first bounds the window of an account by the number of days,
-    however many invoices it has.
+    however many invoices it has. ``recent_days`` holds a window's length of days at most,
+    each with its sums of ``measures``.
     """
-    along = Window.partitionBy("account_id").orderBy("invoice_date")
+    along = Window.partitionBy("account_id").orderBy("day_number")
+    day = F.struct(F.col("invoice_date").alias("day"), "n", *measures)
+
+    def with_gap(d: Column, place: Column) -> Column:
+        before = F.get(F.col("recent_days"), place - 1)["day"]
+        return F.struct(
+            d["day"].alias("day"), d["n"].alias("n"), F.datediff(d["day"], before).alias("gap"),
+            *(d[c].alias(c) for c in measures),
+        )
+
     return (
         _usable(invoices)
         .groupBy("account_id", "invoice_date")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"), *(F.sum(c).alias(c) for c in measures))
+        .withColumn("day_number", F.datediff("invoice_date", as_date("1970-01-01")))
         .withColumns(
             {
                 "previous": F.lag("invoice_date").over(along),
@@ -259,8 +331,11 @@ def _account_days(invoices: DataFrame) -> DataFrame:
                 "last_days": F.collect_list(F.struct("invoice_date", "n")).over(
                     along.rowsBetween(1 - RECENT_INVOICES, 0)
                 ),
+                "recent_days": F.collect_list(day).over(along.rangeBetween(1 - max(WINDOWS), 0)),
             }
         )
+        .withColumn("recent_days", F.transform("recent_days", with_gap))
+        .drop("day_number", *measures)
     )
 
 
@@ -291,13 +366,12 @@ def _middle(gaps: Column) -> Column:
     return F.when(n > 0, (low + high) / F.lit(2.0)).otherwise(F.lit(0.0))
 
 
-def account_history(invoices: DataFrame) -> DataFrame:
+def account_history(invoices: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame:
     """Account days with the median gap of the last few invoices, written out (runs a job).
 
-    Everything below but the window features comes from this narrow table, so accounts are
-    put in order once.
+    Everything below but the breadths comes from this table, so accounts are put in order once.
     """
-    days = _account_days(invoices)
+    days = _account_days(invoices, measures)
     recent = _middle(_recent_gaps(F.col("last_days")))
     return stage(days.withColumn("recent_interval", recent).drop("last_days"))
 
@@ -307,81 +381,73 @@ def _valid_dates(asofs: AsOf) -> Column:
     return _dates_from(_sorted_dates(asofs), F.col("invoice_date"), F.col("next"))
 
 
-def _asof_state(history: DataFrame, asofs: AsOf) -> DataFrame:
+def _median_gap(inside: Column) -> tuple[Column, Column]:
+    """Median of the gaps between the invoices of the days ``inside``, 0 without any; their number.
+
+    Gaps count if both ends are inside; further invoices on a day are gaps of 0.
+    """
+    days = F.size(inside)
+    across = F.sort_array(F.slice(inside["gap"], 2, F.greatest(days - 1, F.lit(0))))
+    zeros = _total(inside["n"], "bigint") - days
+    gaps = zeros + days - 1
+
+    def at(place: Column) -> Column:
+        later = F.get(across, (F.floor(place) - zeros).cast("int"))
+        return F.when(F.floor(place) < zeros, F.lit(0)).otherwise(later)
+
+    middle = (at((gaps - 1) / 2) + at(gaps / 2)) / F.lit(2.0)
+    return F.when(gaps > 0, middle).otherwise(F.lit(0.0)), F.greatest(gaps, F.lit(0).cast("bigint"))
+
+
+def _asof_state(history: DataFrame, asofs: AsOf, *columns: Column) -> DataFrame:
     """One row per account and as-of date from its first invoice on, with its gaps.
 
-    A day serves the dates it is the last invoice day of and those whose window it is in.
-    Both begin with the day, so it is exploded once, up to the later end. Gaps count in a
-    window if both ends are inside; further invoices on a day are gaps of 0, given to the
-    median as a frequency.
+    A day serves the dates it is the last invoice day of, so each row comes from a single one;
+    ``columns`` may use all of the day's.
     """
-    longest = max(GAP_WINDOWS)
-    day, following = F.col("invoice_date"), F.col("next")
-    end = F.when(following.isNotNull(), F.greatest(following, F.date_add(day, longest)))
-    is_last = following.isNull() | (F.col("asof_date") < following)
-    near = F.datediff("asof_date", day) < longest
-    same_day = F.struct(F.lit(0).alias("gap"), (F.col("n") - 1).alias("times"), day.alias("since"))
-    across = F.struct(
-        F.datediff(day, "previous").alias("gap"),
-        F.lit(1).cast("bigint").alias("times"),
-        F.col("previous").alias("since"),
-    )
-    gaps = F.array_compact(
-        F.array(
-            F.when(near & (F.col("n") > 1), same_day),
-            F.when(near & F.col("previous").isNotNull(), across),
-        )
-    )
-    rows = (
-        history.withColumn("asof_date", F.explode(_dates_from(_sorted_dates(asofs), day, end)))
-        .withColumns(
-            {
-                "last_invoice": F.when(is_last, day),
-                "next_invoice": F.when(is_last, following),
-                "recent_interval": F.when(is_last, F.col("recent_interval")),
-                "gaps": gaps,
-            }
-        )
-        .select("account_id", "asof_date", "last_invoice", "next_invoice", "recent_interval",
-                F.inline_outer("gaps"))
-    )
-    columns = [F.max(c).alias(c) for c in ("last_invoice", "next_invoice", "recent_interval")]
+    found = []
     for days in GAP_WINDOWS:
-        inside = F.datediff("asof_date", "since") < days
-        times = F.when(inside, F.col("times")).otherwise(F.lit(0).cast("bigint"))
-        columns += [
-            F.percentile("gap", 0.5, times).alias(f"gap_{days}d"),
-            F.sum(times).alias(f"gaps_{days}d"),
-        ]
-    return rows.groupBy("account_id", "asof_date").agg(*columns)
+        median, gaps = _median_gap(_inside(F.col("asof_date"), F.col("recent_days"), days))
+        found += [median.alias(f"gap_{days}d"), gaps.alias(f"gaps_{days}d")]
+    return history.withColumn("asof_date", F.explode(_valid_dates(asofs))).select(
+        "account_id", "asof_date", F.col("invoice_date").alias("last_invoice"),
+        F.col("next").alias("next_invoice"), "recent_interval", *found, *columns,
+    )
+
 
+def _dates_with_gaps(history: DataFrame, asofs: AsOf) -> list[dt.date]:
+    """The as-of dates at which any account has a gap (runs a job).
 
-def _dates_with_gaps(history: DataFrame, asofs: AsOf) -> DataFrame:
-    """The as-of dates at which any account has a gap; at most as many rows as dates."""
+    Gaps are first reduced to the latest end per first date, so at most as many rows as dates
+    reach the driver.
+    """
     days, longest = _sorted_dates(asofs), max(GAP_WINDOWS)
     day = F.col("invoice_date")
     since = F.when(F.col("n") > 1, day).otherwise(F.col("previous"))
-    dates = _dates_from(days, day, F.date_add(since, longest))
-    return history.where(since.isNotNull()).select(F.explode(dates).alias("asof_date")).distinct()
+    spans = (
+        history.where(since.isNotNull())
+        .groupBy(_count_before(days, day).alias("first"))
+        .agg(F.max(_count_before(days, F.date_add(since, longest))).alias("end"))
+    )
+    return sorted({d for row in spans.collect() for d in days[row.first : row.end]})
 
 
-def _with_intervals(history: DataFrame, asofs: AsOf, strict_index: bool) -> DataFrame:
-    state = _asof_state(history, asofs)
+def _with_intervals(
+    history: DataFrame, asofs: AsOf, strict_index: bool, *columns: Column
+) -> DataFrame:
+    state = _asof_state(history, asofs, *columns)
     recent = F.col("recent_interval")
-    if strict_index:
-        dated = _dates_with_gaps(history, asofs).withColumn("any_gap", F.lit(True))
-        state = state.join(dated, "asof_date", "left")
-        lost = F.coalesce("any_gap", F.lit(False)) & (F.coalesce("gaps_180d", F.lit(0)) == 0)
-        recent = F.when(lost, F.lit(0.0)).otherwise(recent)
-    return state.select(
-        "account_id",
-        "asof_date",
-        "last_invoice",
-        "next_invoice",
-        F.coalesce("gap_180d", F.lit(0.0)).alias("median_interval_180d"),
-        recent.alias("median_interval_recent5"),
-        F.coalesce("gap_90d", F.lit(0.0)).alias("median_interval_90d"),
-    )
+    dated = _dates_with_gaps(history, asofs) if strict_index else []
+    if dated:
+        any_gap = F.col("asof_date").isin(dated)
+        recent = F.when(any_gap & (F.col("gaps_180d") == 0), F.lit(0.0)).otherwise(recent)
+    return state.withColumns(
+        {
+            "median_interval_180d": F.col("gap_180d"),
+            "median_interval_recent5": recent,
+            "median_interval_90d": F.col("gap_90d"),
+        }
+    ).drop("recent_interval", *(f"{c}_{days}d" for c in ("gap", "gaps") for days in GAP_WINDOWS))
 
 
 def reorder_intervals(
@@ -392,7 +458,7 @@ def reorder_intervals(
     ``strict_index`` keeps a property of the published features: once any account has a
     gap within 180 days of a date, the five-invoice median of accounts without one is 0.
     """
-    return _with_intervals(account_history(invoices), asofs, strict_index).drop(
+    return _with_intervals(account_history(invoices, ()), asofs, strict_index).drop(
         "last_invoice", "next_invoice"
     )
 
@@ -410,7 +476,7 @@ def _label_complete(history: DataFrame, horizon: int) -> Column:
 
 def churn_labels(invoices: DataFrame, asofs: AsOf, horizon: int = HORIZON_DAYS) -> DataFrame:
     """Whether each account buys again within ``horizon`` days after the date."""
-    history = account_history(invoices)
+    history = stage(_account_days(invoices, ()).select("account_id", "invoice_date", "next"))
     return (
         history.select(
             "account_id",
@@ -423,13 +489,20 @@ def churn_labels(invoices: DataFrame, asofs: AsOf, horizon: int = HORIZON_DAYS)
     )
 
 
+def _history_for(invoices: DataFrame, features: Sequence[str]) -> DataFrame:
+    wanted = [m for m in MEASURES if any(f.startswith(f"{m}_") for f in features)]
+    return account_history(invoices, wanted)
+
+
 def _all_features(
-    invoices: DataFrame, history: DataFrame, asofs: AsOf, strict_index: bool
+    invoices: DataFrame, history: DataFrame, asofs: AsOf, strict_index: bool, features: Sequence[str]
 ) -> DataFrame:
-    state = _with_intervals(history, asofs, strict_index)
-    joined = state.join(
-        churn_window_features(invoices, asofs), ["account_id", "asof_date"], "left"
+    sums = _window_sums(F.col("asof_date"), F.col("recent_days"), _kinds(history))
+    joined = _with_intervals(
+        history, asofs, strict_index, *(total.alias(name) for name, total in sums.items())
     )
+    if any("_breadth_" in f for f in features):
+        joined = _with_breadths(joined, invoices, asofs)
     angle = F.month("last_invoice") / F.lit(12.0) * F.lit(2 * math.pi)
     windowed = [f for f in FEATURES if f[-1] == "d" and f.split("_")[-1][:-1].isdigit()]
     numbers = joined.withColumns(
@@ -438,7 +511,7 @@ def _all_features(
             **{
                 f: F.coalesce(F.col(f).cast("double"), F.lit(0.0))
                 for f in windowed
-                if not f.startswith("median")
+                if f in joined.columns and not f.startswith("median")
             },
             "sin_month": F.sin(angle),
             "cos_month": F.cos(angle),
@@ -470,10 +543,19 @@ def _all_features(
     )
 
 
-def churn_features(invoices: DataFrame, asofs: AsOf, strict_index: bool = True) -> DataFrame:
-    """All features per account and as-of date, each a DOUBLE without NULLs."""
-    return _all_features(invoices, account_history(invoices), asofs, strict_index).select(
-        "account_id", "asof_date", *FEATURES
+def churn_features(
+    invoices: DataFrame,
+    asofs: AsOf,
+    strict_index: bool = True,
+    features: Sequence[str] = FEATURES,
+) -> DataFrame:
+    """Features per account and as-of date, each a DOUBLE without NULLs.
+
+    Only what ``features`` need is summed up, written and joined; the rows are the same.
+    """
+    history = _history_for(invoices, features)
+    return _all_features(invoices, history, asofs, strict_index, features).select(
+        "account_id", "asof_date", *features
     )
 
 
@@ -482,13 +564,14 @@ def churn_dataset(
     asofs: AsOf,
     horizon: int = HORIZON_DAYS,
     strict_index: bool = True,
+    features: Sequence[str] = FEATURES,
 ) -> DataFrame:
-    """Features and labels from one pass over the account days."""
-    history = account_history(invoices)
-    return _all_features(invoices, history, asofs, strict_index).select(
+    """Features, see ``churn_features``, and labels from one pass over the account days."""
+    history = _history_for(invoices, features)
+    return _all_features(invoices, history, asofs, strict_index, features).select(
         "account_id",
         "asof_date",
-        *FEATURES,
+        *features,
         _label(horizon).alias("label"),
         _label_complete(history, horizon).alias("label_complete"),
     )

@@ -242,12 +242,13 @@ def churn_dataset(spark, sf):
     return _comparable(_dataset(spark, sf))
 
 
-def _dataset(spark, sf):
+def _dataset(spark, sf, features=reorder.FEATURES):
     invoices = _written_invoices(spark, sf)
-    return reorder.churn_dataset(invoices, _calendar(invoices), _HORIZON)
+    return reorder.churn_dataset(invoices, _calendar(invoices), _HORIZON, features=features)
 
 
 # a score that ranks: recent orders against time since the last one, ties included
+_SCORED_BY = ("orders_90d", "days_since_last")
 _SCORED = f"""scored AS (
   SELECT l.label, {_round("f.orders_90d / (1 + f.days_since_last)", 4)} AS score
   FROM features f JOIN labelled l ON l.account_id = f.account_id AND l.asof_date = f.asof_date
@@ -274,7 +275,7 @@ _SCORED = f"""scored AS (
     ),
 )
 def rank_metrics(spark, sf):
-    dataset = _dataset(spark, sf).where("label_complete")
+    dataset = _dataset(spark, sf, _SCORED_BY).where("label_complete")
     score = round_half_up(F.col("orders_90d") / (1 + F.col("days_since_last")), 4)
     metrics = models.rank_metrics(dataset.select("label", score.alias("score")))
     return metrics.withColumns(
@@ -303,7 +304,7 @@ def rank_metrics(spark, sf):
 )
 def calibration_fit(spark, sf):
     """Isotonic fit of the label on a fixed score, checked by the max-min formula."""
-    dataset = _dataset(spark, sf).where("label_complete")
+    dataset = _dataset(spark, sf, _SCORED_BY).where("label_complete")
     score = round_half_up(F.col("orders_90d") / (1 + F.col("days_since_last")), 4)
     fitted = isotonic_fit(dataset.select("label", score.alias("score")))
     return fitted.withColumn("calibrated", round_half_up(F.col("calibrated"), 6))

@@ -165,3 +165,51 @@ def test_account_with_most_of_the_invoices(spark):
     assert rows["busy"].orders_30d == 5000 and rows["busy"].orders_90d == 5003
     assert rows["busy"].median_interval_90d == 0.0 and rows["busy"].median_interval_recent5 == 0.0
     assert rows["calm"].median_interval_180d == 10.0
+
+
+def test_an_invoice_is_not_repeated_for_its_dates(spark):
+    asofs = reorder.asof_dates("2024-01-01", "2025-07-01")
+    inv = invoices(spark, {"a": ago(5, 6, 100), "b": ago(30)})
+    text = reorder._breadths(inv, asofs, ["distributor", "product_name"])
+    plan = text._jdf.queryExecution().executedPlan().toString()
+    # dates are listed above the last exchange, on a row per value
+    assert plan.index("sequence(lo") < plan.index("Exchange hashpartitioning(account_id")
+    state = reorder._asof_state(reorder.account_history(inv), asofs)
+    assert "Exchange" not in state._jdf.queryExecution().executedPlan().toString()
+
+
+def test_breadths_over_many_dates_and_stretches(spark):
+    rng = random.Random(3)
+    days = [D(2024, 1, 1) + dt.timedelta(days=k) for k in range(0, 400)]
+    rows = [("d%d" % rng.randint(0, 1), f"a{rng.randint(0, 3)}", "s", rng.choice(days), 10.5, 1.0,
+             rng.choice(["p", "q", "r", None]), "r") for _ in range(60)]
+    inv = spark.createDataFrame(
+        rows, "distributor string, account_id string, ship_to_code string, invoice_date date,"
+        " revenue double, units double, product_name string, sales_rep string",
+    )
+    asofs = [D(2024, 1, 5) + dt.timedelta(days=3 * k) for k in range(190)]  # more than three numbers
+    got = {(r.account_id, r.asof_date): r for r in reorder.churn_window_features(inv, asofs).collect()}
+    seen = set()
+    for asof in asofs:
+        for account in ("a0", "a1", "a2", "a3"):
+            for w in (30, 90, 180):
+                inside = [r for r in rows if r[1] == account and 0 <= (asof - r[3]).days < w]
+                if w == 180 and inside:
+                    seen.add((account, asof))
+                if (account, asof) in got:
+                    r = got[account, asof]
+                    assert r[f"product_breadth_{w}d"] == len({i[6] for i in inside} - {None})
+                    assert r[f"distributor_breadth_{w}d"] == len({i[0] for i in inside})
+                    assert r[f"orders_{w}d"] == len(inside)
+                    assert r[f"revenue_{w}d"] == 10.5 * len(inside)
+    assert set(got) == seen
+
+
+def test_fewer_features_same_rows(spark):
+    inv = invoices(spark, {"a": ago(5, 6, 100), "b": ago(30), "c": ago(200, 300)})
+    few = ("orders_90d", "days_since_last")
+    whole = reorder.churn_dataset(inv, [ASOF]).select("account_id", "asof_date", *few, "label", "label_complete")
+    part = reorder.churn_dataset(inv, [ASOF], features=few)
+    assert part.columns == whole.columns
+    assert sorted(part.collect()) == sorted(whole.collect())
+    assert "Exchange" not in part._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
