@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfsight.functions import clean_token, month_start, round_half_up, variance_metrics
 from shelfsight.operators.ranking import running_totals
+from shelfsight.operators.staging import stage
 
 
 def sku_mapping(catalog: DataFrame, key: str, value: str, line_no: str = "line_no") -> DataFrame:
@@ -192,9 +193,11 @@ def fva_dashboard_month(
     """Month documents: totals plus the products in falling order of forecast.
 
     A month is cut into pages of ``page_size`` products, so that no single row or task
-    holds a whole month however many products it has; a small month is one page. Runs a
-    job to fix the order (see ``running_totals``).
+    holds a whole month however many products it has; a small month is one page. ``fva`` is
+    written out once, since order and totals both read it, and the order is fixed by a job
+    (see ``running_totals``).
     """
+    fva = stage(fva)
     codes = upcs.select(F.col("item_code").alias("item"), F.col("upc_code").alias("upc"))
     known = F.col("item").isNotNull()
     # item_code NULL never matches; spread such lines as in the actuals join

@@ -126,3 +126,14 @@ def test_extremes_and_top_matched(spark):
                                                     ("i5", JAN, 1.0, 1.0)]))
     top = fa.fva_top_matched(fva, JAN, 2).orderBy("rank").collect()
     assert [r.item for r in top] == ["i4", "i3"]
+
+
+def test_dashboard_works_its_rows_out_once(spark, tmp_path):
+    rows = [("p1", "i1", True, "x", JAN, 2.0), ("p2", "i2", True, "x", FEB, 3.0)]
+    path = str(tmp_path / "fva")
+    fa.forecast_vs_actual(forecast(spark, rows), actuals(spark, [])).write.parquet(path)
+    upcs = spark.createDataFrame([("i1", "000000000001")], "item_code string, upc_code string")
+    documents = fa.fva_dashboard_month(spark.read.parquet(path), upcs, "online")
+    # order and totals read what was written, not the rows' own source again
+    assert path not in documents._jdf.queryExecution().executedPlan().toString()
+    assert {r.month: r.qty_products for r in documents.collect()} == {JAN: 1, FEB: 1}
