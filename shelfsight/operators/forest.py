@@ -99,6 +99,13 @@ def _is_leaf(zeros, ones, rows, depth: int, settings: Settings):
     return small | (zeros == 0) | (ones == 0) | (depth >= settings.depth)
 
 
+def _by_node_and_bin(node: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """The stable order by node, then bin: numpy counts digits to sort numbers of up to 16 bits."""
+    by = np.argsort(value.astype(np.uint8), kind="stable")
+    small = np.uint16 if not len(node) or node.max() < 1 << 16 else node.dtype
+    return by[np.argsort(node.astype(small)[by], kind="stable")]
+
+
 def grow(
     x: np.ndarray, y: np.ndarray, drawn: np.ndarray, weights: Sequence[float], way: np.ndarray,
     depth: int, settings: Settings,
@@ -123,9 +130,8 @@ def grow(
             for slot in range(first, min(first + settings.tried, x.shape[1])):
                 tried = order[:, slot]
                 value = x[mine, tried[node[mine]]].astype(np.int64)
-                key = node[mine] * BINS + value
-                by = np.argsort(key, kind="stable")
-                key, row = key[by], mine[by]
+                by = _by_node_and_bin(node[mine], value)
+                key, row = (node[mine] * BINS + value)[by], mine[by]
                 last = np.flatnonzero(np.append(key[1:] != key[:-1], True))  # of each bin of a node
                 owner = key[last] // BINS
                 begin = np.searchsorted(owner, owner)  # where the node's bins begin

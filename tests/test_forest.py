@@ -149,3 +149,12 @@ def test_draws_have_the_shares_of_a_poisson():
     a, b = rng.integers(0, fo.PRIME, (2, 200_000))
     k = fo._drawn(a, b, 17)
     assert k.mean() == pytest.approx(1, abs=0.01) and (k == 0).mean() == pytest.approx(np.exp(-1), abs=0.005)
+
+
+def test_rows_are_ordered_by_counting_digits():
+    rng = np.random.default_rng(5)
+    for nodes in (1, 300, 1 << 17):
+        node, value = rng.integers(0, nodes, 50_000), rng.integers(0, 256, 50_000).astype(np.uint8)
+        by = fo._by_node_and_bin(node, value)
+        assert (by == np.argsort(node * fo.BINS + value, kind="stable")).all()
+    assert len(fo._by_node_and_bin(np.zeros(0, np.int64), np.zeros(0, np.uint8))) == 0
