@@ -55,6 +55,16 @@ FEATURES = (
     "is_one_time_buyer",
 )
 
+#: The features that need the median of the last few invoices.
+_BY_INTERVAL = (
+    "median_interval_recent5",
+    "days_into_cycle",
+    "velocity_trend",
+    "overdue_severity",
+    "is_severely_overdue",
+    "high_freq_overdue",
+)
+
 AsOf = Sequence[dt.date | str]
 
 MEASURES = ("revenue", "units")
@@ -151,6 +161,11 @@ def _usable(invoices: DataFrame) -> DataFrame:
     return invoices.where(F.col("account_id").isNotNull() & F.col("invoice_date").isNotNull())
 
 
+def _dealt(invoices: DataFrame) -> DataFrame:
+    """Usable invoices, each account's in one place, so that nothing after it has to move."""
+    return _usable(invoices).repartition("account_id")
+
+
 def _sorted_dates(asofs: AsOf) -> list[dt.date]:
     days = sorted({dt.date.fromisoformat(str(d)) for d in asofs})
     if not days:
@@ -186,11 +201,20 @@ def _covering(asofs: AsOf, days: int) -> Column:
     return _dates_from(_sorted_dates(asofs), day, F.date_add(day, days))
 
 
-def _window_sums(asof: Column, days: Column, kinds: dict) -> dict[str, Column]:
-    """Orders, revenue and units per window, from the days of ``recent_days`` inside it."""
+def _with_inside(dated: DataFrame) -> DataFrame:
+    """Per window, as ``inside_<days>``, the days of ``recent_days`` that it holds at ``asof_date``."""
+    source = "recent_days"
+    for width in sorted(WINDOWS, reverse=True):  # a shorter window looks through the longer one's
+        dated = dated.withColumn(f"inside_{width}", _inside(F.col("asof_date"), F.col(source), width))
+        source = f"inside_{width}"
+    return dated
+
+
+def _window_sums(kinds: dict) -> dict[str, Column]:
+    """Orders, revenue and units per window, from the days inside it."""
     sums = {}
     for width in WINDOWS:
-        inside = _inside(asof, days, width)
+        inside = F.col(f"inside_{width}")
         sums[f"orders_{width}d"] = _total(inside["n"], "bigint")
         for measure in kinds.keys() & set(MEASURES):
             sums[f"{measure}_{width}d"] = _total(inside[measure], kinds[measure])
@@ -211,7 +235,7 @@ def _breadths(invoices: DataFrame, asofs: AsOf, facets: Sequence[str]) -> DataFr
 
     A row per account, value and stretch of ``_STRETCH`` dates says by one bit per date whether
     the value occurs in the window, so it does not matter how many invoices it has or how many
-    dates they count for. Bits are only counted where an account's rows meet.
+    dates they count for. Invoices move once, to their account; bits are made and counted there.
     """
     listed = _sorted_dates(asofs)
     day = F.col("invoice_date")
@@ -222,7 +246,7 @@ def _breadths(invoices: DataFrame, asofs: AsOf, facets: Sequence[str]) -> DataFr
         F.floor(F.col("first") / _STRETCH).cast("int"), F.floor((longest - 1) / _STRETCH).cast("int")
     )
     spans = (
-        _usable(invoices)
+        _dealt(invoices)
         .select("account_id", *facets, _count_before(listed, day).alias("first"),
                 *(end.alias(name) for name, end in ends.items()))
         .where(F.col("first") < longest)
@@ -243,8 +267,7 @@ def _breadths(invoices: DataFrame, asofs: AsOf, facets: Sequence[str]) -> DataFr
         *(F.bit_or(upto(F.col(f"end_{w}")).bitwiseXOR(upto(F.least("first", f"end_{w}")))).alias(f"in_{w}")
           for w in WINDOWS),
     )
-    # all of an account at once: the dates are listed and counted without moving again
-    dated = bits.drop("value").repartition("account_id").select(
+    dated = bits.select(
         "account_id", "facet", (F.col("stretch") * _STRETCH).alias("begin"), *(f"in_{w}" for w in WINDOWS),
         F.explode(F.sequence(F.col("lo"), F.col("hi") - 1)).alias("at"),
     )
@@ -261,20 +284,30 @@ def _breadths(invoices: DataFrame, asofs: AsOf, facets: Sequence[str]) -> DataFr
     return counted.select("account_id", date.alias("asof_date"), *counted.columns[2:])
 
 
-def _with_breadths(rows: DataFrame, invoices: DataFrame, asofs: AsOf) -> DataFrame:
-    """``rows``, which hold the orders, with the breadths; without its column one counts orders."""
+def _with_breadths(days: DataFrame, invoices: DataFrame, asofs: AsOf) -> DataFrame:
+    """Account days with ``breadths``: those at each date that the day stands for, in order.
+
+    Both sides lie by account, so only the account's breadths meet its days and no row per
+    account and date has to move. NULL stands where a window holds no value.
+    """
     facets = [c for c in _FACETS if c in invoices.columns]
-    names = {c: [f"{_FACETS[c]}_breadth_{w}d" for w in WINDOWS] for c in _FACETS}
-    if facets:
-        rows = rows.join(_breadths(invoices, asofs, facets), ["account_id", "asof_date"], "left")
+    if not facets:
+        return days
+    counted = _breadths(invoices, asofs, facets)
+    entry = F.struct("asof_date", F.struct(*counted.columns[2:]))
+    by_date = F.map_from_entries(F.collect_list(entry)).alias("by_date")
+    joined = days.join(counted.groupBy("account_id").agg(by_date), "account_id", "left")
+    aligned = F.transform(_valid_dates(asofs), lambda date: F.col("by_date")[date])
+    return joined.withColumn("breadths", aligned).drop("by_date")
+
+
+def _breadth_columns(days: DataFrame) -> dict[str, Column]:
+    """The breadths of the date at place ``at``; a facet without its column counts orders."""
     none = F.lit(0).cast("bigint")
-    return rows.withColumns(
-        {
-            name: F.coalesce(name, none) if c in facets else F.col(f"orders_{w}d")
-            for c in _FACETS
-            for name, w in zip(names[c], WINDOWS, strict=True)
-        }
-    )
+    kept = days.schema["breadths"].dataType.elementType.names if "breadths" in days.columns else []
+    names = [(f"{facet}_breadth_{w}d", f"orders_{w}d") for facet in _FACETS.values() for w in WINDOWS]
+    here = F.get(F.col("breadths"), F.col("at"))
+    return {name: F.coalesce(here[name], none) if name in kept else F.col(orders) for name, orders in names}
 
 
 def churn_window_features(invoices: DataFrame, asofs: AsOf) -> DataFrame:
@@ -283,16 +316,12 @@ def churn_window_features(invoices: DataFrame, asofs: AsOf) -> DataFrame:
     Sums are taken from the days that ``_account_days`` lists, so an invoice is not repeated
     for the dates it counts for.
     """
-    days = _account_days(invoices)
+    days = _with_breadths(_account_days(invoices), invoices, asofs)
     day, longest = F.col("invoice_date"), max(WINDOWS)
     end = F.least("next", F.date_add(day, longest))
-    sums = _window_sums(F.col("asof_date"), F.col("recent_days"), _kinds(days))
-    rows = days.select(
-        "account_id",
-        F.explode(_dates_from(_sorted_dates(asofs), day, end)).alias("asof_date"),
-        "recent_days",
-    ).select("account_id", "asof_date", *(total.alias(name) for name, total in sums.items()))
-    return _with_breadths(rows, invoices, asofs).select(
+    dates = F.posexplode(_dates_from(_sorted_dates(asofs), day, end)).alias("at", "asof_date")
+    rows = _with_inside(days.select("*", dates)).withColumns(_window_sums(_kinds(days)))
+    return rows.withColumns(_breadth_columns(days)).select(
         "account_id", "asof_date", *(f for f in FEATURES if f.endswith("0d") and "median" not in f)
     )
 
@@ -320,7 +349,7 @@ def _account_days(invoices: DataFrame, measures: Sequence[str] = MEASURES) -> Da
         )
 
     return (
-        _usable(invoices)
+        _dealt(invoices)
         .groupBy("account_id", "invoice_date")
         .agg(F.count(F.lit(1)).alias("n"), *(F.sum(c).alias(c) for c in measures))
         .withColumn("day_number", F.datediff("invoice_date", as_date("1970-01-01")))
@@ -366,14 +395,18 @@ def _middle(gaps: Column) -> Column:
     return F.when(n > 0, (low + high) / F.lit(2.0)).otherwise(F.lit(0.0))
 
 
-def account_history(invoices: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame:
+def account_history(
+    invoices: DataFrame, measures: Sequence[str] = MEASURES, breadths_at: AsOf = ()
+) -> DataFrame:
     """Account days with the median gap of the last few invoices, written out (runs a job).
 
-    Everything below but the breadths comes from this table, so accounts are put in order once.
+    Everything below comes from this table, so accounts are put in order once. With dates in
+    ``breadths_at`` the days hold the breadths at those they stand for.
     """
     days = _account_days(invoices, measures)
     recent = _middle(_recent_gaps(F.col("last_days")))
-    return stage(days.withColumn("recent_interval", recent).drop("last_days"))
+    days = days.withColumn("recent_interval", recent).drop("last_days")
+    return stage(_with_breadths(days, invoices, breadths_at) if breadths_at else days)
 
 
 def _valid_dates(asofs: AsOf) -> Column:
@@ -381,14 +414,14 @@ def _valid_dates(asofs: AsOf) -> Column:
     return _dates_from(_sorted_dates(asofs), F.col("invoice_date"), F.col("next"))
 
 
-def _median_gap(inside: Column) -> tuple[Column, Column]:
-    """Median of the gaps between the invoices of the days ``inside``, 0 without any; their number.
+def _median_gap(inside: Column, orders: Column) -> tuple[Column, Column]:
+    """Median of the gaps between the ``orders`` of the days ``inside``, 0 without any; their number.
 
     Gaps count if both ends are inside; further invoices on a day are gaps of 0.
     """
     days = F.size(inside)
-    across = F.sort_array(F.slice(inside["gap"], 2, F.greatest(days - 1, F.lit(0))))
-    zeros = _total(inside["n"], "bigint") - days
+    across = F.sort_array(F.filter(inside["gap"], lambda gap, place: place > 0))
+    zeros = orders - days
     gaps = zeros + days - 1
 
     def at(place: Column) -> Column:
@@ -399,20 +432,20 @@ def _median_gap(inside: Column) -> tuple[Column, Column]:
     return F.when(gaps > 0, middle).otherwise(F.lit(0.0)), F.greatest(gaps, F.lit(0).cast("bigint"))
 
 
-def _asof_state(history: DataFrame, asofs: AsOf, *columns: Column) -> DataFrame:
-    """One row per account and as-of date from its first invoice on, with its gaps.
+def _asof_state(history: DataFrame, asofs: AsOf) -> DataFrame:
+    """One row per account and as-of date from its first invoice on, with its sums and gaps.
 
-    A day serves the dates it is the last invoice day of, so each row comes from a single one;
-    ``columns`` may use all of the day's.
+    A day serves the dates it is the last invoice day of, so each row comes from a single one.
     """
-    found = []
+    dates = F.posexplode(_valid_dates(asofs)).alias("at", "asof_date")
+    state = _with_inside(history.select("*", dates)).withColumns(_window_sums(_kinds(history)))
+    found = {}
     for days in GAP_WINDOWS:
-        median, gaps = _median_gap(_inside(F.col("asof_date"), F.col("recent_days"), days))
-        found += [median.alias(f"gap_{days}d"), gaps.alias(f"gaps_{days}d")]
-    return history.withColumn("asof_date", F.explode(_valid_dates(asofs))).select(
-        "account_id", "asof_date", F.col("invoice_date").alias("last_invoice"),
-        F.col("next").alias("next_invoice"), "recent_interval", *found, *columns,
-    )
+        median, gaps = _median_gap(F.col(f"inside_{days}"), F.col(f"orders_{days}d"))
+        found |= {f"gap_{days}d": median, f"gaps_{days}d": gaps}
+    return state.withColumns(
+        {**found, "last_invoice": F.col("invoice_date"), "next_invoice": F.col("next")}
+    )
 
 
 def _dates_with_gaps(history: DataFrame, asofs: AsOf) -> list[dt.date]:
@@ -432,10 +465,8 @@ def _dates_with_gaps(history: DataFrame, asofs: AsOf) -> list[dt.date]:
     return sorted({d for row in spans.collect() for d in days[row.first : row.end]})
 
 
-def _with_intervals(
-    history: DataFrame, asofs: AsOf, strict_index: bool, *columns: Column
-) -> DataFrame:
-    state = _asof_state(history, asofs, *columns)
+def _with_intervals(history: DataFrame, asofs: AsOf, strict_index: bool) -> DataFrame:
+    state = _asof_state(history, asofs)
     recent = F.col("recent_interval")
     dated = _dates_with_gaps(history, asofs) if strict_index else []
     if dated:
@@ -447,7 +478,7 @@ def _with_intervals(
             "median_interval_recent5": recent,
             "median_interval_90d": F.col("gap_90d"),
         }
-    ).drop("recent_interval", *(f"{c}_{days}d" for c in ("gap", "gaps") for days in GAP_WINDOWS))
+    )
 
 
 def reorder_intervals(
@@ -458,8 +489,8 @@ def reorder_intervals(
     ``strict_index`` keeps a property of the published features: once any account has a
     gap within 180 days of a date, the five-invoice median of accounts without one is 0.
     """
-    return _with_intervals(account_history(invoices, ()), asofs, strict_index).drop(
-        "last_invoice", "next_invoice"
+    return _with_intervals(account_history(invoices, ()), asofs, strict_index).select(
+        "account_id", "asof_date", "median_interval_180d", "median_interval_recent5", "median_interval_90d"
     )
 
 
@@ -489,20 +520,26 @@ def churn_labels(invoices: DataFrame, asofs: AsOf, horizon: int = HORIZON_DAYS)
     )
 
 
-def _history_for(invoices: DataFrame, features: Sequence[str]) -> DataFrame:
-    wanted = [m for m in MEASURES if any(f.startswith(f"{m}_") for f in features)]
-    return account_history(invoices, wanted)
+def invoice_columns(features: Sequence[str] = ()) -> list[str]:
+    """The columns of invoices from which ``features`` and labels come."""
+    measures = [m for m in MEASURES if any(f.startswith(f"{m}_") for f in features)]
+    facets = [c for c, facet in _FACETS.items() if any(f.startswith(f"{facet}_breadth_") for f in features)]
+    return ["account_id", "invoice_date", *measures, *facets]
+
+
+def _history_for(invoices: DataFrame, asofs: AsOf, features: Sequence[str]) -> DataFrame:
+    wanted = [m for m in MEASURES if m in invoice_columns(features)]
+    breadths = any("_breadth_" in f for f in features)
+    return account_history(invoices, wanted, _sorted_dates(asofs) if breadths else ())
 
 
 def _all_features(
-    invoices: DataFrame, history: DataFrame, asofs: AsOf, strict_index: bool, features: Sequence[str]
+    history: DataFrame, asofs: AsOf, strict_index: bool, features: Sequence[str]
 ) -> DataFrame:
-    sums = _window_sums(F.col("asof_date"), F.col("recent_days"), _kinds(history))
-    joined = _with_intervals(
-        history, asofs, strict_index, *(total.alias(name) for name, total in sums.items())
-    )
+    by_interval = any(f in _BY_INTERVAL for f in features)
+    joined = _with_intervals(history, asofs, strict_index and by_interval)
     if any("_breadth_" in f for f in features):
-        joined = _with_breadths(joined, invoices, asofs)
+        joined = joined.withColumns(_breadth_columns(history))
     angle = F.month("last_invoice") / F.lit(12.0) * F.lit(2 * math.pi)
     windowed = [f for f in FEATURES if f[-1] == "d" and f.split("_")[-1][:-1].isdigit()]
     numbers = joined.withColumns(
@@ -553,8 +590,8 @@ def churn_features(
 
     Only what ``features`` need is summed up, written and joined; the rows are the same.
     """
-    history = _history_for(invoices, features)
-    return _all_features(invoices, history, asofs, strict_index, features).select(
+    history = _history_for(invoices, asofs, features)
+    return _all_features(history, asofs, strict_index, features).select(
         "account_id", "asof_date", *features
     )
 
@@ -567,8 +604,8 @@ def churn_dataset(
     features: Sequence[str] = FEATURES,
 ) -> DataFrame:
     """Features, see ``churn_features``, and labels from one pass over the account days."""
-    history = _history_for(invoices, features)
-    return _all_features(invoices, history, asofs, strict_index, features).select(
+    history = _history_for(invoices, asofs, features)
+    return _all_features(history, asofs, strict_index, features).select(
         "account_id",
         "asof_date",
         *features,

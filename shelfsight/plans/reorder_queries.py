@@ -126,7 +126,7 @@ features AS (
   FROM cycled)"""
 
 
-def _invoices(spark, sf):
+def _invoices(spark, sf, texts=("product_name", "sales_rep")):
     lines = transactions(spark, sf, *_NEEDED).select(
         "distributor",
         "canonical_code",
@@ -137,12 +137,18 @@ def _invoices(spark, sf):
         F.col("description").alias("product_name"),
         "sales_rep",
     )
-    return reorder.paid_invoices(lines)
+    return reorder.paid_invoices(lines.drop(*{"product_name", "sales_rep"}.difference(texts)))
 
 
-def _written_invoices(spark, sf):
-    """Invoices written out once, since several branches of a plan read them."""
-    return stage(_invoices(spark, sf))
+def _written_invoices(spark, sf, features=reorder.FEATURES):
+    """Invoices written out once, since several branches of a plan read them.
+
+    Only what the features and labels come from is written, and texts that none of them needs
+    take no part in the grouping.
+    """
+    columns = reorder.invoice_columns(features)
+    texts = [c for c in ("product_name",) if c in columns]
+    return stage(_invoices(spark, sf, texts).select(columns))
 
 
 def _calendar(invoices):
@@ -209,13 +215,13 @@ def churn_window_features(spark, sf):
     "reorder_intervals", with_tables("SELECT * FROM intervals", _INV, _PAST, _INTERVALS, **_TX)
 )
 def reorder_intervals(spark, sf):
-    invoices = _written_invoices(spark, sf)
+    invoices = _written_invoices(spark, sf, ())
     return reorder.reorder_intervals(invoices, _calendar(invoices))
 
 
 @query("churn_labels", with_tables("SELECT * FROM labelled", _INV, _PAST, _LABELS, **_TX))
 def churn_labels(spark, sf):
-    invoices = _written_invoices(spark, sf)
+    invoices = _written_invoices(spark, sf, ())
     return reorder.churn_labels(invoices, _calendar(invoices), _HORIZON)
 
 
@@ -243,7 +249,7 @@ def churn_dataset(spark, sf):
 
 
 def _dataset(spark, sf, features=reorder.FEATURES):
-    invoices = _written_invoices(spark, sf)
+    invoices = _written_invoices(spark, sf, features)
     return reorder.churn_dataset(invoices, _calendar(invoices), _HORIZON, features=features)
 
 

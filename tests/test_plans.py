@@ -5,7 +5,7 @@ import re
 import pytest
 
 from shelfsight.operators import oos, reorder, sales
-from shelfsight.plans.inputs import CURRENT, SALES_COLUMNS, read, transactions, SNAPSHOT_SQL
+from shelfsight.plans.inputs import CURRENT, SALES_COLUMNS, read, transactions, transactions_sql, SNAPSHOT_SQL
 from shelfsight.plans import QUERIES
 from shelfsight.plans.reorder_queries import _invoices
 
@@ -100,3 +100,13 @@ def test_paid_invoices_combine_before_the_shuffle(spark, sf_dir):
     lowest = [line for line in text.splitlines() if "Exchange" in line and "posting_date" in line][-1]
     under = text.splitlines()[text.splitlines().index(lowest) + 1]
     assert "HashAggregate" in under and "partial_sum" in under, below
+
+
+def test_lines_meet_whole_orders(spark, sf_dir):
+    columns = ("posting_date", "description", "canonical_code", "sales_rep", "quantity")
+    text = transactions(spark, sf_dir, *columns)._jdf.queryExecution().optimizedPlan().toString()
+    joins = re.findall(r"Join Inner, \((\w+)#", text)
+    assert joins == ["p_partkey", "o_orderkey", "c_custkey"]  # from the top: customers are in the orders
+    want = read(spark, sf_dir, transactions_sql(*columns))
+    got = transactions(spark, sf_dir, *columns)
+    assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 import statistics
 
 import pytest
@@ -213,3 +214,22 @@ def test_fewer_features_same_rows(spark):
     assert part.columns == whole.columns
     assert sorted(part.collect()) == sorted(whole.collect())
     assert "Exchange" not in part._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+
+
+def test_rows_per_account_and_date_do_not_move(spark):
+    asofs = reorder.asof_dates("2024-01-01", "2025-07-01")
+    inv = invoices(spark, {"a": ago(5, 6, 100), "b": ago(30)})
+    for found in (reorder.churn_features(inv, asofs), reorder.churn_dataset(inv, asofs)):
+        text = found._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+        assert "Exchange" not in text and "Join" not in text
+    text = reorder.churn_window_features(inv, asofs)._jdf.queryExecution().executedPlan().toString()
+    assert text.index("posexplode") < text.index("Join") < text.index("Exchange")
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
+    assert len(keys) == 2 and all(re.fullmatch(r"account_id#\d+, \d+", key) for key in keys)
+
+
+def test_only_the_invoices_needed_are_asked_for():
+    assert reorder.invoice_columns() == ["account_id", "invoice_date"]
+    assert reorder.invoice_columns(["orders_30d", "units_90d", "product_breadth_30d"]) == [
+        "account_id", "invoice_date", "units", "product_name"]
+    assert reorder.invoice_columns(reorder.FEATURES)[2:] == ["revenue", "units", "distributor", "product_name"]
