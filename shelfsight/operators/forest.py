@@ -53,6 +53,22 @@ def _drawn(a: np.ndarray, b: np.ndarray, tree: int) -> np.ndarray:
     return np.searchsorted(np.array(POISSON), (a * (tree + 1) + b) % PRIME, "right")
 
 
+def _add_draws(sums: np.ndarray, kind: int | None, a: np.ndarray, b: np.ndarray) -> None:
+    """Add to ``sums``, a column per tree, how many rows are drawn and how often.
+
+    The next tree's numbers are the last ones plus ``a``, so no product or remainder is taken.
+    """
+    prime = np.uint32(PRIME)
+    a, number = a.astype(np.uint32), b.astype(np.uint32)
+    for tree in range(sums.shape[1]):
+        number = number + a  # below 2 ** 32, as both are below PRIME
+        number = np.minimum(number, number - prime)  # what is below PRIME wraps to more
+        times = [np.count_nonzero(number >= np.uint32(bound)) for bound in POISSON]
+        sums[0, tree] += times[0]
+        if kind is not None:
+            sums[kind, tree] += sum(times)
+
+
 def _mix(h: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -302,21 +318,30 @@ def tree_weights(rows: DataFrame, trees: int, label: str, key: Column) -> DataFr
 
     A label that a sample lacks has no weight.
     """
+    importable(rows.sparkSession)
     a, b = draw_numbers(key)
-    drawn = (F.col("a") * (F.col("tree") + 1) + F.col("b")) % PRIME
-    times = sum(((F.col("drawn") >= bound).cast("long") for bound in POISSON), F.lit(0).cast("long"))
-    sums = (
-        rows.select(F.col(label).cast("int").alias("y"), a.alias("a"), b.alias("b"))
-        .withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .select("tree", "y", drawn.alias("drawn"))
-        .select("tree", "y", times.alias("k"))
-        .groupBy("tree")
-        .agg(
-            F.count_if(F.col("k") > 0).alias("rows"),
-            F.sum(F.when(F.col("y") == 0, F.col("k")).otherwise(0)).alias("zeros"),
-            F.sum(F.when(F.col("y") == 1, F.col("k")).otherwise(0)).alias("ones"),
-        )
-    )
+
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((3, trees), np.int64)  # rows, zeros, ones
+        for batch in batches:
+            y, a, b = (batch.column(c) for c in ("y", "a", "b"))
+            label = y.fill_null(-1).to_numpy()
+            for kind, mine in ((1, label == 0), (2, label == 1), (None, (label != 0) & (label != 1))):
+                if mine.any():
+                    _add_draws(sums, kind, a.to_numpy()[mine], b.to_numpy()[mine])
+        seen = np.flatnonzero(sums[0])
+        columns = [pa.array(seen, pa.int32()), *(pa.array(v[seen], pa.int64()) for v in sums)]
+        yield pa.RecordBatch.from_arrays(columns, ["tree", "rows", "zeros", "ones"])
+
+    drawn_from = rows.select(F.col(label).cast("int").alias("y"), a.alias("a"), b.alias("b"))
+    counts = drawn_from.where("a IS NOT NULL").mapInArrow(sample, "tree int, rows long, zeros long, ones long")
+    names = ("rows", "zeros", "ones")
+    # a tree whose sample is empty has its line, if there are rows at all
+    listed = (
+        rows.limit(1).select(F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+        .select("tree", *(F.lit(0).cast("long").alias(c) for c in names))
+    )
+    sums = counts.unionByName(listed).groupBy("tree").agg(*(F.sum(c).alias(c) for c in names))
     total = F.col("zeros") + F.col("ones")
     return sums.select(
         "tree", "rows", "zeros", "ones",

@@ -158,3 +158,27 @@ def test_rows_are_ordered_by_counting_digits():
         by = fo._by_node_and_bin(node, value)
         assert (by == np.argsort(node * fo.BINS + value, kind="stable")).all()
     assert len(fo._by_node_and_bin(np.zeros(0, np.int64), np.zeros(0, np.uint8))) == 0
+
+
+def test_sums_of_draws_without_products_and_of_other_labels(spark):
+    rng = np.random.default_rng(5)
+    a, b = (np.append(rng.integers(0, fo.PRIME, 3000), [0, fo.PRIME - 1]) for _ in range(2))
+    sums = np.zeros((3, 50), np.int64)
+    fo._add_draws(sums, 2, a, b)
+    fo._add_draws(sums, None, a[:100], b[:100])
+    for tree in range(50):
+        drawn = fo._drawn(a, b, tree)
+        assert sums[:, tree].tolist() == [np.sum(drawn > 0) + np.sum(drawn[:100] > 0), 0, drawn.sum()]
+    # a row without label is drawn but weighs nothing; one without key is not drawn
+    rows = spark.createDataFrame(
+        [("k0", 1), ("k1", 0), ("k2", None), (None, 1)], "key string, label int"
+    )
+    weights = fo.tree_weights(rows, 9, "label", F.col("key"))
+    got = {r.tree: (r.rows, r.zeros, r.ones, r.weight_0, r.weight_1) for r in weights.collect()}
+    assert sorted(got) == list(range(9))
+    for tree in range(9):
+        k = draws(3, tree).tolist()
+        total = k[0] + k[1]
+        assert got[tree] == (sum(v > 0 for v in k), k[1], k[0],
+                             total / (2 * k[1]) if k[1] else 0.0, total / (2 * k[0]) if k[0] else 0.0)
+    assert fo.tree_weights(rows.limit(0), 3, "label", F.col("key")).count() == 0
