@@ -8,16 +8,12 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import (
-    LogisticRegression,
-    LogisticRegressionModel,
-)
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfsight.operators import forest as forests
+from shelfsight.operators import logistic as regressions
 from shelfsight.operators.isotonic import isotonic_fit, pools
 from shelfsight.operators.ranking import running_totals
 from shelfsight.operators.staging import stage
@@ -98,7 +94,7 @@ class Calibration:
 class ReorderModels:
     features: tuple[str, ...]
     scaler: StandardScalerModel
-    logistic: LogisticRegressionModel
+    logistic: regressions.LogisticFit
     calibration: Calibration
     forest: forests.Forest
     validation: dict[str, float | None]  # average precision per model
@@ -112,11 +108,7 @@ def assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 def _with_margin(df: DataFrame, scaler, logistic) -> DataFrame:
     """The logistic model's log odds."""
-    scored = logistic.transform(scaler.transform(df))
-    odds = vector_to_array(F.col("rawPrediction"))[1]
-    return scored.withColumn("margin", odds).drop(
-        "rawPrediction", "probability", "prediction", "scaled"
-    )
+    return logistic.transform(scaler.transform(df)).drop("scaled")
 
 
 def _logistic_scores(df: DataFrame, scaler, logistic, calibration) -> DataFrame:
@@ -126,10 +118,15 @@ def _logistic_scores(df: DataFrame, scaler, logistic, calibration) -> DataFrame:
 
 def class_weights(train: DataFrame) -> dict[int, float]:
     """Weights that give both labels half of the total, from one aggregate."""
+    return _class_weights(train)[0]
+
+
+def _class_weights(train: DataFrame) -> tuple[dict[int, float], int]:
+    """``class_weights`` and the number of rows."""
     positives, total = train.agg(F.count_if(F.col("label") == 1), F.count(F.lit(1))).first()
     if not 0 < positives < total:
         raise ValueError(f"training needs both labels, found {positives} of {total} rows with 1")
-    return {0: total / (2.0 * (total - positives)), 1: total / (2.0 * positives)}
+    return {0: total / (2.0 * (total - positives)), 1: total / (2.0 * positives)}, total
 
 
 def fit_scaler(rows: DataFrame) -> StandardScalerModel:
@@ -153,25 +150,17 @@ def fit_calibration(scored: DataFrame, score: str = "margin") -> Calibration:
 
 def fit_logistic(
     train: DataFrame, features: Sequence[str]
-) -> tuple[StandardScalerModel, LogisticRegressionModel]:
+) -> tuple[StandardScalerModel, regressions.LogisticFit]:
     """Logistic regression with balanced labels and a penalty of half the squared coefficients.
 
-    The penalty weighs as much as one row, so its share falls with the number of rows.
+    The penalty weighs as much as one row, so its share falls with the number of rows. The rows
+    are read once per step, some ten times, and should be staged.
     """
-    weights = class_weights(train)
-    weighted = assembled(train, features).withColumns(
-        {"weight": _weight(weights), "target": F.col("label").cast("double")}
+    weights, total = _class_weights(train)
+    scaler = fit_scaler(assembled(train, features))
+    logistic = regressions.fit(
+        train, [F.col(f) for f in features], list(scaler.std), F.col("label"), _weight(weights), 1.0 / total
     )
-    scaler = fit_scaler(weighted)
-    logistic = LogisticRegression(
-        featuresCol="scaled",
-        labelCol="target",
-        weightCol="weight",
-        maxIter=1000,
-        tol=1e-10,
-        regParam=1.0 / train.count(),
-        standardization=False,
-    ).fit(scaler.transform(weighted))
     return scaler, logistic
 
 
@@ -183,7 +172,7 @@ def logistic_optimality(
     train: DataFrame,
     features: Sequence[str],
     scaler: StandardScalerModel,
-    logistic: LogisticRegressionModel,
+    logistic: regressions.LogisticFit,
 ) -> DataFrame:
     """``term, coefficient, observed, gradient``: how far the fit is from the best one.
 

@@ -108,3 +108,37 @@ def test_risk_order_puts_high_probabilities_first(spark):
     rows = [("b", 0.5), ("a", 0.5), ("c", 0.9), ("d", None)]
     df = spark.createDataFrame(rows, "account_id string, risk_prob_reorder_60d double")
     assert [r.account_id for r in df.orderBy(*models.risk_order()).collect()] == ["c", "a", "b", "d"]
+
+
+def test_the_regression_needs_few_passes(spark):
+    # features that say nearly the same thing
+    rng = random.Random(9)
+    rows = []
+    for _ in range(2000):
+        base, label = rng.gauss(0, 1), rng.randint(0, 1)
+        rows.append((label, *((label + base) * (j + 1) + 0.001 * rng.gauss(0, 1) for j in range(6)), 5.0))
+    names = [f"f{j}" for j in range(7)]
+    train = spark.createDataFrame(rows, ["label", *names])
+    context = spark.sparkContext
+    context.setJobGroup("few-passes", "")
+    try:
+        scaler, logistic = models.fit_logistic(train, names)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(context.statusTracker().getJobIdsForGroup("few-passes")) < 60
+    terms = models.logistic_optimality(train, names, scaler, logistic).collect()
+    assert max(abs(t.gradient) for t in terms) < 1e-8
+    assert logistic.coefficients[6] == 0  # a feature without spread
+    margins = models._with_margin(models.assembled(train, names), scaler, logistic).collect()
+    row = margins[0]
+    want = logistic.intercept + sum(
+        c * row[n] / s for c, n, s in zip(logistic.coefficients, names, scaler.std) if s > 0
+    )
+    assert row.margin == pytest.approx(want) and "scaled" not in margins[0].asDict()
+
+
+def test_the_regression_takes_separable_rows(spark):
+    train = spark.createDataFrame([(int(i >= 10), 1000.0 * i) for i in range(20)], "label int, f double")
+    scaler, logistic = models.fit_logistic(train, ["f"])
+    terms = models.logistic_optimality(train, ["f"], scaler, logistic).collect()
+    assert max(abs(t.gradient) for t in terms) < 1e-8 and logistic.coefficients[0] > 0
