@@ -316,7 +316,7 @@ def churn_window_features(invoices: DataFrame, asofs: AsOf) -> DataFrame:
     Sums are taken from the days that ``_account_days`` lists, so an invoice is not repeated
     for the dates it counts for.
     """
-    days = _with_breadths(_account_days(invoices), invoices, asofs)
+    days = _with_breadths(_account_days(invoices, asofs=asofs), invoices, asofs)
     day, longest = F.col("invoice_date"), max(WINDOWS)
     end = F.least("next", F.date_add(day, longest))
     dates = F.posexplode(_dates_from(_sorted_dates(asofs), day, end)).alias("at", "asof_date")
@@ -331,15 +331,20 @@ def _kinds(days: DataFrame) -> dict:
     return {f.name: f.dataType for f in element}
 
 
-def _account_days(invoices: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame:
+def _account_days(
+    invoices: DataFrame, measures: Sequence[str] = MEASURES, asofs: AsOf = ()
+) -> DataFrame:
     """Invoices per account and day, with the neighbouring days and those of the longest window.
 
     Counting per day first bounds the window of an account by the number of days,
     however many invoices it has. ``recent_days`` holds a window's length of days at most,
-    each with its sums of ``measures``.
+    each with its sums of ``measures``. With ``asofs`` only days that stand for one of these
+    are listed, and the last one of each account; ``recent_days`` then leaves out those in no
+    window of theirs.
     """
     along = Window.partitionBy("account_id").orderBy("day_number")
     day = F.struct(F.col("invoice_date").alias("day"), "n", *measures)
+    dated = F.struct("invoice_date", "n")
 
     def with_gap(d: Column, place: Column) -> Column:
         before = F.get(F.col("recent_days"), place - 1)["day"]
@@ -348,24 +353,30 @@ def _account_days(invoices: DataFrame, measures: Sequence[str] = MEASURES) -> Da
             *(d[c].alias(c) for c in measures),
         )
 
-    return (
+    neighbours = {
+        "previous": F.lag("invoice_date").over(along),
+        "next": F.lead("invoice_date").over(along),
+        **{f"back_{k}": F.lag(dated, k).over(along) for k in range(1, RECENT_INVOICES)},
+    }
+    recent = F.collect_list(day).over(along.rangeBetween(1 - max(WINDOWS), 0))
+    days = (
         _dealt(invoices)
         .groupBy("account_id", "invoice_date")
         .agg(F.count(F.lit(1)).alias("n"), *(F.sum(c).alias(c) for c in measures))
         .withColumn("day_number", F.datediff("invoice_date", as_date("1970-01-01")))
-        .withColumns(
-            {
-                "previous": F.lag("invoice_date").over(along),
-                "next": F.lead("invoice_date").over(along),
-                "last_days": F.collect_list(F.struct("invoice_date", "n")).over(
-                    along.rowsBetween(1 - RECENT_INVOICES, 0)
-                ),
-                "recent_days": F.collect_list(day).over(along.rangeBetween(1 - max(WINDOWS), 0)),
-            }
-        )
-        .withColumn("recent_days", F.transform("recent_days", with_gap))
-        .drop("day_number", *measures)
     )
+    if asofs:
+        listed, date = _sorted_dates(asofs), F.col("invoice_date")
+        before = _count_before(listed, date)
+        kept = F.col("next").isNull() | (before < _count_before(listed, F.col("next")))
+        seen = before < _count_before(listed, F.date_add(date, max(WINDOWS)))
+        days = days.withColumns(neighbours).where(seen | kept).withColumn("recent_days", recent).where(kept)
+    else:
+        days = days.withColumns({**neighbours, "recent_days": recent})
+    back = [F.col(f"back_{k}") for k in reversed(range(1, RECENT_INVOICES))]
+    return days.withColumns(
+        {"last_days": F.array_compact(F.array(*back, dated)), "recent_days": F.transform("recent_days", with_gap)}
+    ).drop("day_number", *measures, *(c for c in neighbours if c.startswith("back_")))
 
 
 def _recent_gaps(last_days: Column) -> Column:
@@ -396,16 +407,22 @@ def _middle(gaps: Column) -> Column:
 
 
 def account_history(
-    invoices: DataFrame, measures: Sequence[str] = MEASURES, breadths_at: AsOf = ()
+    invoices: DataFrame,
+    measures: Sequence[str] = MEASURES,
+    breadths_at: AsOf = (),
+    asofs: AsOf = (),
+    intervals: bool = True,
 ) -> DataFrame:
     """Account days with the median gap of the last few invoices, written out (runs a job).
 
     Everything below comes from this table, so accounts are put in order once. With dates in
-    ``breadths_at`` the days hold the breadths at those they stand for.
+    ``breadths_at`` the days hold the breadths at those they stand for. With ``asofs`` only
+    what these need is written; the median is left out without ``intervals``.
     """
-    days = _account_days(invoices, measures)
-    recent = _middle(_recent_gaps(F.col("last_days")))
-    days = days.withColumn("recent_interval", recent).drop("last_days")
+    days = _account_days(invoices, measures, asofs)
+    if intervals:
+        days = days.withColumn("recent_interval", _middle(_recent_gaps(F.col("last_days"))))
+    days = days.drop("last_days")
     return stage(_with_breadths(days, invoices, breadths_at) if breadths_at else days)
 
 
@@ -467,7 +484,7 @@ def _dates_with_gaps(history: DataFrame, asofs: AsOf) -> list[dt.date]:
 
 def _with_intervals(history: DataFrame, asofs: AsOf, strict_index: bool) -> DataFrame:
     state = _asof_state(history, asofs)
-    recent = F.col("recent_interval")
+    recent = F.col("recent_interval") if "recent_interval" in history.columns else F.lit(None)
     dated = _dates_with_gaps(history, asofs) if strict_index else []
     if dated:
         any_gap = F.col("asof_date").isin(dated)
@@ -489,7 +506,7 @@ def reorder_intervals(
     ``strict_index`` keeps a property of the published features: once any account has a
     gap within 180 days of a date, the five-invoice median of accounts without one is 0.
     """
-    return _with_intervals(account_history(invoices, ()), asofs, strict_index).select(
+    return _with_intervals(account_history(invoices, (), asofs=asofs), asofs, strict_index).select(
         "account_id", "asof_date", "median_interval_180d", "median_interval_recent5", "median_interval_90d"
     )
 
@@ -507,7 +524,7 @@ def _label_complete(history: DataFrame, horizon: int) -> Column:
 
 def churn_labels(invoices: DataFrame, asofs: AsOf, horizon: int = HORIZON_DAYS) -> DataFrame:
     """Whether each account buys again within ``horizon`` days after the date."""
-    history = stage(_account_days(invoices, ()).select("account_id", "invoice_date", "next"))
+    history = stage(_account_days(invoices, (), asofs).select("account_id", "invoice_date", "next"))
     return (
         history.select(
             "account_id",
@@ -530,7 +547,9 @@ def invoice_columns(features: Sequence[str] = ()) -> list[str]:
 def _history_for(invoices: DataFrame, asofs: AsOf, features: Sequence[str]) -> DataFrame:
     wanted = [m for m in MEASURES if m in invoice_columns(features)]
     breadths = any("_breadth_" in f for f in features)
-    return account_history(invoices, wanted, _sorted_dates(asofs) if breadths else ())
+    intervals = any(f in _BY_INTERVAL for f in features)
+    listed = _sorted_dates(asofs)
+    return account_history(invoices, wanted, listed if breadths else (), listed, intervals)
 
 
 def _all_features(

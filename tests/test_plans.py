@@ -110,3 +110,11 @@ def test_lines_meet_whole_orders(spark, sf_dir):
     want = read(spark, sf_dir, transactions_sql(*columns))
     got = transactions(spark, sf_dir, *columns)
     assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_model_evaluation_orders_accounts_once(spark, sf_dir, monkeypatch):
+    written = []
+    history = reorder.account_history
+    monkeypatch.setattr(reorder, "account_history", lambda *a, **k: written.append(1) or history(*a, **k))
+    QUERIES["model_evaluation"](spark, sf_dir)
+    assert len(written) == 1

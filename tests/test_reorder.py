@@ -233,3 +233,30 @@ def test_only_the_invoices_needed_are_asked_for():
     assert reorder.invoice_columns(["orders_30d", "units_90d", "product_breadth_30d"]) == [
         "account_id", "invoice_date", "units", "product_name"]
     assert reorder.invoice_columns(reorder.FEATURES)[2:] == ["revenue", "units", "distributor", "product_name"]
+
+
+def test_days_that_no_date_needs_are_not_written(spark):
+    rng = random.Random(4)
+    start = dt.date(2022, 1, 1)
+    rows = [
+        (f"a{rng.randint(0, 30)}", start + dt.timedelta(days=int(1400 * rng.random() ** 2)), 10.0, 1.0, f"p{rng.randint(0, 5)}", "d")
+        for _ in range(900)
+    ] + [(None, start, 5.0, 1.0, "p", "d"), ("a1", None, 5.0, 1.0, None, None)]
+    columns = "account_id string, invoice_date date, revenue double, units double, product_name string, distributor string"
+    inv = spark.createDataFrame([*rows, *rows[:50]], columns)
+    asofs = [dt.date(2022, 2, 1), dt.date(2022, 11, 17), dt.date(2023, 7, 1), dt.date(2023, 8, 1)]
+    whole = reorder.account_history(inv, breadths_at=asofs)
+    for features in (reorder.FEATURES, ("orders_90d", "days_since_last"), ("median_interval_90d",)):
+        for strict in (True, False):
+            want = reorder._all_features(whole, asofs, strict, features).select(
+                "account_id", "asof_date", *features,
+                reorder._label(60).alias("label"), reorder._label_complete(whole, 60).alias("label_complete"),
+            )
+            got = reorder.churn_dataset(inv, asofs, 60, strict, features)
+            assert got.schema.names == want.schema.names
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    few = reorder._history_for(inv, asofs, reorder.FEATURES)
+    # at most a day per account and date, and its last one
+    assert few.count() <= 31 * (len(asofs) + 1) < whole.count()
+    latest = F.max("invoice_date")
+    assert few.agg(latest).first() == whole.agg(latest).first()
