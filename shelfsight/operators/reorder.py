@@ -145,14 +145,20 @@ def paid_invoices(
         total(revenue).alias("revenue"), total(quantity).alias("units")
     )
     names_kept = [c for c in by_text.columns if c not in (*passed.values(), "revenue", "units")]
+    if not texts:  # these are the invoices already; the types are those of the second level
+        summed = by_text.agg(F.sum("revenue").alias("revenue"), F.sum("units").alias("units")).schema
+        return by_text.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in summed}).where(F.col("revenue") > 0)
+    # accounts tell rows apart by their first letters, so that sorting compares few whole keys
+    first = [c for c in ("account_id", "invoice_date") if c in names_kept]
     return (
         by_text.repartition(*names_kept)
-        .groupBy(*names_kept)
+        .groupBy(*first, *(c for c in names_kept if c not in first))
         .agg(
             F.sum("revenue").alias("revenue"),
             F.sum("units").alias("units"),
             *(F.min(name).alias(name) for c, name in passed.items() if c in lines.columns),
         )
+        .select(*names_kept, "revenue", "units", *(name for c, name in passed.items() if c in lines.columns))
         .where(F.col("revenue") > 0)
     )
 

@@ -260,3 +260,16 @@ def test_days_that_no_date_needs_are_not_written(spark):
     assert few.count() <= 31 * (len(asofs) + 1) < whole.count()
     latest = F.max("invoice_date")
     assert few.agg(latest).first() == whole.agg(latest).first()
+
+
+def test_invoices_without_texts_are_summed_once(spark):
+    columns = "distributor string, canonical_code string, posting_date date, revenue int, quantity int"
+    day = dt.date(2025, 1, 1)
+    lines = spark.createDataFrame([("d", "a", day, 1, None), ("d", "a", day, 2, 3), (None, None, day, 4, 1)], columns)
+    lines = lines.withColumns({c: F.col(c).cast("decimal(18,2)") for c in ("revenue", "quantity")})
+    got = reorder.paid_invoices(lines)
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Aggregate [") == 1
+    assert sorted(map(str, got.collect())) == sorted(map(str, reorder.paid_invoices(
+        lines.withColumn("product_name", F.lit("p"))).drop("product_name").collect()))
+    assert got.schema == reorder.paid_invoices(lines.withColumn("product_name", F.lit("p"))).drop("product_name").schema
