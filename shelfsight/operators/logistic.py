@@ -16,7 +16,7 @@ from pyspark.ml.param.shared import HasRegParam
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfsight.operators.staging import importable
+from shelfsight.operators.staging import discard, importable, stage
 
 #: The fit ends when no derivative of the mean loss is further from 0.
 FLAT = 1e-9
@@ -46,17 +46,19 @@ def fit(
     """The least weighted mean loss plus ``penalty`` times half the squared coefficients.
 
     Features are divided by their ``spread``, and are 0 where it is; the intercept has no penalty.
-    Every step reads ``rows`` once (and once more if it has to be halved), so these should be
-    staged. It adds up the loss, its first and its second derivatives per task, which Spark sums.
+    ``rows`` are read once and written as blocks of numbers, which every step reads (and once
+    more if it has to be halved). It adds up the loss, its first and its second derivatives per
+    task, which Spark sums.
     """
     importable(rows.sparkSession)
     columns = [label, weight, *features]
     numbers = rows.select(*(c.cast("double").alias(f"c{i}") for i, c in enumerate(columns)))
+    blocks = stage(numbers.mapInArrow(_packed, "block binary"))
     factors = np.array([1.0 / s if s > 0 else 0.0 for s in spread])
     own = np.array([0.0, *(penalty for _ in factors)])
 
     def measured(at: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        total, loss, slope, bend = _derivatives(numbers, factors, at)
+        total, loss, slope, bend = _derivatives(blocks, factors, at)
         if not (total > 0 and np.isfinite(loss)):
             raise ValueError("the regression needs weighted rows without missing numbers")
         return loss / total + own @ at**2 / 2, slope / total + own * at, bend / total + np.diag(own)
@@ -76,17 +78,25 @@ def fit(
             break  # no shorter step falls either: rounding is all that is left
         best = best + share * step
         loss, slope, bend = found
+    discard(blocks)
     return LogisticFit(best[1:], float(best[0]), penalty)
 
 
-def _derivatives(numbers: DataFrame, factors: np.ndarray, at: np.ndarray) -> tuple[float, float, np.ndarray, np.ndarray]:
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A batch's columns one after the other in one value."""
+    for batch in batches:
+        block = b"".join(c.to_numpy(zero_copy_only=False).astype(float).tobytes() for c in batch.columns)
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.binary())], ["block"])
+
+
+def _derivatives(blocks: DataFrame, factors: np.ndarray, at: np.ndarray) -> tuple[float, float, np.ndarray, np.ndarray]:
     """Weight, loss and its first and second derivatives at ``at``, summed over the rows."""
     k = len(at)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(2), np.zeros(k), np.zeros((k, k))
-        for batch in batches:
-            y, w, *found = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        for block in (block for batch in batches for block in batch.column(0)):
+            y, w, *found = np.frombuffer(block.as_buffer()).reshape(k + 1, -1)
             x = np.ones((k, len(y)))
             for i, values in enumerate(found):
                 np.multiply(values, factors[i], out=x[i + 1])
@@ -100,7 +110,7 @@ def _derivatives(numbers: DataFrame, factors: np.ndarray, at: np.ndarray) -> tup
         flat = np.concatenate([s.ravel() for s in sums])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat)], ["at", "value"])
 
-    parts = numbers.mapInArrow(add, "at int, value double")
+    parts = blocks.mapInArrow(add, "at int, value double")
     flat = np.zeros(2 + k + k * k)
     for place, value in parts.groupBy("at").agg(F.sum("value")).collect():
         flat[place] = value

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -455,13 +456,17 @@ def _median_gap(inside: Column, orders: Column) -> tuple[Column, Column]:
     return F.when(gaps > 0, middle).otherwise(F.lit(0.0)), F.greatest(gaps, F.lit(0).cast("bigint"))
 
 
-def _asof_state(history: DataFrame, asofs: AsOf) -> DataFrame:
+def _asof_state(history: DataFrame, asofs: AsOf, listed: AsOf = ()) -> DataFrame:
     """One row per account and as-of date from its first invoice on, with its sums and gaps.
 
     A day serves the dates it is the last invoice day of, so each row comes from a single one.
+    ``listed`` are the dates that the history was made for, if these are more.
     """
-    dates = F.posexplode(_valid_dates(asofs)).alias("at", "asof_date")
-    state = _with_inside(history.select("*", dates)).withColumns(_window_sums(_kinds(history)))
+    dates = F.posexplode(_valid_dates(listed or asofs)).alias("at", "asof_date")
+    dated = history.select("*", dates)
+    if listed:
+        dated = dated.where(F.col("asof_date").isin(_sorted_dates(asofs)))
+    state = _with_inside(dated).withColumns(_window_sums(_kinds(history)))
     found = {}
     for days in GAP_WINDOWS:
         median, gaps = _median_gap(F.col(f"inside_{days}"), F.col(f"orders_{days}d"))
@@ -488,8 +493,8 @@ def _dates_with_gaps(history: DataFrame, asofs: AsOf) -> list[dt.date]:
     return sorted({d for row in spans.collect() for d in days[row.first : row.end]})
 
 
-def _with_intervals(history: DataFrame, asofs: AsOf, strict_index: bool) -> DataFrame:
-    state = _asof_state(history, asofs)
+def _with_intervals(history: DataFrame, asofs: AsOf, strict_index: bool, listed: AsOf = ()) -> DataFrame:
+    state = _asof_state(history, asofs, listed)
     recent = F.col("recent_interval") if "recent_interval" in history.columns else F.lit(None)
     dated = _dates_with_gaps(history, asofs) if strict_index else []
     if dated:
@@ -550,6 +555,31 @@ def invoice_columns(features: Sequence[str] = ()) -> list[str]:
     return ["account_id", "invoice_date", *measures, *facets]
 
 
+@dataclass(frozen=True)
+class History:
+    """Account days for some dates, written out once for several tables of some of these dates."""
+
+    days: DataFrame
+    asofs: tuple[dt.date, ...]
+    features: tuple[str, ...]
+
+
+def shared_history(invoices: DataFrame, asofs: AsOf, features: Sequence[str] = FEATURES) -> History:
+    """What ``churn_features`` and ``churn_dataset`` take as ``history`` (runs a job)."""
+    return History(_history_for(invoices, asofs, features), tuple(_sorted_dates(asofs)), tuple(features))
+
+
+def _days_of(
+    invoices: DataFrame, asofs: AsOf, features: Sequence[str], history: History | None
+) -> tuple[DataFrame, AsOf]:
+    """Account days and the dates they were made for, if these are more than ``asofs``."""
+    if history is None:
+        return _history_for(invoices, asofs, features), ()
+    if not set(_sorted_dates(asofs)) <= set(history.asofs) or not set(features) <= set(history.features):
+        raise ValueError("the history lacks some of the dates or features")
+    return history.days, history.asofs
+
+
 def _history_for(invoices: DataFrame, asofs: AsOf, features: Sequence[str]) -> DataFrame:
     wanted = [m for m in MEASURES if m in invoice_columns(features)]
     breadths = any("_breadth_" in f for f in features)
@@ -559,10 +589,10 @@ def _history_for(invoices: DataFrame, asofs: AsOf, features: Sequence[str]) -> D
 
 
 def _all_features(
-    history: DataFrame, asofs: AsOf, strict_index: bool, features: Sequence[str]
+    history: DataFrame, asofs: AsOf, strict_index: bool, features: Sequence[str], listed: AsOf = ()
 ) -> DataFrame:
     by_interval = any(f in _BY_INTERVAL for f in features)
-    joined = _with_intervals(history, asofs, strict_index and by_interval)
+    joined = _with_intervals(history, asofs, strict_index and by_interval, listed)
     if any("_breadth_" in f for f in features):
         joined = joined.withColumns(_breadth_columns(history))
     angle = F.month("last_invoice") / F.lit(12.0) * F.lit(2 * math.pi)
@@ -610,13 +640,15 @@ def churn_features(
     asofs: AsOf,
     strict_index: bool = True,
     features: Sequence[str] = FEATURES,
+    history: History | None = None,
 ) -> DataFrame:
     """Features per account and as-of date, each a DOUBLE without NULLs.
 
-    Only what ``features`` need is summed up, written and joined; the rows are the same.
+    Only what ``features`` need is summed up, written and joined; the rows are the same. With
+    ``history``, of the same invoices, they are not read again.
     """
-    history = _history_for(invoices, asofs, features)
-    return _all_features(history, asofs, strict_index, features).select(
+    days, listed = _days_of(invoices, asofs, features, history)
+    return _all_features(days, asofs, strict_index, features, listed).select(
         "account_id", "asof_date", *features
     )
 
@@ -627,13 +659,14 @@ def churn_dataset(
     horizon: int = HORIZON_DAYS,
     strict_index: bool = True,
     features: Sequence[str] = FEATURES,
+    history: History | None = None,
 ) -> DataFrame:
     """Features, see ``churn_features``, and labels from one pass over the account days."""
-    history = _history_for(invoices, asofs, features)
-    return _all_features(history, asofs, strict_index, features).select(
+    days, listed = _days_of(invoices, asofs, features, history)
+    return _all_features(days, asofs, strict_index, features, listed).select(
         "account_id",
         "asof_date",
         *features,
         _label(horizon).alias("label"),
-        _label_complete(history, horizon).alias("label_complete"),
+        _label_complete(days, horizon).alias("label_complete"),
     )

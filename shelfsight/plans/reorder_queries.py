@@ -371,16 +371,17 @@ def churn_predictions(spark, sf):
     """
     invoices = _written_invoices(spark, sf)
     days = reorder.split_calendar(invoices, _TRAIN_START, day="invoice_date").first()
+    training, valid = (
+        reorder.asof_dates(days[f"{split}_start"], days[f"{split}_end"]) for split in ("train", "valid")
+    )
+    # accounts are put in order once for all three tables
+    history = reorder.shared_history(invoices, [*training, *valid, days["test_end"]])
 
-    def dataset(lo, hi):
-        return reorder.churn_dataset(invoices, reorder.asof_dates(lo, hi), _HORIZON)
+    def dataset(dates):
+        return reorder.churn_dataset(invoices, dates, _HORIZON, history=history)
 
-    fitted = models.train_reorder_models(
-        dataset(days["train_start"], days["train_end"]),
-        dataset(days["valid_start"], days["valid_end"]),
-        reorder.FEATURES,
-    )
-    latest = reorder.churn_features(invoices, [days["test_end"]])
+    fitted = models.train_reorder_models(dataset(training), dataset(valid), reorder.FEATURES)
+    latest = reorder.churn_features(invoices, [days["test_end"]], history=history)
     predicted = models.churn_predictions(fitted, latest, _HORIZON)
     probability = F.col(f"risk_prob_reorder_{_HORIZON}d")
     return predicted.select(

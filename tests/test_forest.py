@@ -182,3 +182,70 @@ def test_sums_of_draws_without_products_and_of_other_labels(spark):
         assert got[tree] == (sum(v > 0 for v in k), k[1], k[0],
                              total / (2 * k[1]) if k[1] else 0.0, total / (2 * k[0]) if k[0] else 0.0)
     assert fo.tree_weights(rows.limit(0), 3, "label", F.col("key")).count() == 0
+
+
+def test_whole_trees_are_grown_where_their_rows_are_drawn(spark, monkeypatch):
+    # nodes on both sides of the sizes at which rows are summed, picked and grown together
+    x, y = made(900, 7, levels=40)
+    data = frame(spark, x, y).localCheckpoint()
+    edges = fo._edges(data, FEATURES)
+    blocks = fo._blocks(data, FEATURES, "label", F.col("key"), edges)
+    settings = fo.Settings(5, 8, 5, 2, 2, 3)
+    tops = {}
+    for row in fo.tree_weights(data, 5, "label", F.col("key")).collect():
+        tops[row.tree] = fo._Top((row.weight_0, row.weight_1))
+        tops[row.tree].add(row.zeros, row.ones, row.rows, 0, int(fo._root_way(3, row.tree)[0]))
+    grown = fo._grow_whole(blocks, tops, len(FEATURES), settings)
+    subtrees = {(r.tree, r.node): {c: np.frombuffer(r[c], k) for c, k in fo._NODE.items()} for r in grown.collect()}
+    forest = fo._assembled(tuple(FEATURES), edges, tops, subtrees)
+    binned = fo._binned(x.T, edges)
+    for tree in range(5):
+        k = draws(len(y), tree)
+        inside = np.flatnonzero(k)
+        want = walk(binned[inside], y[inside], k[inside], forest.weights[tree], fo._root_way(3, tree), 0, settings)
+        assert nested(forest, tree) == want
+        for chunk, small, sparse in ((28, 5, 1), (300, 100, 3), (2000, 1000, 8)):
+            monkeypatch.setattr(fo, "_CHUNK", chunk)
+            monkeypatch.setattr(fo, "_SMALL", small)
+            monkeypatch.setattr(fo, "_SPARSE", sparse)
+            packed = fo._packed(y[inside].astype(np.uint8), k[inside].astype(np.uint8))
+            alone = fo.grow(
+                np.ascontiguousarray(binned.T), inside, packed, forest.weights[tree], fo._root_way(3, tree), 0, settings
+            )
+            assert nested(fo._assembled(tuple(FEATURES), edges, {0: tops[tree]}, {(0, 0): alone}), 0) == want
+        monkeypatch.undo()
+
+
+def test_cuts_are_values_at_exact_ranks_and_close_to_them_in_large_stretches(spark, monkeypatch):
+    rows = spark.createDataFrame([(float(i % 1000), None if i % 3 else 5.0) for i in range(6000)], "u double, v double")
+    ranks = np.unique(np.ceil(np.arange(1, 256) / 256 * 6000).astype(int))
+    exact = np.unique(np.sort(np.arange(6000) % 1000)[ranks - 1])
+    found = fo._edges(rows.repartition(4), ["u", "v"])
+    assert found[0].tolist() == exact[exact < 999].tolist() and found[1].tolist() == []
+    values, times = fo._counts(np.random.default_rng(1).normal(0, 1, 50_000))
+    assert len(values) == fo._RANKS and times.sum() == 50_000 and times.max() == 5
+    values, times = fo._counts(np.array([2.0, 1.0, 2.0]))
+    assert (values.tolist(), times.tolist()) == ([1.0, 2.0], [1, 2])
+
+
+def test_rows_move_once_for_a_group_of_trees(spark):
+    x, y = made(2000, 9)
+    data = frame(spark, x, y)
+    blocks = fo._blocks(data, FEATURES, "label", F.col("key"), fo._edges(data, FEATURES))
+    top = fo._Top((1.0, 1.0))
+    top.add(5, 5, 10, 0, 1)
+    grown = fo._grow_whole(blocks, dict.fromkeys(range(40), top), len(FEATURES), fo.Settings(40, 2, 5, 2, 2, 3))
+    groups = min(40, fo._GROUPS_A_CORE * spark.sparkContext.defaultParallelism)
+    assert grown.rdd.getNumPartitions() == groups < 40 and grown.count() == 40
+
+
+def test_no_more_passes_where_a_task_holds_a_tree(spark, monkeypatch):
+    # 140,000 drawn rows of a tree were split by passes over all rows before
+    data = spark.range(240_000).selectExpr(
+        "cast(id as string) AS key", *(f"cast(id % {i + 3} as double) AS {f}" for i, f in enumerate(FEATURES)),
+        "cast(id % 7 < 3 as int) AS label")
+    passes = []
+    split = fo._split_large
+    monkeypatch.setattr(fo, "_split_large", lambda *args: passes.append(1) or split(*args))
+    forest = fo.fit_forest(data, FEATURES, F.col("key"), num_trees=2, max_depth=3)
+    assert not passes and len(forest.weights) == 2 and forest.rows.max() > 1 << 17

@@ -273,3 +273,25 @@ def test_invoices_without_texts_are_summed_once(spark):
     assert sorted(map(str, got.collect())) == sorted(map(str, reorder.paid_invoices(
         lines.withColumn("product_name", F.lit("p"))).drop("product_name").collect()))
     assert got.schema == reorder.paid_invoices(lines.withColumn("product_name", F.lit("p"))).drop("product_name").schema
+
+
+def test_one_history_serves_tables_of_some_of_its_dates(spark):
+    rng = random.Random(11)
+    days = {f"a{i}": [D(2025, 1, 1) + dt.timedelta(days=rng.randrange(200)) for _ in range(rng.randrange(1, 12))]
+            for i in range(30)}
+    rows = [(f"d{j % 3}", a, "s", day, 10.0 + j, 1.0, f"p{j % 4}", "r") for a, ds in days.items() for j, day in enumerate(ds)]
+    inv = spark.createDataFrame(rows, invoices(spark, {}).schema)
+    training, valid, last = reorder.asof_dates("2025-02-01", "2025-05-01"), [D(2025, 6, 1)], [D(2025, 7, 18)]
+    shared = reorder.shared_history(inv, [*training, *valid, *last])
+    for dates in (training, valid, last):
+        alone = reorder.churn_dataset(inv, dates)
+        together = reorder.churn_dataset(inv, dates, history=shared)
+        assert together.schema == alone.schema and alone.count() > 0
+        assert sorted(together.collect()) == sorted(alone.collect())
+        assert sorted(reorder.churn_features(inv, dates, history=shared).collect()) == sorted(
+            reorder.churn_features(inv, dates).collect()
+        )
+    with pytest.raises(ValueError):
+        reorder.churn_features(inv, [D(2025, 3, 2)], history=shared)
+    with pytest.raises(ValueError):
+        reorder.churn_dataset(inv, [], history=shared)
