@@ -770,7 +770,7 @@ def fit_forest(
     root of their number at a time, until one splits it. A feature is cut at 255 of its
     quantiles at most. A node of up to ``local_rows`` rows (or a 1,024th of all rows, if that
     is more, so that the part grown by histograms stays small enough for the driver) is grown
-    in one task. The forest has at most ``num_trees * 2 ** (max_depth + 1)`` nodes; it is
+    in one task. If these are all rows of a tree, its task holds the binned rows of all trees. The forest has at most ``num_trees * 2 ** (max_depth + 1)`` nodes; it is
     gathered in the driver and sent to the tasks that score.
     """
     importable(rows.sparkSession)
